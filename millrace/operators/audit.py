@@ -44,7 +44,7 @@ def audit_summary(results: DataFrame, *by: str) -> DataFrame:
     share = (F.col("successful") + F.col("warnings")) / F.col("total_tables") * 100
     return counts.withColumn(
         "completion_percentage",
-        F.when(F.col("total_tables") > 0, F.round(share, 6)).otherwise(F.lit(0.0)),
+        F.when(F.col("total_tables") > 0, share).otherwise(F.lit(0.0)),
     )
 
 

@@ -105,7 +105,7 @@ def _items(condition: Column | None = None) -> Column:
 
 
 def _business_ratio() -> Column:
-    return F.round(_items(F.col("is_business_day")) / _items(), 6)
+    return _items(F.col("is_business_day")) / _items()
 
 
 def business_day_analysis(days: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def period_over_period(days: DataFrame) -> DataFrame:
     before, year_before = F.lag("items").over(by_time), F.lag("items", 4).over(by_time)
 
     def change(base: Column) -> Column:
-        return F.round((F.col("items") - base) / base, 6)
+        return (F.col("items") - base) / base
 
     return quarters.select(
         "year",

@@ -52,7 +52,7 @@ def verify_source(counts: DataFrame, expected: DataFrame) -> DataFrame:
         )
         .withColumn(
             "match_percentage",
-            F.when(F.col("expected_rows") > 0, F.round(percent, 6)).otherwise(F.lit(0.0)),
+            F.when(F.col("expected_rows") > 0, percent).otherwise(F.lit(0.0)),
         )
         .withColumn("verification_passed", F.col("row_count_match"))
     )

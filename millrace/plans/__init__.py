@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("scans",)
+_MODULES = ("scans", "calendars", "cleaning")
 
 
 def _load() -> None:

@@ -265,7 +265,7 @@ def _board_files(spark: SparkSession, folder: str) -> str:
         cell("Speaker Role", "role"),
         cell("Message", "text"),
         cell("Turn No", "CAST(turn AS STRING)"),
-        cell("Message", "CASE WHEN turn % 3 = 0 THEN CAST(NULL AS STRING) ELSE upper(text) END", "turn % 2 = 1"),
+        cell("Message", "CASE WHEN turn % 3 = 0 THEN CAST(NULL AS STRING) ELSE text || ' (edited)' END", "turn % 2 = 1"),
         cell("Item Name", "'system prompt'", "role = 'system'"),
     ]
 
@@ -295,7 +295,7 @@ def _board_files(spark: SparkSession, folder: str) -> str:
 @query("""
 SELECT conv_id::VARCHAR AS board_id, conv_id || '-' || turn AS item_id,
     CASE WHEN role = 'system' THEN 'system prompt' ELSE role END AS item_name,
-    CASE WHEN turn % 2 = 0 THEN text WHEN turn % 3 = 0 THEN NULL ELSE upper(text) END AS message,
+    CASE WHEN turn % 2 = 0 THEN text WHEN turn % 3 = 0 THEN NULL ELSE text || ' (edited)' END AS message,
     role AS speaker_role, turn::VARCHAR AS turn_no
 FROM conversations
 """)
@@ -386,9 +386,9 @@ per_event AS (SELECT date, "pageTitle", "pagePath", count(DISTINCT user_id) AS "
         count(*) AS "eventCount", count(*) FILTER (is_view) AS "screenPageViews"
     FROM s GROUP BY ALL)
 SELECT date, "pageTitle", "pagePath", "totalUsers", sessions, "newUsers",
-    round(length_us / sessions / 1000000, 6) AS "averageSessionDuration",
-    round(1 - engaged / sessions, 6) AS "bounceRate", round(engaged / sessions, 6) AS "engagementRate",
-    conversions, round(engagement_us / 1000000, 6) AS "userEngagementDuration",
+    length_us / sessions / 1000000 AS "averageSessionDuration",
+    1 - engaged / sessions AS "bounceRate", engaged / sessions AS "engagementRate",
+    conversions, engagement_us / 1000000 AS "userEngagementDuration",
     "eventCount", "screenPageViews"
 FROM per_event JOIN per_session USING (date, "pageTitle", "pagePath")
 """, name="web_report")
@@ -462,8 +462,8 @@ long AS (
     UNION ALL SELECT 'doc_id', doc_id::VARCHAR, doc_id FROM t)
 SELECT column_name, (row_number() OVER w - 1)::INTEGER AS position, value
 FROM long WHERE value IS NOT NULL
-QUALIFY row_number() OVER w <= 3
 WINDOW w AS (PARTITION BY column_name ORDER BY doc_id)
+QUALIFY row_number() OVER w <= 3
 """)
 def sample_values(spark: SparkSession, folder: str) -> DataFrame:
     """The first three values of every column, nulls passed over."""

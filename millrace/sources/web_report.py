@@ -141,11 +141,11 @@ def web_report(
         "totalUsers",
         "sessions",
         "newUsers",
-        F.round(F.col("length_us") / F.col("sessions") / SECOND, 6).alias("averageSessionDuration"),
-        F.round(1 - engagement, 6).alias("bounceRate"),
-        F.round(engagement, 6).alias("engagementRate"),
+        (F.col("length_us") / F.col("sessions") / SECOND).alias("averageSessionDuration"),
+        (1 - engagement).alias("bounceRate"),
+        engagement.alias("engagementRate"),
         "conversions",
-        F.round(F.col("engagement_us") / SECOND, 6).alias("userEngagementDuration"),
+        (F.col("engagement_us") / SECOND).alias("userEngagementDuration"),
         "eventCount",
         "screenPageViews",
     )
