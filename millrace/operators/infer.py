@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.casts import (
-    FALSE_TEXTS, TRUE_TEXTS, cast_to, is_integer, is_number, text_of, try_double, try_time,
+    FALSE_TEXTS, TRUE_TEXTS, cast_to, is_integer, text_of, try_double, try_time,
 )
 
 # Words in a column name that hint at its type.
@@ -36,26 +36,13 @@ STATISTICS = (
 _FLAG_TEXTS = (*TRUE_TEXTS, *FALSE_TEXTS)
 
 
-def _statistics(text: Column) -> Column:
+def _flag_bit(text: Column) -> Column:
     low = F.lower(text)
-    bit = reduce(
+    return reduce(
         lambda chain, i: chain.when(low == _FLAG_TEXTS[i], 1 << i),
         range(1, len(_FLAG_TEXTS)),
         F.when(low == _FLAG_TEXTS[0], 1),
     )
-    return F.struct(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(text).alias("filled"),
-        F.count_if(is_number(text)).alias("numbers"),
-        F.count_if(is_integer(text)).alias("integers"),
-        F.min(try_double(text)).alias("min_number"),
-        F.max(try_double(text)).alias("max_number"),
-        F.count(try_time(text)).alias("times"),
-        F.bit_or(bit).alias("flag_mask"),
-        F.count(bit).alias("flags"),
-        F.count_if(text.rlike(EMAIL)).alias("emails"),
-        F.max(F.length(text)).alias("max_length"),
-    )
 
 
 def sample_rows(df: DataFrame, rows: int) -> DataFrame:
@@ -66,22 +53,37 @@ def sample_rows(df: DataFrame, rows: int) -> DataFrame:
 def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> DataFrame:
     """One row per column: counts of what its texts look like.
 
-    All columns are judged in one aggregation over the rows, without a shuffle of rows; the
-    single result row is then turned into one row per column.
+    One scan of the rows: each row unfolds into its cells, and the cells are aggregated by
+    column within the map tasks, so only one small row per task and column is shuffled. Unlike a
+    set of aggregates for every column this stays compact code for tables of any width.
     """
     source = sample_rows(df, sample) if sample else df
-    texts = source.select(*[text_of(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    wide = texts.agg(*[_statistics(F.col(f"c{i}")).alias(f"s{i}") for i in range(len(df.columns))])
-    rows = [
-        F.struct(
-            F.lit(table).alias("table_name"),
-            F.lit(i).alias("ordinal"),
-            F.lit(name).alias("column_name"),
-            *[F.col(f"s{i}.{s}").alias(s) for s in STATISTICS],
-        )
-        for i, name in enumerate(df.columns)
-    ]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    cells = source.select(F.posexplode(F.array(*[text_of(df, c) for c in df.columns])).alias("ordinal", "text"))
+    text = F.col("text")
+    judged = cells.select(
+        "ordinal",
+        "text",
+        try_double(text).alias("number"),
+        try_time(text).alias("time"),
+        is_integer(text).alias("integer"),
+        _flag_bit(text).alias("flag"),
+        text.rlike(EMAIL).alias("email"),
+    )
+    counted = judged.groupBy("ordinal").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("text").alias("filled"),
+        F.count("number").alias("numbers"),
+        F.count_if("integer").alias("integers"),
+        F.min("number").alias("min_number"),
+        F.max("number").alias("max_number"),
+        F.count("time").alias("times"),
+        F.bit_or("flag").alias("flag_mask"),
+        F.count("flag").alias("flags"),
+        F.count_if("email").alias("emails"),
+        F.max(F.length("text")).alias("max_length"),
+    )
+    name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("ordinal"))
+    return counted.select(F.lit(table).alias("table_name"), "ordinal", name.alias("column_name"), *STATISTICS)
 
 
 def _names(words: Sequence[str], whole_word: bool) -> Column:
