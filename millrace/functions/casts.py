@@ -17,12 +17,17 @@ TRUE_TEXTS = ("true", "1", "yes", "y")
 FALSE_TEXTS = ("false", "0", "no", "n")
 
 
+def _starts_like_number(text: Column) -> Column:
+    # Digits, signs and the point all sort up to "9"; most other texts skip the pattern.
+    return F.substring(text, 1, 1) <= "9"
+
+
 def is_number(text: Column) -> Column:
-    return text.rlike(NUMBER)
+    return _starts_like_number(text) & text.rlike(NUMBER)
 
 
 def is_integer(text: Column) -> Column:
-    return text.rlike(INTEGER)
+    return _starts_like_number(text) & text.rlike(INTEGER)
 
 
 def try_double(text: Column) -> Column:
@@ -38,7 +43,9 @@ def try_time(text: Column) -> Column:
     """A timestamp without zone from an ISO date, an ISO date and time, or ``MM/dd/yyyy``."""
     iso = text.try_cast("timestamp_ntz")
     slash = F.try_to_date(text, "M/d/yyyy").cast("timestamp_ntz")
-    return F.when(text.rlike(ISO_TIME), iso).when(text.rlike(SLASH_DATE), slash)
+    return F.when((F.substring(text, 5, 1) == "-") & text.rlike(ISO_TIME), iso).when(
+        text.contains("/") & text.rlike(SLASH_DATE), slash
+    )
 
 
 def try_date(text: Column) -> Column:

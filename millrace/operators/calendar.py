@@ -41,7 +41,7 @@ def date_dim(
 
     The result carries a broadcast hint when its number of days allows one.
     """
-    days = spark.range(1).select(
+    days = spark.range(0, 1, 1, 1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day")
     )
     dim = calendar_of_days(days, holidays)

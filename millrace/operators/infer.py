@@ -67,7 +67,7 @@ def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> D
         try_time(text).alias("time"),
         is_integer(text).alias("integer"),
         _flag_bit(text).alias("flag"),
-        text.rlike(EMAIL).alias("email"),
+        (text.contains("@") & text.rlike(EMAIL)).alias("email"),
     )
     counted = judged.groupBy("ordinal").agg(
         F.count(F.lit(1)).alias("rows"),

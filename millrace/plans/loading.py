@@ -14,7 +14,9 @@ from millrace.plans.landing import (
 )
 from millrace.plans.registry import query, table
 from millrace.sources.csv import BULK_LOAD, read_csv, write_csv
+from millrace.plans.run import run_tables
 from millrace.sources.files import list_files, partition_value
+from millrace.spec import TableSpec
 from millrace.workspace import fresh_database, fresh_folder
 
 PROJECT_FIELDS = [
@@ -347,6 +349,58 @@ def mapping_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return audit.mapping_lookup(names, mappings)
 
 
+@query("""
+SELECT 'lines' AS table_name, 'success' AS status, count(*) AS rows_loaded,
+    sum(l_linenumber)::BIGINT AS number_sum, 'bigint' AS key_type
+FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
+UNION ALL SELECT 'clients', 'warning', count(*), sum(c_nationkey)::BIGINT, 'bigint' FROM customer
+UNION ALL SELECT 'nothing', 'failed', 0, NULL, NULL
+""")
+def full_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Three tables from raw files to verified tables: one complete, one larger than estimated,
+    one without a file."""
+    def write(path: str) -> None:
+        lines = table(spark, folder, "lineitem")
+        write_csv(
+            lines.select(
+                F.concat(F.lit(" "), "l_orderkey", F.lit(" ")).alias("Order ID"),
+                F.col("l_linenumber").alias("Line Number"),
+                *lines.columns[4:],
+            ),
+            f"{path}/LINES.CSV",
+        )
+        customers = table(spark, folder, "customer")
+        write_csv(customers.withColumnsRenamed({"c_custkey": "Client ID", "c_nationkey": "Nation Number"}),
+                  f"{path}/clients.csv")
+
+    inbox = landed(spark, folder, "inbox", write)
+    database = fresh_database(spark, "run")
+    order = (
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+    specs = [
+        TableSpec("lines", "lines", "Order ID + Line Number", composite=True, order_by=order),
+        TableSpec("clients", "clients", "Client ID", order_by=("c_name",), expected_rows=1),
+        TableSpec("nothing", "nothing"),
+    ]
+    results = run_tables(spark, specs, inbox, database)
+    keys = {"lines": ("Line_Number", "Order_ID"), "clients": ("Nation_Number", "Client_ID")}
+    sums = reduce(
+        DataFrame.unionByName,
+        [
+            spark.table(f"{database}.{name}").agg(
+                F.lit(name).alias("table_name"),
+                F.sum(number).cast("bigint").alias("number_sum"),
+                F.max(F.typeof(key)).alias("key_type"),
+            )
+            for name, (number, key) in keys.items()
+        ],
+    )
+    return results.join(sums, "table_name", "left").select(
+        "table_name", "status", "rows_loaded", "number_sum", "key_type"
+    )
+
+
 _HISTORY_SQL = """
 SELECT 'file_' || event_id || '.csv' AS file_name, 'table_' || (user_id % 7) AS table_name,
     CASE event_type WHEN 'error' THEN 'LOAD_FAILED' WHEN 'signup' THEN 'PARTIALLY_LOADED' ELSE 'LOADED' END
