@@ -91,14 +91,15 @@ def spark_type(type_name: str) -> str:
 
 
 def double_text(value: Column) -> Column:
-    """The text of a double without an exponent between 1e-4 and 1e16, as in ``12345678.9``."""
-    plain = F.regexp_replace(value.cast("string").try_cast("decimal(38,20)").cast("string"), "0+$", "")
-    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
-    size = F.abs(value)
+    """The text of a double without an exponent between 1e-4 and 1e16, as in ``12345678.9``.
+
+    Not a number is a missing value.
+    """
+    text, size = value.cast("string"), F.abs(value)
     exponent = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return (
-        F.when(F.isnan(value), F.lit("nan")).when(exponent, plain).otherwise(value.cast("string"))
-    )
+    digits = F.rtrim(text.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(exponent, plain).when(~F.isnan(value), text)
 
 
 def text_of(df: DataFrame, column: str) -> Column:
@@ -114,8 +115,10 @@ def text_of(df: DataFrame, column: str) -> Column:
 
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as text; ``nan``, as a text or from a double, becomes null."""
-    def texts(column: str) -> Column:
-        text = text_of(df, column)
-        return F.when(text != "nan", text).alias(column)
+    def texts(field: T.StructField) -> Column:
+        text = text_of(df, field.name)
+        if isinstance(field.dataType, T.StringType):
+            text = F.when(text != "nan", text)
+        return text.alias(field.name)
 
-    return df.select(*[texts(c) for c in df.columns])
+    return df.select(*[texts(f) for f in df.schema])

@@ -33,6 +33,7 @@ STATISTICS = (
     "rows", "filled", "numbers", "integers", "min_number", "max_number", "times", "flag_mask",
     "flags", "emails", "max_length",
 )
+COUNTS = ["rows", "filled", "numbers", "integers", "times", "flags", "emails"]
 _FLAG_TEXTS = (*TRUE_TEXTS, *FALSE_TEXTS)
 
 
@@ -82,8 +83,13 @@ def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> D
         F.count_if("email").alias("emails"),
         F.max(F.length("text")).alias("max_length"),
     )
-    name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("ordinal"))
-    return counted.select(F.lit(table).alias("table_name"), "ordinal", name.alias("column_name"), *STATISTICS)
+    # A table without rows has columns all the same. Both sides hold one row per column.
+    columns = df.sparkSession.createDataFrame(
+        [(table, i, c) for i, c in enumerate(df.columns)],
+        "table_name string, ordinal int, column_name string",
+    )
+    found = columns.join(F.broadcast(counted), "ordinal", "left")
+    return found.fillna(0, COUNTS).select("table_name", "ordinal", "column_name", *STATISTICS)
 
 
 def _names(words: Sequence[str], whole_word: bool) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.calendar import micros
+from millrace.workspace import cut_lineage
 
 # Report headers by position.
 REPORT_HEADERS = {
@@ -56,9 +57,13 @@ def sessionize(events: DataFrame, gap_seconds: int = 1800, bucket_seconds: int =
     )
     # One row per user and bucket of time.
     across = Window.partitionBy("user_id").orderBy("bucket")
-    known = summary.select("*", F.lag("high").over(across).alias("before"),
-                           F.lead("low").over(across).alias("after"),
-                           F.min("low").over(Window.partitionBy("user_id")).alias("first_us"))
+    earlier = across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = summary.select(
+        "*",
+        F.lag("high").over(across).alias("before"),
+        F.lead("low").over(across).alias("after"),
+        F.first("low").over(earlier).alias("first_us"),
+    )
     opens = F.col("before").isNull() | (F.col("low") - F.col("before") >= gap)
     known = known.withColumn("own_start", F.when(opens, F.col("low")))
     last_start = F.coalesce("last_inner_start", "own_start")
@@ -102,6 +107,8 @@ def web_report(
         F.max("us").alias("high"),
         F.max(F.col("us") == F.col("first_us")).alias("is_new"),
     )
+    # Two branches follow; without a written copy each would scan and sessionize all events.
+    parts = cut_lineage(parts, "report-parts")
     sessions = parts.groupBy(*session).agg(
         (F.max("high") - F.col("session_start")).alias("length_us"),
         F.sum("views").alias("session_views"),
