@@ -6,14 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-BOARD_PAGE = T.StructType.fromDDL(
+BOARD_PAGE = (
     "data struct<boards: array<struct<id: string, name: string, items_page: struct<cursor: string,"
     " items: array<struct<id: string, name: string, column_values: array<struct<id: string,"
     " text: string, value: string, column: struct<title: string>>>>>>>>>"
 )
-REPORT_ROW = T.StructType.fromDDL(
-    "dimension_values array<string>, metric_values array<string>"
-)
+REPORT_ROW = "dimension_values array<string>, metric_values array<string>"
 BASE_COLUMNS = ("board_id", "item_id", "item_name")
 
 

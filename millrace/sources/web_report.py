@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.calendar import micros
@@ -27,19 +29,25 @@ DIMENSIONS = ["date", "pageTitle", "pagePath"]
 SECOND = 1_000_000
 
 
-def sessionize(events: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = 3600) -> DataFrame:
+def sessionize(
+    events: DataFrame,
+    gap_seconds: int = 1800,
+    bucket_seconds: int = 3600,
+    tie_break: Sequence[str] = (),
+) -> DataFrame:
     """Add ``session_start``, ``next_us`` and ``first_us`` (microseconds) to events.
 
     A session of a user ends when nothing follows for ``gap_seconds``. ``events`` needs ``user_id``
     and ``us``, the event time in microseconds. Rows are ordered within (user, bucket of time), so
     a user with a large share of all events still spreads over many tasks; one summary row per
     bucket then carries the state across bucket edges. ``next_us`` is the next event of the same
-    session, or null, and ``first_us`` the user's first event.
+    session, or null, and ``first_us`` the user's first event. Events at the same moment are
+    ordered by the ``tie_break`` columns; the last of them has what follows as its next.
     """
     gap = gap_seconds * SECOND
     bucketed = events.withColumn("bucket", F.floor(F.col("us") / F.lit(bucket_seconds * SECOND)))
     key = ["user_id", "bucket"]
-    inside = Window.partitionBy(*key).orderBy("us")
+    inside = Window.partitionBy(*key).orderBy("us", *tie_break)
     marked = bucketed.select(
         "*",
         F.lag("us").over(inside).alias("previous_us"),
@@ -97,7 +105,8 @@ def web_report(
     next event. New users are those whose first event belongs to the row.
     """
     timed = events.withColumn("us", micros(F.col("ts")))
-    rows = sessionize(timed, gap_seconds, bucket_seconds).withColumn("date", F.to_date("ts"))
+    rows = sessionize(timed, gap_seconds, bucket_seconds, ["pageTitle", "pagePath"])
+    rows = rows.withColumn("date", F.to_date("ts"))
     session = ["user_id", "session_start"]
     parts = rows.groupBy(*DIMENSIONS, *session).agg(
         F.count(F.lit(1)).alias("events"),
