@@ -16,6 +16,9 @@ WHITE_SPACE = "".join(chr(c) for low, high in _SPACE_RANGES for c in range(low,
 # Hidden characters deleted from anywhere in a text.
 CONTROL_CLASS = r"[\x00-\x1F]"
 
+# A text that cleaning leaves as it is: printable ASCII at both ends, nothing hidden between.
+_CLEAN_ALREADY = r"^[!-~]([^\x00-\x1F]*[!-~])?\z"
+
 # Texts a CSV reader takes for a missing value.
 NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -31,10 +34,12 @@ def strip(text: Column) -> Column:
 def clean_text(text: Column) -> Column:
     """Strip, delete control characters, and turn what is then blank into null.
 
-    The text is not stripped again after the deletion: ``"\\x01 ab"`` gives ``" ab"``.
+    The text is not stripped again after the deletion: ``"\\x01 ab"`` gives ``" ab"``. Most cells
+    need nothing done, which one pattern tells several times faster than cleaning them does.
     """
     visible = F.regexp_replace(strip(text), CONTROL_CLASS, "")
-    return F.when(strip(visible) != "", visible)
+    cleaned = F.when(strip(visible) != "", visible)
+    return F.when(text.rlike(_CLEAN_ALREADY), text).otherwise(cleaned)
 
 
 def null_if(text: Column, tokens: Iterable[str]) -> Column:

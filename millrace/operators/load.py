@@ -102,17 +102,21 @@ def rejects(checked: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def file_report(checked: DataFrame, file_column: str) -> DataFrame:
-    """Rows parsed and rejected, values in error and the first error of each file."""
+    """Rows parsed and rejected, values in error and the first error of each file.
+
+    All rows are only counted, which hashing does within the map tasks; the first errors, which
+    need sorting, come from the bad rows alone.
+    """
     wrong = F.size("_errors")
-    first = F.min(F.get("_errors", F.lit(0)))
-    return checked.groupBy(F.col(file_column).alias("file_name")).agg(
+    file = F.col(file_column).alias("file_name")
+    counts = checked.groupBy(file).agg(
         F.count(F.lit(1)).alias("rows_parsed"),
         F.count_if(wrong > 0).alias("rows_rejected"),
         F.sum(wrong).alias("error_count"),
-        F.concat_ws(
-            " ", first["column_name"], F.concat(F.lit("'"), first["value"], F.lit("'")), first["reason"]
-        ).alias("_first"),
-    ).withColumn("first_error", F.when(F.col("_first") != "", F.col("_first"))).drop("_first")
+    )
+    first = checked.filter(wrong > 0).groupBy(file).agg(F.min(F.get("_errors", F.lit(0))).alias("e"))
+    message = F.concat_ws(" ", "e.column_name", F.concat(F.lit("'"), "e.value", F.lit("'")), "e.reason")
+    return counts.join(first.select("file_name", message.alias("first_error")), "file_name", "left")
 
 
 def rows_of_clean_files(checked: DataFrame, file_column: str) -> DataFrame:

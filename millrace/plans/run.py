@@ -11,7 +11,7 @@ from millrace.functions.names import clean_name, unique_names
 from millrace.operators import infer, tables
 from millrace.operators.audit import RESULT_SCHEMA
 from millrace.operators.clean import clean_table
-from millrace.sources.csv import MULTI_LINE, CsvFormat, read_csv
+from millrace.sources.csv import MULTI_LINE, CsvFormat, read_csv, spread
 from millrace.sources.files import list_files, resolve_files
 from millrace.spec import TableSpec
 from millrace.workspace import cut_lineage
@@ -34,7 +34,9 @@ def load_table(
 
     The cleaned rows are written once; statistics, casts and the row count read that copy.
     """
-    staged = cut_lineage(clean_table(read_csv(spark, path, fmt), spec), "staged")
+    raw = read_csv(spark, path, fmt)
+    raw = spread(raw) if fmt.multi_line else raw
+    staged = cut_lineage(clean_table(raw, spec), "staged")
     found = infer.mapping_of(
         infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name))
     )

@@ -78,9 +78,11 @@ def read_csv(
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Redistribute rows read from few unsplittable files over the cluster."""
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted)
+    """Redistribute rows that come from fewer unsplittable files than the cluster has cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if partitions is None and len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(partitions or cores)
 
 
 def write_csv(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.workspace import cut_lineage
+
 # Patterns a load selects files with.
 ANY_CSV = r".*\.csv"
 DATED_CSV = r".*[0-9]{4}-[0-9]{2}-[0-9]{2}\.csv"
 CSV_OR_JSON = r".*\.(csv|json)"
 RAW_SUFFIX = "_raw.csv"
+# So many splits (some 25 TB of files) make a table of a few tens of MB.
+BROADCAST_SPLITS = 200_000
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv*") -> DataFrame:
@@ -99,7 +103,11 @@ def with_row_numbers(rows: DataFrame) -> DataFrame:
     starts = splits.select(
         *split, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
-    numbered = rows.join(starts, split)
+    # One row per split, written so that counting them does not read the files again.
+    starts = cut_lineage(starts, "splits")
+    numbered = rows.join(
+        F.broadcast(starts) if starts.count() <= BROADCAST_SPLITS else starts, split
+    )
     number = F.col("_before") + F.col("row_id") - F.col("_first") + 1
     return numbered.withColumn("file_row_number", number).drop("_first", "_before")
 

@@ -11,7 +11,7 @@ from millrace.functions.text import WHITE_SPACE, clean_text, null_if, strip
 
 TEXTS = [
     None, "", "  ", "\t x \n", " a ", "\u001cb", "​kept​", "\x01 ab", "\x02 \x03",
-    "in\nner\x00", " plain ", "tab\tinside", "ß\x1f", "　wide　", "a" * 5000 + " ",
+    "in\nner\x00", " plain ", "tab\tinside", "ß\x1f", "end\n", "end\r", "end\u0085", "end\u2028", "a\u2028b", "a", "é", "a é", "x\x7f", "　wide　", "a" * 5000 + " ",
 ]
 
 
