@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.casts import text_of
 from millrace.functions.names import has_special_characters
@@ -146,6 +146,16 @@ def find_column(catalogue: DataFrame, name: str) -> DataFrame:
     return catalogue.filter(F.lower("column_name") == name.lower())
 
 
+def describe_table(spark: SparkSession, name: str) -> DataFrame:
+    """The column catalogue of a catalog table whose name may be given in any case."""
+    database, _, table = name.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    for known in spark.catalog.listTables(database):
+        if known.name.lower() == table.lower():
+            return column_catalog(spark.table(f"{database}.{known.name}"), known.name)
+    raise ValueError(f"no table {table} in {database}")
+
+
 def special_names(catalogue: DataFrame, name: str = "column_name") -> DataFrame:
     """Catalogue entries whose names need quoting."""
     return catalogue.filter(has_special_characters(F.col(name)))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.names import clean_name, unique_names
 from millrace.operators import infer, tables
-from millrace.operators.audit import RESULT_SCHEMA
+from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows
 from millrace.operators.clean import clean_table
 from millrace.sources.csv import MULTI_LINE, CsvFormat, read_csv, spread
 from millrace.sources.files import list_files, resolve_files
@@ -53,11 +53,17 @@ def load_table(
 
 
 def run_tables(
-    spark: SparkSession, specs: Sequence[TableSpec], inbox: str, database: str, workers: int = 4
+    spark: SparkSession,
+    specs: Sequence[TableSpec],
+    inbox: str,
+    database: str,
+    workers: int = 4,
+    audit_table: str | None = None,
 ) -> DataFrame:
     """Load every table of ``specs`` from ``inbox``; one result row each.
 
-    Tables run side by side on one session, and a failure stays with its table.
+    Tables run side by side on one session, and a failure stays with its table. The results are
+    appended to ``audit_table`` where one is named.
     """
     requests = spark.createDataFrame([(s.source,) for s in specs], "request string")
     found = {
@@ -78,4 +84,7 @@ def run_tables(
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(one, specs))
-    return spark.createDataFrame(results, RESULT_SCHEMA)
+    outcome = spark.createDataFrame(results, RESULT_SCHEMA)
+    if audit_table:
+        append_audit(audit_rows(spark, "load", [r.asDict() for r in outcome.collect()]), audit_table)
+    return outcome

@@ -15,12 +15,22 @@ REPORT_ROW = "dimension_values array<string>, metric_values array<string>"
 BASE_COLUMNS = ("board_id", "item_id", "item_name")
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """JSON whose lines are objects or arrays of objects, one row per object.
+def read_json_array(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False
+) -> DataFrame:
+    """One row per object, from lines that hold an object or an array of objects.
 
-    Broken JSON and texts that are not UTF-8 fail the read instead of passing as nulls.
+    Broken JSON and bytes that are not UTF-8 fail the read instead of passing as nulls or
+    replacement characters. With ``multi_line`` each file is one object or array over many lines,
+    read by one task; its bytes are checked in a pass of their own.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    lines = spark.read.text(path)
+    if multi_line:
+        if not lines.filter(~F.is_valid_utf8("value")).isEmpty():
+            raise ValueError(f"{path} holds bytes that are not UTF-8")
+        return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", "true").json(path)
+    records = F.from_json(F.validate_utf8("value"), f"array<struct<{schema}>>", {"mode": "FAILFAST"})
+    return lines.filter(F.trim("value") != "").select(F.inline(records))
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -74,9 +74,23 @@ def test_broken_json_fails(spark, folder):
         nested.read_json_array(spark, folder, "a int").collect()
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_bytes_that_are_not_utf8_fail(spark, folder, multi_line):
+    (Path(folder) / "a.json").write_bytes(b'[{"a":1,"b":"\xff\xfe"}]')
+    with pytest.raises(Exception, match="(?i)utf-?8"):
+        nested.read_json_array(spark, folder, "a int, b string", multi_line).collect()
+
+
+def test_an_array_over_many_lines(spark, folder):
+    (Path(folder) / "a.json").write_text('[\n {"a": 1,\n  "b": "é"},\n\n {"a": 2}\n]\n')
+    rows = nested.read_json_array(spark, folder, "a int, b string", multi_line=True).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "é"), (2, None)]
+
+
 def test_null_fields_are_not_written(spark, folder):
     nested.write_json(spark.createDataFrame([(1, None)], "a int, b string"), f"{folder}/out")
-    assert next(Path(folder, "out").glob("*.json")).read_text() == '{"a":1}\n'
+    written = "".join(p.read_text() for p in Path(folder, "out").glob("*.json"))
+    assert written == '{"a":1}\n'
 
 
 def test_routes(spark):

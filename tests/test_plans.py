@@ -4,6 +4,7 @@ import pytest
 
 from millrace import workspace
 from millrace.operators import calendar as cal
+from millrace.operators.audit import audit_summary, results_of
 from millrace.plans import all_queries
 from millrace.spec import TableSpec
 from millrace.plans.run import run_tables
@@ -79,6 +80,8 @@ def test_a_broken_table_does_not_stop_the_run(spark, folder):
     Path(folder, "bad.csv").write_text("")
     database = workspace.fresh_database(spark, "test")
     specs = [TableSpec("good", "GOOD", "id", order_by=("name",)), TableSpec("bad", "bad"), TableSpec("none", "none")]
-    found = {r.table_name: (r.status, r.rows_loaded) for r in run_tables(spark, specs, folder, database).collect()}
+    found = {r.table_name: (r.status, r.rows_loaded) for r in run_tables(spark, specs, folder, database, audit_table=f"{database}.audit").collect()}
     assert found["good"] == ("success", 1) and found["bad"][0] == "failed" and found["none"][0] == "failed"
     assert [tuple(r) for r in spark.table(f"{database}.good").collect()] == [(1, "a")]
+    summary = audit_summary(results_of(spark.table(f"{database}.audit"))).first()
+    assert (summary.total_tables, summary.successful, summary.failed, summary.total_rows_loaded) == (3, 1, 2, 1)

@@ -89,6 +89,9 @@ def test_catalogue(spark):
         (1, "id", "bigint", 19, 0, None), (2, "price", "decimal(10,2)", 10, 2, None),
         (3, "v", "string", None, None, 20), (4, "s", "string", None, None, None),
     ]
+    assert profile.describe_table(spark, name.replace(".t", ".T")).count() == 4
+    with pytest.raises(ValueError):
+        profile.describe_table(spark, name + "x")
     assert [r.column_name for r in profile.column_catalog(df, "t", last=2).collect()] == ["v", "s"]
     assert profile.find_column(profile.column_catalog(df, "t"), "PRICE").count() == 1
 
