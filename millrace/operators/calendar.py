@@ -51,6 +51,11 @@ def date_dim(
     return F.broadcast(dim) if (end - start).days < BROADCAST_DAYS else dim
 
 
+def known_calendar(dim: DataFrame) -> DataFrame:
+    """A calendar read from a table, with the broadcast hint if its number of days allows one."""
+    return F.broadcast(dim) if dim.count() <= BROADCAST_DAYS else dim
+
+
 def span_of(df: DataFrame, *columns: str) -> tuple[date, date]:
     """First day of the first year and last day of the last year in the date columns."""
     ends = df.agg(

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions import calendar as functions
 from millrace.operators import calendar as cal
 from millrace.operators.clean import dedup
+from millrace.plans.landing import landed
 from millrace.plans.registry import query, table
 
 _SPAN = """SELECT make_date(year(min(o_orderdate)), 1, 1) AS low,
@@ -39,25 +40,35 @@ _ORDER_DAYS = "orders JOIN dim ON o_orderdate::DATE = full_date"
 _SHIP_DAYS = "lineitem JOIN dim ON l_shipdate::DATE = full_date"
 
 
-def _orders_and_dim(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    orders = table(spark, folder, "orders")
-    return orders, cal.date_dim(spark, *cal.span_of(orders, "o_orderdate"))
+def _computed_calendar(spark: SparkSession, folder: str) -> DataFrame:
+    return cal.date_dim(spark, *cal.span_of(table(spark, folder, "orders"), "o_orderdate"))
+
+
+def _calendar(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar as a table, filled once for the years in which there are orders."""
+    path = landed(
+        spark, folder, "calendar",
+        lambda p: _computed_calendar(spark, folder).coalesce(1).write.parquet(p),
+    )
+    return cal.known_calendar(spark.read.parquet(path))
 
 
 def _order_days(spark: SparkSession, folder: str) -> DataFrame:
-    orders, dim = _orders_and_dim(spark, folder)
-    return cal.days_with_counts(orders, "o_orderdate", dim)
+    return cal.days_with_counts(
+        table(spark, folder, "orders"), "o_orderdate", _calendar(spark, folder)
+    )
 
 
 def _ship_days(spark: SparkSession, folder: str) -> DataFrame:
-    _, dim = _orders_and_dim(spark, folder)
-    return cal.days_with_counts(table(spark, folder, "lineitem"), "l_shipdate", dim)
+    return cal.days_with_counts(
+        table(spark, folder, "lineitem"), "l_shipdate", _calendar(spark, folder)
+    )
 
 
 @query(f"SELECT * REPLACE (full_date::VARCHAR AS full_date) FROM ({_dim_sql()})")
 def date_dim(spark: SparkSession, folder: str) -> DataFrame:
     """The calendar of the years in which there are orders."""
-    return _orders_and_dim(spark, folder)[1]
+    return _computed_calendar(spark, folder)
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d')::INTEGER AS date_key FROM orders")
@@ -82,8 +93,8 @@ FROM {_ORDER_DAYS} WHERE o_orderdate IS NOT NULL
 """)
 def date_join(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with attributes of their day."""
-    orders, dim = _orders_and_dim(spark, folder)
-    joined = cal.date_join(orders.select("o_orderkey", "o_orderdate"), "o_orderdate", dim)
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    joined = cal.date_join(orders, "o_orderdate", _calendar(spark, folder))
     return joined.select("o_orderkey", "day_of_week_name", "month_name", "year", "is_business_day")
 
 
@@ -93,11 +104,10 @@ FROM lineitem JOIN dim ON strftime(l_shipdate, '%Y%m%d')::INTEGER = date_key
 """)
 def date_key_join(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with attributes of their shipping day, joined on the integer key."""
-    _, dim = _orders_and_dim(spark, folder)
     items = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
-    return cal.date_key_join(items, "l_shipdate", dim).select(
+    return cal.date_key_join(items, "l_shipdate", _calendar(spark, folder)).select(
         "l_orderkey", "l_linenumber", "l_quantity", "fiscal_year", "fiscal_quarter", "year_quarter"
     )
 
@@ -137,10 +147,10 @@ FROM ranked JOIN dim ON o_orderdate::DATE = full_date WHERE n = 1 GROUP BY ALL
 """)
 def fiscal_report(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: orders deduplicated by key, joined to the calendar, by fiscal quarter."""
-    orders, dim = _orders_and_dim(spark, folder)
+    orders = table(spark, folder, "orders")
     # The report needs the first date of each order only, so no other column is shuffled.
     unique = dedup(orders.select("o_orderkey", "o_orderdate"), ["o_orderkey"], ["o_orderdate"])
-    return cal.fiscal_report(cal.days_with_counts(unique, "o_orderdate", dim))
+    return cal.fiscal_report(cal.days_with_counts(unique, "o_orderdate", _calendar(spark, folder)))
 
 
 @query(f"""{_WITH_DIM}
@@ -159,7 +169,7 @@ FROM dim WHERE full_date BETWEEN '1997-01-01' AND '1998-06-30'
 """)
 def v_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The view of common calendar fields, queried for a range of days."""
-    _, dim = _orders_and_dim(spark, folder)
+    dim = _calendar(spark, folder)
     dim.select(*cal.COMMON_FIELDS).createOrReplaceTempView("v_calendar")
     return spark.sql("SELECT * FROM v_calendar WHERE full_date BETWEEN '1997-01-01' AND '1998-06-30'")
 
@@ -171,7 +181,7 @@ FROM {_ORDER_DAYS} WHERE year = 1997
 """)
 def v_orders_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """The view of orders with prefixed calendar fields, queried for a year."""
-    orders, dim = _orders_and_dim(spark, folder)
+    orders, dim = table(spark, folder, "orders"), _calendar(spark, folder)
     fields = ["year", "year_month", "fiscal_year", "is_business_day"]
     view = cal.with_calendar(
         orders.select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderdate", dim, "created_", fields
@@ -191,7 +201,7 @@ WHERE full_date NOT IN (SELECT full_date FROM dim)
 """)
 def extend_calendar(spark: SparkSession, folder: str) -> DataFrame:
     """Days that the calendar of orders lacks to cover shipments and events too."""
-    _, dim = _orders_and_dim(spark, folder)
+    dim = _calendar(spark, folder)
     shipped = cal.span_of(table(spark, folder, "lineitem"), "l_shipdate")
     seen = cal.span_of(table(spark, folder, "events"), "ts")
     wider = (min(shipped[0], seen[0]), max(shipped[1], seen[1]))
@@ -203,7 +213,7 @@ SELECT count(*) AS total_dates, min(full_date)::VARCHAR AS earliest_date,
     max(full_date)::VARCHAR AS latest_date FROM dim
 """)
 def dim_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return cal.dim_bounds(_orders_and_dim(spark, folder)[1])
+    return cal.dim_bounds(_calendar(spark, folder))
 
 
 @query(f"""{_WITH_DIM}
@@ -212,9 +222,8 @@ WHERE full_date >= (SELECT max(o_orderdate)::DATE - 30 FROM orders) GROUP BY ALL
 """)
 def dim_check(spark: SparkSession, folder: str) -> DataFrame:
     """Weekdays and business days from 30 days before the last order on."""
-    orders, dim = _orders_and_dim(spark, folder)
-    last = orders.agg(F.max("o_orderdate").cast("date")).first()[0]
-    return cal.dim_check(dim, last)
+    last = table(spark, folder, "orders").agg(F.max("o_orderdate").cast("date")).first()[0]
+    return cal.dim_check(_calendar(spark, folder), last)
 
 
 @query(f"""{_WITH_DIM},
