@@ -51,17 +51,18 @@ def audit_summary(results: DataFrame, *by: str) -> DataFrame:
 def mapping_lookup(tables: DataFrame, mappings: DataFrame) -> DataFrame:
     """For each ``table_name`` the first mapping by ``position``; it must have succeeded.
 
-    ``verdict`` is ok, not_success or missing. Mappings are reduced to the first of each name
-    before the join.
+    ``verdict`` is ok, not_success or missing. The first mapping succeeded when it is also the
+    first of the successful ones, so two numbers per name are all that is aggregated.
     """
     first = mappings.groupBy("table_name").agg(
-        F.min(F.struct("position", "status")).alias("m")
+        F.min("position").alias("position"),
+        F.min(F.when(F.col("status") == "success", F.col("position"))).alias("_success"),
     )
     verdict = (
-        F.when(F.col("m").isNull(), "missing")
-        .when(F.col("m.status") == "success", "ok")
+        F.when(F.col("position").isNull(), "missing")
+        .when(F.col("position") == F.col("_success"), "ok")
         .otherwise("not_success")
     )
     return tables.join(first, "table_name", "left").select(
-        "table_name", F.col("m.position").alias("position"), verdict.alias("verdict")
+        "table_name", "position", verdict.alias("verdict")
     )

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.casts import cast_to
 from millrace.operators.tables import append
+from millrace.sources.files import ANY_CSV, list_files, matches
 from millrace.workspace import cut_lineage
 
 HISTORY_SCHEMA = (
@@ -217,6 +218,31 @@ def path_batches(files: DataFrame, batch: int = 5_000) -> Iterator[list[str]]:
         yield paths
 
 
+def load_new_files(
+    spark: SparkSession,
+    folder: str,
+    loaded_table: str,
+    load: Callable[[list[str]], None],
+    force: bool = False,
+    pattern: str = ANY_CSV,
+) -> int:
+    """Call ``load`` with the paths not loaded before, in batches, and note each batch.
+
+    ``loaded_table`` has path, size and modified. With ``force`` all files are loaded again. A
+    batch is noted after it is loaded: where a lost driver must not load it twice, use the stream.
+    Returns the number of files loaded.
+    """
+    listing = list_files(spark, folder, "*").filter(matches(F.col("path"), pattern))
+    wanted = listing if force else new_files(listing, spark.table(loaded_table))
+    total = 0
+    for paths in path_batches(wanted):
+        load(paths)
+        done = listing.filter(F.col("path").isin(paths)).select("path", "size", "modified")
+        append(new_files(done, spark.table(loaded_table)), loaded_table)
+        total += len(paths)
+    return total
+
+
 def load_history(history: DataFrame, as_of: datetime, table: str | None = None, hours: int = 24) -> DataFrame:
     """Loads of the last ``hours`` before ``as_of``, of one table or all, newest first."""
     end = F.lit(as_of).cast("timestamp_ntz")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace.functions.casts import text_of
 from millrace.functions.names import has_special_characters
+from millrace.operators.top import first_rows
 
 
 def _one_row_per_column(totals: DataFrame, rows: list[Column]) -> DataFrame:
@@ -72,7 +73,7 @@ def sample_values(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> Data
         order = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)]
         names = [f"_o{i}" for i in range(len(order_by))]
         filled = df.filter(F.col(f"`{name}`").isNotNull()).select(value.alias("value"), *order)
-        top = filled.orderBy(*names).limit(rows)
+        top = first_rows(filled, names, rows)
         listed = top.agg(
             F.array_sort(F.collect_list(F.struct(*names, "value"))).alias("values")
         )
@@ -85,8 +86,8 @@ def sample_values(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> Data
 
 def head_and_tail(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:
     """The first and the last ``rows`` rows in the given order, marked ``head`` and ``tail``."""
-    head = df.orderBy(*order_by).limit(rows).withColumn("part", F.lit("head"))
-    tail = df.orderBy(*[F.desc(c) for c in order_by]).limit(rows).withColumn("part", F.lit("tail"))
+    head = first_rows(df, order_by, rows).withColumn("part", F.lit("head"))
+    tail = first_rows(df, order_by, rows, descending=True).withColumn("part", F.lit("tail"))
     return head.unionByName(tail)
 
 

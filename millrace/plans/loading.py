@@ -15,7 +15,7 @@ from millrace.plans.landing import (
 from millrace.plans.registry import query, table
 from millrace.sources.csv import BULK_LOAD, read_csv, write_csv
 from millrace.plans.run import run_tables
-from millrace.sources.files import list_files, partition_value
+from millrace.sources.files import partition_value
 from millrace.spec import TableSpec
 from millrace.workspace import fresh_database, fresh_folder
 
@@ -164,9 +164,8 @@ def incremental_files(spark: SparkSession, folder: str) -> DataFrame:
     for run in (0, 1, 2, 3):
         if run in (0, 2):
             _drop_orders(spark, folder, inbox, early=run == 0)
-        listing = list_files(spark, inbox)
-        fresh = load.new_files(listing, spark.table(f"{database}.loaded"))
-        for paths in load.path_batches(fresh):
+
+        def load_paths(paths: list[str]) -> None:
             rows = spark.read.schema("o_orderkey string, o_totalprice string").option("header", "true").csv(paths)
             year = partition_value(F.col("_metadata.file_path"), "year").cast("bigint")
             number = F.lit(1 if run < 2 else 2)
@@ -174,8 +173,8 @@ def incremental_files(spark: SparkSession, folder: str) -> DataFrame:
                 rows.select(number.alias("run"), year.alias("year"), "o_orderkey", "o_totalprice"),
                 f"{database}.rows",
             )
-            loaded = listing.filter(F.col("path").isin(paths)).select("path", "size", "modified")
-            tables.append(loaded, f"{database}.loaded")
+
+        load.load_new_files(spark, inbox, f"{database}.loaded", load_paths)
     return spark.table(f"{database}.rows").groupBy("run", "year").agg(
         F.count(F.lit(1)).alias("rows_loaded"), F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum")
     )

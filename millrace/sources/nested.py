@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from millrace.operators.top import first_rows
 
 BOARD_PAGE = (
     "data struct<boards: array<struct<id: string, name: string, items_page: struct<cursor: string,"
@@ -72,21 +74,20 @@ def flatten_board(items: DataFrame, titles: Sequence[str] | None = None) -> Data
     counts, also where it is null. An item holds its own values, so no shuffle is needed.
     """
     titles = board_titles(items) if titles is None else titles
-
-    def last_with(title: str) -> Column:
-        same = F.filter("column_values", lambda v: title_to_name(v["column"]["title"]) == title)
-        return F.try_element_at(same, F.lit(-1))
-
+    # Last value first, so that the first position of a title is that of its last value.
+    named = items.select(
+        *BASE_COLUMNS,
+        F.reverse(F.transform("column_values.column.title", title_to_name)).alias("_names"),
+        F.reverse("column_values.text").alias("_texts"),
+    )
     columns = []
     for name in (*BASE_COLUMNS, *[t for t in titles if t not in BASE_COLUMNS]):
-        value = last_with(name)
-        text = value["text"]
-        if name in BASE_COLUMNS and name in titles:
-            text = F.when(value.isNotNull(), text).otherwise(F.col(name))
-        elif name in BASE_COLUMNS:
-            text = F.col(name)
+        position = F.array_position("_names", name).cast("int")
+        text = F.get("_texts", position - 1)
+        if name in BASE_COLUMNS:
+            text = F.when(position > 0, text).otherwise(F.col(name)) if name in titles else F.col(name)
         columns.append(text.alias(name))
-    return items.select(*columns)
+    return named.select(*columns)
 
 
 def flatten_report(rows: DataFrame, dimensions: int, metrics: int) -> DataFrame:
@@ -131,5 +132,5 @@ def extract_tables(
             continue
         rows = spark.table(name)
         if not rows.isEmpty():
-            result[name] = rows.orderBy(*order).limit(cap)
+            result[name] = first_rows(rows, order, cap)
     return result

@@ -114,6 +114,30 @@ def test_new_files_and_batches(spark):
     assert list(load.path_batches(listing.limit(0))) == []
 
 
+def test_load_new_files(spark, folder):
+    from pathlib import Path
+
+    table = f"{fresh_database(spark, 'test')}.loaded"
+    spark.sql(f"CREATE TABLE {table} (path STRING, size BIGINT, modified TIMESTAMP_NTZ) USING parquet")
+    seen = []
+
+    def run(**options):
+        seen.clear()
+        count = load.load_new_files(spark, folder, table, lambda paths: seen.extend(p[-5:] for p in paths), **options)
+        return count, sorted(seen)
+
+    for name in ("a.csv", "b.csv", "c.txt"):
+        Path(folder, name).write_text("x\n1\n")
+    assert run() == (2, ["a.csv", "b.csv"])
+    assert run() == (0, [])
+    Path(folder, "b.csv").write_text("x\n1\n2\n")
+    Path(folder, "d.csv").write_text("x\n")
+    assert run() == (2, ["b.csv", "d.csv"])
+    assert run(force=True) == (3, ["a.csv", "b.csv", "d.csv"])
+    assert run(pattern=".*[.]txt") == (1, ["c.txt"])
+    assert spark.table(table).count() == 5
+
+
 def test_history_window(spark):
     now = datetime(2024, 1, 2, 12)
     rows = [("a", "t", "LOADED", now - timedelta(hours=25)), ("b", "t", "LOADED", now - timedelta(hours=24)),
