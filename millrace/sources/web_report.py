@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.calendar import micros
 from millrace.workspace import cut_lineage
@@ -29,23 +29,56 @@ DIMENSIONS = ["date", "pageTitle", "pagePath"]
 SECOND = 1_000_000
 
 
-def sessionize(
-    events: DataFrame,
-    gap_seconds: int = 1800,
-    bucket_seconds: int = 3600,
-    tie_break: Sequence[str] = (),
+# A user with more events than this is ordered in pieces of time.
+HOT_EVENTS = 1_000_000
+# So many hot users make a table of a few tens of MB.
+BROADCAST_USERS = 1_000_000
+
+
+def _hot_users(events: DataFrame, hot_events: int) -> DataFrame | None:
+    """(_user, _hot) of users with more than ``hot_events`` events, or None if there are none."""
+    counts = events.groupBy(F.col("user_id").alias("_user")).count()
+    hot = counts.filter(F.col("count") > hot_events).select("_user", F.lit(True).alias("_hot"))
+    hot = cut_lineage(hot, "hot")
+    number = hot.count()
+    if number == 0:
+        return None
+    return F.broadcast(hot) if number <= BROADCAST_USERS else hot
+
+
+def _next_within(next_us: Column, gap: int) -> Column:
+    return F.when(next_us - F.col("us") < gap, next_us).alias("next_us")
+
+
+def _sessions_of_users(events: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
+    """Sessions of users whose events are ordered in one go."""
+    inside = Window.partitionBy("user_id").orderBy("us", *tie_break)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = events.select(
+        "*",
+        F.lag("us").over(inside).alias("_previous"),
+        F.lead("us").over(inside).alias("_following"),
+        F.first("us").over(so_far).alias("first_us"),
+    )
+    opens = F.col("_previous").isNull() | (F.col("us") - F.col("_previous") >= gap)
+    return marked.select(
+        *events.columns,
+        F.max(F.when(opens, F.col("us"))).over(so_far).alias("session_start"),
+        _next_within(F.col("_following"), gap),
+        "first_us",
+    )
+
+
+def _sessions_in_pieces(
+    events: DataFrame, gap: int, tie_break: Sequence[str], bucket_seconds: int
 ) -> DataFrame:
-    """Add ``session_start``, ``next_us`` and ``first_us`` (microseconds) to events.
+    """The same for hot users, ordered within pieces of time.
 
-    A session of a user ends when nothing follows for ``gap_seconds``. ``events`` needs ``user_id``
-    and ``us``, the event time in microseconds. Rows are ordered within (user, bucket of time), so
-    a user with a large share of all events still spreads over many tasks; one summary row per
-    bucket then carries the state across bucket edges. ``next_us`` is the next event of the same
-    session, or null, and ``first_us`` the user's first event. Events at the same moment are
-    ordered by the ``tie_break`` columns; the last of them has what follows as its next.
+    One summary row per piece carries first and last event and the running session over the
+    edges of the pieces.
     """
-    gap = gap_seconds * SECOND
-    bucketed = events.withColumn("bucket", F.floor(F.col("us") / F.lit(bucket_seconds * SECOND)))
+    piece = F.floor(F.col("us") / F.lit(bucket_seconds * SECOND))
+    bucketed = events.withColumn("bucket", piece)
     key = ["user_id", "bucket"]
     inside = Window.partitionBy(*key).orderBy("us", *tie_break)
     marked = bucketed.select(
@@ -53,17 +86,13 @@ def sessionize(
         F.lag("us").over(inside).alias("previous_us"),
         F.lead("us").over(inside).alias("following_us"),
     )
-    # Within a bucket a start is certain only after a gap; the first row waits for its predecessor.
+    # Within a piece a start is certain only after a gap; the first row waits for its predecessor.
     inner_start = F.when(F.col("us") - F.col("previous_us") >= gap, F.col("us"))
-    summary = (
-        marked.groupBy(*key)
-        .agg(
-            F.min("us").alias("low"),
-            F.max("us").alias("high"),
-            F.max(inner_start).alias("last_inner_start"),
-        )
-    )
-    # One row per user and bucket of time.
+    summary = marked.groupBy(*key).agg(
+        F.min("us").alias("low"),
+        F.max("us").alias("high"),
+        F.max(inner_start).alias("last_inner_start"),
+    )
     across = Window.partitionBy("user_id").orderBy("bucket")
     earlier = across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = summary.select(
@@ -79,15 +108,49 @@ def sessionize(
         across.rowsBetween(Window.unboundedPreceding, -1)
     )
     edges = known.select(
-        *key, "high", "after", "first_us",
+        F.col("user_id").alias("_user"), F.col("bucket").alias("_bucket"), "high", "after", "first_us",
         F.coalesce(F.col("own_start"), carried).alias("opening_start"),
     )
     latest = F.max(inner_start).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    joined = marked.withColumn("latest_start", latest).join(edges, key)
-    next_us = F.coalesce(F.col("following_us"), F.when(F.col("us") == F.col("high"), F.col("after")))
-    return joined.withColumn("session_start", F.coalesce("latest_start", "opening_start")).withColumn(
-        "next_us", F.when(next_us - F.col("us") < gap, next_us)
-    ).drop("previous_us", "following_us", "latest_start", "opening_start", "high", "after", "bucket")
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("bucket") == F.col("_bucket"))
+    joined = marked.withColumn("latest_start", latest).join(edges, same)
+    over_edge = F.when(F.col("us") == F.col("high"), F.col("after"))
+    return joined.select(
+        *events.columns,
+        F.coalesce("latest_start", "opening_start").alias("session_start"),
+        _next_within(F.coalesce(F.col("following_us"), over_edge), gap),
+        "first_us",
+    )
+
+
+def sessionize(
+    events: DataFrame,
+    gap_seconds: int = 1800,
+    bucket_seconds: int = 3600,
+    tie_break: Sequence[str] = (),
+    hot_events: int = HOT_EVENTS,
+) -> DataFrame:
+    """Add ``session_start``, ``next_us`` and ``first_us`` (microseconds) to events.
+
+    A session of a user ends when nothing follows for ``gap_seconds``. ``events`` needs ``user_id``
+    and ``us``, the event time in microseconds; events without a user count as one user's.
+    ``next_us`` is the next event of the same session, or null, and ``first_us`` the user's first
+    event. Events at the same moment are ordered by the ``tie_break`` columns; the last of them
+    has what follows as its next.
+
+    Users of more than ``hot_events`` events are ordered in pieces of time, so that a user with a
+    large share of all events spreads over many tasks too.
+    """
+    gap = gap_seconds * SECOND
+    hot = _hot_users(events, hot_events)
+    if hot is None:
+        return _sessions_of_users(events, gap, tie_break)
+    flagged = events.join(hot, F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    cold = flagged.filter(F.col("_hot").isNull()).drop("_user", "_hot")
+    busy = flagged.filter("_hot").drop("_user", "_hot")
+    return _sessions_of_users(cold, gap, tie_break).unionByName(
+        _sessions_in_pieces(busy, gap, tie_break, bucket_seconds)
+    )
 
 
 def web_report(
@@ -95,6 +158,7 @@ def web_report(
     gap_seconds: int = 1800,
     engaged_seconds: int = 10,
     bucket_seconds: int = 3600,
+    hot_events: int = HOT_EVENTS,
 ) -> DataFrame:
     """Ten metrics per (date, pageTitle, pagePath).
 
@@ -105,7 +169,9 @@ def web_report(
     next event. New users are those whose first event belongs to the row.
     """
     timed = events.withColumn("us", micros(F.col("ts")))
-    rows = sessionize(timed, gap_seconds, bucket_seconds, ["pageTitle", "pagePath"])
+    rows = sessionize(
+        timed, gap_seconds, bucket_seconds, ["pageTitle", "pagePath"], hot_events
+    )
     rows = rows.withColumn("date", F.to_date("ts"))
     session = ["user_id", "session_start"]
     parts = rows.groupBy(*DIMENSIONS, *session).agg(
@@ -128,9 +194,13 @@ def web_report(
         | (F.col("session_conversions") > 0)
         | (F.col("session_views") >= 2)
     )
-    sessions = sessions.select(*session, "length_us", engaged.alias("engaged"))
+    sessions = sessions.select(
+        F.col("user_id").alias("_user"), F.col("session_start").alias("_start"), "length_us",
+        engaged.alias("engaged"),
+    )
+    same = F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("session_start") == F.col("_start"))
     # A user with many sessions in one row is first reduced to one row per user.
-    users = parts.join(sessions, session).groupBy(*DIMENSIONS, "user_id").agg(
+    users = parts.join(sessions, same).groupBy(*DIMENSIONS, "user_id").agg(
         F.count(F.lit(1)).alias("sessions"),
         F.max("is_new").alias("is_new"),
         F.sum("length_us").alias("length_us"),

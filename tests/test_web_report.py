@@ -19,7 +19,8 @@ def make_events(seed, users=6, size=400):
         for _ in range(size * 3 if user == 0 else size // 4):
             second = rng.choice([rng.randrange(3 * 86400), 1800 * rng.randrange(150), 3600 * rng.randrange(70)])
             kind = rng.choice(["view", "view", "click", "purchase"])
-            events.append((START + timedelta(seconds=second, microseconds=rng.randrange(3) * 250_000), user, kind,
+            moment = START + timedelta(seconds=second, microseconds=rng.randrange(3) * 250_000)
+            events.append((moment, user if user != 5 else None, kind,
                            rng.choice(["/a", "/b"]), kind == "view", kind == "purchase"))
     return events
 
@@ -62,13 +63,14 @@ def python_report(events, gap=1800, engaged_after=10):
     return result
 
 
-@pytest.mark.parametrize("bucket", [3600, 600, 86400 * 30])
-def test_against_python(spark, bucket):
+@pytest.mark.parametrize("bucket,hot", [(3600, 0), (600, 0), (600, 500), (86400 * 30, 0), (3600, 10**6)])
+def test_against_python(spark, bucket, hot):
     events = make_events(bucket)
     df = spark.createDataFrame(
         events, "ts timestamp_ntz, user_id int, pageTitle string, pagePath string, is_view boolean, is_conversion boolean"
     ).repartition(5)
-    found = {(r.date, r.pageTitle, r.pagePath): tuple(r)[3:] for r in web_report(df, bucket_seconds=bucket).collect()}
+    report = web_report(df, bucket_seconds=bucket, hot_events=hot)
+    found = {(r.date, r.pageTitle, r.pagePath): tuple(r)[3:] for r in report.collect()}
     expected = python_report(events)
     assert found.keys() == expected.keys()
     for key, row in expected.items():
