@@ -189,7 +189,7 @@ def bulk_load(
         .when(F.col("rows_loaded") == 0, "LOAD_FAILED")
         .otherwise("PARTIALLY_LOADED")
     )
-    moment = F.lit(loaded_at) if loaded_at else F.current_timestamp()
+    moment = F.lit(loaded_at.isoformat(" ")) if loaded_at else F.current_timestamp()
     history = (
         report.withColumn("rows_loaded", loaded)
         .withColumn("status", status)
@@ -245,7 +245,7 @@ def load_new_files(
 
 def load_history(history: DataFrame, as_of: datetime, table: str | None = None, hours: int = 24) -> DataFrame:
     """Loads of the last ``hours`` before ``as_of``, of one table or all, newest first."""
-    end = F.lit(as_of).cast("timestamp_ntz")
+    end = F.lit(as_of.isoformat(" ")).cast("timestamp_ntz")
     start = end - F.expr(f"INTERVAL {hours} HOURS")
     recent = history.filter((F.col("last_load_time") >= start) & (F.col("last_load_time") <= end))
     if table is not None:
