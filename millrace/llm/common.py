@@ -25,16 +25,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAPS), lambda w: w != "")
 
 
-def shingles_of(words: Column, size: int = 5) -> Column:
-    """Hashes (64 bits) of all word windows of ``size``; a shorter text is one shingle, no words none."""
-    last = F.size(words) - size
-    window = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]),
-    )
-    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(window)
-
-
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with underscores in front until no column has that name."""
     taken = {c.lower() for c in df.columns}
@@ -48,3 +38,13 @@ def require(df: DataFrame, *columns: str) -> None:
     for name in columns:
         if df.columns.count(name) != 1:
             raise ValueError(f"{name!r} must be there once; the columns are {df.columns}")
+
+
+def small(df: DataFrame, limit: int) -> bool:
+    """Whether a written table has at most ``limit`` rows; the bound under which it may be broadcast."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """``df`` marked for broadcast behind a check of its rows; beyond the limit a plain (shuffled) join."""
+    return F.broadcast(df) if small(df, limit) else df

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat_format, url_filter
+from millrace.llm import bpe, chat_format, decontaminate, line_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,58 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's url judged by the rules, else by the model."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@query(r"""
+WITH given AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT d.doc_id, d.source, u.pos, trim(g.parts[u.pos], e'\t\n\x0b\x0c\r ') AS line
+  FROM given g JOIN documents d USING (doc_id), unnest(range(1, len(g.parts) + 1)) AS u(pos)
+), counted AS (
+  SELECT * FROM lines WHERE len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) >= 3
+), boilerplate AS (
+  SELECT line FROM counted GROUP BY line HAVING count(DISTINCT source) >= 10
+), lost AS (
+  SELECT doc_id, pos FROM (
+    SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth
+    FROM counted JOIN boilerplate USING (line)
+  ) WHERE nth > 1
+)
+SELECT l.doc_id, count(o.pos) AS n_removed,
+  sha256(coalesce(string_agg(g.parts[l.pos], chr(10) ORDER BY l.pos) FILTER (o.pos IS NULL), '')) AS text_sha256
+FROM lines l JOIN given g USING (doc_id) LEFT JOIN lost o ON o.doc_id = l.doc_id AND o.pos = l.pos
+GROUP BY l.doc_id
+""")
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the lines that stand on ten or more sites, first occurrences aside."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(documents).select(
+        "doc_id", "n_removed", sha256(F.coalesce("text", F.lit(""))).alias("text_sha256")
+    )
+
+
+@query(r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'i', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), split AS (
+  SELECT kind, id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM words
+), shingles AS (
+  SELECT DISTINCT kind, id, array_to_string(w[s.i : s.i + 4], ' ') AS shingle
+  FROM split, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s(i) WHERE len(w) > 0
+), sized AS (
+  SELECT id, count(*) AS item_shingles FROM shingles WHERE kind = 'i' GROUP BY id
+)
+SELECT * FROM (
+  SELECT d.id AS doc_id, i.id AS item_id, z.item_shingles, count(*) AS shared, count(*) / z.item_shingles AS containment
+  FROM shingles i JOIN shingles d USING (shingle) JOIN sized z ON z.id = i.id
+  WHERE i.kind = 'i' AND d.kind = 'd'
+  GROUP BY d.id, i.id, z.item_shingles
+) WHERE containment >= 0.8
+""")
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of a document and a test item it holds."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminations(documents, table(spark, folder, "benchmark"))
