@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat_format, decontaminate, line_dedup, url_filter
+from millrace.llm import bpe, chat_format, decontaminate, jaccard_join, line_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,35 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """All pairs of a document and a test item it holds."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.contaminations(documents, table(spark, folder, "benchmark"))
+
+
+@query(r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s.i : s.i + 4], ' ') AS shingle
+  FROM split, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s(i) WHERE len(w) > 0
+), sets AS (
+  SELECT doc_id, count(shingle) AS n, coalesce(md5(string_agg(shingle, chr(10) ORDER BY shingle)), '') AS digest
+  FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), classed AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY digest) AS copy_of FROM sets
+), rep AS (
+  SELECT doc_id, n, shingle FROM classed JOIN shingles USING (doc_id) WHERE doc_id = copy_of
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM rep a JOIN rep b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+), reached(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+), lowest AS (
+  SELECT x, min(y) AS y FROM reached GROUP BY x
+), counted AS (
+  SELECT x, count(*) AS n_links FROM links GROUP BY x
+)
+SELECT c.doc_id, least(coalesce(m.y, c.copy_of), c.copy_of) AS class_id, c.copy_of, coalesce(k.n_links, 0) AS n_links
+FROM classed c LEFT JOIN lowest m ON m.x = c.copy_of LEFT JOIN counted k ON k.x = c.copy_of
+""")
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its class of near copies and its number of links."""
+    return jaccard_join.similar_documents(table(spark, folder, "documents").select("doc_id", "text"))
