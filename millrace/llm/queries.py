@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chat_format, decontaminate, jaccard_join, line_dedup, url_filter
+from millrace.llm import (
+    bpe, chat_format, decontaminate, jaccard_join, line_dedup, quality_mil, repetition, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +185,33 @@ FROM classed c LEFT JOIN lowest m ON m.x = c.copy_of LEFT JOIN counted k ON k.x
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its class of near copies and its number of links."""
     return jaccard_join.similar_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def fold(doc_id: str, parts: int):
+    """The fold of a document: crc32 of its id as text, modulo ``parts``."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
+
+
+@query()
+def op9_quality_mil(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score, learned from the labels of two folds of three."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(fold("doc_id", 3) != 1)
+    scored = quality_mil.score_quality(documents, labels)
+    return scored.select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality rules' measures and verdict for every document."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return repetition.judge_repetition(documents).select(
+        "doc_id",
+        *[f"repetition.{c}" for c in (
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+            "covered_words", "longest_repeat",
+        )],
+    )
