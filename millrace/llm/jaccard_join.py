@@ -426,9 +426,13 @@ def drop_similar(documents: DataFrame, doc_id: str = "doc_id", **options) -> Dat
     first = cut_lineage(
         found.where(F.col(doc_id) == F.col("class_id")).select(F.col(doc_id).alias("_first")).distinct(), "first"
     )
-    held = free_name(documents, "held")
+    # Rows of one id are rare; only they are put in order, so the other texts are not shuffled.
+    again = found.groupBy(F.col(doc_id).alias("_again")).count().where("count > 1 AND _again IS NOT NULL")
+    again = broadcast_if_small(cut_lineage(again.select("_again"), "repeated"), BROADCAST_ROWS)
     kept = documents.join(broadcast_if_small(first, BROADCAST_ROWS), named(doc_id) == F.col("_first"), "left_semi")
-    nameless = documents.where(named(doc_id).isNull())
+    single = kept.join(again, named(doc_id) == F.col("_again"), "left_anti")
+    held = free_name(documents, "held")
     one = Window.partitionBy(named(doc_id)).orderBy(*[F.xxhash64(named(c)) for c in documents.columns])
-    single = kept.withColumn(held, F.row_number().over(one)).where(named(held) == 1).drop(held)
-    return single.unionByName(nameless)
+    several = kept.join(again, named(doc_id) == F.col("_again"), "left_semi").withColumn(held, F.row_number().over(one))
+    nameless = documents.where(named(doc_id).isNull())
+    return single.unionByName(several.where(named(held) == 1).drop(held)).unionByName(nameless)
