@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe, chat_format, decontaminate, jaccard_join, line_dedup, quality_mil, repetition, url_filter,
+    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, quality_mil, repetition, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +215,13 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
             "covered_words", "longest_repeat",
         )],
     )
+
+
+@query()
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log10 probability, learned from nine folds of ten."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    scored = lm_score.score_documents(documents, fold("doc_id", 10) != 0)
+    return scored.select(
+        "doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
