@@ -48,3 +48,8 @@ def small(df: DataFrame, limit: int) -> bool:
 def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
     """``df`` marked for broadcast behind a check of its rows; beyond the limit a plain (shuffled) join."""
     return F.broadcast(df) if small(df, limit) else df
+
+
+def row_hashes(*parts: Column) -> list[Column]:
+    """128 bits of hash in two columns; equal for rows whose parts are equal, nulls included."""
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, quality_mil, repetition, url_filter,
+    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, pii, quality_mil, repetition, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -225,3 +225,24 @@ def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query()
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's personal data: counts of the base kinds and all spans."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    # The text goes no further than the scan: what the result needs is the id and the spans.
+    found = pii.find_personal_data(documents, spans="found")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"] != pii.ADDED_KIND)
+    return found.select(
+        "doc_id",
+        *[number(k) for k in pii.KINDS],
+        sha256(joined(base)).alias("base_sha256"), joined(F.col("found")).alias("spans"),
+    )
