@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from millrace.functions.casts import text_of
 from millrace.functions.names import has_special_characters
@@ -65,23 +63,18 @@ def dtype_summary(df: DataFrame, table: str) -> DataFrame:
 def sample_values(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> DataFrame:
     """The first ``rows`` non-null values of each column in the given order.
 
-    Each column is its own top-k: a task keeps ``rows`` values and reads only that column and the
-    order columns.
+    One scan: rows unfold into cells, and the filter on the row number is pushed below the shuffle,
+    so a task hands on ``rows`` cells of each column.
     """
-    def column_sample(name: str) -> DataFrame:
-        value = text_of(df, name)
-        order = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)]
-        names = [f"_o{i}" for i in range(len(order_by))]
-        filled = df.filter(F.col(f"`{name}`").isNotNull()).select(value.alias("value"), *order)
-        top = first_rows(filled, names, rows)
-        listed = top.agg(
-            F.array_sort(F.collect_list(F.struct(*names, "value"))).alias("values")
-        )
-        return listed.select(
-            F.lit(name).alias("column_name"), F.posexplode("values.value").alias("position", "value")
-        )
-
-    return reduce(DataFrame.unionByName, [column_sample(c) for c in df.columns])
+    cells = df.select(
+        *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)],
+        F.posexplode(F.array(*[text_of(df, c) for c in df.columns])).alias("ordinal", "value"),
+    ).filter(F.col("value").isNotNull())
+    order = [f"_o{i}" for i in range(len(order_by))]
+    first = Window.partitionBy("ordinal").orderBy(*order, "value")
+    top = cells.withColumn("position", F.row_number().over(first) - 1).filter(F.col("position") < rows)
+    name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("ordinal"))
+    return top.select(name.alias("column_name"), "position", "value")
 
 
 def head_and_tail(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:

@@ -9,18 +9,21 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.calendar import micros
 
-# Top-k keeps k rows per task and merges them in one. Above this many rows in total the table
-# is first narrowed to little more than the rows wanted.
-DIRECT_ROWS = 10_000_000
+# A table is narrowed until it holds no more rows than this, or than those wanted.
+ENOUGH_ROWS = 1_000_000
 BUCKETS = 4096
 
 
 def first_rows(
-    df: DataFrame, order_by: Sequence[str], rows: int, descending: bool = False
+    df: DataFrame, order_by: Sequence[str], rows: int, descending: bool = False, narrow: bool = False
 ) -> DataFrame:
-    """Exactly the first ``rows`` rows in the given order, nulls first (last when descending)."""
+    """Exactly the first ``rows`` rows in the given order, nulls first (last when descending).
+
+    Top-k keeps ``rows`` rows per task and merges them in one task. Where a caller wants many rows,
+    ``narrow`` first drops what cannot be among them, which takes jobs of its own.
+    """
     order = [F.desc(f"`{c}`") if descending else F.asc(f"`{c}`") for c in order_by]
-    if df.rdd.getNumPartitions() * rows > DIRECT_ROWS:
+    if narrow:
         df = _narrow(df, order_by[0], rows, descending)
     return df.orderBy(*order).limit(rows)
 
@@ -62,7 +65,7 @@ def _narrow(df: DataFrame, column: str, rows: int, descending: bool) -> DataFram
         if wanted <= 0:
             return df.filter(early)
         # Done when little is left, and given up where buckets cannot tell values apart.
-        if ends.values <= max(wanted, DIRECT_ROWS // 10) or not ends.high > ends.low:
+        if ends.values <= max(wanted, ENOUGH_ROWS) or not ends.high > ends.low:
             return df
         width = (ends.high - ends.low) / BUCKETS
         if not math.isfinite(width) or width == 0:

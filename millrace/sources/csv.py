@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from csv import reader
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.names import header_names
 from millrace.functions.text import NULL_TOKENS, null_if
+from millrace.workspace import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,6 @@ class CsvFormat:
             "quote": self.quote,
             "escape": self.quote,
             "header": str(self.header).lower(),
-            "enforceSchema": "true",
             "multiLine": str(self.multi_line).lower(),
             "ignoreLeadingWhiteSpace": str(self.trim).lower(),
             "ignoreTrailingWhiteSpace": str(self.trim).lower(),
@@ -48,12 +49,16 @@ BULK_LOAD = CsvFormat(trim=True, null_tokens=("NULL", "null", ""))
 MULTI_LINE = replace(READER_DEFAULTS, multi_line=True)
 
 
+def first_line(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEFAULTS) -> list[str | None]:
+    """The cells of the first line of the first file."""
+    options = {**fmt.reader_options(), "header": "false"}
+    first = spark.read.options(**options).option("recursiveFileLookup", "true").csv(path).head()
+    return list(first) if first is not None else []
+
+
 def csv_header(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEFAULTS) -> list[str]:
     """The column names of the first file: blanks and repeats made usable."""
-    options = {**fmt.reader_options(), "header": "false"}
-    reader = spark.read.options(**options).option("recursiveFileLookup", "true")
-    first = reader.csv(path).head()
-    return header_names(list(first)) if first is not None else []
+    return header_names(first_line(spark, path, fmt))
 
 
 def read_csv(
@@ -63,26 +68,72 @@ def read_csv(
     names: list[str] | None = None,
     glob: str | None = None,
 ) -> DataFrame:
-    """All columns as text, null tokens as null. Pass ``names`` to save reading the header.
+    """All columns as text, null tokens as null.
 
+    With ``names`` the columns go by position. Without, the first file's header names them, and a file
+    with another header fails the read: :func:`read_csv_by_name` reads such folders. (A header with
+    blank or repeated names cannot be compared by the reader; those columns go by position.)
     Partition folders (``key=value``) below ``path`` become text columns after the file's own.
     """
-    names = names or csv_header(spark, path, fmt)
+    by_position = names is not None
+    if names is None:
+        raw = first_line(spark, path, fmt)
+        names = header_names(raw)
+        by_position = not fmt.header or names != raw
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.schema(schema).options(**fmt.reader_options())
+    files = spark.read.schema(schema).options(**fmt.reader_options())
+    files = files.option("enforceSchema", str(by_position).lower())
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
+        files = files.option("pathGlobFilter", glob)
+    df = files.csv(path)
     texts = [null_if(F.col(f"`{c}`"), fmt.null_tokens).alias(c) for c in names]
     return df.select(*texts, *df.columns[len(names):])
 
 
+def read_csv_by_name(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEFAULTS) -> DataFrame:
+    """Files whose headers differ, each read by its own header, as one table of all their columns.
+
+    Column names keep the order in which the headers, sorted, bring them up; a file without a column has
+    nulls there. Headers are single lines. Finding them is a pass over the first part of each file; then
+    one scan reads all files by position, and each row picks its cells by its file's header.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    first = lines.filter((F.col("_start") == 0) & (F.trim("value") != "")).groupBy("_path").agg(
+        F.min(F.struct("_id", "value"))["value"].alias("_line")
+    )
+    first = cut_lineage(first, "headers")
+    distinct = sorted(r._line for r in first.select("_line").distinct().collect())  # as many as there are layouts
+    layouts = [
+        (line, header_names([c or None for c in next(reader([line], delimiter=fmt.delimiter, quotechar=fmt.quote))]))
+        for line in distinct
+    ]
+    names = list(dict.fromkeys(n for _, header in layouts for n in header))
+    width = max((len(header) for _, header in layouts), default=0)
+    if not names:
+        return spark.createDataFrame([], T.StructType())
+    known = first.join(spark.createDataFrame(layouts, "_line string, _names array<string>"), "_line")
+    cells = [f"_{i}" for i in range(width)]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    rows = (
+        spark.read.schema(schema).options(**fmt.reader_options()).option("enforceSchema", "true")
+        .option("recursiveFileLookup", "true").csv(path)
+        .select(F.array(*cells).alias("_cells"), F.col("_metadata.file_path").alias("_path"))
+    )
+    placed = rows.join(known.select("_path", "_names"), "_path")
+
+    def cell(name: str) -> Column:
+        place = F.array_position("_names", name).cast("int") - 1
+        return null_if(F.get("_cells", place), fmt.null_tokens).alias(name)
+
+    return placed.select(*[cell(n) for n in names])
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Redistribute rows that come from fewer unsplittable files than the cluster has cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if partitions is None and len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(partitions or cores)
+    """Redistribute the rows of files that cannot be split, over all cores unless told otherwise."""
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def write_csv(

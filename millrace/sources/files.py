@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.operators.verify import digest_sum
 from millrace.workspace import cut_lineage
 
 # Patterns a load selects files with.
@@ -126,17 +127,19 @@ def provenance() -> list[Column]:
 
 
 def content_keys(spark: SparkSession, folder: str, glob: str = "*.csv*") -> DataFrame:
-    """(file_path, lines, content_key): a checksum of each file's lines, in any line order.
+    """(file_path, file_size, file_modified, lines, content_key): a checksum of each file's lines in order.
 
-    Built from the lines rather than from the whole file, so one large file spreads over tasks.
+    Built from the numbered lines rather than from the whole file, so one large file spreads over tasks.
     """
     lines = (
         spark.read.option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .text(folder)
-        .select("value", F.col("_metadata.file_path").alias("file_path"))
+        .select("value", *provenance())
     )
-    digest = F.conv(F.substring(F.md5("value"), 1, 8), 16, 10).cast("decimal(20,0)")
-    return lines.groupBy("file_path").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(digest).cast("string").alias("content_key")
+    numbered = with_row_numbers(lines)
+    digest = F.md5(F.concat_ws(":", F.col("file_row_number").cast("string"), "value"))
+    facts = numbered.select("file_path", "file_size", "file_modified", digest.alias("_digest"))
+    return facts.groupBy("file_path", "file_size", "file_modified").agg(
+        F.count(F.lit(1)).alias("lines"), digest_sum(F.col("_digest")).alias("content_key")
     )

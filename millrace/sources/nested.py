@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -58,15 +59,26 @@ def title_to_name(title: Column) -> Column:
     return F.replace(F.lower(F.coalesce(title, F.lit(""))), F.lit(" "), F.lit("_"))
 
 
-def board_titles(items: DataFrame, limit: int = 10_000) -> list[str]:
-    """The distinct column names of a board, sorted. They become columns, so they are few."""
+def board_titles(items: DataFrame) -> list[str]:
+    """The distinct column names of a board, sorted. They become columns of one table.
+
+    For boards with more titles than a table can have columns, :func:`board_cells` has them as rows.
+    """
     titles = items.select(F.explode("column_values.column.title").alias("t"))
-    rows = titles.select(title_to_name(F.col("t")).alias("t")).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct titles: not a board")
+    rows = titles.select(title_to_name(F.col("t")).alias("t")).distinct().collect()
     return sorted(r.t for r in rows)
 
 
+def board_cells(items: DataFrame) -> DataFrame:
+    """The long form of a board: one row per item, title and text, the last of equal titles."""
+    cells = items.select(*BASE_COLUMNS, F.posexplode("column_values").alias("place", "c"))
+    named = cells.select(
+        *BASE_COLUMNS, title_to_name(F.col("c.column.title")).alias("title"), "place", F.col("c.text").alias("text")
+    )
+    last = F.max(F.struct("place", "text"))["text"]
+    return named.groupBy(*BASE_COLUMNS, "title").agg(last.alias("text"))
+
+
 def flatten_board(items: DataFrame, titles: Sequence[str] | None = None) -> DataFrame:
     """One wide row per item: base columns, then one text column per title.
 
@@ -119,18 +131,35 @@ def rolling_window(column: str, as_of: str, days: int = 365) -> Column:
     return (F.col(column) >= start) & (F.col(column) < end)
 
 
+@dataclass(frozen=True)
+class Extract:
+    """``tables`` that could be read and hold rows, and ``problems``: what kept each other one out."""
+
+    tables: dict[str, DataFrame]
+    problems: dict[str, str]
+
+
 def extract_tables(
-    spark: SparkSession, orders: dict[str, Sequence[str]], cap: int = 10_000
-) -> dict[str, DataFrame]:
-    """The first ``cap`` rows of each catalog table in the given order.
+    spark: SparkSession, database: str, orders: dict[str, Sequence[str]] | None = None, cap: int | None = None
+) -> Extract:
+    """Every table of a catalog database, whole, or its first ``cap`` rows where a cap is named.
 
-    Tables that are empty or cannot be read are left out, and the others still come through.
+    ``orders`` names tables and the order of their rows; tables that are not in it come as they are.
+    Empty, unreadable and missing tables are noted, and the others still come through.
     """
-    result = {}
-    for name, order in orders.items():
-        if not spark.catalog.tableExists(name):
-            continue
-        rows = spark.table(name)
-        if not rows.isEmpty():
-            result[name] = first_rows(rows, order, cap)
-    return result
+    orders = orders or {}
+    found = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    tables, problems = {}, {n: "no such table" for n in orders if n.lower() not in {f.lower() for f in found}}
+    for name in sorted(found):
+        try:
+            rows = spark.table(f"{database}.`{name}`")
+            if rows.isEmpty():
+                problems[name] = "no rows"
+                continue
+            order = orders.get(name, ())
+            if cap is not None:
+                rows = first_rows(rows, order, cap, narrow=True) if order else rows.limit(cap)
+            tables[name] = rows
+        except Exception as problem:  # one unreadable table must not stop the others
+            problems[name] = str(problem).splitlines()[0]
+    return Extract(tables, problems)

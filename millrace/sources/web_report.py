@@ -29,54 +29,25 @@ DIMENSIONS = ["date", "pageTitle", "pagePath"]
 SECOND = 1_000_000
 
 
-# A user with more events than this is ordered in pieces of time.
-HOT_EVENTS = 1_000_000
-# So many hot users make a table of a few tens of MB.
-BROADCAST_USERS = 1_000_000
-
-
-def _hot_users(events: DataFrame, hot_events: int) -> DataFrame | None:
-    """(_user, _hot) of users with more than ``hot_events`` events, or None if there are none."""
-    counts = events.groupBy(F.col("user_id").alias("_user")).count()
-    hot = counts.filter(F.col("count") > hot_events).select("_user", F.lit(True).alias("_hot"))
-    hot = cut_lineage(hot, "hot")
-    number = hot.count()
-    if number == 0:
-        return None
-    return F.broadcast(hot) if number <= BROADCAST_USERS else hot
-
-
 def _next_within(next_us: Column, gap: int) -> Column:
     return F.when(next_us - F.col("us") < gap, next_us).alias("next_us")
 
 
-def _sessions_of_users(events: DataFrame, gap: int, tie_break: Sequence[str]) -> DataFrame:
-    """Sessions of users whose events are ordered in one go."""
-    inside = Window.partitionBy("user_id").orderBy("us", *tie_break)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = events.select(
-        "*",
-        F.lag("us").over(inside).alias("_previous"),
-        F.lead("us").over(inside).alias("_following"),
-        F.first("us").over(so_far).alias("first_us"),
-    )
-    opens = F.col("_previous").isNull() | (F.col("us") - F.col("_previous") >= gap)
-    return marked.select(
-        *events.columns,
-        F.max(F.when(opens, F.col("us"))).over(so_far).alias("session_start"),
-        _next_within(F.col("_following"), gap),
-        "first_us",
-    )
-
-
-def _sessions_in_pieces(
-    events: DataFrame, gap: int, tie_break: Sequence[str], bucket_seconds: int
+def sessionize(
+    events: DataFrame, gap_seconds: int = 1800, bucket_seconds: int = 3600, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """The same for hot users, ordered within pieces of time.
+    """Add ``session_start``, ``next_us`` and ``first_us`` (microseconds) to events.
 
-    One summary row per piece carries first and last event and the running session over the
-    edges of the pieces.
+    A session of a user ends when nothing follows for ``gap_seconds``. ``events`` needs ``user_id``
+    and ``us``, the event time in microseconds. ``next_us`` is the next event of the same session, or
+    null, and ``first_us`` the user's first event. Events at the same moment are ordered by the
+    ``tie_break`` columns; the last of them has what follows as its next.
+
+    Events are ordered within pieces of ``bucket_seconds``, so a user with a large share of all events
+    spreads over many tasks; take shorter pieces where one of them holds too many. One summary row per
+    piece carries first and last event and the running session over the edges of the pieces.
     """
+    gap = gap_seconds * SECOND
     piece = F.floor(F.col("us") / F.lit(bucket_seconds * SECOND))
     bucketed = events.withColumn("bucket", piece)
     key = ["user_id", "bucket"]
@@ -123,42 +94,11 @@ def _sessions_in_pieces(
     )
 
 
-def sessionize(
-    events: DataFrame,
-    gap_seconds: int = 1800,
-    bucket_seconds: int = 3600,
-    tie_break: Sequence[str] = (),
-    hot_events: int = HOT_EVENTS,
-) -> DataFrame:
-    """Add ``session_start``, ``next_us`` and ``first_us`` (microseconds) to events.
-
-    A session of a user ends when nothing follows for ``gap_seconds``. ``events`` needs ``user_id``
-    and ``us``, the event time in microseconds; events without a user count as one user's.
-    ``next_us`` is the next event of the same session, or null, and ``first_us`` the user's first
-    event. Events at the same moment are ordered by the ``tie_break`` columns; the last of them
-    has what follows as its next.
-
-    Users of more than ``hot_events`` events are ordered in pieces of time, so that a user with a
-    large share of all events spreads over many tasks too.
-    """
-    gap = gap_seconds * SECOND
-    hot = _hot_users(events, hot_events)
-    if hot is None:
-        return _sessions_of_users(events, gap, tie_break)
-    flagged = events.join(hot, F.col("user_id").eqNullSafe(F.col("_user")), "left")
-    cold = flagged.filter(F.col("_hot").isNull()).drop("_user", "_hot")
-    busy = flagged.filter("_hot").drop("_user", "_hot")
-    return _sessions_of_users(cold, gap, tie_break).unionByName(
-        _sessions_in_pieces(busy, gap, tie_break, bucket_seconds)
-    )
-
-
 def web_report(
     events: DataFrame,
     gap_seconds: int = 1800,
     engaged_seconds: int = 10,
     bucket_seconds: int = 3600,
-    hot_events: int = HOT_EVENTS,
 ) -> DataFrame:
     """Ten metrics per (date, pageTitle, pagePath).
 
@@ -166,13 +106,12 @@ def web_report(
     ``is_conversion``. A session is engaged when it lasts longer than ``engaged_seconds``, holds a
     conversion, or holds two or more page views. Session metrics of a row count the sessions that
     touch it, each with its whole length. Engagement time of an event runs until the session's
-    next event. New users are those whose first event belongs to the row.
+    next event. New users are those whose first event belongs to the row. Events without a user are
+    nobody's: they count as events, views and conversions only, and a row of nothing else has no
+    duration or rates.
     """
-    timed = events.withColumn("us", micros(F.col("ts")))
-    rows = sessionize(
-        timed, gap_seconds, bucket_seconds, ["pageTitle", "pagePath"], hot_events
-    )
-    rows = rows.withColumn("date", F.to_date("ts"))
+    timed = events.withColumns({"us": micros(F.col("ts")), "date": F.to_date("ts")})
+    rows = sessionize(timed.filter("user_id IS NOT NULL"), gap_seconds, bucket_seconds, ["pageTitle", "pagePath"])
     session = ["user_id", "session_start"]
     parts = rows.groupBy(*DIMENSIONS, *session).agg(
         F.count(F.lit(1)).alias("events"),
@@ -210,24 +149,30 @@ def web_report(
         F.sum("events").alias("events"),
         F.sum("views").alias("views"),
     )
-    total = users.groupBy(*DIMENSIONS).agg(
-        F.count(F.lit(1)).alias("totalUsers"),
-        F.sum("sessions").alias("sessions"),
+    nobody = timed.filter("user_id IS NULL").groupBy(*DIMENSIONS).agg(
+        F.count_if("is_conversion").alias("conversions"), F.count(F.lit(1)).alias("events"),
+        F.count_if("is_view").alias("views"),
+    )
+    nothing = F.lit(0).cast("bigint")
+    total = users.unionByName(nobody, allowMissingColumns=True).groupBy(*DIMENSIONS).agg(
+        F.count("user_id").alias("totalUsers"),
+        F.coalesce(F.sum("sessions"), nothing).alias("sessions"),
         F.count_if("is_new").alias("newUsers"),
-        F.sum("length_us").alias("length_us"),
-        F.sum("engaged").alias("engaged"),
+        F.coalesce(F.sum("length_us"), nothing).alias("length_us"),
+        F.coalesce(F.sum("engaged"), nothing).alias("engaged"),
         F.sum("conversions").alias("conversions"),
-        F.sum("engagement_us").alias("engagement_us"),
+        F.coalesce(F.sum("engagement_us"), nothing).alias("engagement_us"),
         F.sum("events").alias("eventCount"),
         F.sum("views").alias("screenPageViews"),
     )
-    engagement = F.col("engaged") / F.col("sessions")
+    sessions = F.nullif(F.col("sessions"), F.lit(0))
+    engagement = F.col("engaged") / sessions
     return total.select(
         *DIMENSIONS,
         "totalUsers",
         "sessions",
         "newUsers",
-        (F.col("length_us") / F.col("sessions") / SECOND).alias("averageSessionDuration"),
+        (F.col("length_us") / sessions / SECOND).alias("averageSessionDuration"),
         (1 - engagement).alias("bounceRate"),
         engagement.alias("engagementRate"),
         "conversions",

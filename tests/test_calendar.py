@@ -103,3 +103,8 @@ def test_micros_do_not_depend_on_the_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert found == [(m - datetime(1970, 1, 1)) // timedelta(microseconds=1) for m in moments]
+
+
+def test_span_of_nothing(spark):
+    assert cal.span_of(spark.createDataFrame([], "d timestamp_ntz"), "d") is None
+    assert cal.span_of(spark.createDataFrame([(None,)], "d timestamp_ntz"), "d") is None

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 
 from millrace.operators.infer import read_typed
-from millrace.sources.csv import BULK_LOAD, MULTI_LINE, READER_DEFAULTS, csv_header, read_csv, spread, write_csv
+from millrace.sources.csv import BULK_LOAD, MULTI_LINE, READER_DEFAULTS, csv_header, read_csv, read_csv_by_name, spread, write_csv
 
 
 def land(folder, text, name="a.csv"):
@@ -77,3 +77,24 @@ def test_overwrite_and_partitions(spark, folder):
     for _ in range(2):
         write_csv(df, f"{folder}/out", partition_by=("p",))
     assert sorted(rows(read_csv(spark, f"{folder}/out", READER_DEFAULTS, names=["id"]))) == [("1", "a"), ("2", "b")]
+
+
+def test_headers_that_differ(spark, folder):
+    path = land(folder, "a,b\n1,2\n")
+    land(folder, 'b,"c d",a\n3,4,5\n', "b.csv")
+    land(folder, "b,b,\n6,7,NA\n", "c.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path).collect()  # by position they would be mixed up
+    df = read_csv_by_name(spark, path)
+    found = {tuple(sorted((k, v) for k, v in r.asDict().items() if v is not None)) for r in df.collect()}
+    assert found == {(("a", "1"), ("b", "2")), (("a", "5"), ("b", "3"), ("c d", "4")), (("b", "6"), ("b.1", "7"))}
+    assert set(df.columns) == {"a", "b", "c d", "b.1", "Unnamed: 2"}
+
+
+def test_a_large_file_takes_several_tasks(spark, folder):
+    path = land(folder, "a,b\n" + "".join(f"{i},x\n" for i in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        assert read_csv(spark, path).rdd.getNumPartitions() > 3 and read_csv(spark, path).count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")

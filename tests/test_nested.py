@@ -50,9 +50,13 @@ def test_flatten(board):
     assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
 
 
-def test_too_many_titles(board):
-    with pytest.raises(ValueError):
-        nested.board_titles(board, limit=2)
+def test_long_form_agrees_with_the_wide_one(board):
+    titles = nested.board_titles(board)
+    wide = {(r.item_id, t): r[t] for r in nested.flatten_board(board).collect() for t in titles if t not in nested.BASE_COLUMNS}
+    long = {(r.item_id, r.title): r.text for r in nested.board_cells(board).collect() if r.title not in nested.BASE_COLUMNS}
+    long = {k: v for k, v in long.items() if k[0] != "3"}  # that item's id is overwritten by a title
+    wide = {k: v for k, v in wide.items() if k[0] != "override"}
+    assert long == {k: v for k, v in wide.items() if k in long} and {k for k, v in wide.items() if v is not None} <= set(long)
 
 
 def test_report(spark):
@@ -109,6 +113,8 @@ def test_capped_extract(spark):
     database = fresh_database(spark, "test")
     spark.range(50).write.saveAsTable(f"{database}.full")
     spark.range(0).write.saveAsTable(f"{database}.empty")
-    found = nested.extract_tables(spark, {f"{database}.{t}": ["id"] for t in ("full", "empty", "none")}, cap=10)
-    assert list(found) == [f"{database}.full"]
-    assert [r.id for r in found[f"{database}.full"].collect()] == list(range(10))
+    orders = {t: ["id"] for t in ("full", "empty", "none")}
+    found = nested.extract_tables(spark, database, orders, cap=10)
+    assert list(found.tables) == ["full"] and found.problems == {"empty": "no rows", "none": "no such table"}
+    assert [r.id for r in found.tables["full"].collect()] == list(range(10))
+    assert nested.extract_tables(spark, database).tables["full"].count() == 50  # no cap unless one is named

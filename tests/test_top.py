@@ -24,19 +24,19 @@ KEYS = {
 def test_against_sort(spark, monkeypatch, kind, descending, rows):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(KEYS[kind])], f"k {kind}, i int").repartition(4)
     expected = {r.i for r in top.first_rows(df, ["k", "i"], rows, descending).collect()}
-    monkeypatch.setattr(top, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(top, "ENOUGH_ROWS", 0)
     monkeypatch.setattr(top, "BUCKETS", 8)
-    found = {r.i for r in top.first_rows(df, ["k", "i"], rows, descending).collect()}
+    found = {r.i for r in top.first_rows(df, ["k", "i"], rows, descending, narrow=True).collect()}
     assert found == expected and len(found) == min(rows, 600)
 
 
 def test_infinite_values_are_left_to_the_sort(spark, monkeypatch):
-    monkeypatch.setattr(top, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(top, "ENOUGH_ROWS", 0)
     df = spark.createDataFrame([(v,) for v in (float("inf"), 1.0, float("-inf"), 0.0)], "k double")
-    assert [r.k for r in top.first_rows(df, ["k"], 2).collect()] == [float("-inf"), 0.0]
+    assert [r.k for r in top.first_rows(df, ["k"], 2, narrow=True).collect()] == [float("-inf"), 0.0]
 
 
 def test_little_is_left_after_narrowing(spark, monkeypatch):
-    monkeypatch.setattr(top, "DIRECT_ROWS", 1000)
+    monkeypatch.setattr(top, "ENOUGH_ROWS", 100)
     df = spark.range(100_000).selectExpr("(id * 7919) % 100000 AS k")
     assert top._narrow(df, "k", 10, False).count() < 200
