@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.text import null_if
-from millrace.operators.clean import clean_table, drop_null_keys, usable_key
+from millrace.operators.clean import clean_table, usable_key
 from millrace.sources.csv import READER_DEFAULTS, CsvFormat
 from millrace.spec import TableSpec
+from millrace.workspace import scratch_tables
 
 
 def csv_stream(
@@ -44,24 +46,38 @@ def load_new_files(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+KEY_HASHES = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
+
+
 def clean_new_files(stream: DataFrame, spec: TableSpec, target: str, checkpoint: str) -> None:
     """Clean each micro-batch and append the rows whose key ``target`` does not hold yet.
 
-    A batch is written to its own folder, which a repeated run of that batch replaces, so a
-    restart after a lost driver adds nothing twice.
+    A batch is written to a folder of its own, named by stream (its checkpoint) and batch: a repeated
+    run of a batch replaces that folder and nothing else, and several streams may fill one target. Every
+    batch is checked against all earlier ones by 128-bit key hashes, which lie beside the target in
+    ``{target}_keys``, so the rows themselves are never read again.
     """
     spark = stream.sparkSession
+    load = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    hashes = f"{target}_keys"
+    spark.createDataFrame([], KEY_HASHES).write.mode("ignore").parquet(f"{hashes}/load=none/batch_id=-1")
+    placed = T.StructType([*KEY_HASHES, T.StructField("load", T.StringType()), T.StructField("batch_id", T.LongType())])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = clean_table(batch, spec)
-        key = usable_key(rows, spec.key_columns)
-        if batch_id > 0 and key:
-            known = spark.read.schema(
-                T.StructType([*rows.schema, T.StructField("batch_id", T.LongType())])
-            ).parquet(target)
-            earlier = drop_null_keys(known.filter(F.col("batch_id") < batch_id), key).select(*key)
-            rows = rows.join(earlier, key, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        key = [spec.renames.get(c, c) for c in usable_key(batch, spec.key_columns)]
+        own = f"load={load}/batch_id={batch_id}"
+        if key:
+            known = batch.sparkSession.read.schema(placed).parquet(hashes)
+            earlier = known.filter(~((F.col("load") == load) & (F.col("batch_id") == batch_id))).select("h1", "h2")
+            cells = [F.col(f"`{c}`").cast("string") for c in key]
+            hashed = rows.withColumns({"h1": F.xxhash64(*cells), "h2": F.xxhash64(F.lit(1), *cells)})
+            with scratch_tables(batch.sparkSession) as keep:
+                fresh = keep(hashed.join(earlier, ["h1", "h2"], "left_anti"))
+                fresh.select(*[F.col(f"`{c}`") for c in rows.columns]).write.mode("overwrite").parquet(f"{target}/{own}")
+                fresh.select("h1", "h2").write.mode("overwrite").parquet(f"{hashes}/{own}")
+        else:
+            rows.write.mode("overwrite").parquet(f"{target}/{own}")
 
     query = (
         stream.writeStream.foreachBatch(write_batch)

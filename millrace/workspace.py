@@ -1,13 +1,18 @@
 """Shared scratch folders for staged tables, checkpoints and landed files.
 
 Executors on other machines must see what one of them wrote, so the folder comes from
-``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own.
+``spark.checkpoint.dir``. Only a local session without that setting gets a folder of its own, which
+goes when the program ends.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +30,7 @@ def shared_root(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -46,3 +52,25 @@ def fresh_database(spark: SparkSession, label: str = "wh") -> str:
     name = f"{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_root(spark)}/millrace/{name}.db'")
     return name
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that writes a frame and reads it back; all copies are deleted at the end.
+
+    For steps that are done when the block ends: what still reads a copy later fails.
+    """
+    database = fresh_database(spark, "scratch")
+    number = 0
+
+    def keep(df: DataFrame) -> DataFrame:
+        nonlocal number
+        number += 1
+        name = f"{database}.t{number}"
+        df.write.saveAsTable(name)
+        return spark.table(name)
+
+    try:
+        yield keep
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")

@@ -67,3 +67,13 @@ def test_batches_of_few_files(spark, folder):
     clean_new_files(stream, SPEC, f"{folder}/target", f"{folder}/progress")
     rows = target_rows(spark, folder)
     assert len(rows) == 5 and sum(k == "same" for _, k in rows) == 1
+
+
+def test_two_checkpoints_share_a_target(spark, folder):
+    land(folder, "a.csv", [(1, "a"), (2, "b")])
+    clean(spark, folder)
+    other = Path(folder) / "other"
+    other.mkdir()
+    (other / "x.csv").write_text("seq,k\n7,b\n8,c\n")
+    clean_new_files(csv_stream(spark, str(other), ["seq", "k"]), SPEC, f"{folder}/target", f"{folder}/progress2")
+    assert target_rows(spark, folder) == [("1", "a"), ("2", "b"), ("8", "c")]
