@@ -12,7 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]+$"
 ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
+ZONED_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})$"
+YEAR_FIRST_DATE = r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"
 SLASH_DATE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+NAMED_MONTH_DATE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 TRUE_TEXTS = ("true", "1", "yes", "y")
 FALSE_TEXTS = ("false", "0", "no", "n")
 
@@ -40,14 +44,36 @@ def try_number(text: Column, precision: int = 38, scale: int = 0) -> Column:
 
 
 def try_time(text: Column) -> Column:
-    """A timestamp without zone from an ISO date, an ISO date and time, or ``MM/dd/yyyy``."""
-    iso = text.try_cast("timestamp_ntz")
-    slash = F.try_to_date(text, "M/d/yyyy").cast("timestamp_ntz")
-    return F.when((F.substring(text, 5, 1) == "-") & text.rlike(ISO_TIME), iso).when(
-        text.contains("/") & text.rlike(SLASH_DATE), slash
+    """A timestamp without zone from the forms exports use.
+
+    ISO dates and times, the latter also with a zone, which takes them to UTC; ``M/d/yyyy`` and
+    ``yyyy/M/d``; ``d-MMM-yyyy`` with an English month in any case.
+    """
+    zone = F.coalesce(F.nullif(F.regexp_extract(text, "(Z|[+-][0-9]{2}:?[0-9]{2})$", 1), F.lit("")), F.lit("Z"))
+    offset = F.when(zone == "Z", 0).otherwise(
+        F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int")
+        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, -2, 2).try_cast("int"))
+    )
+    local = F.regexp_replace(text, "(Z|[+-][0-9]{2}:?[0-9]{2})$", "").try_cast("timestamp_ntz")
+    zoned = local - F.make_dt_interval(mins=offset)
+    iso_like = F.substring(text, 5, 1) == "-"
+    return (
+        F.when(iso_like & text.rlike(ISO_TIME), text.try_cast("timestamp_ntz"))
+        .when(iso_like & text.rlike(ZONED_TIME), zoned)
+        .when(text.contains("/") & text.rlike(SLASH_DATE), F.try_to_date(text, "M/d/yyyy").cast("timestamp_ntz"))
+        .when(text.contains("/") & text.rlike(YEAR_FIRST_DATE), F.try_to_date(text, "yyyy/M/d").cast("timestamp_ntz"))
+        .when(text.contains("-") & text.rlike(NAMED_MONTH_DATE), F.try_to_date(_month_number(text), "d-M-yyyy").cast("timestamp_ntz"))
     )
 
 
+def _month_number(text: Column) -> Column:
+    """``05-jan-2024`` as ``05-1-2024``; an unknown month stays a word and is no date."""
+    parts, months = F.split(F.lower(text), "-"), [m.lower() for m in MONTHS]
+    place = F.array_position(F.array(*[F.lit(m) for m in months]), F.get(parts, F.lit(1)))
+    month = F.when(place > 0, place.cast("string")).otherwise(F.get(parts, F.lit(1)))
+    return F.concat_ws("-", F.get(parts, F.lit(0)), month, F.get(parts, F.lit(2)))
+
+
 def try_date(text: Column) -> Column:
     return try_time(text).cast("date")
 
@@ -61,13 +87,15 @@ def try_flag(text: Column) -> Column:
 def cast_to(text: Column, type_name: str) -> Column:
     """Cast text to a warehouse type name such as ``NUMBER(10)`` or ``VARCHAR(50)``.
 
-    A text of up to 18 digits fits a long; ``NUMBER`` without that bound stays a 38-digit decimal.
+    ``NUMBER(p)`` takes numbers of up to p digits, rounded; a longer one is no value of it. Up to 18
+    digits fit a long; ``NUMBER`` without that bound stays a 38-digit decimal.
     """
     kind, _, rest = type_name.upper().partition("(")
     if kind == "NUMBER":
         digits = int(rest.rstrip(")")) if rest else 38
-        wide = try_number(text)
-        return wide.try_cast("bigint") if digits <= 18 else wide
+        if digits > 18:
+            return try_number(text, digits).cast("decimal(38,0)")
+        return try_number(text, digits).cast("bigint")
     casts = {
         "FLOAT": try_double,
         "DATE": try_date,
@@ -79,6 +107,21 @@ def cast_to(text: Column, type_name: str) -> Column:
     return casts[kind](text)
 
 
+def changed_by_cast(text: Column, type_name: str) -> Column:
+    """True where a value survives the cast to ``type_name`` in another form.
+
+    A whole number loses a fraction or leading zeros, a date its time of day.
+    """
+    kind = type_name.upper().partition("(")[0]
+    value = cast_to(text, type_name)
+    if kind == "NUMBER":
+        exact = try_number(text, 38, 10) != value.cast("decimal(38,10)")
+        return value.isNotNull() & (text.rlike("^[+-]?0[0-9]") | F.coalesce(exact, F.lit(False)))
+    if kind == "DATE":
+        return value.isNotNull() & (try_time(text) != value.cast("timestamp_ntz"))
+    return F.lit(False)
+
+
 def spark_type(type_name: str) -> str:
     """The Spark type a warehouse type name maps to."""
     kind, _, rest = type_name.upper().partition("(")

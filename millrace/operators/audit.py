@@ -8,9 +8,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.sources.files import RAW_SUFFIX
+
 AUDIT_SCHEMA = "timestamp timestamp_ntz, level string, stage string, data string"
 RESULT_SCHEMA = (
-    "table_name string, source string, status string, error string, rows_loaded bigint"
+    "table_name string, source string, status string, error string, rows_loaded bigint, total_columns bigint"
 )
 
 
@@ -31,15 +33,17 @@ def results_of(audit: DataFrame) -> DataFrame:
 
 
 def audit_summary(results: DataFrame, *by: str) -> DataFrame:
-    """Success, warnings and failures, rows loaded without the failed, share completed."""
+    """Success, warnings and failures, rows and columns without the failed, share completed."""
     done = F.col("status").isin("success", "warning")
     loaded = F.sum(F.when(done, F.col("rows_loaded")).otherwise(F.lit(0).cast("bigint")))
+    wide = F.sum(F.when(done, F.col("total_columns")).otherwise(F.lit(0).cast("bigint")))
     counts = results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_tables"),
         F.count_if(F.col("status") == "success").alias("successful"),
         F.count_if(F.col("status") == "warning").alias("warnings"),
         F.count_if(F.col("status") == "failed").alias("failed"),
         F.coalesce(loaded, F.lit(0).cast("bigint")).alias("total_rows_loaded"),
+        F.coalesce(wide, F.lit(0).cast("bigint")).alias("total_columns"),
     )
     share = (F.col("successful") + F.col("warnings")) / F.col("total_tables") * 100
     return counts.withColumn(
@@ -66,3 +70,12 @@ def mapping_lookup(tables: DataFrame, mappings: DataFrame) -> DataFrame:
     return tables.join(first, "table_name", "left").select(
         "table_name", "position", verdict.alias("verdict")
     )
+
+
+def file_inventory(listing: DataFrame, raw_suffix: str = RAW_SUFFIX) -> DataFrame:
+    """Raw and cleaned files of a listing with their bytes: a file is raw by the end of its name."""
+    raw = F.endswith(F.lower("name"), F.lit(raw_suffix))
+    kind = F.when(raw, "raw").otherwise("cleaned")
+    return listing.groupBy(kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
+    )

@@ -56,12 +56,14 @@ def known_calendar(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim) if dim.count() <= BROADCAST_DAYS else dim
 
 
-def span_of(df: DataFrame, *columns: str) -> tuple[date, date]:
-    """First day of the first year and last day of the last year in the date columns."""
+def span_of(df: DataFrame, *columns: str) -> tuple[date, date] | None:
+    """First day of the first year and last day of the last year in the date columns; None without dates."""
     ends = df.agg(
         F.least(*[F.min(c) for c in (*columns, columns[0])]).cast("date").alias("low"),
         F.greatest(*[F.max(c) for c in (*columns, columns[0])]).cast("date").alias("high"),
     ).first()
+    if ends.low is None:
+        return None
     return date(ends.low.year, 1, 1), date(ends.high.year, 12, 31)
 
 

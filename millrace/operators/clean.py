@@ -18,14 +18,22 @@ def _quoted(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """True where a value is null, or a double that is not a number."""
+    value = _quoted(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return value.isNull() | F.isnan(value)
+    return value.isNull()
+
+
 def is_blank_row(df: DataFrame) -> Column:
-    """True where every column is null."""
-    return reduce(lambda a, b: a & b, [_quoted(c).isNull() for c in df.columns])
+    """True where every column is missing; never for a table without columns."""
+    return reduce(lambda a, b: a & b, [is_missing(df, c) for c in df.columns], F.lit(bool(df.columns)))
 
 
 def drop_blank_rows(df: DataFrame) -> DataFrame:
     """Drop rows in which every column is null; a blank text still counts as a value."""
-    return df.dropna(how="all")
+    return df.filter(~is_blank_row(df))
 
 
 def clean_all_columns(df: DataFrame) -> DataFrame:
@@ -50,7 +58,7 @@ def usable_key(df: DataFrame, key: Sequence[str]) -> list[str]:
 
 def drop_null_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any key column."""
-    return df.dropna(how="any", subset=list(key)) if key else df
+    return df.filter(~reduce(lambda a, b: a | b, [is_missing(df, c) for c in key])) if key else df
 
 
 def dedup(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.casts import (
-    FALSE_TEXTS, TRUE_TEXTS, cast_to, is_integer, text_of, try_double, try_time,
+    FALSE_TEXTS, TRUE_TEXTS, cast_to, changed_by_cast, is_integer, text_of, try_double, try_time,
 )
 
 # Words in a column name that hint at its type.
@@ -30,10 +31,10 @@ MORE_DIGITS = 10
 MAX_TEXT = 16_777_216
 
 STATISTICS = (
-    "rows", "filled", "numbers", "integers", "min_number", "max_number", "times", "flag_mask",
+    "rows", "filled", "numbers", "integers", "min_number", "max_number", "times", "days", "flag_mask",
     "flags", "emails", "max_length",
 )
-COUNTS = ["rows", "filled", "numbers", "integers", "times", "flags", "emails"]
+COUNTS = ["rows", "filled", "numbers", "integers", "times", "days", "flags", "emails"]
 _FLAG_TEXTS = (*TRUE_TEXTS, *FALSE_TEXTS)
 
 
@@ -78,6 +79,7 @@ def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> D
         F.min("number").alias("min_number"),
         F.max("number").alias("max_number"),
         F.count("time").alias("times"),
+        F.count_if(F.col("time") == F.date_trunc("day", "time").cast("timestamp_ntz")).alias("days"),
         F.bit_or("flag").alias("flag_mask"),
         F.count("flag").alias("flags"),
         F.count_if("email").alias("emails"),
@@ -121,7 +123,8 @@ def infer_by_name_and_data(
 ) -> DataFrame:
     """Dates, numbers and flags by name and data, then kinds of text; later findings win.
 
-    Differences to a sampling reader: all values count, and whole numbers are not dates.
+    Differences to a sampling reader: all values count, whole numbers are not dates, values with a time
+    of day make a ``TIMESTAMP``, and only whole numbers make a ``NUMBER``.
     Words match anywhere in a name (``paid`` holds ``id``) unless ``whole_word`` is set. The
     digits of a number follow from its largest value, or with ``widest`` from the value furthest
     from zero, which also makes room for negative numbers.
@@ -141,13 +144,14 @@ def infer_by_name_and_data(
     whole = _whole_numbers()
     flags = _all("flags") & (F.bit_count("flag_mask") <= 4) & (whole | ~_all("integers"))
 
-    first = F.when(has(DATE_WORDS) & _all("times"), "DATE")
+    first = F.when(has(DATE_WORDS) & _all("times"), F.when(_all("days"), "DATE").otherwise("TIMESTAMP"))
     number = F.when(has(NUMBER_WORDS) & _all("numbers"), F.when(whole, digits).otherwise("FLOAT"))
     flag = F.when(has(FLAG_WORDS) & flags, "BOOLEAN")
+    longest = F.greatest(F.abs("max_number"), F.abs("min_number"))
     code = F.when(
-        _all("numbers"),
-        F.when(size >= 10.0**MORE_DIGITS, "NUMBER(38)").otherwise(f"NUMBER({MORE_DIGITS})"),
-    ).otherwise("VARCHAR(50)")
+        _all("integers"),
+        F.when(longest >= 10.0**MORE_DIGITS, "NUMBER(38)").otherwise(f"NUMBER({MORE_DIGITS})"),
+    ).otherwise(F.when(_all("numbers"), "FLOAT").otherwise("VARCHAR(50)"))
     earlier = F.coalesce(flag, number, first, text)
     inferred = (
         F.when(F.col("filled") == 0, "VARCHAR(255)")
@@ -224,22 +228,52 @@ def apply_types(
 ) -> DataFrame:
     """Cast text columns to their inferred types under their clean names.
 
-    ``_bad_cells`` counts the values of a row that became null although they were not.
+    ``_bad_cells`` counts the values of a row that became null although they were not, and
+    ``_changed_cells`` those that a cast keeps in another form (a fraction, leading zeros or a time of
+    day goes).
     """
     names = names or {}
-    casts, lost = [], []
+    casts, lost, changed = [], [], []
     for column, kind in types.items():
         text = F.col(f"`{column}`")
         value = cast_to(text, kind)
         casts.append(value.alias(names.get(column, column)))
         if not kind.startswith("VARCHAR"):
             lost.append((text.isNotNull() & value.isNull()).cast("int"))
+            changed.append(F.coalesce(changed_by_cast(text, kind), F.lit(False)).cast("int"))
     bad = reduce(lambda a, b: a + b, lost, F.lit(0))
-    return df.select(*casts, bad.alias("_bad_cells"))
+    other = reduce(lambda a, b: a + b, changed, F.lit(0))
+    return df.select(*casts, bad.alias("_bad_cells"), other.alias("_changed_cells"))
+
+
+MAPPING_SCHEMA = (
+    "table_name string, position bigint, status string, ordinal int, column_name string, clean_name string,"
+    " inferred_type string, created timestamp_ntz"
+)
+
+
+def saved_mapping(mappings: DataFrame, table: str) -> tuple[dict[str, str], dict[str, str]]:
+    """(types, clean names) of the columns of ``table`` from a mapping table, its newest entry."""
+    own = mappings.filter((F.col("table_name") == table) & (F.col("status") == "success"))
+    newest = own.agg(F.max("position")).first()[0]
+    rows = sorted(own.filter(F.col("position") == newest).collect(), key=lambda r: r.ordinal) if newest is not None else []
+    return {r.column_name: r.inferred_type for r in rows}, {r.column_name: r.clean_name for r in rows}
+
+
+def save_mapping(inferred: DataFrame, clean_names: dict[str, str], table: str, mapping_table: str) -> None:
+    """Append the inferred types of one table, one row per column, to ``mapping_table``."""
+    spark = inferred.sparkSession
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    position = int(now.timestamp() * 1_000_000)
+    rows = [
+        (table, position, "success", r.ordinal, r.column_name, clean_names.get(r.column_name, r.column_name), r.inferred_type, now)
+        for r in inferred.select("ordinal", "column_name", "inferred_type").collect()
+    ]
+    spark.createDataFrame(rows, MAPPING_SCHEMA).write.mode("append").saveAsTable(mapping_table)
 
 
 def read_typed(df: DataFrame) -> DataFrame:
     """Text columns with the types a CSV reader would give them."""
     kinds = {"NUMBER": "NUMBER(18)"}
     found = mapping_of(infer_by_data(column_statistics(df, "csv")))
-    return apply_types(df, {c: kinds.get(t, t) for c, t in found.items()}).drop("_bad_cells")
+    return apply_types(df, {c: kinds.get(t, t) for c, t in found.items()}).drop("_bad_cells", "_changed_cells")

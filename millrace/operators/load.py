@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.functions.casts import cast_to
 from millrace.operators.tables import append
 from millrace.sources.files import ANY_CSV, list_files, matches
-from millrace.workspace import cut_lineage
+from millrace.workspace import scratch_tables
 
 HISTORY_SCHEMA = (
     "file_name string, table_name string, status string, rows_loaded bigint, rows_parsed bigint,"
-    " rows_rejected bigint, error_count bigint, first_error string, last_load_time timestamp_ntz"
+    " rows_rejected bigint, error_count bigint, first_error string, last_load_time timestamp_ntz,"
+    " size bigint, modified timestamp_ntz"
 )
 # A list of this many file names is small enough to send to every executor.
 BROADCAST_FILES = 100_000
@@ -89,7 +90,7 @@ def check_rows(raw: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()
         else F.expr("CAST(array() AS array<struct<column_name:string,value:string,reason:string>>)")
     )
     values = [f.value().alias(f.name) for f in fields]
-    return raw.select(*keep, *values, errors.alias("_errors"))
+    return raw.select(*[F.col(f"`{c}`") for c in keep], *values, errors.alias("_errors"))
 
 
 def good_rows(checked: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ def rows_of_clean_files(checked: DataFrame, file_column: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class LoadResult:
-    """``rejects`` and ``history`` read the staged rows, not the source files."""
+    """``rejects`` and ``history`` are read from the source when they are used."""
 
     rejects: DataFrame
     history: DataFrame
@@ -154,92 +155,115 @@ def bulk_load(
     on_error: str = "continue",
     keep: Sequence[str] = (),
     loaded_at: datetime | None = None,
+    history_table: str | None = None,
+    files: DataFrame | None = None,
 ) -> LoadResult:
     """Load ``raw`` into an existing table and report on each file.
 
     ``continue`` loads the good rows, ``abort`` raises before writing when any row is bad,
-    ``skip_file`` leaves out files with a bad row, ``validate`` writes nothing. Source text is
-    parsed once into a staged table, which good rows, rejects and counts are then read from.
+    ``skip_file`` leaves out files with a bad row, ``validate`` writes nothing. Every row that is loaded
+    is written once, straight from the source; the report is a second pass over the source that only
+    counts. It is appended to ``history_table`` where one is named, also for an aborted load. ``files``
+    (path, size, modified) brings in files without rows, and what a file looked like.
     """
     if on_error not in ("continue", "abort", "skip_file", "validate"):
         raise ValueError(f"unknown error mode {on_error}")
     kept = list(dict.fromkeys([file_column, *keep]))
-    staged = cut_lineage(check_rows(raw, fields, kept), "load")
-    report = file_report(staged, file_column)
-    names = [f.name for f in fields]
+    checked = check_rows(raw, fields, kept)
+    names = [F.col(f"`{f.name}`") for f in fields]
+    aborted = None
     if on_error == "abort":
-        bad = report.filter("rows_rejected > 0").agg(
+        bad = file_report(checked, file_column).filter("rows_rejected > 0").agg(
             F.sum("rows_rejected").alias("rows"), F.min("first_error").alias("error")
         ).first()
-        if bad.rows:
-            raise LoadAborted(f"{bad.rows} bad rows, first: {bad.error}")
-    if on_error in ("continue", "abort"):
-        append(good_rows(staged).select(*names), table)
+        aborted = LoadAborted(f"{bad.rows} bad rows, first: {bad.error}") if bad.rows else None
+    if on_error == "continue" or on_error == "abort" and not aborted:
+        append(good_rows(checked).select(*names), table)
     elif on_error == "skip_file":
-        append(rows_of_clean_files(staged, file_column).select(*names), table)
-
+        append(rows_of_clean_files(checked, file_column).select(*names), table)
+    nothing = on_error == "validate" or aborted is not None
+    history = load_report(checked, table, file_column, on_error, nothing, loaded_at, files)
+    if history_table:
+        history.write.mode("append").saveAsTable(history_table)
+    if aborted:
+        raise aborted
+    return LoadResult(rejects(checked, kept), history)
+
+
+def load_report(
+    checked: DataFrame, table: str, file_column: str, on_error: str, nothing: bool,
+    loaded_at: datetime | None, files: DataFrame | None,
+) -> DataFrame:
+    """What the load history says of every file; ``nothing`` says that no row was written."""
+    report = file_report(checked, file_column).withColumn("file_name", F.col("file_name").cast("string"))
+    if files is not None:
+        facts = files.select(F.col("path").alias("file_name"), "size", "modified")
+        report = facts.join(report, "file_name", "left").fillna(0, ["rows_parsed", "rows_rejected", "error_count"])
+    else:
+        report = report.withColumn("size", F.lit(None).cast("bigint"))
+        report = report.withColumn("modified", F.lit(None).cast("timestamp_ntz"))
     good = F.col("rows_parsed") - F.col("rows_rejected")
     whole_file = F.when(F.col("rows_rejected") == 0, good).otherwise(F.lit(0).cast("bigint"))
-    loaded = {
-        "continue": good, "abort": good, "skip_file": whole_file, "validate": F.lit(0).cast("bigint")
-    }[on_error]
+    loaded = F.lit(0).cast("bigint") if nothing else whole_file if on_error == "skip_file" else good
     status = (
-        F.when(F.col("rows_loaded") == F.col("rows_parsed"), "LOADED")
+        F.when(F.lit(nothing and on_error != "validate"), "LOAD_FAILED")
+        .when(F.col("rows_loaded") == F.col("rows_parsed"), "LOADED")
         .when(F.lit(on_error == "validate"), "VALIDATED")
         .when(F.col("rows_loaded") == 0, "LOAD_FAILED")
         .otherwise("PARTIALLY_LOADED")
     )
     moment = F.lit(loaded_at.isoformat(" ")) if loaded_at else F.current_timestamp()
-    history = (
+    return (
         report.withColumn("rows_loaded", loaded)
         .withColumn("status", status)
         .withColumn("table_name", F.lit(table))
         .withColumn("last_load_time", moment.cast("timestamp_ntz"))
-        .select("file_name", "table_name", "status", "rows_loaded", "rows_parsed",
-                "rows_rejected", "error_count", "first_error", "last_load_time")
+        .select("file_name", "table_name", "status", "rows_loaded", "rows_parsed", "rows_rejected",
+                "error_count", "first_error", "last_load_time", "size", "modified")
     )
-    return LoadResult(rejects(staged, kept), history)
 
 
-def new_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Files of a listing not loaded before, by path, size and time of change."""
-    return listing.join(loaded.select("path", "size", "modified"), ["path", "size", "modified"], "left_anti")
+def create_history(spark: SparkSession, history_table: str) -> None:
+    """An empty load history."""
+    spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").saveAsTable(history_table)
 
 
-def path_batches(files: DataFrame, batch: int = 5_000) -> Iterator[list[str]]:
-    """Paths in batches, so that a load of very many files holds only some of them on the driver."""
-    paths: list[str] = []
-    for row in files.select("path").toLocalIterator():
-        paths.append(row.path)
-        if len(paths) == batch:
-            yield paths
-            paths = []
-    if paths:
-        yield paths
+def new_files(listing: DataFrame, history: DataFrame, table: str) -> DataFrame:
+    """Files of a listing that no load has brought into ``table``, by path, size and time of change."""
+    done = history.filter(F.col("status").isin("LOADED", "PARTIALLY_LOADED") & (F.col("table_name") == table))
+    loaded = done.select(F.col("file_name").alias("path"), "size", "modified")
+    return listing.join(loaded, ["path", "size", "modified"], "left_anti")
 
 
 def load_new_files(
     spark: SparkSession,
     folder: str,
-    loaded_table: str,
-    load: Callable[[list[str]], None],
+    table: str,
+    history_table: str,
+    load: Callable[[list[str], DataFrame], None],
     force: bool = False,
     pattern: str = ANY_CSV,
+    batch: int = 5_000,
 ) -> int:
-    """Call ``load`` with the paths not loaded before, in batches, and note each batch.
+    """Call ``load`` for the files that ``history_table`` does not have as loaded, in batches.
 
-    ``loaded_table`` has path, size and modified. With ``force`` all files are loaded again. A
-    batch is noted after it is loaded: where a lost driver must not load it twice, use the stream.
-    Returns the number of files loaded.
+    ``load`` gets the paths of a batch, which a reader needs, and their table (path, size, modified); it
+    passes the latter to :func:`bulk_load` with the history table, which notes them. The folder is
+    listed once. With ``force`` all files are loaded again. A batch is noted after it is loaded: where a
+    lost driver must not load it twice, use the stream. Returns the number of files.
     """
     listing = list_files(spark, folder, "*").filter(matches(F.col("path"), pattern))
-    wanted = listing if force else new_files(listing, spark.table(loaded_table))
-    total = 0
-    for paths in path_batches(wanted):
-        load(paths)
-        done = listing.filter(F.col("path").isin(paths)).select("path", "size", "modified")
-        append(new_files(done, spark.table(loaded_table)), loaded_table)
-        total += len(paths)
+    wanted = listing if force else new_files(listing, spark.table(history_table), table)
+    with scratch_tables(spark) as keep:
+        files = keep(wanted.select("path", "size", "modified"))
+        total = files.count()
+        batches = max(-(-total // batch), 1)
+        files = files.withColumn("_batch", F.pmod(F.xxhash64("path"), F.lit(batches)))
+        for number in range(batches if total else 0):
+            part = files.filter(F.col("_batch") == number).drop("_batch")
+            paths = [r.path for r in part.select("path").collect()]  # some ``batch`` of them
+            if paths:
+                load(paths, part)
     return total
 
 

@@ -10,20 +10,18 @@ def merge_boards(
 ) -> DataFrame:
     """Full outer join on the item key, with ``origin`` telling where an item comes from.
 
-    Columns both boards have get a suffix. Items are unique per board, as the cleaner leaves them.
+    Columns both boards have get a suffix. Items are unique per board, as the cleaner leaves them. An
+    item without a key matches nothing and stays, marked with the side it is on.
     """
     shared = (set(left.columns) & set(right.columns)) - {key}
-    a, b = left.alias("a"), right.alias("b")
-    joined = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
-    columns = [F.coalesce(f"a.{key}", f"b.{key}").alias(key)]
+    a = left.withColumn("_left", F.lit(True)).alias("a")
+    b = right.withColumn("_right", F.lit(True)).alias("b")
+    joined = a.join(b, F.col(f"a.`{key}`") == F.col(f"b.`{key}`"), "full_outer")
+    columns = [F.coalesce(F.col(f"a.`{key}`"), F.col(f"b.`{key}`")).alias(key)]
     for side, df, suffix in (("a", left, suffixes[0]), ("b", right, suffixes[1])):
         columns += [
-            F.col(f"{side}.{c}").alias(c + suffix if c in shared else c)
+            F.col(f"{side}.`{c}`").alias(c + suffix if c in shared else c)
             for c in df.columns if c != key
         ]
-    origin = (
-        F.when(F.col(f"b.{key}").isNull(), "left")
-        .when(F.col(f"a.{key}").isNull(), "right")
-        .otherwise("both")
-    )
+    origin = F.when(F.col("_right").isNull(), "left").when(F.col("_left").isNull(), "right").otherwise("both")
     return joined.select(*columns, origin.alias("origin"))

@@ -22,7 +22,7 @@ def create_if_absent(df: DataFrame, table: str) -> bool:
     if spark.catalog.tableExists(table):
         return False
     found = mapping_of(infer_by_data(column_statistics(df, table)))
-    typed = clean_columns(apply_types(df, found).drop("_bad_cells"), NamePolicy.LIGHT)
+    typed = clean_columns(apply_types(df, found).drop("_bad_cells", "_changed_cells"), NamePolicy.LIGHT)
     spark.createDataFrame([], typed.schema).write.saveAsTable(table)
     return True
 
@@ -37,7 +37,7 @@ def append(df: DataFrame, table: str) -> None:
 def overwrite(df: DataFrame, table: str) -> None:
     """Replace the rows of an existing table and keep its columns."""
     target = df.sparkSession.table(table).columns
-    df.select(*target).write.insertInto(table, overwrite=True)
+    df.select(*[F.col(f"`{c}`") for c in target]).write.insertInto(table, overwrite=True)
 
 
 def recreate(
@@ -46,18 +46,26 @@ def recreate(
 ) -> dict:
     """Build the new table beside the old one, verify it, and only then swap.
 
-    A load that fails or does not verify leaves the old table as it was.
+    A load that fails or does not verify leaves the old table as it was. The old table is renamed aside
+    and dropped last, so one of both is there at any moment; what a lost driver left aside is put back.
     """
     spark = df.sparkSession
-    fresh = f"{table}_new"
+    fresh, aside = f"{table}_new", f"{table}_old"
+    if spark.catalog.tableExists(aside):
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     df.write.saveAsTable(fresh)
     loaded = spark.table(fresh)
     rows = loaded.count()
     passed = (expected_rows is None or rows == expected_rows) and (verify is None or verify(loaded))
     if passed:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
     else:
         spark.sql(f"DROP TABLE {fresh}")
     return {

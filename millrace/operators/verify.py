@@ -7,6 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.workspace import cut_lineage
+
+
+def _quoted(column: str) -> Column:
+    return F.col(f"`{column}`")
+
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table, all counted in one job."""
@@ -28,12 +34,11 @@ def _match() -> Column:
 
 
 def verify_estimate(counts: DataFrame, expected: DataFrame) -> DataFrame:
-    """Actual rows against ``expected`` (table_name, expected_rows): success or warning."""
-    return counts.join(expected, "table_name").select(
-        "table_name",
-        F.col("expected_rows"),
-        F.col("row_count").alias("actual_rows"),
-        F.when(_match(), "success").otherwise("warning").alias("status"),
+    """Actual rows against ``expected`` (table_name, expected_rows): success, warning, or failed for a
+    table that is not there."""
+    status = F.when(F.col("row_count").isNull(), "failed").when(_match(), "success").otherwise("warning")
+    return expected.join(counts, "table_name", "left").select(
+        "table_name", "expected_rows", F.col("row_count").alias("actual_rows"), status.alias("status")
     )
 
 
@@ -96,22 +101,66 @@ def verify_outputs(expected: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """128 bits of hash of a row; the hash passes over nulls, so whether a value is null goes in as well."""
+    cells = [cell for c in df.columns for cell in (_quoted(c), _quoted(c).isNull())]
+    return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
+
+
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that two tables do not share, with ``side`` and how many more ``copies`` that side has.
 
-    Both sides are added up in one aggregation, +1 on the left and -1 on the right, so equal rows
-    cancel out within the map tasks already and one shuffle serves both directions.
+    Both sides are added up by row hash, +1 on the left and -1 on the right, so one narrow shuffle
+    serves both directions. Whole rows are only fetched for the hashes that differ.
     """
     columns = left.columns
-    both = left.select("*", F.lit(1).alias("_sign")).unionByName(
-        right.select(*columns, F.lit(-1).alias("_sign"))
+    right = right.select(*[_quoted(c) for c in columns])
+    signs = left.select(*_row_hashes(left), F.lit(1).alias("_sign")).unionByName(
+        right.select(*_row_hashes(right), F.lit(-1).alias("_sign"))
     )
-    balance = both.groupBy(*columns).agg(F.sum("_sign").alias("_balance")).filter("_balance <> 0")
-    return balance.select(
-        *columns,
-        F.when(F.col("_balance") > 0, "only_left").otherwise("only_right").alias("side"),
-        F.abs("_balance").alias("copies"),
+    balance = signs.groupBy("_h1", "_h2").agg(F.sum("_sign").alias("_balance")).filter("_balance <> 0")
+    balance = cut_lineage(balance, "balance")
+
+    def only(df: DataFrame, side: str, more: Column) -> DataFrame:
+        wanted = balance.filter(more > 0).select("_h1", "_h2", more.alias("copies"))
+        rows = df.select("*", *_row_hashes(df)).join(wanted, ["_h1", "_h2"]).dropDuplicates(["_h1", "_h2"])
+        return rows.select(*[_quoted(c) for c in columns], F.lit(side).alias("side"), "copies")
+
+    return only(left, "only_left", F.col("_balance")).unionByName(only(right, "only_right", -F.col("_balance")))
+
+
+def compare_tables(left: DataFrame, right: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """Whether one table equals another: a row per check with how much differs.
+
+    Checks are missing, additional and retyped columns, rows of one side only over the columns both
+    have, and null or repeated keys on the right. ``passed`` is true where nothing differs.
+    """
+    spark = left.sparkSession
+    schema = schema_diff(left, right)
+    counts = [
+        ("missing_columns", sum(b is None for _, _, b in schema), [c for c, _, b in schema if b is None]),
+        ("additional_columns", sum(a is None for _, a, _ in schema), [c for c, a, _ in schema if a is None]),
+        ("retyped_columns", sum(None not in (a, b) for _, a, b in schema), [c for c, a, b in schema if None not in (a, b)]),
+    ]
+    facts = spark.createDataFrame(
+        [(check, n, ", ".join(names) or None) for check, n, names in counts], "check string, differences bigint, detail string"
     )
+    differing = {c for c, _, _ in schema}
+    known = {c.lower(): c for c in right.columns}
+    shared = [c for c in left.columns if c.lower() not in differing]
+    found = [facts]
+    no_detail = F.lit(None).cast("string").alias("detail")
+    if shared:
+        renamed = right.select(*[_quoted(known[c.lower()]).alias(c) for c in shared])
+        diff = cut_lineage(table_diff(left.select(*[_quoted(c) for c in shared]), renamed).select("side", "copies"), "diff")
+        for side in ("only_left", "only_right"):
+            total = F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("differences")
+            found.append(diff.filter(F.col("side") == side).agg(total).select(F.lit(f"rows_{side}").alias("check"), "differences", no_detail))
+    if key:
+        broken = pk_violations(right, key).groupBy().agg(F.count(F.lit(1)).alias("differences"))
+        found.append(broken.select(F.lit("key_violations").alias("check"), "differences", no_detail))
+    report = reduce(DataFrame.unionByName, found)
+    return report.withColumn("passed", F.col("differences") == 0)
 
 
 def schema_diff(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None, str | None]]:
@@ -121,18 +170,23 @@ def schema_diff(left: DataFrame, right: DataFrame) -> list[tuple[str, str | None
     return [(c, a.get(c), b.get(c)) for c in dict.fromkeys([*a, *b]) if a.get(c) != b.get(c)]
 
 
+def digest_sum(digest: Column) -> Column:
+    """The sums of both 64-bit halves of 128-bit hexadecimal digests, as one text."""
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return F.concat_ws("-", *[F.coalesce(F.sum(h), F.lit(0)).cast("string") for h in halves])
+
+
 def table_checksum(texts: DataFrame, table: str) -> DataFrame:
     """Rows and a checksum that does not depend on row order.
 
-    ``texts`` holds text columns; nulls and column borders count. Every row adds the first 32 bits
-    of its digest to a wide decimal, which 10^28 rows would not overflow.
+    ``texts`` holds text columns; nulls and column borders count. Every row adds both 64-bit halves of
+    its digest to a wide decimal each, which 10^18 rows would not overflow.
     """
     cells = [F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`")), F.lit("~")) for c in texts.columns]
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10)
-    return texts.agg(
+    return texts.select(F.md5(F.concat_ws("|", *cells)).alias("_digest")).agg(
         F.lit(table).alias("table_name"),
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(digest.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("checksum"),
+        digest_sum(F.col("_digest")).alias("checksum"),
     )
 
 
@@ -148,7 +202,7 @@ def fast_checksum(df: DataFrame) -> DataFrame:
 
 def pk_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that are null or held by several rows, with the number of rows."""
-    has_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in key])
-    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("row_count"))
+    has_null = reduce(lambda a, b: a | b, [_quoted(c).isNull() for c in key])
+    counted = df.groupBy(*[_quoted(c) for c in key]).agg(F.count(F.lit(1)).alias("row_count"))
     violation = F.when(has_null, "null_key").when(F.col("row_count") > 1, "duplicate_key")
     return counted.withColumn("violation", violation).filter(F.col("violation").isNotNull())

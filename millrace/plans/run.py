@@ -11,10 +11,10 @@ from millrace.functions.names import clean_name, unique_names
 from millrace.operators import infer, tables
 from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows
 from millrace.operators.clean import clean_table
-from millrace.sources.csv import MULTI_LINE, CsvFormat, read_csv, spread
+from millrace.sources.csv import MULTI_LINE, READER_DEFAULTS, CsvFormat, read_csv, spread
 from millrace.sources.files import list_files, resolve_files
 from millrace.spec import TableSpec
-from millrace.workspace import cut_lineage
+from millrace.workspace import scratch_tables
 
 
 def inbox_entries(spark: SparkSession, inbox: str) -> DataFrame:
@@ -28,27 +28,42 @@ def inbox_entries(spark: SparkSession, inbox: str) -> DataFrame:
 
 
 def load_table(
-    spark: SparkSession, spec: TableSpec, path: str, database: str, fmt: CsvFormat = MULTI_LINE
+    spark: SparkSession, spec: TableSpec, path: str, database: str, fmt: CsvFormat | None = None,
+    mapping_table: str | None = None,
 ) -> dict:
     """Clean one landed table, find its types, replace the warehouse table, and report.
 
-    The cleaned rows are written once; statistics, casts and the row count read that copy.
+    The cleaned rows are written once; statistics, casts and the row count read that copy, which goes
+    at the end. ``bad_cells`` and ``changed_cells`` count what the casts lost or altered; either makes
+    the outcome a warning. The types go to ``mapping_table`` where one is named.
     """
+    fmt = fmt or (MULTI_LINE if spec.multi_line else READER_DEFAULTS)
     raw = read_csv(spark, path, fmt)
     raw = spread(raw) if fmt.multi_line else raw
-    staged = cut_lineage(clean_table(raw, spec), "staged")
-    found = infer.mapping_of(
-        infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name))
-    )
-    names = dict(zip(found, unique_names([clean_name(c) for c in found]), strict=True))
-    typed = infer.apply_types(staged, found, names).drop("_bad_cells")
-    outcome = tables.recreate(typed, f"{database}.{spec.name}", staged.count())
+    with scratch_tables(spark) as keep:
+        # Positions stand in for the columns' names, which a catalog table may not be able to hold.
+        cleaned = clean_table(raw, spec)
+        columns = cleaned.columns
+        staged = keep(cleaned.toDF(*[f"_{i}" for i in range(len(columns))])).toDF(*columns)
+        inferred = infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name), widest=True)
+        found = infer.mapping_of(inferred)
+        names = dict(zip(found, unique_names([clean_name(c) for c in found]), strict=True))
+        typed = keep(infer.apply_types(staged, found, names))
+        cells = typed.agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"),
+            F.coalesce(F.sum("_changed_cells"), F.lit(0)).alias("changed"),
+        ).first()
+        outcome = tables.recreate(typed.drop("_bad_cells", "_changed_cells"), f"{database}.{spec.name}", cells.rows)
+        if mapping_table:
+            infer.save_mapping(inferred, names, spec.name, mapping_table)
     expected = spec.expected_rows
     complete = outcome["verification_passed"] and expected in (None, outcome["actual_rows"])
+    problems = [f"{n} cells {what}" for n, what in ((cells.bad, "lost"), (cells.changed, "changed")) if n]
     return {
-        "status": "success" if complete else "warning",
-        "error": None,
+        "status": "success" if complete and not problems else "warning",
+        "error": "; ".join(problems) or None,
         "rows_loaded": outcome["actual_rows"],
+        "total_columns": len(columns),
     }
 
 
@@ -59,11 +74,12 @@ def run_tables(
     database: str,
     workers: int = 4,
     audit_table: str | None = None,
+    mapping_table: str | None = None,
 ) -> DataFrame:
     """Load every table of ``specs`` from ``inbox``; one result row each.
 
     Tables run side by side on one session, and a failure stays with its table. The results are
-    appended to ``audit_table`` where one is named.
+    appended to ``audit_table``, the types found to ``mapping_table``, where these are named.
     """
     requests = spark.createDataFrame([(s.source,) for s in specs], "request string")
     found = {
@@ -73,14 +89,14 @@ def run_tables(
     def one(spec: TableSpec) -> tuple:
         file = found[spec.source]
         if file is None:
-            report = {"status": "failed", "error": f"no file for {spec.source}", "rows_loaded": 0}
+            report = {"status": "failed", "error": f"no file for {spec.source}", "rows_loaded": 0, "total_columns": 0}
         else:
             try:
-                report = load_table(spark, spec, f"{inbox}/{file}", database)
+                report = load_table(spark, spec, f"{inbox}/{file}", database, mapping_table=mapping_table)
             except Exception as problem:  # the other tables go on
                 message = str(problem).splitlines()[0]
-                report = {"status": "failed", "error": message, "rows_loaded": 0}
-        return spec.name, spec.source, report["status"], report["error"], report["rows_loaded"]
+                report = {"status": "failed", "error": message, "rows_loaded": 0, "total_columns": 0}
+        return spec.name, spec.source, report["status"], report["error"], report["rows_loaded"], report["total_columns"]
 
     with ThreadPoolExecutor(workers) as pool:
         results = list(pool.map(one, specs))

@@ -35,7 +35,8 @@ class TableSpec:
     """The contract of one table.
 
     ``primary_key`` is a column name, or ``"A + B"`` with ``composite`` set. ``order_by`` decides
-    which of several rows with one key is kept: the first in this order.
+    which of several rows with one key is kept: the first in this order. ``multi_line`` says that quoted
+    values span lines; such files cannot be split, so it is off unless a table needs it.
     """
 
     name: str
@@ -45,6 +46,7 @@ class TableSpec:
     order_by: tuple[str, ...] = ()
     expected_rows: int | None = None
     renames: dict[str, str] = field(default_factory=dict)
+    multi_line: bool = False
 
     @property
     def key_columns(self) -> list[str]:

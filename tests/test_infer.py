@@ -96,5 +96,5 @@ def test_empty_table(spark):
 def test_apply_types_counts_lost_cells(spark):
     df = spark.createDataFrame([("1", "2024-01-01"), ("x", "soon"), (None, None)], "a string, b string")
     typed = infer.apply_types(df, {"a": "NUMBER(10)", "b": "DATE"}, {"a": "A"})
-    assert typed.dtypes == [("A", "bigint"), ("b", "date"), ("_bad_cells", "int")]
+    assert typed.dtypes == [("A", "bigint"), ("b", "date"), ("_bad_cells", "int"), ("_changed_cells", "int")]
     assert [r._bad_cells for r in typed.collect()] == [0, 2, 0]

@@ -52,7 +52,7 @@ def test_counts_against_expectations(spark):
     counts = verify.table_counts(tables)
     expected = spark.createDataFrame([("a", 3), ("b", 0), ("c", 4), ("d", 1)], "table_name string, expected_rows bigint")
     estimate = {r.table_name: r.status for r in verify.verify_estimate(counts, expected).collect()}
-    assert estimate == {"a": "success", "b": "success", "c": "warning"}
+    assert estimate == {"a": "success", "b": "success", "c": "warning", "d": "failed"}
     source = {r.table_name: (r.actual_rows, r.match_percentage, r.verification_passed) for r in verify.verify_source(counts, expected).collect()}
     assert source == {"a": (3, 100.0, True), "b": (0, 0.0, True), "c": (2, 50.0, False), "d": (0, 0.0, False)}
     every = {r.table_name: (r.table_exists, r.has_data, r.count_match, r.overall_success) for r in verify.verify_all(counts, expected).collect()}
@@ -115,3 +115,19 @@ def test_merge(spark):
         (1, "a", 5, None, None, "left"), (2, "b", 6, 7, "x", "both"), (None, "n", 0, None, None, "left"),
         (3, None, None, 8, "y", "right"),
     ], key=str)
+
+
+def test_names_with_dots(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None)], "`k.1` int, `Memo.1` string")
+    b = spark.createDataFrame([(1, "x"), (1, "y")], "`k.1` int, `Memo.1` string")
+    assert {(r[0], r.side) for r in verify.table_diff(a, b).collect()} == {(2, "only_left"), (1, "only_right")}
+    assert verify.pk_violations(b, ["k.1"]).first().violation == "duplicate_key"
+    checks = {r.check: (r.differences, r.passed) for r in verify.compare_tables(a, b, ["k.1"]).collect()}
+    assert checks["rows_only_left"] == (1, False) and checks["key_violations"] == (1, False)
+    assert all(r.passed for r in verify.compare_tables(a, a, ["k.1"]).collect())
+
+
+def test_merge_of_items_without_a_key(spark):
+    a = spark.createDataFrame([(1, "x"), (None, "y")], "id int, n string")
+    b = spark.createDataFrame([(1, 5), (None, 6)], "id int, m int")
+    assert sorted((r.n or "", r.origin) for r in merge.merge_boards(a, b, "id").collect()) == [("", "right"), ("x", "both"), ("y", "left")]
