@@ -8,12 +8,18 @@ from millrace.functions.casts import stringify
 from millrace.functions.names import (
     NamePolicy, clean_name_column, has_special_characters, unique_names_in_catalogue,
 )
-from millrace.functions.text import WHITE_SPACE, clean_text
+from millrace.functions.text import clean_text
 from millrace.operators import clean
 from millrace.plans.landing import EM_SPACE, NBSP, ZERO_WIDTH
 from millrace.plans.registry import query, table
 from millrace.spec import TableSpec
 
+# The white space that is stripped, written down once more for the SQL side.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Documents with white space and hidden characters at their edges and within.
 DIRTY_TEXT = (
     "CASE doc_id % 8 WHEN 0 THEN chr(9) || ' ' || text || chr(10) || ' '"

@@ -12,6 +12,7 @@ from millrace.operators.load import Field
 from millrace.plans.landing import (
     PROJECT_BUDGET, PROJECT_COLUMNS, PROJECT_DATE, PROJECT_FILE, PROJECT_STATUS, landed, project_csv,
 )
+from millrace.functions.text import null_if
 from millrace.plans.registry import query, table
 from millrace.sources.csv import BULK_LOAD, read_csv, write_csv
 from millrace.plans.run import run_tables
@@ -93,7 +94,7 @@ def load_file_report(spark: SparkSession, folder: str) -> DataFrame:
         _raw_projects(spark, folder), PROJECT_FIELDS, name, "batch", loaded_at=datetime(2024, 1, 31)
     )
     return result.history.select(
-        F.col("file_name").alias("batch"), "rows_parsed", "rows_rejected", "rows_loaded",
+        F.col("file_name").cast("bigint").alias("batch"), "rows_parsed", "rows_rejected", "rows_loaded",
         "error_count", "status", "first_error",
     )
 
@@ -157,25 +158,26 @@ def incremental_files(spark: SparkSession, folder: str) -> DataFrame:
     """Four runs over a folder that grows once: each file is loaded in one run only."""
     inbox = fresh_folder(spark, "inbox")
     database = fresh_database(spark, "incremental")
-    spark.sql(f"CREATE TABLE {database}.loaded (path STRING, size BIGINT, modified TIMESTAMP_NTZ) USING parquet")
+    load.create_history(spark, f"{database}.history")
     spark.sql(
-        f"CREATE TABLE {database}.rows (run INT, year BIGINT, o_orderkey STRING, o_totalprice STRING) USING parquet"
+        f"CREATE TABLE {database}.rows (run BIGINT, year BIGINT, o_orderkey STRING, o_totalprice STRING) USING parquet"
     )
+    fields = [Field("run", "NUMBER(9)"), Field("year", "NUMBER(9)"), Field("o_orderkey"), Field("o_totalprice")]
     for run in (0, 1, 2, 3):
         if run in (0, 2):
             _drop_orders(spark, folder, inbox, early=run == 0)
 
-        def load_paths(paths: list[str]) -> None:
+        def load_paths(paths: list[str], files: DataFrame) -> None:
             rows = spark.read.schema("o_orderkey string, o_totalprice string").option("header", "true").csv(paths)
-            year = partition_value(F.col("_metadata.file_path"), "year").cast("bigint")
-            number = F.lit(1 if run < 2 else 2)
-            tables.append(
-                rows.select(number.alias("run"), year.alias("year"), "o_orderkey", "o_totalprice"),
-                f"{database}.rows",
+            path = F.col("_metadata.file_path")
+            number = F.lit("1" if run < 2 else "2")
+            raw = rows.select(
+                path.alias("path"), number.alias("run"), partition_value(path, "year").alias("year"), "o_orderkey", "o_totalprice"
             )
+            load.bulk_load(raw, fields, f"{database}.rows", "path", history_table=f"{database}.history", files=files)
 
-        load.load_new_files(spark, inbox, f"{database}.loaded", load_paths)
-    return spark.table(f"{database}.rows").groupBy("run", "year").agg(
+        load.load_new_files(spark, inbox, f"{database}.rows", f"{database}.history", load_paths)
+    return spark.table(f"{database}.rows").groupBy(F.col("run").cast("int").alias("run"), "year").agg(
         F.count(F.lit(1)).alias("rows_loaded"), F.sum(F.col("o_orderkey").cast("bigint")).alias("key_sum")
     )
 
@@ -252,7 +254,7 @@ def recreate_typed(spark: SparkSession, folder: str) -> DataFrame:
     types = {"o_orderkey": "NUMBER(18)", "o_custkey": "NUMBER(18)", "o_totalprice": "FLOAT", "o_orderdate": "DATE"}
     from millrace.operators.infer import apply_types
 
-    typed = apply_types(text, types).drop("_bad_cells")
+    typed = apply_types(text, types).drop("_bad_cells", "_changed_cells")
     staged = f"{name}_typed"
     typed.write.saveAsTable(staged)
     reports = []
@@ -309,6 +311,7 @@ SELECT strftime(ts, '%Y-%m-%d') AS stage, count(*) AS total_tables,
     count(*) FILTER ({_RESULT_STATUS} = 'warning') AS warnings,
     count(*) FILTER ({_RESULT_STATUS} = 'failed') AS failed,
     sum(CASE WHEN {_RESULT_STATUS} <> 'failed' THEN user_id ELSE 0 END)::BIGINT AS total_rows_loaded,
+    sum(CASE WHEN {_RESULT_STATUS} <> 'failed' THEN user_id % 7 ELSE 0 END)::BIGINT AS total_columns,
     count(*) FILTER ({_RESULT_STATUS} <> 'failed') / count(*) * 100 AS completion_percentage
 FROM events GROUP BY ALL
 """)
@@ -320,6 +323,7 @@ def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("event_id").cast("string").alias("table_name"),
                 F.expr(_RESULT_STATUS).alias("status"),
                 F.col("user_id").alias("rows_loaded"),
+                (F.col("user_id") % 7).alias("total_columns"),
             )
         )
         table(spark, folder, "events").select(
@@ -364,7 +368,7 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
             lines.select(
                 F.concat(F.lit(" "), "l_orderkey", F.lit(" ")).alias("Order ID"),
                 F.col("l_linenumber").alias("Line Number"),
-                *lines.columns[4:],
+                *[c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")],
             ),
             f"{path}/LINES.CSV",
         )
@@ -376,6 +380,7 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
     database = fresh_database(spark, "run")
     order = (
         "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+        "l_partkey", "l_suppkey",
     )
     specs = [
         TableSpec("lines", "lines", "Order ID + Line Number", composite=True, order_by=order),
@@ -400,6 +405,57 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_LIFE_SQL = f"""
+WITH f AS (SELECT {PROJECT_FILE} AS batch, count(*) AS parsed, count(*) FILTER ({_BAD}) AS bad FROM orders GROUP BY ALL)
+SELECT 'first load' AS step, count(*) AS files, sum(parsed - bad)::BIGINT AS rows_loaded,
+    count(*) FILTER (bad > 0) AS partial, 0::BIGINT AS failed FROM f
+UNION ALL SELECT 'nothing new', 0, 0, 0, 0
+UNION ALL SELECT 'forced', count(*), sum(parsed - bad)::BIGINT, count(*) FILTER (bad > 0), 0 FROM f
+UNION ALL SELECT 'skipped', count(*), sum(CASE WHEN bad = 0 THEN parsed ELSE 0 END)::BIGINT, 0,
+    count(*) FILTER (bad > 0) FROM f"""
+
+
+@query(_LIFE_SQL)
+def load_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """A load, a load with nothing new, a forced reload and one that fails for the files with bad rows,
+    as the load history tells them."""
+    database = fresh_database(spark, "life")
+    name, history = _empty_project_table(spark, database), f"{database}.history"
+    load.create_history(spark, history)
+    inbox = project_csv(spark, folder)
+    cells = ", ".join(f"{c} string" for c in PROJECT_COLUMNS)
+    options = {**BULK_LOAD.reader_options(), "enforceSchema": "true"}
+
+    def load_paths(on_error: str):
+        def run(paths: list[str], files: DataFrame) -> None:
+            rows = spark.read.schema(cells).options(**options).csv(paths)
+            raw = rows.select(F.col("_metadata.file_path").alias("path"), *[
+                null_if(F.col(c), BULK_LOAD.null_tokens).alias(f"_{i + 1}") for i, c in enumerate(PROJECT_COLUMNS)
+            ])
+            load.bulk_load(raw, PROJECT_FIELDS, name, "path", on_error, history_table=history, files=files)
+
+        return run
+
+    steps = [("first load", "continue", False), ("nothing new", "continue", False), ("forced", "continue", True), ("skipped", "skip_file", True)]
+    told = []
+    for step, on_error, force in steps:
+        load.load_new_files(spark, inbox, name, history, load_paths(on_error), force=force)
+        # What a step added to the history: its totals less those before it.
+        totals = spark.table(history).agg(
+            F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows_loaded"), F.lit(0)).alias("rows_loaded"),
+            F.count_if(F.col("status") == "PARTIALLY_LOADED").alias("partial"),
+            F.count_if(F.col("status") == "LOAD_FAILED").alias("failed"),
+        ).first()
+        before = told[-1][1] if told else (0, 0, 0, 0)
+        told.append((step, tuple(totals), tuple(a - b for a, b in zip(totals, before, strict=True))))
+    # The history agrees with what is in the table.
+    assert spark.table(name).count() == told[-1][1][1]
+    return spark.createDataFrame(
+        [(step, *added) for step, _, added in told],
+        "step string, files bigint, rows_loaded bigint, partial bigint, failed bigint",
+    )
+
+
 _HISTORY_SQL = """
 SELECT 'file_' || event_id || '.csv' AS file_name, 'table_' || (user_id % 7) AS table_name,
     CASE event_type WHEN 'error' THEN 'LOAD_FAILED' WHEN 'signup' THEN 'PARTIALLY_LOADED' ELSE 'LOADED' END

@@ -235,13 +235,10 @@ def extract_capped(spark: SparkSession, folder: str) -> DataFrame:
     for name in keys:
         table(spark, folder, name).write.saveAsTable(f"{database}.{name}")
     table(spark, folder, "orders").filter("o_orderstatus = 'X'").write.saveAsTable(f"{database}.none")
-    wanted = {f"{database}.{n}": [k] for n, k in keys.items()}
-    found = nested.extract_tables(
-        spark, {**wanted, f"{database}.none": ["o_orderkey"], f"{database}.missing": ["id"]}
-    )
+    wanted = {n: [k] for n, k in keys.items()}
+    found = nested.extract_tables(spark, database, {**wanted, "none": ["o_orderkey"], "missing": ["id"]}, cap=10_000)
     sums = []
-    for name, rows in found.items():
-        short = name.split(".")[1]
+    for short, rows in found.tables.items():
         path = fresh_folder(spark, f"extract-{short}")
         write_csv(rows.select(keys[short]), path)
         back = read_csv(spark, path, names=[keys[short]])

@@ -6,13 +6,33 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import (
-    INTEGER, ISO_TIME, NUMBER, SLASH_DATE, try_date, try_flag, try_number, try_time,
-)
+from millrace.functions.casts import try_date, try_flag, try_number, try_time
 from millrace.functions.names import clean_name, unique_names
 from millrace.operators import infer
 from millrace.plans.registry import query, table
 
+# What the rules look for, written down here once more for the SQL side.
+NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+INTEGER = r"^[+-]?[0-9]+$"
+ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?)?$"
+ZONED_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,9})?)?(Z|[+-][0-9]{2}:?[0-9]{2})$"
+SLASH_DATE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+YEAR_FIRST_DATE = r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"
+NAMED_MONTH_DATE = r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}$"
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+WORDS = {
+    "date": "date created modified updated timestamp time",
+    "number": "amount price cost budget total sum count number id quantity qty",
+    "flag": "flag is_ has_ active enabled status boolean bool",
+    "email": "email mail",
+    "phone": "phone tel",
+    "link": "url link website",
+    "name": "name",
+    "text": "description desc notes",
+    "comment": "description desc notes comments",
+    "code": "code id",
+}
+
 # A customer table with names and values that meet every inference rule.
 WIDE_CUSTOMER = {
     "Customer ID": "CAST(c_custkey AS STRING)",
@@ -87,34 +107,49 @@ def _long_sql() -> str:
     )
 
 
-_IS_TIME = (
-    f"(regexp_matches(v, '{ISO_TIME}') AND try_cast(v AS TIMESTAMP) IS NOT NULL"
-    f" OR regexp_matches(v, '{SLASH_DATE}') AND try_strptime(v, '%m/%d/%Y') IS NOT NULL)"
-)
+
+
+def time_sql(v: str) -> str:
+    """The moment a text means, in SQL."""
+    return (
+        f"CASE WHEN regexp_matches({v}, '{ISO_TIME}') THEN try_cast({v} AS TIMESTAMP)"
+        f" WHEN regexp_matches({v}, '{ZONED_TIME}') THEN make_timestamp(epoch_us(try_cast({v} AS TIMESTAMPTZ)))"
+        f" WHEN regexp_matches({v}, '{SLASH_DATE}') THEN try_strptime({v}, '%m/%d/%Y')"
+        f" WHEN regexp_matches({v}, '{YEAR_FIRST_DATE}') THEN try_strptime({v}, '%Y/%m/%d')"
+        f" WHEN regexp_matches({v}, '{NAMED_MONTH_DATE}') THEN try_strptime({v}, '%d-%b-%Y') END"
+    )
+
+
+_TIME = time_sql("v")
 _FLAG_SET = "('true', 'false', '1', '0', 'yes', 'no', 'y', 'n')"
 _STATISTICS_SQL = f"""
 SELECT table_name, ordinal::INTEGER AS ordinal, column_name, lower(column_name) AS n,
     count(*) AS rows, count(v) AS filled,
     count(v) > 0 AND coalesce(bool_and(regexp_matches(v, '{NUMBER}')), false) AS all_numbers,
     count(v) > 0 AND coalesce(bool_and(regexp_matches(v, '{INTEGER}')), false) AS all_integers,
-    count(v) > 0 AND coalesce(bool_and({_IS_TIME}), false) AS all_times,
+    count(v) > 0 AND coalesce(bool_and(({_TIME}) IS NOT NULL), false) AS all_times,
+    coalesce(bool_and(({_TIME}) = date_trunc('day', {_TIME})), false) AS all_days,
     count(v) > 0 AND coalesce(bool_and(lower(v) IN {_FLAG_SET}), false) AS all_flags,
     count(v) > 0 AND coalesce(bool_and(lower(v) IN ('true', 'false')), false) AS all_words,
     count(DISTINCT lower(v)) AS kinds,
-    count(v) > 0 AND coalesce(bool_and(regexp_matches(v, '{infer.EMAIL}')), false) AS all_emails,
+    count(v) > 0 AND coalesce(bool_and(regexp_matches(v, '{EMAIL}')), false) AS all_emails,
     max(CASE WHEN regexp_matches(v, '{NUMBER}') THEN try_cast(v AS DOUBLE) END) AS high,
+    max(CASE WHEN regexp_matches(v, '{NUMBER}') THEN abs(try_cast(v AS DOUBLE)) END) AS furthest,
     max(length(v)) AS longest
 FROM ({_long_sql()}) GROUP BY ALL"""
 
 
-def _any_word(words: tuple[str, ...]) -> str:
-    return "(" + " OR ".join(f"contains(n, '{w}')" for w in words) + ")"
+def _any_word(kind: str) -> str:
+    return "(" + " OR ".join(f"contains(n, '{w}')" for w in WORDS[kind].split()) + ")"
 
 
 _WHOLE = "(all_integers AND filled = rows)"
-_SIZE_SQL = "CASE " + " ".join(
-    f"WHEN abs(high) < {bound} THEN 'NUMBER({width})'" for bound, width in infer.DIGITS
-) + " WHEN abs(high) < 1e10 THEN 'NUMBER(10)' ELSE 'NUMBER(38)' END"
+_SIZE_SQL = (
+    "CASE WHEN abs(high) < 10 THEN 'NUMBER(1)' WHEN abs(high) < 100 THEN 'NUMBER(2)'"
+    " WHEN abs(high) < 1000 THEN 'NUMBER(4)' WHEN abs(high) < 10000 THEN 'NUMBER(5)'"
+    " WHEN abs(high) < 100000 THEN 'NUMBER(6)' WHEN abs(high) < 1000000 THEN 'NUMBER(7)'"
+    " WHEN abs(high) < 1e10 THEN 'NUMBER(10)' ELSE 'NUMBER(38)' END"
+)
 _LENGTH_SQL = (
     "CASE WHEN longest <= 50 THEN 'VARCHAR(50)' WHEN longest <= 100 THEN 'VARCHAR(100)'"
     " WHEN longest <= 255 THEN 'VARCHAR(255)' WHEN longest <= 500 THEN 'VARCHAR(500)'"
@@ -125,21 +160,21 @@ _LENGTH_SQL = (
 @query(f"""
 WITH s AS ({_STATISTICS_SQL}),
 e AS (SELECT *, CASE
-    WHEN {_any_word(infer.FLAG_WORDS)} AND all_flags AND kinds <= 4 AND (filled = rows OR NOT all_integers)
+    WHEN {_any_word('flag')} AND all_flags AND kinds <= 4 AND (filled = rows OR NOT all_integers)
         THEN 'BOOLEAN'
-    WHEN {_any_word(infer.NUMBER_WORDS)} AND all_numbers
+    WHEN {_any_word('number')} AND all_numbers
         THEN CASE WHEN {_WHOLE} THEN {_SIZE_SQL} ELSE 'FLOAT' END
-    WHEN {_any_word(infer.DATE_WORDS)} AND all_times THEN 'DATE'
+    WHEN {_any_word('date')} AND all_times THEN CASE WHEN all_days THEN 'DATE' ELSE 'TIMESTAMP' END
     ELSE {_LENGTH_SQL} END AS earlier FROM s)
 SELECT table_name, ordinal, column_name, CASE
     WHEN filled = 0 THEN 'VARCHAR(255)'
-    WHEN {_any_word(infer.EMAIL_WORDS)} THEN CASE WHEN all_emails THEN 'VARCHAR(255)' ELSE earlier END
-    WHEN {_any_word(infer.PHONE_WORDS)} THEN 'VARCHAR(20)'
-    WHEN {_any_word(infer.LINK_WORDS)} THEN 'VARCHAR(500)'
-    WHEN {_any_word(infer.NAME_WORDS)} THEN 'VARCHAR(100)'
-    WHEN {_any_word(infer.TEXT_WORDS)} THEN 'VARCHAR(1000)'
-    WHEN {_any_word(infer.CODE_WORDS)} THEN CASE WHEN NOT all_numbers THEN 'VARCHAR(50)'
-        WHEN abs(high) >= 1e10 THEN 'NUMBER(38)' ELSE 'NUMBER(10)' END
+    WHEN {_any_word('email')} THEN CASE WHEN all_emails THEN 'VARCHAR(255)' ELSE earlier END
+    WHEN {_any_word('phone')} THEN 'VARCHAR(20)'
+    WHEN {_any_word('link')} THEN 'VARCHAR(500)'
+    WHEN {_any_word('name')} THEN 'VARCHAR(100)'
+    WHEN {_any_word('text')} THEN 'VARCHAR(1000)'
+    WHEN {_any_word('code')} THEN CASE WHEN NOT all_numbers THEN 'VARCHAR(50)'
+        WHEN NOT all_integers THEN 'FLOAT' WHEN furthest >= 1e10 THEN 'NUMBER(38)' ELSE 'NUMBER(10)' END
     ELSE earlier END AS inferred_type
 FROM e
 """)
@@ -154,13 +189,13 @@ _NUMBER_OR = "CASE WHEN filled = 0 OR all_numbers THEN CASE WHEN {w} THEN 'NUMBE
 @query(f"""
 WITH s AS ({_STATISTICS_SQL})
 SELECT table_name, ordinal, column_name, CASE
-    WHEN {_any_word(infer.DATE_WORDS)} THEN 'VARCHAR(100)'
-    WHEN {_any_word(infer.NUMBER_WORDS)} THEN {_NUMBER_OR.format(w=_WHOLE, t='VARCHAR(255)')}
-    WHEN {_any_word(infer.EMAIL_WORDS)} THEN 'VARCHAR(255)'
-    WHEN {_any_word(infer.PHONE_WORDS)} THEN 'VARCHAR(50)'
-    WHEN {_any_word(infer.NAME_WORDS)} THEN 'VARCHAR(255)'
-    WHEN {_any_word(infer.TEXT_WORDS + ('comments',))} THEN 'VARCHAR(2000)'
-    WHEN {_any_word(infer.LINK_WORDS)} THEN 'VARCHAR(1000)'
+    WHEN {_any_word('date')} THEN 'VARCHAR(100)'
+    WHEN {_any_word('number')} THEN {_NUMBER_OR.format(w=_WHOLE, t='VARCHAR(255)')}
+    WHEN {_any_word('email')} THEN 'VARCHAR(255)'
+    WHEN {_any_word('phone')} THEN 'VARCHAR(50)'
+    WHEN {_any_word('name')} THEN 'VARCHAR(255)'
+    WHEN {_any_word('comment')} THEN 'VARCHAR(2000)'
+    WHEN {_any_word('link')} THEN 'VARCHAR(1000)'
     WHEN filled = 0 OR longest <= 100 THEN 'VARCHAR(255)' WHEN longest <= 500 THEN 'VARCHAR(1000)'
     ELSE 'VARCHAR(2000)' END AS inferred_type
 FROM s
@@ -172,7 +207,7 @@ def infer_types_generous(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
 WITH s AS ({_STATISTICS_SQL})
 SELECT table_name, ordinal, column_name, CASE
-    WHEN {_any_word(infer.NUMBER_WORDS)} THEN {_NUMBER_OR.format(w=_WHOLE, t='VARCHAR(16777216)')}
+    WHEN {_any_word('number')} THEN {_NUMBER_OR.format(w=_WHOLE, t='VARCHAR(16777216)')}
     ELSE 'VARCHAR(16777216)' END AS inferred_type
 FROM s
 """)
@@ -198,7 +233,7 @@ _APPLIED = {
     "Active_Flag": "c_acctbal > 0",
     "is_open": "c_acctbal > 5000",
     "Signed_Date": WIDE_CUSTOMER["Signed Date"],
-    "Created": "'2024-02-03'",
+    "Created": f"CAST({WIDE_CUSTOMER['Created']} AS TIMESTAMP)",
     "Odd_Date": WIDE_CUSTOMER["Odd Date"],
     "Budget": "c_acctbal",
     "Total_Items": "c_nationkey::BIGINT",
@@ -209,14 +244,15 @@ _APPLIED = {
 }
 
 
-@query("SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _APPLIED.items()) + ", 0 AS _bad_cells FROM customer")
+@query("SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _APPLIED.items()) + ", 0 AS _bad_cells,"
+       " CASE WHEN c_custkey < 10000 THEN 1 ELSE 0 END AS _changed_cells FROM customer")
 def apply_types(spark: SparkSession, folder: str) -> DataFrame:
-    """The inferred types applied under clean names."""
+    """The inferred types, with room for negative numbers, applied under clean names."""
     rows = text_source(spark, folder, "customer")
-    found = infer.mapping_of(infer.infer_by_name_and_data(infer.column_statistics(rows, "customer")))
+    found = infer.mapping_of(infer.infer_by_name_and_data(infer.column_statistics(rows, "customer"), widest=True))
     clean = unique_names([clean_name(c) for c in found])
     typed = infer.apply_types(rows, found, dict(zip(found, clean, strict=True)))
-    return typed.select(*_APPLIED, "_bad_cells")
+    return typed.select(*_APPLIED, "_bad_cells", "_changed_cells")
 
 
 _RAW_NUMBER = (
@@ -224,8 +260,11 @@ _RAW_NUMBER = (
     " WHEN 3 THEN CAST(o_custkey AS STRING) || '.125' ELSE '' END"
 )
 _RAW_DATE = (
-    "CASE o_orderkey % 5 WHEN 0 THEN substring(CAST(o_orderdate AS STRING), 1, 10)"
+    "CASE o_orderkey % 10 WHEN 0 THEN substring(CAST(o_orderdate AS STRING), 1, 10)"
     " WHEN 1 THEN '2024-02-30' WHEN 2 THEN '1998' WHEN 3 THEN '02/03/1999'"
+    " WHEN 4 THEN replace(substring(CAST(o_orderdate AS STRING), 1, 10), '-', '/') WHEN 5 THEN '05-Jan-2024'"
+    " WHEN 6 THEN substring(CAST(o_orderdate AS STRING), 1, 10) || 'T23:30:15Z'"
+    " WHEN 7 THEN substring(CAST(o_orderdate AS STRING), 1, 10) || ' 23:30:15.5-05:30' WHEN 8 THEN '31-feb-2024'"
     " ELSE substring(CAST(o_orderdate AS STRING), 1, 10) || ' 12:30:00' END"
 )
 _RAW_FLAG = "CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'n' ELSE 'maybe' END"
@@ -236,10 +275,7 @@ WITH r AS (SELECT o_orderkey, {_RAW_NUMBER} AS x, {_RAW_DATE} AS v, {_RAW_FLAG}
 SELECT o_orderkey,
     CASE WHEN regexp_matches(x, '{NUMBER}') THEN try_cast(x AS DECIMAL(18, 2)) END::VARCHAR AS amount,
     CASE WHEN regexp_matches(x, '{NUMBER}') THEN round(try_cast(x AS DECIMAL(18, 4)))::BIGINT END AS whole,
-    CASE WHEN regexp_matches(v, '{ISO_TIME}') THEN try_cast(v AS TIMESTAMP)
-        WHEN regexp_matches(v, '{SLASH_DATE}') THEN try_strptime(v, '%m/%d/%Y') END AS moment,
-    CASE WHEN regexp_matches(v, '{ISO_TIME}') THEN try_cast(v AS TIMESTAMP)
-        WHEN regexp_matches(v, '{SLASH_DATE}') THEN try_strptime(v, '%m/%d/%Y') END::DATE::VARCHAR AS day,
+    ({_TIME})::TIMESTAMP AS moment, ({_TIME})::DATE::VARCHAR AS day,
     CASE f WHEN 'Yes' THEN true WHEN 'n' THEN false END AS flag
 FROM r
 """)
