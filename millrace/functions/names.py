@@ -34,9 +34,8 @@ def clean_name(name: str, policy: NamePolicy = NamePolicy.STRICT) -> str:
     if policy is NamePolicy.LIGHT:
         return re.sub("[ -]", "_", name)
     if policy is NamePolicy.PREFIXED:
-        name = re.sub("[ :.-]", "_", name)
-        word = all(c.isalnum() or c == "_" for c in name) and name[:1].isalpha()
-        return name if word else "_" + "".join(c if c.isalnum() else "_" for c in name)
+        plain = name[:1].isalpha() and re.fullmatch(r"[\w :.-]+", name)
+        return ("" if plain else "_") + re.sub(r"\W", "_", name)
     name = re.sub("[^A-Za-z0-9]+", "_", name).strip("_")
     return re.sub("^(?=[0-9])", DIGIT_PREFIX, name) or UNNAMED
 

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import cast_to
+from millrace.functions.casts import cast_to, spark_type
 from millrace.operators.tables import append
 from millrace.sources.files import ANY_CSV, list_files, matches
 from millrace.workspace import scratch_tables
@@ -223,6 +223,12 @@ def load_report(
     )
 
 
+def create_target(spark: SparkSession, table: str, fields: Sequence[Field]) -> None:
+    """An empty table with the columns that a load of ``fields`` fills."""
+    columns = ", ".join(f"`{f.name}` {spark_type(f.type)}" for f in fields)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
+
+
 def create_history(spark: SparkSession, history_table: str) -> None:
     """An empty load history."""
     spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").saveAsTable(history_table)

@@ -49,10 +49,7 @@ def _raw_projects(spark: SparkSession, folder: str) -> DataFrame:
 
 def _empty_project_table(spark: SparkSession, database: str) -> str:
     name = f"{database}.projects"
-    spark.sql(
-        f"CREATE TABLE {name} (project_name STRING, project_id STRING, created_date DATE,"
-        " budget DOUBLE, status STRING) USING parquet"
-    )
+    load.create_target(spark, name, PROJECT_FIELDS)
     return name
 
 

@@ -13,7 +13,7 @@ from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows
 from millrace.operators.clean import clean_table
 from millrace.sources.csv import MULTI_LINE, READER_DEFAULTS, CsvFormat, read_csv, spread
 from millrace.sources.files import list_files, resolve_files
-from millrace.spec import TableSpec
+from millrace.spec import TableName, TableSpec
 from millrace.workspace import scratch_tables
 
 
@@ -27,6 +27,15 @@ def inbox_entries(spark: SparkSession, inbox: str) -> DataFrame:
     return names.withColumn("ordinal", F.col("name"))
 
 
+def target_of(spark: SparkSession, spec: TableSpec, database: str) -> str:
+    """The catalog table of a spec: in ``database``, or where a three-part name says."""
+    if "." not in spec.name:
+        return f"{database}.{spec.name}"
+    name = TableName.parse(spec.name)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.catalog_database}")
+    return name.catalog_name
+
+
 def load_table(
     spark: SparkSession, spec: TableSpec, path: str, database: str, fmt: CsvFormat | None = None,
     mapping_table: str | None = None,
@@ -53,7 +62,7 @@ def load_table(
             F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"),
             F.coalesce(F.sum("_changed_cells"), F.lit(0)).alias("changed"),
         ).first()
-        outcome = tables.recreate(typed.drop("_bad_cells", "_changed_cells"), f"{database}.{spec.name}", cells.rows)
+        outcome = tables.recreate(typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), cells.rows)
         if mapping_table:
             infer.save_mapping(inferred, names, spec.name, mapping_table)
     expected = spec.expected_rows

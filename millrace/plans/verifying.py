@@ -12,7 +12,7 @@ from millrace.plans.cleaning import CUSTOMER_DIRTY, dirty_customer
 from millrace.plans.landing import PROJECT_COLUMNS, landed, project_csv
 from millrace.plans.loading import PROJECT_FIELDS, _BAD
 from millrace.plans.registry import query, table
-from millrace.operators.load import bulk_load
+from millrace.operators.load import bulk_load, create_target
 from millrace.sources.csv import BULK_LOAD, read_csv
 from millrace.sources.files import list_files, partition_value
 from millrace.workspace import fresh_database
@@ -88,9 +88,7 @@ UNION ALL SELECT 'copy', count(*), count(*), true, 6, 100.0::DOUBLE, true FROM o
 def verify_source(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of landed files against rows that arrived in the tables."""
     database = fresh_database(spark, "verify")
-    fields = ", ".join(f"{f.name} {'DATE' if f.type == 'DATE' else 'DOUBLE' if f.type == 'FLOAT' else 'STRING'}"
-                       for f in PROJECT_FIELDS)
-    spark.sql(f"CREATE TABLE {database}.projects ({fields}) USING parquet")
+    create_target(spark, f"{database}.projects", PROJECT_FIELDS)
     raw = read_csv(spark, project_csv(spark, folder), BULK_LOAD, names=PROJECT_COLUMNS)
     renamed = raw.withColumnsRenamed({c: f"_{i + 1}" for i, c in enumerate(PROJECT_COLUMNS)})
     bulk_load(renamed, PROJECT_FIELDS, f"{database}.projects", "batch")
