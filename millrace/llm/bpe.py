@@ -30,7 +30,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
 # Below this code point all Unicode versions agree on letters, numbers and white space. Texts with
 # later characters are cut by the tokenizers library, whose tables are the yardstick.
 SAME_CLASSES = 0x558
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
+ROWS = 128  # texts whose Python objects are held at a time
 LONGEST_CACHED = 64
 
 
@@ -190,7 +191,9 @@ def encode_column(shared: SharedVocabulary, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            yield pa.array([None if t is None else codec.encode(t) for t in batch.to_pylist()], pa.list_(pa.int32()))
+            yield in_parts(
+                batch, lambda texts: pa.array([None if t is None else codec.encode(t) for t in texts], pa.list_(pa.int32()))
+            )
 
     return F.arrow_udf(_typed(run), "array<int>")(text)
 
@@ -201,11 +204,25 @@ def decode_column(shared: SharedVocabulary, ids: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            yield pa.array([None if i is None else codec.decode(i) for i in batch.to_pylist()], pa.string())
+            yield in_parts(
+                batch, lambda rows: pa.array([None if i is None else codec.decode(i) for i in rows], pa.string())
+            )
 
     return F.arrow_udf(_typed(run), "string")(ids)
 
 
+def both(codec: Codec, texts: list[str]) -> pa.Array:
+    ids = [codec.encode(t) for t in texts]
+    return pa.StructArray.from_arrays(
+        [pa.array(ids, pa.list_(pa.int32())), pa.array(map(codec.decode, ids), pa.string())], ["ids", "text"]
+    )
+
+
+def in_parts(batch: pa.Array, run) -> pa.Array:
+    """One array from a function of some rows at a time, so that few Python objects are alive at once."""
+    return pa.concat_arrays([run(batch.slice(at, ROWS).to_pylist()) for at in range(0, max(len(batch), 1), ROWS)])
+
+
 def _typed(run):
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return run
@@ -240,9 +257,6 @@ def _encode_decode(shared: SharedVocabulary, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            ids = [codec.encode(t) for t in batch.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [pa.array(ids, pa.list_(pa.int32())), pa.array(map(codec.decode, ids), pa.string())], ["ids", "text"]
-            )
+            yield in_parts(batch, lambda texts: both(codec, texts))
 
     return F.arrow_udf(_typed(run), "struct<ids:array<int>,text:string>")(text)

@@ -40,21 +40,10 @@ TOLERANCE = 1e-9
 BLOCK = 1024
 # Shingles in a block; bounds a task's memory where texts are long.
 BLOCK_SHINGLES = 2_000_000
-BROADCAST_ROWS = 1_000_000
-CACHED_WORDS = 300_000
+# Rows of a table that may be broadcast: some 25 MB as a hash table.
+BROADCAST_ROWS = 250_000
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, kept up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,7 +58,7 @@ def shingle_set(text: str, size: int = SHINGLE) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()  # white space: U+0020, U+0009 to U+000D
     if not words:
         return np.empty(0, np.uint64)
-    each = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    each = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     windows = max(len(each) - size + 1, 1)
     rolled = np.full(windows, len(each) if len(each) < size else size, np.uint64)
     for k in range(min(size, len(each))):
@@ -350,8 +339,8 @@ def links_between(
     one = sketches.where("_n > 0").join(classes, ["_s1", "_s2"]).where(
         (F.col("_id") == F.col("_node")) | F.col("_id").isNull()
     )
-    nodes = one.groupBy("_node").agg(F.min("_sig").alias("_sig"), F.min("_n").alias("_n"), F.min("_bands").alias("_bands"))
-    nodes = cut_lineage(nodes, "nodes")
+    nodes = one.groupBy("_node").agg(F.min(F.struct("_n", "_sig", "_bands")).alias("_one"))
+    nodes = cut_lineage(nodes.select("_node", "_one.*"), "nodes")
     banded = nodes.select("_node", F.explode("_bands").alias("_bucket"))
     buckets = banded.groupBy("_bucket").agg(F.count("*").alias("_members")).where("_members > 1")
     buckets = cut_lineage(buckets.withColumn("_blocks", F.ceil(F.col("_members") / BLOCK)), "buckets")
@@ -371,8 +360,10 @@ def links_between(
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t or "", size).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["_node", "_set"])
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sets = [shingle_set(t or "", size).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["_node", "_set"])
 
     sets = texts.mapInArrow(shingles, "_node long, _set binary").dropDuplicates(["_node"])
     sizes = clusters.join(nodes.select("_node", "_n"), "_node").groupBy("_cluster").agg(
@@ -398,7 +389,8 @@ def similar_documents(
     component that these links make.
 
     Null and blank texts have no shingles: they are one class without links. Repeated rows are copies
-    and all stay. Ids are whole numbers; rows that share an id are one document. Rows without an id are
+    and all stay. Ids are whole numbers; rows that share an id are one document, for which one of its texts
+    stands where they differ. Rows without an id are
     classed by their text like all others; where a class has no id at all, a negative number stands for
     it, and its links are not looked for, as nothing names its text. Other columns are ignored. An empty
     table gives an empty table.

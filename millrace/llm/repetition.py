@@ -128,7 +128,10 @@ def measures_column(text, least: int):
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([measure(t, least) for t in batch.to_pylist()], whole)
+            yield pa.concat_arrays(
+                pa.array([measure(t, least) for t in batch.slice(at, 256).to_pylist()], whole)
+                for at in range(0, max(len(batch), 1), 256)
+            )
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, kind)(text)
