@@ -177,14 +177,19 @@ def small_pairs(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.triu_indices(n, 1)
 
 
-def pairs_of(starts: np.ndarray, ends: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs within groups of rows; where a group joins two blocks, the pairs across them only."""
+def pairs_of(
+    starts: np.ndarray, ends: np.ndarray, lo: np.ndarray, hi: np.ndarray, side: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within groups of rows; where a group joins two blocks, the pairs across them only.
+
+    A block that meets an empty one makes no pairs: those within it belong to its group with itself.
+    """
     left, right = [], []
     for s, e in zip(starts.tolist(), ends.tolist()):
-        first = side[s:e] == 0
-        if first.all():
+        if lo[s] == hi[s]:
             i, j = small_pairs(e - s) if e - s <= 64 else np.triu_indices(e - s, 1)
         else:
+            first = side[s:e] == 0
             one, other = np.flatnonzero(first), np.flatnonzero(~first)
             i, j = np.repeat(one, len(other)), np.tile(other, len(one))
         left.append(i + s)
@@ -245,8 +250,8 @@ def bucket_forest(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterat
         many = ends - starts > 1
         if not many.any():
             continue
-        side, node = table.column(3).to_numpy(), table.column(4).to_numpy()
-        i, j = pairs_of(starts[many], ends[many], side)
+        lo, hi, side, node = (table.column(k).to_numpy() for k in (1, 2, 3, 4))
+        i, j = pairs_of(starts[many], ends[many], lo, hi, side)
         i, j = surviving(signature_rows(table.column(5)), i, j, threshold)
         names, place = np.unique(node, return_inverse=True)
         used = np.unique(np.concatenate([i, j]))
@@ -284,12 +289,12 @@ def cluster_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterat
     """Rows (cluster, lo, hi, side, node, signature, shingles) -> (node, root, links) per group."""
     for table, starts in whole_groups(batches, 3):
         ends = np.append(starts[1:], table.num_rows)
-        side, node = table.column(3).to_numpy(), table.column(4).to_numpy()
+        lo, hi, side, node = (table.column(k).to_numpy() for k in (1, 2, 3, 4))
         nodes, roots, links = [], [], []
         for s, e in zip(starts.tolist(), ends.tolist()):
             if e - s < 2:
                 continue
-            i, j = pairs_of(np.array([0]), np.array([e - s]), side[s:e])
+            i, j = pairs_of(np.array([0]), np.array([e - s]), lo[s:e], hi[s:e], side[s:e])
             part = table.slice(s, e - s)
             i, j = surviving(signature_rows(part.column(5)), i, j, threshold)
             sets = [np.frombuffer(x, np.uint64) for x in part.column(6).to_pylist()]

@@ -63,6 +63,14 @@ def test_against_brute_force(spark, rows, monkeypatch, block):
     assert sum(w[2] for w in want.values()) > 100
 
 
+def test_links_count_once_where_blocks_are_empty(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 300)  # 16 blocks for 12 near copies: some hold two, some none
+    base = prose(5, 400).split()
+    near = [(k, " ".join([*base[:-1], f"new{k}"])) for k in range(12)]
+    got = jaccard_join.similar_documents(documents(spark, near)).collect()
+    assert {r["doc_id"]: (r["class_id"], r["copy_of"], r["n_links"]) for r in got} == brute(near)
+
+
 def test_one_of_each_class_stays(spark, rows):
     given = documents(spark, rows + [(None, "no id here at all")])
     kept = jaccard_join.drop_similar(given)
