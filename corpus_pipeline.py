@@ -26,8 +26,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites go but once; documents that thereby lose all their words go too."""
-    rest = line_dedup.remove_boilerplate(docs, removed="_n_removed")
+    """Lines that stand on many sites (long ones: on three) go but once; documents that thereby lose all their words go too."""
+    rest = line_dedup.remove_boilerplate(docs, removed="_n_removed", by_length=True)
     left = rest.where((F.col("_n_removed") == 0) | (F.size(words_of(F.col("text"))) > 0))
     changed = F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", changed).select(docs.columns)

@@ -8,6 +8,10 @@ removed from all documents but the first that has them, so no text is lost altog
 
 Sketches, exact counts and removal read all lines of all documents; only lines near or above the
 threshold go on after the first aggregation.
+
+The threshold is one number for all lines, or falls with a line's length (``by_length``): long lines do not
+meet by chance, so from ``LONG_WORDS`` words on ``LONG_SITES`` sites are enough, and between ``FALLS_FROM``
+words and these the number falls evenly.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from millrace.workspace import cut_lineage
 
 MIN_SITES = 10
 MIN_WORDS = 3
+FALLS_FROM = 10  # words up to which a line needs ``min_sites`` sites, where the number falls with the length
+LONG_WORDS, LONG_SITES = 50, 3
 # Registers of a sketch as a power of two; the standard error is 1.04 / sqrt(2 ** 8) = 6.5 per cent.
 SKETCH_BITS = 8
 BAND = 0.26
@@ -36,35 +42,49 @@ def hashes(*parts: Column) -> list[Column]:
     return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit(1), *parts).alias("_h2")]
 
 
-def lines_of(documents: DataFrame, doc_id: str, text: str, site: str, min_words: int) -> DataFrame:
-    """All lines of enough words: place (document key, id, position), site and line hash."""
+def sites_needed(words: Column, min_sites: int, by_length: bool) -> Column:
+    """The distinct sites that make a line of so many words boilerplate."""
+    if not by_length:
+        return F.lit(min_sites)
+    least = min(LONG_SITES, min_sites)
+    fall = F.floor((words - FALLS_FROM) * (min_sites - least) / (LONG_WORDS - FALLS_FROM))
+    return F.greatest(F.lit(least), F.least(F.lit(min_sites), min_sites - fall)).cast("int")
+
+
+def lines_of(
+    documents: DataFrame, doc_id: str, text: str, site: str, min_sites: int, min_words: int, by_length: bool
+) -> DataFrame:
+    """All lines of enough words: place (document key, id, position), site, sites needed and line hash."""
     rows = documents.select(
         named(doc_id).alias("_doc"), named(site).cast("string").alias("_site"),
         *[h.alias(n) for h, n in zip(hashes(named(doc_id), named(text)), ("_d1", "_d2"))],
         F.posexplode_outer(F.split(named(text), "\n")).alias("_pos", "_line"),
     )
     line = rows.withColumn("_line", trimmed(F.col("_line")))
-    return line.where(F.size(F.split("_line", r"[\x20\x09-\x0D]+")) >= min_words).select(
-        "_doc", "_site", "_d1", "_d2", "_pos", *hashes(F.col("_line"))
+    words = F.size(F.split("_line", r"[\x20\x09-\x0D]+"))
+    return line.where(words >= min_words).select(
+        "_doc", "_site", "_d1", "_d2", "_pos", sites_needed(words, min_sites, by_length).alias("_needed"),
+        *hashes(F.col("_line"))
     )
 
 
 def boilerplate_lines(
     documents: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
-    doc_id: str = "doc_id", text: str = "text", site: str = "source",
+    doc_id: str = "doc_id", text: str = "text", site: str = "source", by_length: bool = False,
 ) -> DataFrame:
-    """Hashes (_h1, _h2) of the lines that stand on at least ``min_sites`` distinct sites."""
-    lines = lines_of(documents, doc_id, text, site, min_words)
+    """Hashes (_h1, _h2) of the lines that stand on as many distinct sites as they need."""
+    lines = lines_of(documents, doc_id, text, site, min_sites, min_words, by_length)
     spread = lines.groupBy("_h1", "_h2").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(SKETCH_BITS))).alias("_sites")
+        F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(SKETCH_BITS))).alias("_sites"),
+        F.max("_needed").alias("_needed"),
     )
-    wide = cut_lineage(spread.where(F.col("_sites") >= (1 - BAND) * min_sites), "spread")
-    sure = wide.where(F.col("_sites") > (1 + BAND) * min_sites).select("_h1", "_h2")
-    near = wide.where(F.col("_sites") <= (1 + BAND) * min_sites).select("_h1", "_h2")
+    wide = cut_lineage(spread.where(F.col("_sites") >= (1 - BAND) * F.col("_needed")), "spread")
+    sure = wide.where(F.col("_sites") > (1 + BAND) * F.col("_needed")).select("_h1", "_h2")
+    near = wide.where(F.col("_sites") <= (1 + BAND) * F.col("_needed")).select("_h1", "_h2")
     exact = (
         lines.join(broadcast_if_small(near, BROADCAST_ROWS), ["_h1", "_h2"], "left_semi")
-        .groupBy("_h1", "_h2").agg(F.count_distinct("_site").alias("_sites"))
-        .where(F.col("_sites") >= min_sites)
+        .groupBy("_h1", "_h2").agg(F.count_distinct("_site").alias("_sites"), F.max("_needed").alias("_needed"))
+        .where(F.col("_sites") >= F.col("_needed"))
     )
     return cut_lineage(sure.unionByName(exact.select("_h1", "_h2")), "boilerplate")
 
@@ -72,20 +92,22 @@ def boilerplate_lines(
 def remove_boilerplate(
     documents: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
     doc_id: str = "doc_id", text: str = "text", site: str = "source", removed: str = "n_removed",
+    by_length: bool = False,
 ) -> DataFrame:
     """``documents`` without boilerplate lines; ``removed`` has the number of lines each text lost.
 
     A line is what stands between line feeds, without white space at its edges; lines of fewer than
-    ``min_words`` words are never boilerplate, as short sentences meet by chance. The first occurrence
-    stays (smallest id, null first, then position). A null site adds no site; a null text stays null and
+    ``min_words`` words are never boilerplate, as short sentences meet by chance. With ``by_length`` the
+    sites that a line needs fall with its length, else all need ``min_sites``. The first occurrence stays (smallest id, null first, then position). A null site adds no site; a null text stays null and
     loses nothing; an empty text stays empty. Rows with equal id and text are one document: they lose
     the same lines and all stay. Other columns pass through; one named like ``removed`` gives way to it.
     An empty table gives an empty table.
     """
     require(documents, doc_id, text, site)
-    boilerplate = boilerplate_lines(documents, min_sites, min_words, doc_id, text, site)
+    boilerplate = boilerplate_lines(documents, min_sites, min_words, doc_id, text, site, by_length)
     marked = broadcast_if_small(boilerplate, BROADCAST_ROWS)
-    hits = lines_of(documents, doc_id, text, site, min_words).drop("_site").join(marked, ["_h1", "_h2"])
+    lines = lines_of(documents, doc_id, text, site, min_sites, min_words, by_length)
+    hits = lines.drop("_site", "_needed").join(marked, ["_h1", "_h2"])
     first = hits.groupBy("_h1", "_h2").agg(F.min(F.struct("_doc", "_pos", "_d1", "_d2")).alias("_first"))
     first = cut_lineage(first.select("_h1", "_h2", "_first.*"), "first").toDF("_h1", "_h2", "_f0", "_f1", "_f2", "_f3")
     others = hits.join(broadcast_if_small(first, BROADCAST_ROWS), ["_h1", "_h2"]).where(

@@ -1,9 +1,10 @@
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
 from millrace.llm import line_dedup
-from tests.llm.helpers import documents
+from tests.llm.helpers import documents, prose
 
 
 def brute(rows, min_sites, min_words):
@@ -49,3 +50,34 @@ def test_near_threshold_lines_are_counted_exactly(spark):
     out = {r["doc_id"]: r["n_removed"] for r in line_dedup.remove_boilerplate(documents(spark, rows)).collect()}
     assert [out[i] for i in range(12)] == [0] * 12
     assert [out[20 + i] for i in range(10)] == [0] + [1] * 9
+
+
+def test_long_passages_need_fewer_sites(spark):
+    draw, rows = random.Random(6), []
+    for p in range(30):  # copies of long passages; the hot site holds a third of all rows
+        for _ in range(draw.choice([4, 8, 20])):
+            site = "hot" if draw.random() < 1 / 3 else f"s{draw.randrange(19)}"
+            rows.append((len(rows), f"own text {len(rows)} here\n{prose(p, 60, 10**6)}", site))
+    for k, n in ((9, 10), (10, 9), (30, 10), (30, 7), (30, 6), (60, 2)):  # sites a line of k words stands on: n
+        rows += [(len(rows) + i, f"edge {k} {n} {prose(k * 100 + n, k - 3)}", f"s{i}") for i in range(n)]
+    sites = defaultdict(set)
+    for _, t, s in rows:
+        sites[t.split("\n")[-1]].add(s)
+    need = lambda line: max(3, min(10, 10 - (len(line.split()) - 10) * 7 // 40))
+    want, seen = {}, set()
+    for i, t, _ in rows:
+        line = t.split("\n")[-1]
+        want[i] = int(line in seen and len(sites[line]) >= need(line))
+        seen.add(line)
+    got = line_dedup.remove_boilerplate(documents(spark, rows), by_length=True)
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == want
+    fixed = line_dedup.remove_boilerplate(documents(spark, rows))
+    assert fixed.agg(F.sum("n_removed")).first()[0] < sum(want.values())
+
+
+def test_pipeline_uses_the_falling_threshold(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"own text {i}\n{prose(1, 60)}", f"s{i}") for i in range(3)]
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, documents(spark, rows), "").collect()}
+    assert [len(left[i].split("\n")) for i in range(3)] == [2, 1, 1]
