@@ -11,7 +11,8 @@ threshold go on after the first aggregation.
 
 The threshold is one number for all lines, or falls with a line's length (``by_length``): long lines do not
 meet by chance, so from ``LONG_WORDS`` words on ``LONG_SITES`` sites are enough, and between ``FALLS_FROM``
-words and these the number falls evenly.
+words and these the number falls evenly. Lines of fewer than ``min_words`` words do, so there they need
+``SHORT_FACTOR`` times the sites; without ``by_length`` they are left out.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ MIN_SITES = 10
 MIN_WORDS = 3
 FALLS_FROM = 10  # words up to which a line needs ``min_sites`` sites, where the number falls with the length
 LONG_WORDS, LONG_SITES = 50, 3
+SHORT_FACTOR = 2  # times the sites that a line of fewer than ``min_words`` words needs there
 # Registers of a sketch as a power of two; the standard error is 1.04 / sqrt(2 ** 8) = 6.5 per cent.
 SKETCH_BITS = 8
 BAND = 0.26
@@ -42,19 +44,20 @@ def hashes(*parts: Column) -> list[Column]:
     return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit(1), *parts).alias("_h2")]
 
 
-def sites_needed(words: Column, min_sites: int, by_length: bool) -> Column:
+def sites_needed(words: Column, min_sites: int, min_words: int, by_length: bool) -> Column:
     """The distinct sites that make a line of so many words boilerplate."""
     if not by_length:
         return F.lit(min_sites)
     least = min(LONG_SITES, min_sites)
     fall = F.floor((words - FALLS_FROM) * (min_sites - least) / (LONG_WORDS - FALLS_FROM))
-    return F.greatest(F.lit(least), F.least(F.lit(min_sites), min_sites - fall)).cast("int")
+    enough = F.greatest(F.lit(least), F.least(F.lit(min_sites), min_sites - fall))
+    return F.when(words < min_words, SHORT_FACTOR * min_sites).otherwise(enough).cast("int")
 
 
 def lines_of(
     documents: DataFrame, doc_id: str, text: str, site: str, min_sites: int, min_words: int, by_length: bool
 ) -> DataFrame:
-    """All lines of enough words: place (document key, id, position), site, sites needed and line hash."""
+    """All lines that may be boilerplate: place (document key, id, position), site, sites needed and line hash."""
     rows = documents.select(
         named(doc_id).alias("_doc"), named(site).cast("string").alias("_site"),
         *[h.alias(n) for h, n in zip(hashes(named(doc_id), named(text)), ("_d1", "_d2"))],
@@ -62,8 +65,9 @@ def lines_of(
     )
     line = rows.withColumn("_line", trimmed(F.col("_line")))
     words = F.size(F.split("_line", r"[\x20\x09-\x0D]+"))
-    return line.where(words >= min_words).select(
-        "_doc", "_site", "_d1", "_d2", "_pos", sites_needed(words, min_sites, by_length).alias("_needed"),
+    counted = F.col("_line") != "" if by_length else words >= min_words
+    return line.where(counted).select(
+        "_doc", "_site", "_d1", "_d2", "_pos", sites_needed(words, min_sites, min_words, by_length).alias("_needed"),
         *hashes(F.col("_line"))
     )
 
@@ -98,7 +102,8 @@ def remove_boilerplate(
 
     A line is what stands between line feeds, without white space at its edges; lines of fewer than
     ``min_words`` words are never boilerplate, as short sentences meet by chance. With ``by_length`` the
-    sites that a line needs fall with its length, else all need ``min_sites``. The first occurrence stays (smallest id, null first, then position). A null site adds no site; a null text stays null and
+    sites that a line needs fall with its length and short lines need more, empty ones aside; else all
+    need ``min_sites``. The first occurrence stays (smallest id, null first, then position). A null site adds no site; a null text stays null and
     loses nothing; an empty text stays empty. Rows with equal id and text are one document: they lose
     the same lines and all stay. Other columns pass through; one named like ``removed`` gives way to it.
     An empty table gives an empty table.

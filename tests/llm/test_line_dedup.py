@@ -75,6 +75,15 @@ def test_long_passages_need_fewer_sites(spark):
     assert fixed.agg(F.sum("n_removed")).first()[0] < sum(want.values())
 
 
+def test_short_lines_need_more_sites(spark):
+    rows = [(i, f"own text {i}\n\n{'Les.' if i < 20 else 'Nur.'}\n{'And ornd.' if i else ''}", f"s{i}") for i in range(39)]
+    got = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.remove_boilerplate(documents(spark, rows), by_length=True).collect()}
+    # 'Les.' stands on 20 sites, 'Nur.' on 19, 'And ornd.' on 38; empty lines stay.
+    assert got[0] == ["own text 0", "", "Les.", ""] and got[1] == ["own text 1", "", "And ornd."]
+    assert all(got[i] == [f"own text {i}", ""] for i in range(2, 20))
+    assert all(got[i] == [f"own text {i}", "", "Nur."] for i in range(20, 39))
+
+
 def test_pipeline_uses_the_falling_threshold(spark):
     import corpus_pipeline
 
