@@ -4,11 +4,11 @@ Base matches (email, ip, card, phone) are found by regular expressions, leftmost
 kind; their places come from the lengths of matches and of the pieces between them, by a running sum.
 Matches that fail their check (parts of an ip, Luhn, number of digits) are dropped.
 
-The valid base spans are the seeds. Identifier-like words (six digits, or an ``@``) that overlap a seed
-are seed instances; the words before and after an instance are its lexical patterns. Spark scores the
-graph of patterns and instances in rounds: a pattern's score is the mean score of its distinct instances
-(smoothed), an instance's is the noisy-or of its patterns with enough seeds. Instances beyond the seeds
-that reach ``ADDED`` are unseen identifiers, spans of kind ``id``.
+The valid base spans are the seeds. An instance is a run of identifier-like words (with a digit, or an ``@``):
+all words of one seed, or else such words in a row that no seed overlaps. The words before and after an
+instance are its lexical patterns. Spark scores the graph of patterns and instances in rounds: a pattern's
+score is the mean score of its distinct instances (smoothed), an instance's is the noisy-or of its patterns
+with enough trusted instances, which are the seeds and what earlier rounds found. Instances beyond the seeds that reach ``ADDED`` are unseen identifiers, spans of kind ``id``.
 
 Only built-in expressions are used. Patterns have possessive loops, and may start at the edge of a run
 only, so very long runs cost no more than a pass. The tables after the scan hold matches, not texts; hot
@@ -35,10 +35,10 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 ADDED_KIND = "id"
 GAP = r"\x20\x09-\x0D"
-# A whole word with an @ inside or six digits.
-CANDIDATE = rf"(?<![^{GAP}])(?=[^{GAP}@]++@[^{GAP}]|(?:[^{GAP}0-9]*+[0-9]){{6}})[^{GAP}]++"
+# A whole word with an @ inside or a digit.
+CANDIDATE = rf"(?<![^{GAP}])(?=[^{GAP}@]++@[^{GAP}]|[^{GAP}0-9]*+[0-9])[^{GAP}]++"
 ROUNDS = 3
-SUPPORT = 5  # distinct seeds a pattern needs
+SUPPORT = 5  # distinct trusted instances a pattern needs
 TRUSTED = 0.8  # score a pattern needs
 ADDED = 0.95  # score an instance needs
 
@@ -116,41 +116,73 @@ def base_spans(rows: DataFrame) -> DataFrame:
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(_d1, _d2, nth, instance, left, right, start, end) of identifier-like words."""
+    """(_d1, _d2, nth, match, near, left, right, start, end) of identifier-like words.
+
+    ``near`` says that nothing but white space stands between a word and the one before it here.
+    """
+    blank = rf"^[{GAP}]*+$"
     left = F.regexp_extract("before", rf"(?<![^{GAP}])([^{GAP}]++)[{GAP}]++$", 1)
     right = F.regexp_extract("after", rf"^[{GAP}]++([^{GAP}]++)", 1)
     found = matches_of(rows, {"": CANDIDATE}).select(
         "_d1", "_d2", "kind", "nth", "match", F.length("before").cast("long").alias("gap"),
-        F.when(left != "", F.lower(left)).when(F.col("nth") == 0, "^").otherwise("#").alias("left"),
-        F.when(right != "", F.lower(right)).otherwise("#").alias("right"),
+        ((F.col("nth") > 0) & F.rlike("before", F.lit(blank))).alias("near"),
+        F.when(left != "", F.lower(left)).when(F.col("nth") == 0, "^").alias("left"),
+        F.when(right != "", F.lower(right)).alias("right"),
+    )
+    where = placed(found)
+    order = Window.partitionBy("_d1", "_d2").orderBy("nth")
+    # Where the next word is such a word too, it is not in the pieces between.
+    return where.select(
+        "_d1", "_d2", "nth", "match", "near",
+        F.coalesce("left", F.lower(F.lag("match").over(order)), F.lit("#")).alias("left"),
+        F.coalesce("right", F.lower(F.lead("match").over(order)), F.lit("#")).alias("right"), "start", "end",
     )
-    lead = F.length(F.regexp_extract("match", r"^[^A-Za-z0-9+(]*+", 0))
-    core = F.regexp_replace(F.substring("match", lead + 1, F.length("match")), r"[^A-Za-z0-9]++$", "")
-    where = placed(found).withColumn("instance", core).withColumn("start", F.col("start") + lead)
-    # A word of nothing but marks keeps its place; its instance is empty and never added.
-    where = where.withColumn("end", F.col("start") + F.length("instance"))
-    return where.select("_d1", "_d2", "nth", "instance", "left", "right", "start", "end")
 
 
 def with_seeds(found: DataFrame, base: DataFrame) -> DataFrame:
-    """Candidates with ``seed``: whether a base span overlaps them. One pass in order of place."""
+    """Candidates with ``seed``, whether a base span overlaps them, and ``joined``, whether one that began
+    before them does. One pass in order of place."""
     none = F.lit(None)
     rows = found.select(
         "*", none.cast("long").alias("base_start"), none.cast("long").alias("base_end"), F.lit(1).alias("_turn")
     ).unionByName(
         base.select(
-            "_d1", "_d2", none.cast("int").alias("nth"), none.cast("string").alias("instance"),
+            "_d1", "_d2", none.cast("int").alias("nth"), none.cast("string").alias("match"),
+            none.cast("boolean").alias("near"),
             none.cast("string").alias("left"), none.cast("string").alias("right"), "start", "end",
             F.col("start").alias("base_start"), F.col("end").alias("base_end"), F.lit(0).alias("_turn"),
         )
     )
-    order = Window.partitionBy("_d1", "_d2").orderBy("start", "_turn", "end")
+    # A span that starts where a word does is among those to come.
+    order = Window.partitionBy("_d1", "_d2").orderBy("start", F.desc("_turn"), "end")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("_d1", "_d2").orderBy(F.desc("start"), F.desc("_turn"), F.desc("end"))
+    back = Window.partitionBy("_d1", "_d2").orderBy(F.desc("start"), "_turn", F.desc("end"))
     onward = back.rowsBetween(Window.unboundedPreceding, 0)
     open_end, next_start = F.max("base_end").over(upto), F.min("base_start").over(onward)
-    seed = F.coalesce(open_end > F.col("start"), F.lit(False)) | F.coalesce(next_start < F.col("end"), F.lit(False))
-    return rows.withColumn("seed", seed).where("_turn = 1").drop("base_start", "base_end", "_turn")
+    joined = F.coalesce(open_end > F.col("start"), F.lit(False))
+    seed = joined | F.coalesce(next_start < F.col("end"), F.lit(False))
+    return rows.withColumn("joined", joined).withColumn("seed", seed).where("_turn = 1").drop("base_start", "base_end", "_turn")
+
+
+def runs_of(words: DataFrame) -> DataFrame:
+    """(_d1, _d2, instance, left, right, seed, start, end): words of one base span, or other words in a row."""
+    order = Window.partitionBy("_d1", "_d2").orderBy("nth")
+    plain = ~F.col("seed") & ~F.coalesce(F.lag("seed").over(order), F.lit(False))
+    goes_on = F.col("joined") | (plain & F.col("near"))
+    run = F.sum((~goes_on).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    runs = words.withColumn("_run", run).groupBy("_d1", "_d2", "_run").agg(
+        F.array_join(F.sort_array(F.collect_list(F.struct("nth", "match")))["match"], " ").alias("_whole"),
+        F.min_by("left", "nth").alias("left"), F.max_by("right", "nth").alias("right"), F.max("seed").alias("seed"),
+        F.min("start").alias("start"), F.max("end").alias("end"),
+    )
+    lead = F.length(F.regexp_extract("_whole", r"^[^A-Za-z0-9+(]*+", 0))
+    core = F.regexp_replace(F.substring("_whole", lead + 1, F.length("_whole")), r"[^A-Za-z0-9]++$", "")
+    tail = F.length("_whole") - lead - F.length(core)
+    # A run of nothing but marks has an empty instance and is never added.
+    return runs.select(
+        "_d1", "_d2", core.alias("instance"), "left", "right", "seed",
+        (F.col("start") + lead).alias("start"), (F.col("end") - tail).alias("end"),
+    )
 
 
 def scored_instances(found: DataFrame) -> DataFrame:
@@ -164,10 +196,11 @@ def scored_instances(found: DataFrame) -> DataFrame:
     instances = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
     now = cut_lineage(instances.withColumn("score", F.col("seed").cast("double")), "scores")
     for _ in range(ROUNDS):
+        # Seeds and the instances that earlier rounds found support a pattern alike.
         patterns = (
             edges.select("pattern", "instance").join(now, "instance").groupBy("pattern")
-            .agg((F.sum("score") / (F.count("*") + 1)).alias("trust"), F.sum(F.col("seed").cast("long")).alias("seeds"))
-            .where((F.col("seeds") >= SUPPORT) & (F.col("trust") >= TRUSTED))
+            .agg((F.sum("score") / (F.count("*") + 1)).alias("trust"), F.count_if(F.col("score") >= ADDED).alias("support"))
+            .where((F.col("support") >= SUPPORT) & (F.col("trust") >= TRUSTED))
         )
         # A smoothed mean is below one, so the logarithm is finite.
         spread = edges.select("pattern", "instance").join(patterns, "pattern").groupBy("instance").agg(
@@ -191,7 +224,7 @@ def find_personal_data(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     keys = [h.alias(n) for h, n in zip(row_hashes(named(doc_id), named(text)), ("_d1", "_d2"))]
     rows = df.select(*keys, F.coalesce(named(text), F.lit("")).alias("_text"))
     base = base_spans(rows)
-    found = cut_lineage(with_seeds(candidates(rows), base), "candidates")
+    found = cut_lineage(runs_of(with_seeds(candidates(rows), base)), "candidates")
     added = found.where(~F.col("seed")).join(scored_instances(found), "instance")
     all_kinds = base.select("_d1", "_d2", "kind", "start", "end").unionByName(
         added.select("_d1", "_d2", F.lit(ADDED_KIND).alias("kind"), "start", "end")

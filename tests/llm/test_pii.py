@@ -67,6 +67,28 @@ def test_context_finds_unseen_identifiers(spark):
     assert all(not v for k, v in got.items() if k not in (40, 42))
 
 
+def ids(spark, texts):
+    rows = documents(spark, list(enumerate(texts)))
+    return {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["found"] if s["kind"] == "id"]
+            for r in pii.find_personal_data(rows, spans="found").collect()}
+
+
+def test_patterns_stand_beside_whole_seeds(spark):
+    seeds = [f"do call +1 (017) 555-{7700 + k} today" for k in range(40)]
+    seeds += [f"my host 10.0.{k}.1, answers" for k in range(40)]
+    unseen = ["do call 55-12 today", "do call (017)  55 1234. today", "my host 10.0.777.1, answers", "has 55 apples", "7 55-13 8"]
+    got = ids(spark, seeds + unseen)
+    assert [got[80 + k] for k in range(5)] == [["55-12"], ["(017)  55 1234"], ["10.0.777.1"], [], []]
+    assert not any(got[k] for k in range(80))
+
+
+def test_found_instances_support_new_patterns(spark):
+    texts = [f"then ring +1 017 555 {1000 + k} please" for k in range(200)]
+    texts += [f"then ring X-{k} and fax X-{k} urgently" for k in range(20)] + ["so fax Y-77 urgently", "so take Y-78 urgently"]
+    got = ids(spark, texts)
+    assert got[220] == ["Y-77"] and got[221] == [] and got[200] == ["X-0", "X-0"]
+
+
 def test_query_against_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     got = queries.op8_pii(spark, SMALL).collect()
