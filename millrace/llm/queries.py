@@ -78,8 +78,11 @@ def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     formatted = chat_format.format_conversations(given)
-    learned = F.filter("turns", lambda t: t["role"] == "assistant")
-    loss = F.array_join(learned["text"], "")
+    masked = F.transform("loss_spans", lambda s: chat_format.unescape(
+        F.substring("formatted", (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+    ))
+    # What does not come back as it was has no loss text, which no row of the SQL equals.
+    loss = F.when(F.col("round_trip"), F.array_join(masked, ""))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return formatted.select(
         "conv_id", "n_turns", sha256(whole).alias("turns_sha256"),

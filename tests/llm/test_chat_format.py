@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format
+from millrace.llm import chat_format, queries
+from tests.conftest import SMALL
 from tests.llm.helpers import ODD_TEXTS
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -31,3 +32,15 @@ def test_odd_turns_come_back(spark):
 
 def test_empty_table(spark):
     assert chat_format.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_reads_the_loss_spans_and_the_verdict(spark, monkeypatch):
+    right = {r["conv_id"]: r for r in queries.op5_chat_format(spark, SMALL).collect()}
+    assert right[-7]["loss_chars"] == len("</s>[INST] ok [/INST]")
+    whole = chat_format.format_conversations
+    moved = F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["end"].alias("end")))
+    monkeypatch.setattr(chat_format, "format_conversations", lambda df: whole(df).withColumn("loss_spans", moved))
+    for r in queries.op5_chat_format(spark, SMALL).collect():
+        assert (r["loss_sha256"] != right[r["conv_id"]]["loss_sha256"]) == (right[r["conv_id"]]["loss_chars"] > 0)
+    monkeypatch.setattr(chat_format, "format_conversations", lambda df: whole(df).withColumn("round_trip", F.lit(False)))
+    assert all(r["loss_sha256"] is None and r["loss_chars"] is None for r in queries.op5_chat_format(spark, SMALL).collect())
