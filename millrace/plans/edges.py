@@ -13,7 +13,7 @@ from millrace.plans.loading import _AS_OF, _HISTORY_SQL, _history
 from millrace.plans.registry import query, table
 from millrace.plans.run import run_tables
 from millrace.sources import files, nested
-from millrace.sources.csv import read_csv, read_csv_by_name, write_csv
+from millrace.sources.csv import read_csv, read_csv_by_name, spread, write_csv
 from millrace.spec import TableSpec
 from millrace.streaming.incremental import clean_new_files, csv_stream
 from millrace.workspace import fresh_database, fresh_folder
@@ -120,7 +120,7 @@ SELECT 'clients' AS table_name, 'warning' AS status, count(*) FILTER (c_custkey
 FROM (SELECT *, 'second ' || c_nationkey AS memo1 FROM customer)
 """)
 def run_with_warnings(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole run over a file with a repeated header, fractions in a column that sounds like an id, and
+    """A whole run over files with a repeated header, fractions in a column that sounds like an id, and
     leading zeros: the fractions stay, and the zeros that a cast drops are told."""
     def write(path: str) -> None:
         rows = table(spark, folder, "customer").select(
@@ -128,10 +128,12 @@ def run_with_warnings(spark: SparkSession, folder: str) -> DataFrame:
             F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("Zip Code"), F.col("c_name").alias("Client.Label"),
             F.concat(F.lit("first "), "c_mktsegment").alias("m0"), F.concat(F.lit("second "), "c_nationkey").alias("m1"),
         )
-        header = spark.createDataFrame([("Client ID,Amount Paid,Zip Code,Client.Label,Memo,Memo",)], "line string")
-        lines = rows.select(F.concat_ws(",", *[F.col(f"`{c}`") for c in rows.columns]).alias("line"))
-        # The header is the first line of the only file.
-        header.unionByName(lines).coalesce(1).write.options(
+        header = "Client ID,Amount Paid,Zip Code,Client.Label,Memo,Memo"
+        # Every task writes a file; the lower 33 bits of the id number the rows of a task, and the first brings the header.
+        first = (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0).alias("first")
+        lines = spread(rows).select(F.concat_ws(",", *[F.col(f"`{c}`") for c in rows.columns]).alias("line"), first)
+        headed = F.when(F.col("first"), F.array(F.lit(header), F.col("line"))).otherwise(F.array("line"))
+        lines.select(F.explode(headed).alias("line")).write.options(
             sep="\u0001", quote="\u0000", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
         ).csv(f"{path}/clients.csv")
 
@@ -231,9 +233,11 @@ def file_provenance(spark: SparkSession, folder: str) -> DataFrame:
     a copy of the file shares and the same lines in another order do not."""
     def write(path: str) -> None:
         rows = table(spark, folder, "orders").select(F.concat_ws(",", "o_orderkey", "o_totalprice").alias("line"), "o_orderstatus", "o_orderkey")
-        for copy, order in (("a", F.asc("o_orderkey")), ("b", F.asc("o_orderkey")), ("c", F.desc("o_orderkey"))):
-            one = rows.repartition(1).sortWithinPartitions("o_orderstatus", order)
-            one.select("line", F.lit(copy).alias("copy"), F.col("o_orderstatus").alias("part")).write.mode("append").partitionBy("copy", "part").text(path)
+        copies = rows.withColumnRenamed("o_orderstatus", "part").withColumn("copy", F.explode(F.array(*map(F.lit, "abc"))))
+        # Each file is written by one task, different files by different ones; the last copy is in reverse order.
+        place = F.when(F.col("copy") == "c", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+        spread_out = copies.repartition("copy", "part").sortWithinPartitions("copy", "part", place)
+        spread_out.select("line", "copy", "part").write.mode("append").partitionBy("copy", "part").text(path)
 
     path = landed(spark, folder, "provenance", write)
     place = [files.partition_value(F.col("file_path"), k).alias(k) for k in ("copy", "part")]

@@ -2,10 +2,11 @@
 
 import pytest
 
+import check
 from millrace import workspace
 from millrace.operators import calendar as cal
 from millrace.operators.audit import audit_summary, results_of
-from millrace.plans import all_queries
+from millrace.plans import all_oracles, all_queries
 from millrace.spec import TableSpec
 from millrace.plans.run import run_tables
 from tests.conftest import SMALL
@@ -85,3 +86,18 @@ def test_a_broken_table_does_not_stop_the_run(spark, folder):
     assert [tuple(r) for r in spark.table(f"{database}.good").collect()] == [(1, "a")]
     summary = audit_summary(results_of(spark.table(f"{database}.audit"))).first()
     assert (summary.total_tables, summary.successful, summary.failed, summary.total_rows_loaded) == (3, 1, 2, 1)
+
+
+@pytest.mark.parametrize("name", ["file_provenance", "run_with_warnings"])
+def test_landing_spreads_over_tasks(spark, name, monkeypatch):
+    from millrace.plans import landing
+
+    monkeypatch.setattr(landing, "_landed", {})  # land anew
+    kind = type(spark.range(1))
+    for method in ("repartition", "coalesce"):
+        def spread_only(df, *args, whole=getattr(kind, method)):
+            assert args[0] != 1, "a whole table goes through one task"
+            return whole(df, *args)
+
+        monkeypatch.setattr(kind, method, spread_only)
+    assert check.compare(all_queries()[name](spark, SMALL), check.connect(SMALL), all_oracles()[name], False) == ""
