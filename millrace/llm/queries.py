@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, pii, quality_mil, repetition, url_filter,
+    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, pii, quality_mil, repetition, suffix_dedup,
+    url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -249,3 +250,15 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
         *[number(k) for k in pii.KINDS],
         sha256(joined(base)).alias("base_sha256"), joined(F.col("found")).alias("spans"),
     )
+
+
+@query()
+def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What each document keeps without the 50-byte strings that start in earlier documents."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    removed = F.col("removed_spans")
+    return suffix_dedup.remove_repeats(documents).select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        F.aggregate(removed, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
+        F.size(removed).cast("long").alias("n_spans"), F.sha2(F.col("kept_bytes"), 256).alias("kept_sha256"),
+    )
