@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import (
-    bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, pii, quality_mil, repetition, suffix_dedup,
-    url_filter,
+    align, bpe, chat_format, decontaminate, jaccard_join, line_dedup, lm_score, pii, prefix_trie, quality_mil, repetition,
+    suffix_dedup, url_filter,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -262,3 +262,67 @@ def op11_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.aggregate(removed, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed"),
         F.size(removed).cast("long").alias("n_spans"), F.sha2(F.col("kept_bytes"), 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op13_align(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens under two vocabularies, aligned by bytes and counted over the corpus."""
+    import public_tokenizers
+
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    aligned = align.align_tokens(documents, vocabulary(), public_tokenizers.path("piece_bpe_32k.model"))
+    fields = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return aligned.select("doc_id", *[f"alignment.{f}" for f in fields])
+
+
+# h, the turns taken from the first conversation of a hundred, needs CRC-32: its table by eight shifts, then one step a digit.
+@query(r"""
+WITH RECURSIVE shifts(i, k, v) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM shifts WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS steps FROM shifts WHERE k = 8
+), own AS (
+  SELECT conv_id AS c, list(len(role) || ':' || role || text ORDER BY turn NULLS FIRST, role, text) AS turns,
+    list(len(text) ORDER BY turn NULLS FIRST, role, text) AS sizes
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+  WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (
+  SELECT o.*, coalesce(b.turns, []) AS base, coalesce(b.sizes, []) AS base_sizes,
+    xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(o.c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])
+    ), 4294967295) % 6 AS h
+  FROM own o CROSS JOIN crc LEFT JOIN own b ON b.c = o.c - o.c % 100
+), rebuilt AS (
+  SELECT c, base[1:h] || turns[h + 1:] AS turns, base_sizes[1:h] || sizes[h + 1:] AS sizes FROM headed
+), nodes AS (
+  SELECT d.d, turns[1:d.d] AS path, min(c) AS conv_id, count(*) AS n_convs, any_value(CASE WHEN d.d > 0 THEN sizes[d.d] ELSE 0 END) AS size,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(turns) = d.d), '')) AS ends_sha256
+  FROM rebuilt, unnest(range(0, len(turns) + 1)) AS d(d) GROUP BY d.d, turns[1:d.d]
+), children AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY path[1:d - 1], d - 1
+), counted AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON k.d = n.d AND k.path = n.path
+), totals AS (
+  SELECT u.u AS d, path[1:u.u] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved
+  FROM counted, unnest(range(0, d + 1)) AS u(u) GROUP BY u.u, path[1:u.u]
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(t.n_leaves AS BIGINT) AS n_leaves,
+  CAST(t.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t ON t.d = n.d AND t.path = n.path
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.path = n.path[1:n.d - 1]
+""")
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the first turns of the first one of its hundred."""
+    own = prefix_trie.sequences(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    bases = own.where(F.col("conversation") % 100 == 0).select(
+        F.col("conversation").alias("base"), F.slice("turns", 1, 5).alias("head")
+    )
+    c = F.col("conversation")
+    h = (F.crc32(c.cast("string").cast("binary")) % 6).cast("int")
+    nothing = F.slice("turns", 1, 0)
+    rebuilt = own.withColumn("base", c - c % 100).join(bases, "base", "left").select(
+        c, F.concat(F.slice(F.coalesce("head", nothing), F.lit(1), h), F.slice("turns", h + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns")
+    )
+    return prefix_trie.conversation_trie(rebuilt)
