@@ -9,7 +9,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.casts import cast_to, spark_type
+from millrace.operators import ledger as ledgers
 from millrace.operators.tables import append
+from millrace.sources.csv import RECORD
 from millrace.sources.files import ANY_CSV, list_files, matches
 from millrace.workspace import scratch_tables
 
@@ -18,6 +20,7 @@ HISTORY_SCHEMA = (
     " rows_rejected bigint, error_count bigint, first_error string, last_load_time timestamp_ntz,"
     " size bigint, modified timestamp_ntz"
 )
+MALFORMED = "malformed record"
 # A list of this many file names is small enough to send to every executor.
 BROADCAST_FILES = 100_000
 
@@ -82,13 +85,20 @@ def transform_on_load(raw: DataFrame, fields: Sequence[Field], where: Column | N
 
 
 def check_rows(raw: DataFrame, fields: Sequence[Field], keep: Sequence[str] = ()) -> DataFrame:
-    """Typed columns, the columns to ``keep`` and ``_errors``, the list of what is wrong."""
+    """Typed columns, the columns to ``keep`` and ``_errors``, the list of what is wrong.
+
+    Where ``raw`` has the column ``_record`` (see :func:`read_csv_checked`), a line that could not be read is one
+    error with the whole line, whatever the fields make of it.
+    """
     problems = [p for p in (f.problem() for f in fields) if p is not None]
     errors = (
         F.array_compact(F.array(*problems))
         if problems
         else F.expr("CAST(array() AS array<struct<column_name:string,value:string,reason:string>>)")
     )
+    if RECORD in raw.columns:
+        line = F.struct(F.lit("record").alias("column_name"), F.col(RECORD).alias("value"), F.lit(MALFORMED).alias("reason"))
+        errors = F.when(F.col(RECORD).isNotNull(), F.array(line)).otherwise(errors)
     values = [f.value().alias(f.name) for f in fields]
     return raw.select(*[F.col(f"`{c}`") for c in keep], *values, errors.alias("_errors"))
 
@@ -157,6 +167,8 @@ def bulk_load(
     loaded_at: datetime | None = None,
     history_table: str | None = None,
     files: DataFrame | None = None,
+    ledger: str | None = None,
+    loader: str = "batch",
 ) -> LoadResult:
     """Load ``raw`` into an existing table and report on each file.
 
@@ -165,6 +177,10 @@ def bulk_load(
     is written once, straight from the source; the report is a second pass over the source that only
     counts. It is appended to ``history_table`` where one is named, also for an aborted load. ``files``
     (path, size, modified) brings in files without rows, and what a file looked like.
+
+    With a ``ledger`` the load counts once: rows and history lines carry the load's name and count from its
+    commit on, and what an earlier failed run of this ``loader`` has left is removed first. The table must
+    be one of :func:`ledger.create_tagged_target`, the history one of :func:`create_history` with ``tagged``.
     """
     if on_error not in ("continue", "abort", "skip_file", "validate"):
         raise ValueError(f"unknown error mode {on_error}")
@@ -177,14 +193,30 @@ def bulk_load(
             F.sum("rows_rejected").alias("rows"), F.min("first_error").alias("error")
         ).first()
         aborted = LoadAborted(f"{bad.rows} bad rows, first: {bad.error}") if bad.rows else None
+    spark, load_id = raw.sparkSession, None
+    if ledger:
+        ledgers.roll_back(spark, table, ledger, loader)
+        load_id = ledgers.load_name(spark, ledger, table, loader, files)
+        ledgers.note(spark, ledger, load_id, table, loader, ledgers.INTENT)
+
+    def write(rows: DataFrame) -> None:
+        rows = rows.select(*names)
+        if load_id:
+            ledgers.write_tagged(rows, table, load_id)
+        else:
+            append(rows, table)
+
     if on_error == "continue" or on_error == "abort" and not aborted:
-        append(good_rows(checked).select(*names), table)
+        write(good_rows(checked))
     elif on_error == "skip_file":
-        append(rows_of_clean_files(checked, file_column).select(*names), table)
+        write(rows_of_clean_files(checked, file_column))
     nothing = on_error == "validate" or aborted is not None
     history = load_report(checked, table, file_column, on_error, nothing, loaded_at, files)
     if history_table:
-        history.write.mode("append").saveAsTable(history_table)
+        noted = history.withColumn(ledgers.TAG, F.lit(load_id)) if load_id else history
+        noted.write.mode("append").saveAsTable(history_table)
+    if load_id:
+        ledgers.note(spark, ledger, load_id, table, loader, ledgers.COMMIT)
     if aborted:
         raise aborted
     return LoadResult(rejects(checked, kept), history)
@@ -229,9 +261,10 @@ def create_target(spark: SparkSession, table: str, fields: Sequence[Field]) -> N
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
 
 
-def create_history(spark: SparkSession, history_table: str) -> None:
-    """An empty load history."""
-    spark.createDataFrame([], HISTORY_SCHEMA).write.mode("ignore").saveAsTable(history_table)
+def create_history(spark: SparkSession, history_table: str, tagged: bool = False) -> None:
+    """An empty load history; ``tagged`` where its lines name their load, for loads with a ledger."""
+    schema = f"{HISTORY_SCHEMA}, {ledgers.TAG} string" if tagged else HISTORY_SCHEMA
+    spark.createDataFrame([], schema).write.mode("ignore").saveAsTable(history_table)
 
 
 def new_files(listing: DataFrame, history: DataFrame, table: str) -> DataFrame:
@@ -250,16 +283,19 @@ def load_new_files(
     force: bool = False,
     pattern: str = ANY_CSV,
     batch: int = 5_000,
+    ledger: str | None = None,
 ) -> int:
     """Call ``load`` for the files that ``history_table`` does not have as loaded, in batches.
 
     ``load`` gets the paths of a batch, which a reader needs, and their table (path, size, modified); it
     passes the latter to :func:`bulk_load` with the history table, which notes them. The folder is
-    listed once. With ``force`` all files are loaded again. A batch is noted after it is loaded: where a
-    lost driver must not load it twice, use the stream. Returns the number of files.
+    listed once. With ``force`` all files are loaded again. Without a ledger a batch is noted after it is loaded,
+    and a driver lost in between loads it twice; with a ``ledger``, which ``load`` passes on too, only committed
+    loads count, and none twice. Returns the number of files.
     """
     listing = list_files(spark, folder, "*").filter(matches(F.col("path"), pattern))
-    wanted = listing if force else new_files(listing, spark.table(history_table), table)
+    history = ledgers.committed(spark, table, ledger, history_table) if ledger else spark.table(history_table)
+    wanted = listing if force else new_files(listing, history, table)
     with scratch_tables(spark) as keep:
         files = keep(wanted.select("path", "size", "modified"))
         total = files.count()

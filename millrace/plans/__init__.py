@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("scans", "calendars", "cleaning", "typing", "loading", "verifying", "streams", "edges")
+_MODULES = ("scans", "calendars", "cleaning", "typing", "loading", "verifying", "streams", "edges", "robust")
 
 
 def _load() -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from csv import reader
 from dataclasses import dataclass, replace
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from millrace.functions.names import header_names
 from millrace.functions.text import NULL_TOKENS, null_if
+from millrace.sources.files import provenance, with_row_numbers
 from millrace.workspace import cut_lineage
 
 
@@ -49,6 +51,10 @@ BULK_LOAD = CsvFormat(trim=True, null_tokens=("NULL", "null", ""))
 MULTI_LINE = replace(READER_DEFAULTS, multi_line=True)
 
 
+# Where a checked read leaves the text of a line that cannot be read, and the line's number in its file.
+RECORD, LINE = "_record", "_line"
+
+
 def first_line(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEFAULTS) -> list[str | None]:
     """The cells of the first line of the first file."""
     options = {**fmt.reader_options(), "header": "false"}
@@ -131,6 +137,43 @@ def read_csv_by_name(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEF
     return placed.select(*[cell(n) for n in names])
 
 
+def is_well_formed(line: Column, fmt: CsvFormat = READER_DEFAULTS) -> Column:
+    """Whether each quoted value of a line is closed, and followed by a delimiter or the line's end.
+
+    A quote within an unquoted value is a character like others. Too few or too many values are no fault.
+    """
+    q, d = re.escape(fmt.quote), re.escape(fmt.delimiter)
+    gap = "[ \\t]*+" if fmt.trim else ""
+    quoted = f"{gap}{q}(?:[^{q}]++|{q}{q})*+{q}{gap}"
+    value = f"(?:{quoted}|(?!{gap}{q})[^{d}]*+)"
+    # Most lines have no quote at all.
+    return ~line.contains(fmt.quote) | line.rlike(f"^{value}(?:{d}{value})*+$")
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str | list[str], names: list[str], fmt: CsvFormat = BULK_LOAD
+) -> DataFrame:
+    """The cells of each line by position, with ``file_path``, the line's number and its text if it is malformed.
+
+    A line whose quotes are broken has nulls for cells and its text in ``_record``; the plain reader would take
+    the rest of the line for one value without a word. Values do not span lines here. The first line of a
+    file is its header if the format has one. Blank lines are no records.
+    """
+    if fmt.multi_line:
+        raise ValueError("lines can be checked only where no value spans lines")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", *provenance())
+    numbered = with_row_numbers(lines).filter(F.trim("value") != "")
+    if fmt.header:
+        numbered = numbered.filter(F.col("file_row_number") > 1)
+    good = is_well_formed(F.col("value"), fmt)
+    cells = ", ".join(f"`{n}` string" for n in names)
+    options = {k: v for k, v in fmt.reader_options().items() if k not in ("header", "multiLine", "encoding")}
+    parsed = F.from_csv(F.when(good, F.col("value")), cells, options)
+    return numbered.select(
+        "file_path", F.col("file_row_number").alias(LINE), F.when(~good, F.col("value")).alias(RECORD), parsed.alias("_cells")
+    ).select("file_path", LINE, RECORD, *[null_if(F.col("_cells").getField(n), fmt.null_tokens).alias(n) for n in names])
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Redistribute the rows of files that cannot be split, over all cores unless told otherwise."""
     return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
