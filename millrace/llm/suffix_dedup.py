@@ -32,15 +32,15 @@ from pyspark.sql.types import StructType
 
 from millrace.llm.common import named, require
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 8 << 20  # of text, whose keys one bucket holds
 SLICE = 1 << 20  # bytes whose hashes are in memory at a time
-BLOCK = 1 << 20  # bytes of different strings in one transform
-PLACES = 2 << 20  # bytes of their places
-HOT = 4096  # strings of one key, and rows of one window that are held at a time
+BLOCK = 1 << 20  # bytes of strings and their places in one transform, if keys allow it
+ROWS = 2048  # that are taken at a time
+HOT = 16384  # strings of one key, and rows of one window that are held at a time
 NO_ID = 2**63 - 1  # stands for a null id: after all others
-PLACE = np.dtype([("row", "<i8"), ("doc", "<i8"), ("start", "<i4")])
-SPAN = np.dtype([("row", "<i8"), ("start", "<i4"), ("end", "<i4")])
+PLACE = np.dtype([("row", "<i4"), ("start", "<i4")])
+SPAN = np.dtype([("row", "<i4"), ("start", "<i4"), ("end", "<i4"), ("doc", "<i8")])
 ODD = 0x9E3779B97F4A7C15  # any odd number
 
 
@@ -89,27 +89,24 @@ def leftmost_smallest(values: np.ndarray, width: int) -> np.ndarray:
 def runs(data: np.ndarray, document: np.ndarray, least: int, buckets: int):
     """(start, windows, key, hashes) of the runs of windows that share an anchor, within documents."""
     n = len(data) - least + 1
-    short = max(1, least * 16 // 50)
-    width = least - short + 1
-    half = width // 2
+    short = anchor_bytes(least)
     hashes = Hashes(data)
-    anchor = leftmost_smallest(hashes.of(np.arange(len(data) - short + 1), short), width)
+    values = hashes.of(np.arange(len(data) - short + 1), short)
+    anchor = leftmost_smallest(values, least - short + 1)
     start = np.flatnonzero(document[:n] == document[least - 1 :])
-    anchor = anchor[start].astype(np.int64)
-    left = anchor - start >= half  # these windows all reach ``half`` bytes before the anchor
-    new = np.ones(len(start), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (left[1:] != left[:-1]) | (start[1:] != start[:-1] + 1)
-    first = np.flatnonzero(new)
+    anchor = anchor[start]
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
+    first = np.flatnonzero(fresh)
     windows = np.diff(np.append(first, len(start)))
-    start, anchor, left = start[first], anchor[first], left[first]
-    key = np.where(
-        left,
-        hashes.of(np.where(left, anchor - half, 0), half + short),
-        ~hashes.of(np.where(left, 0, anchor), least - max(half, 1) + 1),
-    )
+    key = values[anchor[first]]
     # The bucket in the upper half, 32 bits of the hash in the lower one.
     key = (key >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | key & np.uint64(0xFFFFFFFF)
-    return start, windows, key.astype(np.int64), hashes
+    return start[first], windows, key.astype(np.int64), hashes
+
+
+def anchor_bytes(least: int) -> int:
+    return max(1, least * 2 // 5)
 
 
 def slices(texts: list[bytes], least: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -206,8 +203,24 @@ STRINGS = pa.schema([
 ])
 
 
+def binary_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """A binary array whose values follow each other in ``values``."""
+    offsets = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    upto = np.cumsum(length)
+    return np.arange(upto[-1] if len(upto) else 0) + np.repeat(start - (upto - length), length)
+
+
 def strings_of_chunk(least: int, buckets: int):
-    """The candidate strings of a chunk, each with all its places; hot ones cut down to windows (keys below 0)."""
+    """The candidate strings of a chunk, each with all its places; hot ones cut down to windows (keys below 0).
+
+    A place is the text's number among the chunk's rows (in order of their ids) and where the string starts.
+    """
 
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table) or not len(replies):
@@ -219,31 +232,37 @@ def strings_of_chunk(least: int, buckets: int):
         wanted, hot = np.concatenate(told), np.concatenate([np.frombuffer(h, bool) for h in replies["hot"].to_pylist()])
         order = np.argsort(wanted)
         wanted, hot = wanted[order], hot[order]
-        texts, row, doc = rows_of(table)
-        strings: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        texts, _, doc = rows_of(table)
+        keys, strings, places = [], [], []
         for data, piece, text, begins in slices(texts, least):
             start, windows, key, hashes = runs(data, piece, least, buckets)
             found = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
             taken = wanted[found] == key
             start, windows, key, is_hot = start[taken], windows[taken], key[taken], hot[found[taken]]
             if is_hot.any():
-                n = windows[is_hot]
-                single = np.repeat(start[is_hot] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                single = ranges(start[is_hot], windows[is_hot])
                 own = (hashes.of(single, least) >> np.uint64(1)).astype(np.int64) | np.int64(-(2**63))
                 start, key = np.append(start[~is_hot], single), np.append(key[~is_hot], own)
                 windows = np.append(windows[~is_hot], np.ones(len(single), windows.dtype))
-            whole, of = data.tobytes(), text[start]
-            for a, b, k, r, d, p in zip(
-                start.tolist(), (start + windows + least - 1).tolist(), key.tolist(), row[of].tolist(),
-                doc[of].tolist(), (start - begins[start]).tolist(),
-            ):
-                strings.setdefault((k, whole[a:b]), []).append((r, d, p))
-        chunk = table["chunk"][0].as_py()
+            lengths = windows + least - 1
+            keys.append(key)
+            strings.append(binary_array(data[ranges(start, lengths)], lengths))
+            place = np.empty(len(start), PLACE)
+            place["row"], place["start"] = text[start], start - begins[start]
+            places.append(place)
+        if not keys:
+            return STRINGS.empty_table()
+        key, place = np.concatenate(keys), np.concatenate(places)
+        # Equal strings have equal keys, since their windows have the same anchors.
+        same = pa.concat_arrays(strings).dictionary_encode()
+        string = same.indices.to_numpy()
+        order = np.argsort(string, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(string[order]) != 0)[: len(order)])
+        place = place[order]
         return pa.table([
-            pa.array([k for k, _ in strings], pa.int64()), pa.array([s for _, s in strings], pa.binary()),
-            pa.array([min(d for _, d, _ in places) for places in strings.values()], pa.int64()),
-            pa.array(np.full(len(strings), chunk, np.int64)),
-            pa.array([np.array(places, PLACE).tobytes() for places in strings.values()], pa.binary()),
+            pa.array(key[order][first]), same.dictionary, pa.array(np.minimum.reduceat(doc[place["row"]], first)),
+            pa.array(np.full(len(first), table["chunk"][0].as_py(), np.int64)),
+            binary_array(place.view(np.uint8), np.diff(np.append(first, len(place))) * PLACE.itemsize),
         ], schema=STRINGS)
 
     return run
@@ -323,55 +342,54 @@ def groups(strings: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np
 RESULT = pa.schema([("chunk", pa.int64()), ("spans", pa.binary())])
 
 
-def spans_of_block(rows: list[tuple], carried: dict[bytes, int], least: int) -> Iterator[pa.RecordBatch]:
-    """The windows of a block that also start in a smaller document, as spans by chunk.
+def spans_of_block(block: pa.Table, carried: dict[bytes, int], least: int) -> Iterator[pa.RecordBatch]:
+    """The windows of a block of strings that may also start in a smaller document, as spans by chunk.
 
-    ``carried`` has the smallest documents of strings whose earlier rows stood in the block before.
+    A span has the smallest document of its windows, which its chunk compares with its own. ``carried`` has the
+    smallest documents of strings whose earlier rows stood in the block before.
     """
-    smallest = dict(carried)
-    for _, string, low, _, _ in rows:
-        smallest[string] = min(smallest.get(string, NO_ID), low)
-    strings = list(smallest)
-    number = {s: i for i, s in enumerate(strings)}
+    given = pa.chunked_array([pa.array(list(carried), pa.binary()), *block["string"].chunks]).combine_chunks().dictionary_encode()
+    number, strings = given.indices.to_numpy(), given.dictionary.to_pylist()
+    low = np.full(len(strings), NO_ID, np.int64)
+    np.minimum.at(low, number, np.append(np.fromiter(carried.values(), np.int64, len(carried)), block["smallest"].to_numpy()))
+    number = number[len(carried) :]
     string, window, group = groups(strings, least)
-    low = np.fromiter(smallest.values(), np.int64, len(strings))
-    least_doc = np.full(group.max(initial=0) + 1, NO_ID, np.int64)
-    np.minimum.at(least_doc, group, low[string])
+    window_doc = np.full(group.max(initial=0) + 1, NO_ID, np.int64)
+    np.minimum.at(window_doc, group, low[string])
     order = np.lexsort((window, string))
-    window_doc = least_doc[group[order]]
+    window_doc = window_doc[group[order]]
     count = np.bincount(string, minlength=len(strings))
-    begin = np.cumsum(count) - count
-    # Each place of each row, then each window of each place.
-    places = [np.frombuffer(r[4], PLACE) for r in rows]
-    n_places = np.array([len(p) for p in places])
-    place = np.concatenate(places)
-    chunk = np.repeat(np.array([r[3] for r in rows]), n_places)
-    of = np.repeat(np.array([number[r[1]] for r in rows]), n_places)
-    # Places in documents no later than all of a string's windows can lose nothing.
-    worth = np.full(len(strings), NO_ID, np.int64)
-    np.minimum.at(worth, string[order], window_doc)
-    some = place["doc"] > worth[of]
-    place, chunk, of = place[some], chunk[some], of[some]
+    # Runs of windows with one smallest document; the first document of all has nothing before it.
+    string, window = string[order], window[order]
+    first = np.flatnonzero(np.append(True, (string[1:] != string[:-1]) | (window_doc[1:] != window_doc[:-1])))
+    size = np.diff(np.append(first, len(string)))
+    string, window, window_doc = string[first], window[first], window_doc[first]
+    begin = np.searchsorted(string, np.arange(len(strings)))
+    runs_of = np.bincount(string, minlength=len(strings))
+    places = block["places"].combine_chunks()
+    n_places = np.diff(np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1]) // PLACE.itemsize
+    edges = np.frombuffer(places.buffers()[1], np.int32)[[places.offset, places.offset + len(places)]]
+    place = np.frombuffer(places.buffers()[2], np.uint8)[edges[0] : edges[1]].view(PLACE)
+    # A row whose smallest document is that of its only run, and which has one place, loses nothing.
+    smallest = block["smallest"].to_numpy()
+    useless = (n_places == 1) & (runs_of[number] == 1) & (window_doc[begin[number]] == smallest)
+    chosen = np.repeat(~useless, n_places)
+    place, row = place[chosen], np.repeat(np.arange(len(block)), n_places)[chosen]
     if not len(place):
         return
-    n = count[of]
-    which = np.repeat(np.arange(len(place)), n)
-    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    lost = window_doc[np.repeat(begin[of], n) + offset] < place["doc"][which]
-    which, offset = which[lost], offset[lost]
-    fresh = np.flatnonzero(np.append(True, (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1)))
-    final = np.append(fresh[1:], len(which)) - 1
-    spans = np.empty(len(fresh), SPAN)
-    spans["row"] = place["row"][which[fresh]]
-    spans["start"] = place["start"][which[fresh]] + offset[fresh]
-    spans["end"] = place["start"][which[fresh]] + offset[final] + least
-    chunk = chunk[which[fresh]]
+    of = number[row]
+    which = np.repeat(np.arange(len(place)), runs_of[of])
+    part = ranges(begin[of], runs_of[of])
+    spans = np.empty(len(which), SPAN)
+    spans["row"], spans["doc"] = place["row"][which], window_doc[part]
+    spans["start"] = place["start"][which] + window[part]
+    spans["end"] = spans["start"] + size[part] - 1 + least
+    chunk = block["chunk"].to_numpy()[row][which]
     order = np.argsort(chunk, kind="stable")
     chunk, spans = chunk[order], spans[order]
     edges = np.append(np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])), len(chunk))
     yield pa.record_batch([
-        pa.array(chunk[edges[:-1]]),
-        pa.array([spans[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], pa.binary()),
+        pa.array(chunk[edges[:-1]]), binary_array(spans.view(np.uint8), np.diff(edges) * SPAN.itemsize)
     ], schema=RESULT)
 
 
@@ -379,29 +397,30 @@ def spans_of_partition(least: int):
     """Blocks of whole keys from rows sorted by key and smallest document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, strings, places, carried = [], 0, 0, {}
-        of_key, seen = 0, set()  # rows and different strings of the key so far
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in STRINGS.names)):
-                if rows and row[0] != rows[-1][0]:
-                    of_key, seen = 0, set()
-                    if strings >= BLOCK or places >= PLACES:
-                        yield from spans_of_block(rows, carried, least)
-                        rows, strings, places, carried = [], 0, 0, {}
-                elif of_key >= HOT and row[0] < 0:
+        held, size, carried = [], 0, {}
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                held.append(batch)
+                size += batch.nbytes
+                if size < BLOCK:
+                    continue
+                rows = pa.Table.from_batches(held)
+                key = rows["key"].to_numpy()
+                begin = int(np.searchsorted(key, key[-1]))  # of the last key, which may go on
+                if begin:
+                    yield from spans_of_block(rows.slice(0, begin), carried, least)
+                    carried, rows = {}, rows.slice(begin)
+                elif key[-1] < 0 and len(rows) >= HOT:
                     # One window in very many chunks: the first of its rows has its smallest document.
                     yield from spans_of_block(rows, carried, least)
-                    held = carried | {r[1]: min(r[2], carried.get(r[1], NO_ID)) for r in reversed(rows) if r[0] == row[0]}
-                    carried = {s: low for s, low in held.items() if s in seen}
-                    rows, strings, places, of_key = [], 0, 0, 0
-                rows.append(row)
-                of_key += 1
-                places += len(row[4])
-                if row[1] not in seen:
-                    seen.add(row[1])
-                    strings += len(row[1])
-        if rows:
-            yield from spans_of_block(rows, carried, least)
+                    lows = zip(rows["string"].to_pylist(), rows["smallest"].to_pylist())
+                    for string, low in lows:
+                        carried[string] = min(low, carried.get(string, NO_ID))
+                    rows = rows.slice(len(rows))
+                held, size = rows.combine_chunks().to_batches(), rows.nbytes
+        if held and sum(b.num_rows for b in held):
+            yield from spans_of_block(pa.Table.from_batches(held), carried, least)
 
     return run
 
@@ -420,13 +439,15 @@ def cut_of_chunk(table: pa.Table, found: pa.Table) -> pa.Table:
     """The rows of a chunk with their removed spans and the bytes that stay."""
     spans = np.concatenate([np.zeros(0, SPAN), *(np.frombuffer(b, SPAN) for b in found["spans"].to_pylist())])
     spans = spans[np.argsort(spans["row"], kind="stable")]
-    row = table["row"].to_numpy()
-    first, final = np.searchsorted(spans["row"], row), np.searchsorted(spans["row"], row, "right")
+    _, number = np.unique(table["row"].to_numpy(), return_inverse=True)
+    first, final = (np.searchsorted(spans["row"], number, side).tolist() for side in ("left", "right"))
     removed, kept = [], []
-    for i, text in enumerate(table["bytes"].to_pylist()):
-        edges = union(spans[first[i] : final[i]], len(text)).tolist() if final[i] > first[i] else []
-        parts = [text[a:b] for a, b in zip([0, *(e for _, e in edges)], [*(s for s, _ in edges), len(text)])]
-        removed.append([{"start": s, "end": e} for s, e in edges])
+    for text, doc, a, b in zip(table["bytes"].to_pylist(), table["doc"].to_pylist(), first, final):
+        mine = spans[a:b]
+        mine = mine[mine["doc"] < doc]
+        edges = union(mine, len(text)).tolist() if len(mine) else []
+        parts = [text[x:y] for x, y in zip([0, *(e for _, e in edges)], [*(s for s, _ in edges), len(text)])]
+        removed.append([{"start": x, "end": y} for x, y in edges])
         kept.append(b"".join(parts))
     given = [c for c in table.column_names if c not in ("chunk", "row", "doc")]
     return pa.table(

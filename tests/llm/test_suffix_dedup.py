@@ -88,10 +88,12 @@ def test_slices_and_blocks_lose_nothing(spark):
     parts = [prose(k, 30, 10**6).encode() for k in range(6)]
     texts = [b" ".join(draw.choices(parts, k=draw.randrange(1, 6))) + str(i).encode() * 3 for i in range(80)]
     want = brute([(i, t.decode()) for i, t in enumerate(texts)], least)
-    for name, values in {"SLICE": (64, 1 << 20), "BLOCK": (300, 1 << 20), "PLACES": (100, 1 << 20), "HOT": (2, 8, 4096)}.items():
+    for name, values in {"SLICE": (64, 1 << 20), "BLOCK": (300, 1 << 20), "ROWS": (1, 7), "HOT": (2, 8, 4096)}.items():
         for value in values:
             with pytest.MonkeyPatch.context() as patch:
                 patch.setattr(suffix_dedup, name, value)
+                if name != "BLOCK":
+                    patch.setattr(suffix_dedup, "BLOCK", 2000)
                 assert in_one_process(texts, least) == [w[0] for w in want], (name, value)
 
 
@@ -130,7 +132,7 @@ def test_odd_rows(spark):
     rows = [(i % 9, t) for i, t in enumerate(ODD_TEXTS)] + [(3, "y" * 70), (4, "y" * 70), (4, "y" * 70), (None, "y" * 70)]
     got = compared(spark, rows)
     assert (4, "y" * 70, [(0, 70)], b"") in got and (3, "y" * 70, [], b"y" * 70) in got
-    given = documents(spark, rows).withColumn("bytes", F.lit(1)).withColumn("chunk", F.lit("x")).withColumn("c0", F.lit(2.5))
+    given = documents(spark, rows).withColumn("bytes", F.lit(1)).withColumn("chunk", F.lit("x")).withColumn("c0", F.lit(2.5)).withColumn("codes", F.array(F.lit(1)))
     out = suffix_dedup.remove_repeats(given)
     assert out.columns == [*given.columns, "removed_spans", "kept_bytes"] and result(out) == got
     assert out.select("bytes", "chunk", "c0").distinct().collect() == [(1, "x", 2.5)]
