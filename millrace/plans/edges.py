@@ -52,21 +52,33 @@ def extract_all(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 SELECT o_orderkey::VARCHAR AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice::VARCHAR END AS o_totalprice,
-    o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN o_custkey::VARCHAR END AS o_custkey
+    o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN o_custkey::VARCHAR END AS o_custkey,
+    CASE WHEN o_orderstatus = 'P' THEN 'a' || o_custkey WHEN o_orderstatus = 'O' THEN 'b' || o_custkey END AS "Memo",
+    CASE WHEN o_orderstatus = 'P' THEN 'c' || o_custkey WHEN o_orderstatus = 'O' THEN 'd' || o_custkey END AS "Memo.1"
 FROM orders
 """)
 def csv_mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """Files with their columns in another order, and with fewer columns, each read by its own header."""
+    """Files with their columns in another order, with fewer columns, and with a repeated name in two places,
+    each read by its own header."""
     layouts = {
         "F": ["o_orderkey", "o_totalprice", "o_orderpriority", "o_custkey"],
-        "O": ["o_orderpriority", "o_orderkey", "o_totalprice"],
-        "P": ["o_orderpriority", "o_orderkey"],
+        "O": ["Memo", "o_orderpriority", "o_orderkey", "o_totalprice", "Memo"],
+        "P": ["Memo", "Memo", "o_orderpriority", "o_orderkey"],
     }
+    memos = {"P": ("a", "c"), "O": ("b", "d")}
 
     def write(path: str) -> None:
         for status, columns in layouts.items():
             rows = table(spark, folder, "orders").filter(F.col("o_orderstatus") == status)
-            write_csv(rows.select(*columns), f"{path}/{status}")
+            prefixes = iter(memos.get(status, ()))
+            cells = [
+                F.concat(F.lit(next(prefixes)), F.col("o_custkey").cast("string")) if c == "Memo" else F.col(c).cast("string") for c in columns
+            ]
+            # Lines of text, since a frame with a repeated name cannot be written; a file is one task's.
+            lines = rows.select(F.concat_ws(",", *cells).alias("line"), (F.col("o_orderkey") % 7).alias("file"))
+            headed = lines.select("file").distinct().select(F.lit(",".join(columns)).alias("line"), "file", F.lit(0).alias("place"))
+            files = lines.withColumn("place", F.lit(1)).unionByName(headed).repartition("file").sortWithinPartitions("file", "place")
+            files.select("line", "file").write.partitionBy("file").text(f"{path}/{status}")
 
     return read_csv_by_name(spark, landed(spark, folder, "mixed-headers", write))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from csv import reader
 from dataclasses import dataclass, replace
 
@@ -77,8 +78,9 @@ def read_csv(
     """All columns as text, null tokens as null.
 
     With ``names`` the columns go by position. Without, the first file's header names them, and a file
-    with another header fails the read: :func:`read_csv_by_name` reads such folders. (A header with
-    blank or repeated names cannot be compared by the reader; those columns go by position.)
+    with another header fails the read: :func:`read_csv_by_name` reads such folders. A header with
+    blank or repeated names cannot be compared by the reader; there the first lines of all files are compared
+    before, and ValueError names a file that differs.
     Partition folders (``key=value``) below ``path`` become text columns after the file's own.
     """
     by_position = names is not None
@@ -86,6 +88,8 @@ def read_csv(
         raw = first_line(spark, path, fmt)
         names = header_names(raw)
         by_position = not fmt.header or names != raw
+        if fmt.header and by_position and raw:
+            require_one_header(spark, path, fmt, glob)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     files = spark.read.schema(schema).options(**fmt.reader_options())
     files = files.option("enforceSchema", str(by_position).lower())
@@ -96,31 +100,55 @@ def read_csv(
     return df.select(*texts, *df.columns[len(names):])
 
 
-def read_csv_by_name(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEFAULTS) -> DataFrame:
-    """Files whose headers differ, each read by its own header, as one table of all their columns.
-
-    Column names keep the order in which the headers, sorted, bring them up; a file without a column has
-    nulls there. Headers are single lines. Finding them is a pass over the first part of each file; then
-    one scan reads all files by position, and each row picks its cells by its file's header.
-    """
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+def first_lines(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """(path, line): the first line of each file that is not blank."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    first = lines.filter((F.col("_start") == 0) & (F.trim("value") != "")).groupBy("_path").agg(
-        F.min(F.struct("_id", "value"))["value"].alias("_line")
-    )
-    first = cut_lineage(first, "headers")
-    distinct = sorted(r._line for r in first.select("_line").distinct().collect())  # as many as there are layouts
+    first = lines.filter((F.col("_start") == 0) & (F.trim("value") != "")).groupBy("path")
+    return first.agg(F.min(F.struct("_id", "value"))["value"].alias("line"))
+
+
+def require_one_header(spark: SparkSession, path: str | list[str], fmt: CsvFormat, glob: str | None = None) -> None:
+    """ValueError unless all files begin with the same line."""
+    files = first_lines(spark, path, glob)
+    line = F.trim("line") if fmt.trim else F.col("line")
+    seen = files.groupBy(line.alias("line")).agg(F.min("path").alias("path")).orderBy("line").limit(2).collect()
+    if len(seen) > 1:
+        raise ValueError(f"{seen[0].path} and {seen[1].path} have different headers: {seen[0].line!r}, {seen[1].line!r}")
+
+
+HEADERS = "path string, line string, names array<string>"
+
+
+def file_headers(spark: SparkSession, path: str | list[str], fmt: CsvFormat = READER_DEFAULTS) -> DataFrame:
+    """(path, line, names): the column names of each file, blanks and repeats made usable.
+
+    Headers are single lines. The names are found once for each different line, of which there are as many as
+    there are layouts; finding the lines is a pass over the files.
+    """
+    first = cut_lineage(first_lines(spark, path), "headers")
+    lines = [r.line for r in first.select("line").distinct().collect()]
     layouts = [
         (line, header_names([c or None for c in next(reader([line], delimiter=fmt.delimiter, quotechar=fmt.quote))]))
-        for line in distinct
+        for line in sorted(lines)
     ]
-    names = list(dict.fromkeys(n for _, header in layouts for n in header))
-    width = max((len(header) for _, header in layouts), default=0)
-    if not names:
-        return spark.createDataFrame([], T.StructType())
-    known = first.join(spark.createDataFrame(layouts, "_line string, _names array<string>"), "_line")
+    known = spark.createDataFrame(layouts, "line string, names array<string>")
+    return first.join(F.broadcast(known), "line").select("path", "line", "names")
+
+
+def read_by_headers(
+    spark: SparkSession, path: str | list[str], headers: DataFrame, names: Sequence[str], fmt: CsvFormat = READER_DEFAULTS
+) -> DataFrame:
+    """``names`` from files whose headers are known; a file without a column has nulls there.
+
+    One scan reads all files by position; each row finds its file's names by the file's path and picks its cells.
+    """
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    if not width:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
     cells = [f"_{i}" for i in range(width)]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in cells])
     rows = (
@@ -128,7 +156,7 @@ def read_csv_by_name(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEF
         .option("recursiveFileLookup", "true").csv(path)
         .select(F.array(*cells).alias("_cells"), F.col("_metadata.file_path").alias("_path"))
     )
-    placed = rows.join(known.select("_path", "_names"), "_path")
+    placed = rows.join(headers.select(F.col("path").alias("_path"), F.col("names").alias("_names")), "_path")
 
     def cell(name: str) -> Column:
         place = F.array_position("_names", name).cast("int") - 1
@@ -137,6 +165,17 @@ def read_csv_by_name(spark: SparkSession, path: str, fmt: CsvFormat = READER_DEF
     return placed.select(*[cell(n) for n in names])
 
 
+def read_csv_by_name(spark: SparkSession, path: str | list[str], fmt: CsvFormat = READER_DEFAULTS) -> DataFrame:
+    """Files whose headers differ, each read by its own header, as one table of all their columns.
+
+    Column names keep the order in which the headers, sorted, bring them up.
+    """
+    headers = file_headers(spark, path, fmt)
+    layouts = headers.select("line", "names").distinct().collect()
+    names = list(dict.fromkeys(n for r in sorted(layouts) for n in r.names))
+    return read_by_headers(spark, path, headers, names, fmt)
+
+
 def is_well_formed(line: Column, fmt: CsvFormat = READER_DEFAULTS) -> Column:
     """Whether each quoted value of a line is closed, and followed by a delimiter or the line's end.
 

@@ -98,3 +98,15 @@ def test_a_large_file_takes_several_tasks(spark, folder):
         assert read_csv(spark, path).rdd.getNumPartitions() > 3 and read_csv(spark, path).count() == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
+
+
+def test_repeated_headers_in_different_orders(spark, folder):
+    Path(folder, "a.csv").write_text("A,Memo,Memo\n1,x,y\n")
+    Path(folder, "b.csv").write_text("A,Memo,Memo\n2,z,\n")
+    got = sorted(tuple(r) for r in read_csv(spark, folder).collect())
+    assert got == [("1", "x", "y"), ("2", "z", None)]
+    Path(folder, "c.csv").write_text("Memo,Memo,A\nx3,y3,3\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv(spark, folder)
+    got = sorted(tuple(r[c] for c in ("A", "Memo", "Memo.1")) for r in read_csv_by_name(spark, folder).collect())
+    assert got == [("1", "x", "y"), ("2", "z", None), ("3", "x3", "y3")]

@@ -2,8 +2,13 @@
 
 from pathlib import Path
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from millrace.spec import TableSpec
-from millrace.streaming.incremental import clean_new_files, csv_stream, load_new_files
+from millrace.streaming.incremental import (
+    ByHeader, clean_new_files, csv_stream, file_stream, load_new_files, load_new_files_by_header,
+)
 
 SPEC = TableSpec("t", primary_key="k", order_by=("seq",))
 
@@ -77,3 +82,56 @@ def test_two_checkpoints_share_a_target(spark, folder):
     (other / "x.csv").write_text("seq,k\n7,b\n8,c\n")
     clean_new_files(csv_stream(spark, str(other), ["seq", "k"]), SPEC, f"{folder}/target", f"{folder}/progress2")
     assert target_rows(spark, folder) == [("1", "a"), ("2", "b"), ("8", "c")]
+
+
+def drop(folder, name, text):
+    inbox = Path(folder) / "inbox"
+    inbox.mkdir(exist_ok=True)
+    (inbox / name).write_text(text)
+
+
+def by_header(spark, folder, **options):
+    reading = ByHeader(f"{folder}/registry", ("A", "B"), **options)
+    load_new_files_by_header(file_stream(spark, f"{folder}/inbox"), reading, f"{folder}/target", f"{folder}/progress")
+    return reading
+
+
+def test_columns_in_another_order(spark, folder):
+    drop(folder, "a.csv", "A,B\n1,x\n")
+    by_header(spark, folder)
+    drop(folder, "b.csv", "B,A\ny,2\n")
+    reading = by_header(spark, folder)
+    rows = spark.read.parquet(f"{folder}/target").select("A", "B").collect()
+    assert sorted(map(tuple, rows)) == [("1", "x"), ("2", "y")]
+    assert sorted((Path(r.path).name, r.names) for r in reading.known(spark).collect()) == [("a.csv", ["A", "B"]), ("b.csv", ["B", "A"])]
+    # A stream of rows cannot follow, so it fails.
+    with pytest.raises(StreamingQueryException):
+        load_new_files(csv_stream(spark, f"{folder}/inbox", ["A", "B"]), f"{folder}/other", f"{folder}/progress2")
+
+
+def test_unknown_layouts_fail_or_add_columns(spark, folder):
+    drop(folder, "a.csv", "B,A\nx,1\n")
+    by_header(spark, folder)
+    drop(folder, "b.csv", "A,C\n2,new\n")
+    with pytest.raises(StreamingQueryException, match="has the columns"):
+        by_header(spark, folder)
+    by_header(spark, folder, new_columns="add")
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{folder}/target").select("A", "B", "C").collect()
+    assert sorted(map(tuple, rows)) == [("1", "x", None), ("2", None, "new")]
+
+
+def test_repeated_names_in_a_stream(spark, folder):
+    drop(folder, "a.csv", "A,B,B\n1,x,y\n")
+    drop(folder, "b.csv", "B,B,A\nx2,y2,2\n")
+    reading = ByHeader(f"{folder}/registry", ("A", "B", "B.1"))
+    load_new_files_by_header(file_stream(spark, f"{folder}/inbox"), reading, f"{folder}/target", f"{folder}/progress")
+    rows = spark.read.parquet(f"{folder}/target").select("A", "B", "`B.1`").collect()
+    assert sorted(map(tuple, rows)) == [("1", "x", "y"), ("2", "x2", "y2")]
+
+
+def test_clean_batches_by_header(spark, folder):
+    reading = ByHeader(f"{folder}/registry", ("seq", "k"))
+    for name, text in (("a.csv", "seq,k\n2, a\n1,a\n"), ("b.csv", "k,seq\na,5\nc,6\n")):
+        drop(folder, name, text)
+        clean_new_files(file_stream(spark, f"{folder}/inbox"), SPEC, f"{folder}/target", f"{folder}/progress", reading)
+    assert target_rows(spark, folder) == [("1", "a"), ("6", "c")]
