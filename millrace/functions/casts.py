@@ -57,13 +57,14 @@ def try_time(text: Column) -> Column:
     local = F.regexp_replace(text, "(Z|[+-][0-9]{2}:?[0-9]{2})$", "").try_cast("timestamp_ntz")
     zoned = local - F.make_dt_interval(mins=offset)
     iso_like = F.substring(text, 5, 1) == "-"
-    return (
+    # Every form begins with a digit; most other texts need no pattern.
+    return F.when(F.substring(text, 1, 1).between("0", "9"), (
         F.when(iso_like & text.rlike(ISO_TIME), text.try_cast("timestamp_ntz"))
         .when(iso_like & text.rlike(ZONED_TIME), zoned)
         .when(text.contains("/") & text.rlike(SLASH_DATE), F.try_to_date(text, "M/d/yyyy").cast("timestamp_ntz"))
         .when(text.contains("/") & text.rlike(YEAR_FIRST_DATE), F.try_to_date(text, "yyyy/M/d").cast("timestamp_ntz"))
         .when(text.contains("-") & text.rlike(NAMED_MONTH_DATE), F.try_to_date(_month_number(text), "d-M-yyyy").cast("timestamp_ntz"))
-    )
+    ))
 
 
 def _month_number(text: Column) -> Column:
@@ -84,15 +85,24 @@ def try_flag(text: Column) -> Column:
     return F.when(low.isin(*TRUE_TEXTS), F.lit(True)).when(low.isin(*FALSE_TEXTS), F.lit(False))
 
 
+def number_size(type_name: str) -> tuple[int, int]:
+    """Digits and scale of ``NUMBER``, ``NUMBER(p)`` or ``NUMBER(p,s)``."""
+    size = type_name.partition("(")[2].rstrip(")")
+    digits, _, scale = size.partition(",")
+    return int(digits or 38), int(scale or 0)
+
+
 def cast_to(text: Column, type_name: str) -> Column:
-    """Cast text to a warehouse type name such as ``NUMBER(10)`` or ``VARCHAR(50)``.
+    """Cast text to a warehouse type name such as ``NUMBER(10)``, ``NUMBER(12,2)`` or ``VARCHAR(50)``.
 
     ``NUMBER(p)`` takes numbers of up to p digits, rounded; a longer one is no value of it. Up to 18
-    digits fit a long; ``NUMBER`` without that bound stays a 38-digit decimal.
+    digits fit a long; ``NUMBER`` without that bound stays a 38-digit decimal. ``NUMBER(p,s)`` is a decimal.
     """
-    kind, _, rest = type_name.upper().partition("(")
+    kind = type_name.upper().partition("(")[0]
     if kind == "NUMBER":
-        digits = int(rest.rstrip(")")) if rest else 38
+        digits, scale = number_size(type_name)
+        if scale:
+            return try_number(text, digits, scale)
         if digits > 18:
             return try_number(text, digits).cast("decimal(38,0)")
         return try_number(text, digits).cast("bigint")
@@ -107,16 +117,55 @@ def cast_to(text: Column, type_name: str) -> Column:
     return casts[kind](text)
 
 
+LEADING_ZERO = "^[+-]?0[0-9]"
+
+
+def whole_digits(number: Column) -> Column:
+    """Digits before the point of a number's text, leading zeros not counted; null for one with an exponent."""
+    digits = F.regexp_extract(number, "^[+-]?0*([0-9]*)", 1)
+    return F.when(~F.lower(number).contains("e"), F.length(digits))
+
+
+def fraction_digits(number: Column) -> Column:
+    """Digits after the point of a number's text, trailing zeros not counted; null for one with an exponent."""
+    digits = F.rtrim(F.regexp_extract(number, "[.]([0-9]*)$", 1), F.lit("0"))
+    return F.when(~F.lower(number).contains("e"), F.length(digits))
+
+
+def changed_by_double(number: Column) -> Column:
+    """True where a double does not have all digits of a number's text, or the text has leading zeros.
+
+    Up to 15 significant digits always survive. Beyond them the decimal values of both are compared; what is too
+    long to compare, and what is beyond the largest double, has changed.
+    """
+    value = number.try_cast("double")
+    mantissa = F.regexp_replace(number, "^[+-]|[eE].*$", "")
+    digits = F.regexp_replace(F.regexp_replace(mantissa, "[.]", ""), "^0+|0+$", "")
+    scale = F.regexp_replace(mantissa, "^[0-9]*[.]?", "")
+    whole = number.try_cast("decimal(38,0)") != value.try_cast("decimal(38,0)")
+    broken = number.try_cast("decimal(38,18)") != value.try_cast("decimal(38,18)")
+    differs = F.coalesce(F.when(scale == "", whole).otherwise(broken), F.lit(True))
+    infinite = F.abs(value) == float("inf")
+    return number.rlike(LEADING_ZERO) | infinite | ((F.length(digits) > 15) & differs)
+
+
 def changed_by_cast(text: Column, type_name: str) -> Column:
     """True where a value survives the cast to ``type_name`` in another form.
 
-    A whole number loses a fraction or leading zeros, a date its time of day.
+    A whole number loses a fraction or leading zeros, a decimal digits beyond its scale, a floating number digits
+    beyond its precision, a date its time of day.
     """
     kind = type_name.upper().partition("(")[0]
     value = cast_to(text, type_name)
     if kind == "NUMBER":
+        _, scale = number_size(type_name)
+        if scale:
+            longer = F.coalesce(fraction_digits(text) > scale, text.try_cast("double") != value.cast("double"))
+            return value.isNotNull() & (text.rlike(LEADING_ZERO) | longer)
         exact = try_number(text, 38, 10) != value.cast("decimal(38,10)")
-        return value.isNotNull() & (text.rlike("^[+-]?0[0-9]") | F.coalesce(exact, F.lit(False)))
+        return value.isNotNull() & (text.rlike(LEADING_ZERO) | F.coalesce(exact, F.lit(False)))
+    if kind == "FLOAT":
+        return value.isNotNull() & changed_by_double(text)
     if kind == "DATE":
         return value.isNotNull() & (try_time(text) != value.cast("timestamp_ntz"))
     return F.lit(False)
@@ -124,9 +173,10 @@ def changed_by_cast(text: Column, type_name: str) -> Column:
 
 def spark_type(type_name: str) -> str:
     """The Spark type a warehouse type name maps to."""
-    kind, _, rest = type_name.upper().partition("(")
+    kind = type_name.upper().partition("(")[0]
     if kind == "NUMBER":
-        return "bigint" if rest and int(rest.rstrip(")")) <= 18 else "decimal(38,0)"
+        digits, scale = number_size(type_name)
+        return f"decimal({digits},{scale})" if scale else "bigint" if digits <= 18 else "decimal(38,0)"
     return {
         "FLOAT": "double", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
         "TIMESTAMP_NTZ": "timestamp_ntz", "BOOLEAN": "boolean", "VARCHAR": "string",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.functions.casts import (
-    FALSE_TEXTS, TRUE_TEXTS, cast_to, changed_by_cast, is_integer, text_of, try_double, try_time,
+    FALSE_TEXTS, LEADING_ZERO, TRUE_TEXTS, cast_to, changed_by_cast, changed_by_double, fraction_digits, is_integer,
+    is_number, text_of, try_time, whole_digits,
 )
 
 # Words in a column name that hint at its type.
@@ -32,9 +33,18 @@ MAX_TEXT = 16_777_216
 
 STATISTICS = (
     "rows", "filled", "numbers", "integers", "min_number", "max_number", "times", "days", "flag_mask",
-    "flags", "emails", "max_length",
+    "flags", "emails", "max_length", "exponents", "inexact", "zero_led", "max_whole", "max_scale",
+)
+COUNTS = [
+    "rows", "filled", "numbers", "integers", "times", "days", "flags", "emails", "exponents", "inexact", "zero_led",
+]
+KEPT_SCHEMA = (
+    "table_name string, file_name string, size bigint, modified timestamp_ntz, ordinal int, column_name string, "
+    + ", ".join(
+        f"{c} {'double' if c.endswith('_number') else 'int' if c in ('flag_mask', 'max_length', 'max_whole', 'max_scale') else 'bigint'}"
+        for c in STATISTICS
+    )
 )
-COUNTS = ["rows", "filled", "numbers", "integers", "times", "days", "flags", "emails"]
 _FLAG_TEXTS = (*TRUE_TEXTS, *FALSE_TEXTS)
 
 
@@ -52,26 +62,21 @@ def sample_rows(df: DataFrame, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).limit(rows)
 
 
-def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> DataFrame:
-    """One row per column: counts of what its texts look like.
-
-    One scan of the rows: each row unfolds into its cells, and the cells are aggregated by
-    column within the map tasks, so only one small row per task and column is shuffled. Unlike a
-    set of aggregates for every column this stays compact code for tables of any width.
-    """
-    source = sample_rows(df, sample) if sample else df
-    cells = source.select(F.posexplode(F.array(*[text_of(df, c) for c in df.columns])).alias("ordinal", "text"))
-    text = F.col("text")
-    judged = cells.select(
-        "ordinal",
-        "text",
-        try_double(text).alias("number"),
+def _judged(text: Column) -> list[Column]:
+    number = F.when(is_number(text), text)
+    return [
+        number.try_cast("double").alias("number"),
+        number.alias("digits"),
         try_time(text).alias("time"),
         is_integer(text).alias("integer"),
         _flag_bit(text).alias("flag"),
         (text.contains("@") & text.rlike(EMAIL)).alias("email"),
-    )
-    counted = judged.groupBy("ordinal").agg(
+    ]
+
+
+def _aggregates() -> list[Column]:
+    digits = F.col("digits")
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.count("text").alias("filled"),
         F.count("number").alias("numbers"),
@@ -84,7 +89,25 @@ def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> D
         F.count("flag").alias("flags"),
         F.count_if("email").alias("emails"),
         F.max(F.length("text")).alias("max_length"),
-    )
+        F.count_if(digits.isNotNull() & whole_digits(digits).isNull()).alias("exponents"),
+        # Most numbers are too short to lose anything.
+        F.count_if((F.length(digits) > 15) & changed_by_double(digits)).alias("inexact"),
+        F.count_if(digits.rlike(LEADING_ZERO)).alias("zero_led"),
+        F.max(whole_digits(digits)).alias("max_whole"),
+        F.max(fraction_digits(digits)).alias("max_scale"),
+    ]
+
+
+def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> DataFrame:
+    """One row per column: counts of what its texts look like.
+
+    One scan of the rows: each row unfolds into its cells, and the cells are aggregated by
+    column within the map tasks, so only one small row per task and column is shuffled. Unlike a
+    set of aggregates for every column this stays compact code for tables of any width.
+    """
+    source = sample_rows(df, sample) if sample else df
+    cells = source.select(F.posexplode(F.array(*[text_of(df, c) for c in df.columns])).alias("ordinal", "text"))
+    counted = cells.select("ordinal", "text", *_judged(F.col("text"))).groupBy("ordinal").agg(*_aggregates())
     # A table without rows has columns all the same. Both sides hold one row per column.
     columns = df.sparkSession.createDataFrame(
         [(table, i, c) for i, c in enumerate(df.columns)],
@@ -94,6 +117,69 @@ def column_statistics(df: DataFrame, table: str, sample: int | None = None) -> D
     return found.fillna(0, COUNTS).select("table_name", "ordinal", "column_name", *STATISTICS)
 
 
+def file_statistics(df: DataFrame, table: str, file_column: str) -> DataFrame:
+    """The statistics of each file's columns: rows that :func:`merge_statistics` adds up.
+
+    One scan as for :func:`column_statistics`, aggregated by file and column. Kept beside the table, they let
+    a later delivery be judged by its own files and these rows (:func:`statistics_with_new_files`).
+    """
+    names = [c for c in df.columns if c != file_column]
+    cells = df.select(
+        F.col(f"`{file_column}`").cast("string").alias("file_name"),
+        F.posexplode(F.array(*[F.struct(F.lit(c).alias("column_name"), text_of(df, c).alias("text")) for c in names])).alias("ordinal", "cell"),
+    ).select("file_name", "ordinal", "cell.column_name", "cell.text")
+    counted = cells.select("file_name", "ordinal", "column_name", "text", *_judged(F.col("text"))).groupBy(
+        "file_name", "ordinal", "column_name"
+    ).agg(*_aggregates())
+    return counted.select(F.lit(table).alias("table_name"), "file_name", "ordinal", "column_name", *STATISTICS)
+
+
+def merge_statistics(statistics: DataFrame) -> DataFrame:
+    """One row per table and column from the rows of its files; equal to one pass over all of them.
+
+    Columns meet by name without regard to case, as they do in a table, and take the place they have in the first
+    file by name that has them. A file without a column counts its rows as nulls there.
+    """
+    rows = statistics.groupBy("table_name", "file_name").agg(F.max("rows").alias("_rows"))
+    total = rows.groupBy("table_name").agg(F.sum("_rows").alias("_total"))
+    least = {"min_number": F.min, "flag_mask": F.bit_or}
+    greatest = ("max_number", "max_length", "max_whole", "max_scale")
+    first = F.min(F.struct("file_name", "ordinal", "column_name"))
+    merged = statistics.groupBy("table_name", F.lower("column_name").alias("_key")).agg(
+        first["file_name"].alias("_file"), first["ordinal"].alias("ordinal"), first["column_name"].alias("column_name"),
+        *[(least.get(c) or (F.max if c in greatest else F.sum))(c).alias(c) for c in STATISTICS],
+    )
+    whole = merged.join(F.broadcast(total), "table_name").withColumn("rows", F.col("_total"))
+    order = Window.partitionBy("table_name").orderBy("_file", "ordinal", "_key")  # one row per column
+    return whole.withColumn("ordinal", F.row_number().over(order) - 1).select("table_name", "ordinal", "column_name", *STATISTICS)
+
+
+def statistics_with_new_files(
+    spark: SparkSession, table: str, kept_in: str, listing: DataFrame, read: Callable[[list[str]], DataFrame],
+    file_column: str, batch: int = 5_000,
+) -> DataFrame:
+    """The statistics of all files of ``listing``, of which only those that ``kept_in`` lacks are read.
+
+    ``kept_in`` is a catalog table of statistics rows with each file's size and time of change, made if it is
+    not there. ``read`` gets paths and gives rows with their path in ``file_column``. Files are read in batches, and a
+    batch's rows are added in one write. A file that has changed is read again; its newest rows hold. Rows of
+    files that have gone are left out.
+    """
+    if not spark.catalog.tableExists(kept_in):
+        spark.createDataFrame([], KEPT_SCHEMA).write.saveAsTable(kept_in)
+    facts = listing.select(F.col("path").alias("file_name"), "size", "modified")
+    kept = spark.table(kept_in).filter(F.col("table_name") == table)
+    missing = facts.join(kept.select("file_name", "size", "modified").distinct(), ["file_name", "size", "modified"], "left_anti")
+    paths = sorted(r.file_name for r in missing.select("file_name").collect())
+    for at in range(0, len(paths), batch):
+        part = paths[at : at + batch]
+        found = file_statistics(read(part), table, file_column)
+        noted = found.join(F.broadcast(facts.filter(F.col("file_name").isin(part))), "file_name")
+        noted.select(*[f.name for f in spark.table(kept_in).schema]).write.mode("append").saveAsTable(kept_in)
+    current = spark.table(kept_in).filter(F.col("table_name") == table).join(facts, ["file_name", "size", "modified"], "left_semi")
+    return merge_statistics(current)
+
+
 def _names(words: Sequence[str], whole_word: bool) -> Column:
     name = F.lower("column_name")
     if whole_word:
@@ -118,8 +204,21 @@ def _varchar(*sizes: tuple[int, int], largest: int) -> Column:
     return chain
 
 
+def _exact_number(kind: Column, text: Column) -> Column:
+    """``kind``, unless it would change digits: then a decimal that holds them all, or text.
+
+    Leading zeros make a column text. A column of numbers of which a double loses digits gets the digits before
+    and the scale after the point that its values need, as long as 38 digits are enough.
+    """
+    digits = F.col("max_whole") + F.col("max_scale")
+    whole = F.concat(F.lit("NUMBER("), F.greatest(digits, F.lit(1)).cast("string"), F.lit(")"))
+    scaled = F.concat(F.lit("NUMBER("), digits.cast("string"), F.lit(","), F.col("max_scale").cast("string"), F.lit(")"))
+    decimal = F.when((digits > 38) | (F.col("exponents") > 0), text).when(F.col("max_scale") > 0, scaled).otherwise(whole)
+    return F.when(F.col("zero_led") > 0, text).when((kind == "FLOAT") & (F.col("inexact") > 0), decimal).otherwise(kind)
+
+
 def infer_by_name_and_data(
-    statistics: DataFrame, whole_word: bool = False, widest: bool = False
+    statistics: DataFrame, whole_word: bool = False, widest: bool = False, exact: bool = False
 ) -> DataFrame:
     """Dates, numbers and flags by name and data, then kinds of text; later findings win.
 
@@ -127,7 +226,8 @@ def infer_by_name_and_data(
     of day make a ``TIMESTAMP``, and only whole numbers make a ``NUMBER``.
     Words match anywhere in a name (``paid`` holds ``id``) unless ``whole_word`` is set. The
     digits of a number follow from its largest value, or with ``widest`` from the value furthest
-    from zero, which also makes room for negative numbers.
+    from zero, which also makes room for negative numbers. With ``exact`` no number loses a digit: columns with
+    leading zeros are text, and those that a double would round are decimals (``NUMBER(p,s)``).
     """
     def has(words: Sequence[str]) -> Column:
         return _names(words, whole_word)
@@ -152,6 +252,8 @@ def infer_by_name_and_data(
         _all("integers"),
         F.when(longest >= 10.0**MORE_DIGITS, "NUMBER(38)").otherwise(f"NUMBER({MORE_DIGITS})"),
     ).otherwise(F.when(_all("numbers"), "FLOAT").otherwise("VARCHAR(50)"))
+    if exact:
+        number, code = _exact_number(number, text), _exact_number(code, text)
     earlier = F.coalesce(flag, number, first, text)
     inferred = (
         F.when(F.col("filled") == 0, "VARCHAR(255)")

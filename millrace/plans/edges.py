@@ -89,20 +89,26 @@ SELECT count(*) AS rows, sum(bad)::BIGINT AS bad_cells, sum(changed)::BIGINT AS
 FROM (SELECT CASE WHEN o_orderkey >= 1000 THEN 1 ELSE 0 END AS bad,
     (CASE WHEN round(o_totalprice) <> o_totalprice THEN 1 ELSE 0 END)
         + (CASE WHEN o_custkey < 100000 THEN 1 ELSE 0 END)
-        + (CASE WHEN o_orderkey % 24 <> 0 THEN 1 ELSE 0 END) AS changed,
+        + (CASE WHEN o_orderkey % 24 <> 0 THEN 1 ELSE 0 END)
+        + (CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 10 <> 0 THEN 1 ELSE 0 END)
+        + (CASE WHEN o_custkey < 100000 THEN 1 ELSE 0 END) AS changed,
     round(o_totalprice::DECIMAL(18, 4))::BIGINT AS whole, CASE WHEN o_orderkey < 1000 THEN o_orderkey END AS short,
     o_orderdate::DATE AS day FROM orders)
 """)
 def changed_values(spark: SparkSession, folder: str) -> DataFrame:
-    """What casts lose (numbers too long for their type) and alter (fractions, leading zeros, times of day)."""
+    """What casts lose (numbers too long for their type) and alter: fractions, leading zeros, times of day, and
+    digits beyond a double's precision."""
     hour = "lpad(CAST(o_orderkey % 24 AS STRING), 2, '0')"
     text = table(spark, folder, "orders").select(
         F.col("o_totalprice").cast("string").alias("whole"),
         F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("zip"),
         F.col("o_orderkey").cast("string").alias("short"),
         F.expr(f"substring(CAST(o_orderdate AS STRING), 1, 10) || ' ' || {hour} || ':00:00'").alias("day"),
+        # From 2^53 on every other whole number is no double.
+        F.expr("CASE WHEN o_orderkey % 10 <> 0 THEN CAST(o_orderkey + 9007199254740992 AS STRING) END").alias("number"),
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("code"),
     )
-    types = {"whole": "NUMBER(10)", "zip": "NUMBER(10)", "short": "NUMBER(3)", "day": "DATE"}
+    types = {"whole": "NUMBER(10)", "zip": "NUMBER(10)", "short": "NUMBER(3)", "day": "DATE", "number": "FLOAT", "code": "FLOAT"}
     return infer.apply_types(text, types).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_bad_cells").alias("bad_cells"), F.sum("_changed_cells").alias("changed_cells"),
         F.sum("whole").alias("whole_sum"), F.count("short").alias("short_values"), F.min("day").cast("string").alias("first_day"),
@@ -335,3 +341,78 @@ def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
     listing = files.list_files(spark, landed(spark, folder, "inventory", write))
     one = listing.withColumn("name", files.partition_value(F.col("path"), "file")).groupBy("name").agg(F.sum("size").alias("size"))
     return audit.file_inventory(one).select("kind", "files", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+_EXACT = "o_orderkey % 10 <> 0"
+
+
+@query(f"""
+WITH o AS (SELECT *, o_totalprice::DECIMAL(18, 2) AS price FROM orders)
+SELECT 'exact' AS run, 'success' AS status, NULL::VARCHAR AS error, sum(CASE WHEN {_EXACT} THEN o_orderkey + 9007199254740992 END)::VARCHAR AS number_sum,
+    min(lpad(o_custkey::VARCHAR, 6, '0')) AS first_zip, sum((price + 12345678901234567)::DECIMAL(38, 2))::VARCHAR AS price_sum,
+    'decimal(19,2),bigint' AS types FROM o
+UNION ALL SELECT 'plain', 'warning', (count(*) FILTER ({_EXACT} AND o_orderkey % 2 = 1) + count(*) FILTER (o_custkey < 100000)
+    + count(*) FILTER (price <> floor(price) OR price % 2 = 0)) || ' cells changed', NULL, NULL, NULL, 'double,double' FROM o
+""")
+def run_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole run over numbers that doubles round and codes with zeros in front: kept to the digit, or told."""
+    def write(path: str) -> None:
+        rows = table(spark, folder, "orders").select(
+            F.col("o_orderkey").cast("string").alias("Order Ref"),
+            F.expr(f"CASE WHEN {_EXACT} THEN CAST(o_orderkey + 9007199254740992 AS STRING) END").alias("Ledger Number"),
+            F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("Zip Code"),
+            (F.col("o_totalprice").cast("decimal(18,2)") + F.lit("12345678901234567.00").cast("decimal(19,2)")).cast("string").alias("Total Price"),
+        )
+        write_csv(rows, f"{path}/numbers.csv")
+
+    inbox, told = landed(spark, folder, "numbers", write), []
+    for run in ("exact", "plain"):
+        database = fresh_database(spark, run)
+        spec = TableSpec("numbers", "numbers", "Order Ref", order_by=("Zip Code",))
+        outcome = run_tables(spark, [spec], inbox, database, exact=run == "exact").first()
+        found = spark.table(f"{database}.numbers")
+        kinds = ",".join(dict(found.dtypes)[c] for c in ("Total_Price", "Ledger_Number"))
+        sums = found.agg(
+            F.sum(F.col("Ledger_Number").cast("decimal(38,0)")).cast("string").alias("number_sum"), F.min("Zip_Code").cast("string").alias("first_zip"),
+            F.sum("Total_Price").cast("string").alias("price_sum"),
+        ).first()
+        told.append((run, outcome.status, outcome.error, *(sums if run == "exact" else (None, None, None)), kinds))
+    return spark.createDataFrame(told, "run string, status string, error string, number_sum string, first_zip string, price_sum string, types string")
+
+
+@query("""
+SELECT 'first' AS delivery, count(DISTINCT year(o_orderdate)) AS files_read, 'NUMBER(7)' AS key_type, 'FLOAT' AS price_type, true AS as_one_pass
+    FROM orders WHERE o_orderdate < '1998-01-01'
+UNION ALL SELECT 'second', count(DISTINCT year(o_orderdate)), 'VARCHAR(50)', 'FLOAT', true FROM orders WHERE o_orderdate >= '1998-01-01'
+UNION ALL SELECT 'third', 0, 'VARCHAR(50)', 'FLOAT', true
+""")
+def incremental_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """Types after each delivery of files, of which only the new ones are read, against one pass over all of them."""
+    inbox = fresh_folder(spark, "deliveries")
+    database = fresh_database(spark, "statistics")
+    orders = table(spark, folder, "orders")
+    told = []
+    for delivery, part in (("first", "o_orderdate < '1998-01-01'"), ("second", "o_orderdate >= '1998-01-01'"), ("third", None)):
+        if part:
+            key = F.col("o_orderkey") % 1000 + 100_000
+            rows = orders.filter(part).select(
+                (key.cast("string") if delivery == "first" else F.concat(F.lit("K"), key)).alias("order_number"),
+                F.col("o_totalprice").cast("string").alias("total_price"), F.expr("year(o_orderdate)").alias("year"),
+            )
+            write_csv(rows.repartition("year"), f"{inbox}/{delivery}", partition_by=("year",))
+        read_paths: list[str] = []
+
+        def read(paths: list[str]) -> DataFrame:
+            read_paths.extend(paths)
+            rows = spark.read.schema("order_number string, total_price string").option("header", "true").csv(paths)
+            return rows.select("order_number", "total_price", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("path"))
+
+        listing = files.list_files(spark, inbox)
+        found = infer.statistics_with_new_files(spark, "orders", f"{database}.kept", listing, read, "path")
+        types = infer.mapping_of(infer.infer_by_name_and_data(found))
+        paths = [r.path for r in listing.select("path").collect()]
+        read_before = len(read_paths)
+        whole = infer.column_statistics(read(paths).drop("path"), "orders")
+        same = sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+        told.append((delivery, read_before, types["order_number"], types["total_price"], same))
+    return spark.createDataFrame(told, "delivery string, files_read bigint, key_type string, price_type string, as_one_pass boolean")

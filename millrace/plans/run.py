@@ -38,13 +38,13 @@ def target_of(spark: SparkSession, spec: TableSpec, database: str) -> str:
 
 def load_table(
     spark: SparkSession, spec: TableSpec, path: str, database: str, fmt: CsvFormat | None = None,
-    mapping_table: str | None = None,
+    mapping_table: str | None = None, exact: bool = False,
 ) -> dict:
     """Clean one landed table, find its types, replace the warehouse table, and report.
 
     The cleaned rows are written once; statistics, casts and the row count read that copy, which goes
     at the end. ``bad_cells`` and ``changed_cells`` count what the casts lost or altered; either makes
-    the outcome a warning. The types go to ``mapping_table`` where one is named.
+    the outcome a warning; ``exact`` chooses types that alter no number. The types go to ``mapping_table`` where one is named.
     """
     fmt = fmt or (MULTI_LINE if spec.multi_line else READER_DEFAULTS)
     raw = read_csv(spark, path, fmt)
@@ -54,7 +54,7 @@ def load_table(
         cleaned = clean_table(raw, spec)
         columns = cleaned.columns
         staged = keep(cleaned.toDF(*[f"_{i}" for i in range(len(columns))])).toDF(*columns)
-        inferred = infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name), widest=True)
+        inferred = infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name), widest=True, exact=exact)
         found = infer.mapping_of(inferred)
         names = dict(zip(found, unique_names([clean_name(c) for c in found]), strict=True))
         typed = keep(infer.apply_types(staged, found, names))
@@ -84,11 +84,13 @@ def run_tables(
     workers: int = 4,
     audit_table: str | None = None,
     mapping_table: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Load every table of ``specs`` from ``inbox``; one result row each.
 
     Tables run side by side on one session, and a failure stays with its table. The results are
-    appended to ``audit_table``, the types found to ``mapping_table``, where these are named.
+    appended to ``audit_table``, the types found to ``mapping_table``, where these are named. With ``exact`` no
+    number loses a digit or a leading zero to its type.
     """
     requests = spark.createDataFrame([(s.source,) for s in specs], "request string")
     found = {
@@ -101,7 +103,7 @@ def run_tables(
             report = {"status": "failed", "error": f"no file for {spec.source}", "rows_loaded": 0, "total_columns": 0}
         else:
             try:
-                report = load_table(spark, spec, f"{inbox}/{file}", database, mapping_table=mapping_table)
+                report = load_table(spark, spec, f"{inbox}/{file}", database, mapping_table=mapping_table, exact=exact)
             except Exception as problem:  # the other tables go on
                 message = str(problem).splitlines()[0]
                 report = {"status": "failed", "error": message, "rows_loaded": 0, "total_columns": 0}
