@@ -172,8 +172,10 @@ def changed_by_cast(text: Column, type_name: str) -> Column:
 
 
 def spark_type(type_name: str) -> str:
-    """The Spark type a warehouse type name maps to."""
+    """The Spark type a warehouse type name maps to; a text's length stays declared."""
     kind = type_name.upper().partition("(")[0]
+    if kind == "VARCHAR" and "(" in type_name:
+        return type_name.lower()
     if kind == "NUMBER":
         digits, scale = number_size(type_name)
         return f"decimal({digits},{scale})" if scale else "bigint" if digits <= 18 else "decimal(38,0)"

@@ -53,22 +53,18 @@ def audit_summary(results: DataFrame, *by: str) -> DataFrame:
 
 
 def mapping_lookup(tables: DataFrame, mappings: DataFrame) -> DataFrame:
-    """For each ``table_name`` the first mapping by ``position``; it must have succeeded.
+    """For each ``table_name`` the mapping that applies: the newest successful one by ``position``, as
+    :func:`saved_mapping` takes it.
 
-    ``verdict`` is ok, not_success or missing. The first mapping succeeded when it is also the
-    first of the successful ones, so two numbers per name are all that is aggregated.
+    ``verdict`` is ok, not_success (there are mappings, but none succeeded; ``position`` is that of the newest) or missing.
     """
-    first = mappings.groupBy("table_name").agg(
-        F.min("position").alias("position"),
-        F.min(F.when(F.col("status") == "success", F.col("position"))).alias("_success"),
+    newest = mappings.groupBy("table_name").agg(
+        F.max("position").alias("_newest"),
+        F.max(F.when(F.col("status") == "success", F.col("position"))).alias("_success"),
     )
-    verdict = (
-        F.when(F.col("position").isNull(), "missing")
-        .when(F.col("position") == F.col("_success"), "ok")
-        .otherwise("not_success")
-    )
-    return tables.join(first, "table_name", "left").select(
-        "table_name", "position", verdict.alias("verdict")
+    verdict = F.when(F.col("_newest").isNull(), "missing").when(F.col("_success").isNull(), "not_success").otherwise("ok")
+    return tables.join(newest, "table_name", "left").select(
+        "table_name", F.coalesce("_success", "_newest").alias("position"), verdict.alias("verdict")
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import stringify
+from millrace.functions.casts import spark_type, stringify
 from millrace.functions.names import NamePolicy, clean_columns
 from millrace.operators.infer import apply_types, column_statistics, infer_by_data, mapping_of
 
@@ -42,10 +42,13 @@ def overwrite(df: DataFrame, table: str) -> None:
 
 def recreate(
     df: DataFrame, table: str, expected_rows: int | None = None,
-    verify: Callable[[DataFrame], bool] | None = None,
+    verify: Callable[[DataFrame], bool] | None = None, types: dict[str, str] | None = None,
 ) -> dict:
     """Build the new table beside the old one, verify it, and only then swap.
 
+    ``types`` (column to warehouse type) declares the columns, so that the catalogue shows the lengths of texts
+    and a longer value fails its write, now and in later appends.
+
     A load that fails or does not verify leaves the old table as it was. The old table is renamed aside
     and dropped last, so one of both is there at any moment; what a lost driver left aside is put back.
     """
@@ -57,7 +60,12 @@ def recreate(
         else:
             spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    df.write.saveAsTable(fresh)
+    if types:
+        columns = ", ".join(f"`{c}` {spark_type(types[c])}" for c in df.columns)
+        spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet")
+        df.write.insertInto(fresh)
+    else:
+        df.write.saveAsTable(fresh)
     loaded = spark.table(fresh)
     rows = loaded.count()
     passed = (expected_rows is None or rows == expected_rows) and (verify is None or verify(loaded))

@@ -107,14 +107,65 @@ def _row_hashes(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
 
 
-def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+BUCKETS = 4096
+
+
+def bucket_checksums(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, rows, sums): the rows of a table in buckets by their hash, each with the sums of its hashes' parts.
+
+    One narrow scan; map tasks hand on a row a bucket. Kept beside a table, they let :func:`table_diff` compare it
+    without reading it, as long as it has the same columns in the same order.
+    """
+    h1, h2 = F.col("_h1"), F.col("_h2")
+    parts = [F.shiftrightunsigned(h1, 32), h1.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h2, 32), h2.bitwiseAND(F.lit(0xFFFFFFFF))]
+    return df.select(*_row_hashes(df)).groupBy(F.pmod(h1, F.lit(buckets)).cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("rows"), F.array(*[F.sum(p) for p in parts]).alias("sums")
+    )
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> list[int]:
+    """The buckets whose checksums differ; at most as many as there are buckets."""
+    other = right.select("bucket", F.col("rows").alias("_rows"), F.col("sums").alias("_sums"))
+    both = left.join(other, "bucket", "full_outer")
+    same = F.col("rows").eqNullSafe(F.col("_rows")) & F.col("sums").eqNullSafe(F.col("_sums"))
+    return [r.bucket for r in both.filter(~same).select("bucket").collect()]
+
+
+def table_diff(
+    left: DataFrame, right: DataFrame, left_sums: DataFrame | None = None, right_sums: DataFrame | None = None,
+    buckets: int = BUCKETS,
+) -> DataFrame:
     """Rows that two tables do not share, with ``side`` and how many more ``copies`` that side has.
 
-    Both sides are added up by row hash, +1 on the left and -1 on the right, so one narrow shuffle
-    serves both directions. Whole rows are only fetched for the hashes that differ.
+    First the checksums of both sides' buckets are compared: one narrow scan of each side, or none where its
+    checksums (with ``buckets`` buckets) are given. Only rows of buckets that differ are then added up by
+    row hash, +1 on the left and -1 on the right, in one shuffle; equal tables are not read again. Where more than a
+    quarter of the buckets differ, hashes alone are shuffled, and whole rows are fetched for those that differ.
     """
     columns = left.columns
     right = right.select(*[_quoted(c) for c in columns])
+    found = differing_buckets(
+        bucket_checksums(left, buckets) if left_sums is None else left_sums,
+        bucket_checksums(right, buckets) if right_sums is None else right_sums,
+    )
+    if len(found) > buckets // 4:
+        return _diff_by_hashes(left, right)
+    of_bucket = F.pmod(F.col("_h1"), F.lit(buckets)).cast("int")
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        rows = df.select(*_row_hashes(df), F.lit(sign).alias("_sign"), F.struct(*[_quoted(c) for c in columns]).alias("_row"))
+        return rows.filter(of_bucket.isin(found))
+
+    balance = signed(left, 1).unionByName(signed(right, -1)).groupBy("_h1", "_h2").agg(
+        F.sum("_sign").alias("_balance"), F.any_value("_row").alias("_row")
+    ).filter("_balance <> 0")
+    side = F.when(F.col("_balance") > 0, "only_left").otherwise("only_right")
+    return balance.select("_row.*", side.alias("side"), F.abs("_balance").alias("copies"))
+
+
+def _diff_by_hashes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The same over all rows: hashes are added up first, whole rows only fetched for those that differ."""
+    columns = left.columns
     signs = left.select(*_row_hashes(left), F.lit(1).alias("_sign")).unionByName(
         right.select(*_row_hashes(right), F.lit(-1).alias("_sign"))
     )

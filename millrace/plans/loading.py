@@ -333,13 +333,14 @@ def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT t.c_name AS table_name, min(event_id) AS position, CASE WHEN min(event_id) IS NULL THEN 'missing'
-    WHEN min_by({_RESULT_STATUS}, event_id) = 'success' THEN 'ok' ELSE 'not_success' END AS verdict
+SELECT t.c_name AS table_name, coalesce(max(event_id) FILTER ({_RESULT_STATUS} = 'success'), max(event_id)) AS position,
+    CASE WHEN max(event_id) IS NULL THEN 'missing' WHEN count(*) FILTER ({_RESULT_STATUS} = 'success' AND event_id IS NOT NULL) > 0
+        THEN 'ok' ELSE 'not_success' END AS verdict
 FROM customer t LEFT JOIN events e ON t.c_name = 'Customer#' || lpad(e.user_id::VARCHAR, 9, '0')
 GROUP BY t.c_name
 """)
 def mapping_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers as tables, events as their mappings: the first one has to be a success."""
+    """Customers as tables, events as their mappings: the newest success applies."""
     names = table(spark, folder, "customer").select(F.col("c_name").alias("table_name")).distinct()
     mappings = table(spark, folder, "events").select(
         F.concat(F.lit("Customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("table_name"),

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.operators import ledger as ledgers, load
+from millrace.operators import ledger as ledgers, load, profile as inspect, tables, verify
 from millrace.plans.landing import landed
 from millrace.plans.registry import query, table
-from millrace.sources.csv import BULK_LOAD, RECORD, read_csv_checked
+from millrace.plans.run import run_tables
+from millrace.sources.csv import BULK_LOAD, RECORD, read_csv_checked, write_csv
 from millrace.sources.files import partition_value
+from millrace.spec import TableSpec
 from millrace.workspace import fresh_database
 
 _FIELDS = [load.Field("o_orderkey", "NUMBER(18)"), load.Field("o_clerk"), load.Field("o_totalprice", "FLOAT")]
@@ -123,3 +126,85 @@ def load_exactly_once(spark: SparkSession, folder: str) -> DataFrame:
         open_loads = ledgers.loads_of(spark, ledger, target).filter("NOT ended").count()
         told.append((step, *rows, ledgers.committed(spark, target, ledger, history).count(), open_loads))
     return spark.createDataFrame(told, "step string, rows bigint, key_sum bigint, files bigint, open_loads bigint")
+
+
+_SIZE = """CASE WHEN max(length({0})) <= 50 THEN 50 WHEN max(length({0})) <= 100 THEN 100 WHEN max(length({0})) <= 255 THEN 255
+    WHEN max(length({0})) <= 500 THEN 500 ELSE 1000 END::INTEGER"""
+
+
+@query(f"""
+SELECT 'Segment' AS column_name, {_SIZE.format('c_mktsegment')} AS character_maximum_length, true AS overlong_append_fails FROM customer
+UNION ALL SELECT 'Client_Name', 100, true FROM customer HAVING count(*) > 0
+UNION ALL SELECT 'Phone', 20, true FROM customer HAVING count(*) > 0
+""")
+def declared_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """Lengths of text columns that a run finds, declared in its table: the catalogue has them, and a longer
+    value cannot be appended."""
+    def write(path: str) -> None:
+        rows = table(spark, folder, "customer").select(
+            F.col("c_custkey").cast("string").alias("Client Ref"), F.col("c_name").alias("Client Name"),
+            F.col("c_mktsegment").alias("Segment"), F.lpad(F.col("c_custkey").cast("string"), 12, "+").alias("Phone"),
+        )
+        write_csv(rows, f"{path}/clients.csv")
+
+    database = fresh_database(spark, "lengths")
+    run_tables(spark, [TableSpec("clients", "clients", "Client Ref", order_by=("Client Name",))], landed(spark, folder, "lengths", write), database)
+    name = f"{database}.clients"
+    catalogue = inspect.describe_table(spark, name).filter(F.col("column_name").isin("Segment", "Client_Name", "Phone"))
+    fails = {}
+    for column in ("Segment", "Client_Name", "Phone"):
+        longer = spark.table(name).limit(1).withColumn(column, F.repeat(F.lit("x"), 1001))
+        try:
+            tables.append(longer, name)
+            fails[column] = False
+        except (PySparkException, Py4JJavaError) as problem:
+            fails[column] = "EXCEED_LIMIT_LENGTH" in str(problem)
+    outcome = spark.createDataFrame(list(fails.items()), "column_name string, overlong_append_fails boolean")
+    return catalogue.join(outcome, "column_name").select("column_name", "character_maximum_length", "overlong_append_fails")
+
+
+@query("""
+SELECT 'equal' AS pair, 0::BIGINT AS only_left, 0::BIGINT AS only_right, 0::BIGINT AS differing_buckets
+UNION ALL SELECT 'kept checksums', count(*) FILTER (l_orderkey % 2999 = 1), count(*) FILTER (l_orderkey % 2999 = 1), -1 FROM lineitem
+UNION ALL SELECT 'most rows', count(*) FILTER (l_orderkey % 10 <> 0), 0, -1 FROM lineitem
+""")
+def bucket_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items against a copy, against one that differs in few rows, by checksums kept with the load, and
+    against one that lacks most rows."""
+    name = f"{fresh_database(spark, 'buckets')}.lineitem"
+    lines = table(spark, folder, "lineitem")
+    verify.bucket_checksums(lines).write.saveAsTable(f"{name}_sums")
+    kept = spark.table(f"{name}_sums")
+    # A price beyond all others, so that no changed row equals another one.
+    changed = lines.withColumn("l_extendedprice", F.expr("CASE WHEN l_orderkey % 2999 = 1 THEN -1 - l_extendedprice ELSE l_extendedprice END"))
+    told = []
+    for pair, other, sums in (("equal", lines, None), ("kept checksums", changed, kept), ("most rows", lines.filter("l_orderkey % 10 = 0"), None)):
+        buckets = len(verify.differing_buckets(kept, verify.bucket_checksums(other)))
+        diff = verify.table_diff(lines, other, left_sums=sums).groupBy().agg(
+            *[F.coalesce(F.sum(F.when(F.col("side") == s, F.col("copies"))), F.lit(0)).alias(s) for s in ("only_left", "only_right")]
+        ).first()
+        told.append((pair, *diff, 0 if buckets == 0 else -1))
+    return spark.createDataFrame(told, "pair string, only_left bigint, only_right bigint, differing_buckets bigint")
+
+
+@query("""
+SELECT count(*) AS items, count(o) AS with_orders, count(*) FILTER (c_mktsegment = 'BUILDING') AS building,
+    sum(o)::BIGINT AS orders, 'Item,STATUS_sales,Amount,status_delivery,amount_1,origin' AS columns
+FROM (SELECT c_custkey, c_mktsegment, count(o_orderkey) AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY ALL)
+""")
+def merge_mixed_case(spark: SparkSession, folder: str) -> DataFrame:
+    """Two boards whose columns differ by case only: nothing is ambiguous afterwards."""
+    from millrace.operators.merge import merge_boards
+
+    customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    counts = orders.groupBy(F.col("o_custkey").alias("item")).agg(F.count(F.lit(1)).alias("status"))
+    right = customers.select(F.col("c_custkey").alias("item")).join(counts, "item", "left").select(
+        "item", F.coalesce("status", F.lit(0)).alias("status"), F.lit(1).alias("amount_1")
+    )
+    left = customers.select(F.col("c_custkey").alias("Item"), F.col("c_mktsegment").alias("STATUS"), F.lit(2).alias("Amount"))
+    merged = merge_boards(left, right, "Item")
+    return merged.agg(
+        F.count("Item").alias("items"), F.count("status_delivery").alias("with_orders"),
+        F.count_if(F.col("STATUS_sales") == "BUILDING").alias("building"), F.sum("status_delivery").alias("orders"),
+        F.lit(",".join(merged.columns)).alias("columns"),
+    )

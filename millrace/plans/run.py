@@ -62,7 +62,10 @@ def load_table(
             F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"),
             F.coalesce(F.sum("_changed_cells"), F.lit(0)).alias("changed"),
         ).first()
-        outcome = tables.recreate(typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), cells.rows)
+        outcome = tables.recreate(
+            typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), cells.rows,
+            types={names[c]: kind for c, kind in found.items()},
+        )
         if mapping_table:
             infer.save_mapping(inferred, names, spec.name, mapping_table)
     expected = spec.expected_rows

@@ -224,3 +224,17 @@ def test_audit(spark):
     summary = {r.stage: tuple(r)[1:] for r in audit.audit_summary(found, "stage").collect()}
     assert summary == {"load": (4, 1, 1, 2, 8, 4, 50.0), "clean": (1, 1, 0, 0, 5, 2, 100.0)}
     assert tuple(audit.audit_summary(found.limit(0)).first()) == (0, 0, 0, 0, 0, 0, 0.0)
+
+
+def test_lengths_are_declared(spark):
+    database = fresh_database(spark, "test")
+    df = spark.createDataFrame([("abc", 1)], "name string, n long")
+    assert tables.recreate(df, f"{database}.t", 1, types={"name": "VARCHAR(5)", "n": "NUMBER(10)"})["verification_passed"]
+    field = spark.table(f"{database}.t").schema["name"]
+    assert field.metadata["__CHAR_VARCHAR_TYPE_STRING"] == "varchar(5)"
+    tables.append(df, f"{database}.t")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        tables.append(df.withColumn("name", F.lit("longer than five")), f"{database}.t")
+    assert spark.table(f"{database}.t").count() == 2
+    load.create_target(spark, f"{database}.u", [Field("a", "VARCHAR(3)"), Field("b", "NUMBER(12,2)"), Field("c")])
+    assert spark.table(f"{database}.u").dtypes == [("a", "string"), ("b", "decimal(12,2)"), ("c", "string")]

@@ -131,3 +131,27 @@ def test_merge_of_items_without_a_key(spark):
     a = spark.createDataFrame([(1, "x"), (None, "y")], "id int, n string")
     b = spark.createDataFrame([(1, 5), (None, 6)], "id int, m int")
     assert sorted((r.n or "", r.origin) for r in merge.merge_boards(a, b, "id").collect()) == [("", "right"), ("x", "both"), ("y", "left")]
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 4096])
+def test_diff_by_buckets(spark, buckets):
+    a = spark.createDataFrame([(i, f"v{i}") for i in range(50)] + [(1, "v1"), (None, None)], "id int, v string")
+    b = spark.createDataFrame([(i, f"v{i}") for i in range(2, 50)] + [(1, "v1"), (7, "v7"), (99, None)], "id int, v string")
+    want = {(0, "v0", "only_left"): 1, (1, "v1", "only_left"): 1, (None, None, "only_left"): 1, (7, "v7", "only_right"): 1, (99, None, "only_right"): 1}
+    diff = verify.table_diff(a, b, buckets=buckets)
+    assert diff.columns == ["id", "v", "side", "copies"]
+    assert {(r.id, r.v, r.side): r.copies for r in diff.collect()} == want
+    kept = verify.bucket_checksums(a, buckets)
+    assert {(r.id, r.v, r.side): r.copies for r in verify.table_diff(a, b, left_sums=kept, buckets=buckets).collect()} == want
+    # Equal tables, in another order: nothing differs, and the second look reads no row.
+    same = verify.table_diff(a, a.orderBy("v"), buckets=buckets)
+    assert same.count() == 0 and verify.differing_buckets(kept, verify.bucket_checksums(a.orderBy("v"), buckets)) == []
+
+
+def test_boards_whose_names_differ_by_case(spark):
+    left = spark.createDataFrame([(1, "a", "x")], "K int, Status string, `status_delivery` string")
+    right = spark.createDataFrame([(1, "b", 5), (2, "c", 6)], "k int, status string, origin int")
+    merged = merge.merge_boards(left, right, "k")
+    names = [c.lower() for c in merged.columns]
+    assert names[:3] == ["k", "status_sales", "status_delivery"] and names[-1] == "origin" and len(set(names)) == 6
+    assert sorted(tuple(r) for r in merged.collect()) == [(1, "a", "x", "b", 5, "both"), (2, None, None, "c", 6, "right")]
