@@ -32,12 +32,12 @@ from pyspark.sql.types import StructType
 
 from millrace.llm.common import named, require
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
 BUCKET_BYTES = 8 << 20  # of text, whose keys one bucket holds
 SLICE = 1 << 20  # bytes whose hashes are in memory at a time
 BLOCK = 1 << 20  # bytes of strings and their places in one transform, if keys allow it
 ROWS = 2048  # that are taken at a time
-HOT = 16384  # strings of one key, and rows of one window that are held at a time
+HOT = 8192  # strings of one key, and rows of one window that are held at a time
 NO_ID = 2**63 - 1  # stands for a null id: after all others
 PLACE = np.dtype([("row", "<i4"), ("start", "<i4")])
 SPAN = np.dtype([("row", "<i4"), ("start", "<i4"), ("end", "<i4"), ("doc", "<i8")])
@@ -138,6 +138,17 @@ def rows_of(table: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return texts, row, table["doc"].to_numpy()[at]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as the bytes of their differences, highest bytes (mostly 0) together."""
+    steps = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def keys_of_chunk(least: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         texts, _, doc = rows_of(table)
@@ -165,7 +176,7 @@ def keys_of_chunk(least: int, buckets: int):
             weight = np.minimum(many[a:b], 0x7FFF).astype("<u2") | (shared[a:b].astype("<u2") << 15)
             out.append({
                 "bucket": int(key[a] >> 32), "chunk": chunk,
-                "keys": (key[a:b] & 0xFFFFFFFF).astype("<u4").tobytes(), "weights": weight.tobytes(),
+                "keys": packed((key[a:b] & 0xFFFFFFFF).astype("<u4")), "weights": weight.tobytes(),
             })
         return pa.Table.from_pylist(out, KEYS)
 
@@ -178,7 +189,7 @@ REPLIES = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("keys", pa.
 
 def candidates_of_bucket(table: pa.Table) -> pa.Table:
     """For each chunk, which of its keys stand in two documents, and which of these are hot."""
-    parts = [np.frombuffer(b, "<u4") for b in table["keys"].to_pylist()]
+    parts = [unpacked(b) for b in table["keys"].to_pylist()]
     key = np.concatenate(parts)
     weight = np.concatenate([np.frombuffer(b, "<u2") for b in table["weights"].to_pylist()])
     distinct, inverse, chunks = np.unique(key, return_inverse=True, return_counts=True)
@@ -191,7 +202,7 @@ def candidates_of_bucket(table: pa.Table) -> pa.Table:
         mine = wanted[at : at + len(part)]
         if mine.any():
             out.append({
-                "chunk": chunk, "bucket": bucket, "keys": part[mine].tobytes(),
+                "chunk": chunk, "bucket": bucket, "keys": packed(part[mine]),
                 "hot": hot[at : at + len(part)][mine].tobytes(),
             })
         at += len(part)
@@ -226,7 +237,7 @@ def strings_of_chunk(least: int, buckets: int):
         if not len(table) or not len(replies):
             return STRINGS.empty_table()
         told = [
-            np.frombuffer(k, "<u4").astype(np.int64) | b << 32
+            unpacked(k).astype(np.int64) | b << 32
             for k, b in zip(replies["keys"].to_pylist(), replies["bucket"].to_pylist())
         ]
         wanted, hot = np.concatenate(told), np.concatenate([np.frombuffer(h, bool) for h in replies["hot"].to_pylist()])
