@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.llm.common import free_name, named, require
 
 MIN_REPEAT = 8  # words; a power of two
-MAX_COVERED = 0.4
-MAX_LONGEST = 200
+MAX_COVERED = 0.25  # share of the words
+MAX_LONGEST = 100  # words
 SYMBOLS = "#*$%&|<>"
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat",

@@ -76,5 +76,21 @@ def test_query_against_brute_force(spark):
         if len(texts[r["doc_id"]] or "") < 12_000:
             want = brute(texts[r["doc_id"]])
             assert {k: r[k] for k in want} == want
-        fine = not r["base_failed"] and r["covered_words"] <= 0.4 * r["n_words"] and r["longest_repeat"] <= 200
+        fine = not r["base_failed"] and r["covered_words"] <= 0.25 * r["n_words"] and r["longest_repeat"] <= 100
         assert r["kept"] == fine
+
+
+def test_the_method_rejects_what_the_base_rules_keep(spark):
+    own = lambda seed, n: " ".join(f"w{seed}x{i}" for i in range(n))
+    passage, long_passage = own("p", 40), own("q", 120)
+    rows = [
+        (1, own(1, 200)),  # nothing repeats
+        (2, f"{passage} {own(2, 300)} {passage}"),  # 80 of 380 words
+        (3, f"{passage} {own(3, 200)} {passage}"),  # 80 of 280 words
+        (4, f"{long_passage} {own(4, 2000)} {long_passage}"),  # few words of many, but 120 in a row
+        (5, f"{passage} {passage}"),  # the base rules see this one
+    ]
+    out = {r["doc_id"]: r["repetition"] for r in repetition.judge_repetition(documents(spark, rows)).collect()}
+    assert [(out[i]["base_failed"], out[i]["kept"]) for i in range(1, 6)] == [
+        (False, True), (False, True), (False, False), (False, False), (True, False),
+    ]
