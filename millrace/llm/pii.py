@@ -4,9 +4,10 @@ Base matches (email, ip, card, phone) are found by regular expressions, leftmost
 kind; their places come from the lengths of matches and of the pieces between them, by a running sum.
 Matches that fail their check (parts of an ip, Luhn, number of digits) are dropped.
 
-The valid base spans are the seeds. An instance is a run of identifier-like words (with a digit, or an ``@``):
-all words of one seed, or else such words in a row that no seed overlaps. The words before and after an
-instance are its lexical patterns. Spark scores the graph of patterns and instances in rounds: a pattern's
+The valid base spans are the seeds, and credentials: quoted values with a digit that a key word and ``=`` or ``:``
+introduce (``token = "..."``), spans of kind ``id``. An instance is a run of identifier-like words (with a digit, or an ``@``):
+all words of one seed, or else such words in a row that no seed overlaps. Its lexical patterns are the word
+before it, the two words before it, the word after it, and the word before it with its shape. Spark scores the graph of patterns and instances in rounds: a pattern's
 score is the mean score of its distinct instances (smoothed), an instance's is the noisy-or of its patterns
 with enough trusted instances, which are the seeds and what earlier rounds found. Instances beyond the seeds that reach ``ADDED`` are unseen identifiers, spans of kind ``id``.
 
@@ -21,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import named, require, row_hashes
+from millrace.llm.common import broadcast_if_small, free_name, named, require, row_hashes
 from millrace.workspace import cut_lineage
 
 LOCAL, LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
@@ -37,8 +38,15 @@ ADDED_KIND = "id"
 GAP = r"\x20\x09-\x0D"
 # A whole word with an @ inside or a digit.
 CANDIDATE = rf"(?<![^{GAP}])(?=[^{GAP}@]++@[^{GAP}]|[^{GAP}0-9]*+[0-9])[^{GAP}]++"
+# A key word, = or :, and a quoted value; the value is what stands between the quotes.
+CREDENTIAL = (
+    r"""(?i:token|secret|passwd|password|passphrase|api[_-]?key|access[_-]?key|private[_-]?key|credential)s?+["']?+"""
+    r"""[\x20\t]{0,4}+[:=][\x20\t]{0,4}+["'][^\s"']{8,256}+["']"""
+)
+VALUE = r"""["']([^\s"']++)["']$"""
 ROUNDS = 3
 SUPPORT = 5  # distinct trusted instances a pattern needs
+PATTERNS_BROADCAST = 100_000
 TRUSTED = 0.8  # score a pattern needs
 ADDED = 0.95  # score an instance needs
 
@@ -115,25 +123,46 @@ def base_spans(rows: DataFrame) -> DataFrame:
     return cut_lineage(spans.select("_d1", "_d2", "kind", "match", "start", "end"), "base")
 
 
+def credential_spans(rows: DataFrame) -> DataFrame:
+    """(_d1, _d2, kind, match, start, end) of the values of credentials, those without a digit left out."""
+    value = F.regexp_extract("match", VALUE, 1)
+    found = matches_of(rows, {ADDED_KIND: CREDENTIAL}).select(
+        "_d1", "_d2", "kind", "nth", "match", F.length("before").cast("long").alias("gap")
+    )
+    spans = placed(found).where(F.rlike(value, F.lit("[0-9]")))
+    return spans.select(
+        "_d1", "_d2", "kind", value.alias("match"), (F.col("end") - 1 - F.length(value)).alias("start"), (F.col("end") - 1).alias("end")
+    )
+
+
+def shape(instance: Column) -> Column:
+    """Runs of digits, letters and other characters, hexadecimal runs as such; only the kinds of characters stay."""
+    plain = F.regexp_replace(F.regexp_replace(instance, "[A-Za-z]+", "a"), "[0-9]+", "9")
+    return F.when(F.rlike(instance, F.lit("^(?:[0-9a-f]{16,}+|[0-9A-F]{16,}+)$")), "hex").otherwise(F.substring(plain, 1, 24))
+
+
 def candidates(rows: DataFrame) -> DataFrame:
     """(_d1, _d2, nth, match, near, left, right, start, end) of identifier-like words.
 
     ``near`` says that nothing but white space stands between a word and the one before it here.
     """
     blank = rf"^[{GAP}]*+$"
+    # The piece may end in the quote or bracket that opens the instance.
     left = F.regexp_extract("before", rf"(?<![^{GAP}])([^{GAP}]++)[{GAP}]++$", 1)
+    two = F.regexp_extract("before", rf"(?<![^{GAP}])([^{GAP}]++[{GAP}]++[^{GAP}]++)[{GAP}]++$", 1)
     right = F.regexp_extract("after", rf"^[{GAP}]++([^{GAP}]++)", 1)
     found = matches_of(rows, {"": CANDIDATE}).select(
         "_d1", "_d2", "kind", "nth", "match", F.length("before").cast("long").alias("gap"),
         ((F.col("nth") > 0) & F.rlike("before", F.lit(blank))).alias("near"),
         F.when(left != "", F.lower(left)).when(F.col("nth") == 0, "^").alias("left"),
+        F.when(two != "", F.lower(F.regexp_replace(two, rf"[{GAP}]++", " "))).alias("two"),
         F.when(right != "", F.lower(right)).alias("right"),
     )
     where = placed(found)
     order = Window.partitionBy("_d1", "_d2").orderBy("nth")
     # Where the next word is such a word too, it is not in the pieces between.
     return where.select(
-        "_d1", "_d2", "nth", "match", "near",
+        "_d1", "_d2", "nth", "match", "near", "two",
         F.coalesce("left", F.lower(F.lag("match").over(order)), F.lit("#")).alias("left"),
         F.coalesce("right", F.lower(F.lead("match").over(order)), F.lit("#")).alias("right"), "start", "end",
     )
@@ -148,7 +177,7 @@ def with_seeds(found: DataFrame, base: DataFrame) -> DataFrame:
     ).unionByName(
         base.select(
             "_d1", "_d2", none.cast("int").alias("nth"), none.cast("string").alias("match"),
-            none.cast("boolean").alias("near"),
+            none.cast("boolean").alias("near"), none.cast("string").alias("two"),
             none.cast("string").alias("left"), none.cast("string").alias("right"), "start", "end",
             F.col("start").alias("base_start"), F.col("end").alias("base_end"), F.lit(0).alias("_turn"),
         )
@@ -173,6 +202,7 @@ def runs_of(words: DataFrame) -> DataFrame:
     runs = words.withColumn("_run", run).groupBy("_d1", "_d2", "_run").agg(
         F.array_join(F.sort_array(F.collect_list(F.struct("nth", "match")))["match"], " ").alias("_whole"),
         F.min_by("left", "nth").alias("left"), F.max_by("right", "nth").alias("right"), F.max("seed").alias("seed"),
+        F.min_by("two", "nth").alias("two"),
         F.min("start").alias("start"), F.max("end").alias("end"),
     )
     lead = F.length(F.regexp_extract("_whole", r"^[^A-Za-z0-9+(]*+", 0))
@@ -180,17 +210,19 @@ def runs_of(words: DataFrame) -> DataFrame:
     tail = F.length("_whole") - lead - F.length(core)
     # A run of nothing but marks has an empty instance and is never added.
     return runs.select(
-        "_d1", "_d2", core.alias("instance"), "left", "right", "seed",
+        "_d1", "_d2", core.alias("instance"), "left", "right", "two", "seed",
         (F.col("start") + lead).alias("start"), (F.col("end") - tail).alias("end"),
     )
 
 
 def scored_instances(found: DataFrame) -> DataFrame:
     """(instance, score) of the instances beyond the seeds that reach ``ADDED``."""
-    sides = F.explode(F.array(F.concat(F.lit("<"), F.col("left")), F.concat(F.lit(">"), F.col("right")))).alias("pattern")
+    left, right = F.concat(F.lit("<"), F.col("left")), F.concat(F.lit(">"), F.col("right"))
+    forms = [(left, left), (F.concat(F.lit("<<"), F.col("two")), left), (F.concat(left, F.lit(" #"), shape(F.col("instance"))), left), (right, right)]
+    sides = F.explode(F.array(*[F.struct(p.alias("pattern"), w.alias("word")) for p, w in forms])).alias("side")
     edges = (
-        found.where("instance != ''").select("instance", "seed", sides)
-        .groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+        found.where("instance != ''").select("instance", "seed", sides).select("instance", "seed", "side.*")
+        .where("pattern IS NOT NULL").groupBy("pattern", "word", "instance").agg(F.max("seed").alias("seed"))
     )
     edges = cut_lineage(edges, "edges")
     instances = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
@@ -202,10 +234,12 @@ def scored_instances(found: DataFrame) -> DataFrame:
             .agg((F.sum("score") / (F.count("*") + 1)).alias("trust"), F.count_if(F.col("score") >= ADDED).alias("support"))
             .where((F.col("support") >= SUPPORT) & (F.col("trust") >= TRUSTED))
         )
+        # Trusted patterns are few; behind a check of their number they go to the edges, however many one has.
+        patterns = broadcast_if_small(cut_lineage(patterns, "patterns"), PATTERNS_BROADCAST)
         # A smoothed mean is below one, so the logarithm is finite.
-        spread = edges.select("pattern", "instance").join(patterns, "pattern").groupBy("instance").agg(
-            (1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("found")
-        )
+        # The forms around one word are one piece of evidence, that of the best of them.
+        best = edges.select("pattern", "word", "instance").join(patterns, "pattern").groupBy("instance", "word").agg(F.max("trust").alias("trust"))
+        spread = best.groupBy("instance").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("found"))
         updated = now.select("instance", "seed").join(spread, "instance", "left").select(
             "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("found", F.lit(0.0))).alias("score")
         )
@@ -221,21 +255,24 @@ def find_personal_data(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     Other columns pass through; one named like ``spans`` gives way to it. Empty table: empty table.
     """
     require(df, doc_id, text)
-    keys = [h.alias(n) for h, n in zip(row_hashes(named(doc_id), named(text)), ("_d1", "_d2"))]
-    rows = df.select(*keys, F.coalesce(named(text), F.lit("")).alias("_text"))
+    hashes = row_hashes(named(doc_id), named(text))
+    rows = df.select(*[h.alias(n) for h, n in zip(hashes, ("_d1", "_d2"))], F.coalesce(named(text), F.lit("")).alias("_text"))
     base = base_spans(rows)
-    found = cut_lineage(runs_of(with_seeds(candidates(rows), base)), "candidates")
+    credentials = cut_lineage(credential_spans(rows), "credentials")
+    found = cut_lineage(runs_of(with_seeds(candidates(rows), base.unionByName(credentials))), "candidates")
     added = found.where(~F.col("seed")).join(scored_instances(found), "instance")
-    all_kinds = base.select("_d1", "_d2", "kind", "start", "end").unionByName(
+    all_kinds = base.unionByName(credentials).select("_d1", "_d2", "kind", "start", "end").unionByName(
         added.select("_d1", "_d2", F.lit(ADDED_KIND).alias("kind"), "start", "end")
     )
     order = reduce(lambda acc, k: F.when(F.col("kind") == k[1], k[0]).otherwise(acc), enumerate(KINDS), F.lit(len(KINDS)))
-    listed = all_kinds.groupBy("_d1", "_d2").agg(
-        F.sort_array(F.collect_list(F.struct(order.alias("rank"), "start", "end", "kind"))).alias("_spans")
+    # Names that no column of ``df`` has, in any case.
+    d1, d2, held = (free_name(df, n) for n in ("_d1", "_d2", "_spans"))
+    listed = all_kinds.groupBy(F.col("_d1").alias(d1), F.col("_d2").alias(d2)).agg(
+        F.sort_array(F.collect_list(F.struct(order.alias("rank"), "start", "end", "kind"))).alias(held)
     )
     kept = [c for c in df.columns if c.lower() != spans.lower()]
     empty = F.array().cast("array<struct<kind:string,start:long,end:long>>")
-    shown = F.transform("_spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return df.select(*map(named, kept), *keys).join(listed, ["_d1", "_d2"], "left").select(
+    shown = F.transform(named(held), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return df.select(*map(named, kept), *[h.alias(n) for h, n in zip(hashes, (d1, d2))]).join(listed, [d1, d2], "left").select(
         *map(named, kept), F.coalesce(shown, empty).alias(spans)
     )

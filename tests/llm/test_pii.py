@@ -89,6 +89,28 @@ def test_found_instances_support_new_patterns(spark):
     assert got[220] == ["Y-77"] and got[221] == [] and got[200] == ["X-0", "X-0"]
 
 
+def test_credentials(spark):
+    texts = [f'my words token = "{k:08x}{"ab" * 12}" more' for k in range(30)]
+    texts += [
+        "password: 'hunter22' x", 'API_KEY="sk-1234567890" and secret = "only letters here" secret="onlyletters"', 'token = "short1"',
+        'id token = "ü1234567" é', "my token = 0123456789abcdef0123 bare", 'a token of love, "quoted 1234567"', 'words = "0123abcd0123abcd0123" here',
+    ]
+    got = ids(spark, texts)
+    assert all(got[k] == [f"{k:08x}{'ab' * 12}"] for k in range(30))
+    # The quotes are not part of it; what the seeds' words stand beside is found though it is short or has no quotes.
+    assert [got[30 + k] for k in range(4)] == [["hunter22"], ["sk-1234567890"], ["short1"], ["ü1234567"]]
+    assert got[34] == ["0123456789abcdef0123"] and got[35] == []
+
+
+def test_planted_tokens_of_the_given_table(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    planted = {r["doc_id"]: re.findall(r'token = "([0-9a-f]{40})"', r["text"]) for r in rows.collect()}
+    found = {r["doc_id"]: r for r in pii.find_personal_data(rows).collect()}
+    for i, secrets in planted.items():
+        ids_of = [found[i]["text"][s["start"] : s["end"]] for s in found[i]["spans"] if s["kind"] == "id"]
+        assert ids_of == secrets  # all of them, and nothing else
+
+
 def test_query_against_brute_force(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     got = queries.op8_pii(spark, SMALL).collect()
