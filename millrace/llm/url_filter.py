@@ -16,38 +16,79 @@ from millrace.llm.common import lower_ascii, named, require
 
 BUCKETS = 2048
 SIZES = (3, 4)
+ITERATIONS, REGULARIZATION = 100, 3e-5
 
-# The small labelled table: host names to block and to allow. Prefixes, domains and paths rotate over
-# both, so that only the names tell them apart. Callers with a better table pass their own.
-BLOCK_NAMES = """
-    casino-bonus best-casino casino-online casino-royal win-big lucky-win jackpot-slots poker-win
-    cheap-meds cheap-pharmacy pills-shop discount-pills cheap-viagra diet-pills cheap-replica
-    adult-video xxx-adult adult-chat hot-xxx adult-cam sexy-x x-videos free-bets sports-bets bets-online
-    free-prizes free-money free-gifts free-download ads-server track-ads ad-track click-track ads-click
-    spam-blog link-farm content-farm spam-links farm-spam seo-spam payday-loan fast-loan loan-cash
-    crack-warez torrent-crack keygen-free malware-free phishing-login replica-watch win-prize bitcoin-double
+# The small labelled table is put together from these words: a host is a name, or two words joined, under a
+# domain; a path is one or two words. Callers with a better table pass their own.
+BLOCK_WORDS = """
+    casino poker jackpot roulette slots betting bets gambling lottery porn xxx sexy nude adult escort viagra cialis
+    pills pharmacy meds replica warez torrent keygen crack malware phishing spam clickbait adserver tracker payday
+""".split()
+ALLOW_WORDS = """
+    library university museum weather news history science cooking railway mathematics garden theatre music travel
+    health school hospital council climate astronomy physics biology language grammar dictionary encyclopedia forum
+    research journal article recipe football cycling bank insurance software code docs help support wiki blog photo
 """.split()
 ALLOW_NAMES = """
-    university library gardening museum weather news history science cooking railways mathematics thinking
-    nations theatre rhythm together earth northern health weathering thirteen brother therein anthem python
-    mountain thereafter the-times city-council astronomy authors otherwise leather lighthouse thunder then
-    withstand mention station nation transition edition ration motion relation rather gather father mother
-    thread threshold throne theory thesis method length strength birth death south north youth truth cloth
-    heating meeting ringing shining oring andes erect ounce tithe hither thistle athens ethnic other here
-    hatter onset inner entire render order erstwhile stand strand brand shore trees forest stream bridge
-    publications open-data art-history town-hall music-school river-valley book-club tea-house
+    wikipedia github nytimes bestbuy bbc guardian reuters nature sciencemag arxiv python debian mozilla apache gnu
+    stackoverflow openstreetmap archive gutenberg nasa noaa who unesco europa lemonde elpais spiegel corriere zeit
+    walmart target costco ikea lego toyota siemens bosch nokia sony samsung intel amd ibm oracle adobe spotify
+    britannica coursera khanacademy mit stanford harvard oxford cambridge sorbonne tudelft ethz kyoto toronto sydney
+    allthingsd nextdoor yelp tripadvisor booking airbnb expedia lufthansa amtrak sncf renfe imdb goodreads etsy
+""".split()
+NEUTRAL_WORDS = """
+    page item login search user index about contact login list view files team product order archive story topic
+""".split()
+# Names that mean nothing are made of these; they are to be allowed, whatever page is asked for.
+SYLLABLES = """
+    mar ber lin don vil sen ost wal nor gar del fen hol kar mon pel ros sta tur ver dor zel bri cam hen lou mil ned
+    oak pam qui rud sol tam und vor wes yar zan ack eld ith ough ness ster ly wick ford ham bury ley den
 """.split()
+LANGUAGES = ("en", "de", "fr", "es", "it", "pt", "nl", "sv")
+DOMAINS = ("com", "org", "net", "de", "fr", "co.uk", "io", "info", "edu", "eu", "example.com", "example.org", "example.net")
+PREFIXES = ("", "www.", "m.", "", "blog.", "en.")
 
 
 def labelled_rows() -> list[tuple[str, int]]:
-    """(url, 1 to block or 0) of the table that comes with the operator."""
-    prefixes, domains = ("", "www.", "m.", "blog."), ("example.com", "example.org", "example.net")
-    paths = ("/en/12", "/fr/825?page=2&ref=x", "/de/474.html", "/es/53/", "/en/25#top", "", "/")
-    return [
-        (f"https://{prefixes[i % 4]}{name}.{domains[i % 3]}{paths[i % 7]}", label)
-        for label, names in ((1, BLOCK_NAMES), (0, ALLOW_NAMES))
-        for i, name in enumerate(names)
-    ]
+    """(url, 1 to block or 0) of the table that comes with the operator.
+
+    A url is to be blocked for its host or for its path. Words of either kind take turns with prefixes, domains and
+    other words, and those before and after them with both kinds, so that only they tell the labels apart. One mention of a blocked word in the path of a
+    well-known name is fine (an article about it). Two rows in three are to be allowed.
+    """
+    pick = lambda words, i, step=7: words[i * step % len(words)]
+    before, after = ("best", "free", "hot", "win", "cheap", "top", "online"), ("online", "club", "world", "royal", "deals", "24", "now")
+    rows = []
+
+    def add(host: str, path: str, label: int) -> None:
+        i = len(rows)
+        # Steps that share no factor with the loops below, so that each kind of row meets each prefix and domain.
+        rows.append((f"http{'s' * (i // 13 % 2)}://{pick(PREFIXES, i // 11 + i, 1)}{host}.{pick(DOMAINS, i // 17 + i, 3)}{path}", label))
+
+    for i, word in enumerate(BLOCK_WORDS):
+        other, plain = pick(BLOCK_WORDS, i + 5), pick(NEUTRAL_WORDS, i)
+        add(f"{word}-{other}", f"/{plain}/{i}", 1)
+        add(f"{pick(before, i, 1)}{word}", "/", 1)
+        add(f"{word}{pick(after, i, 1)}", f"/{plain}", 1)
+        add(f"{pick(NEUTRAL_WORDS, i, 5)}-{word}", "/", 1)
+        add(f"{word}-{pick(NEUTRAL_WORDS, i, 3)}", f"/{pick(ALLOW_WORDS, i)}/{plain}", 1)
+        add(f"{pick(ALLOW_WORDS, i, 5)}{word}", f"/{plain}/{pick(ALLOW_WORDS, i)}", 1)
+        add(f"{word}s-{pick(ALLOW_WORDS, i, 3)}", "" if i % 2 else "/", 1)
+        add(f"{pick(ALLOW_WORDS, i)}{pick(NEUTRAL_WORDS, i, 5)}", f"/{word}/{other}", 1)
+        add(pick(ALLOW_WORDS, i, 11), f"/{word}-{other}/{plain}-{word}", 1)
+        add(pick(ALLOW_NAMES, i, 3), f"/{word}-{plain}/{other}-{pick(before, i, 1)}", 1)
+        add(f"{plain}{pick(NEUTRAL_WORDS, i, 11)}", f"/{pick(before, i, 1)}-{word}/{word}-{other}", 1)
+        add(pick(ALLOW_NAMES, i), f"/{plain}/{word}", 0)
+    for i, name in enumerate([*ALLOW_NAMES, *ALLOW_WORDS]):
+        add(name, f"/{pick(NEUTRAL_WORDS, i)}/{i}", 0)
+        add(f"{name}-{pick(ALLOW_WORDS, i + 3)}" if i % 2 else name, f"/{pick(ALLOW_WORDS, i, 11)}/{pick(NEUTRAL_WORDS, i, 5)}", 0)
+        add(f"{pick(NEUTRAL_WORDS, i, 5)}{name}", "/" if i % 3 else "", 0)
+        add(f"{pick(before, i, 1)}{name}" if i % 2 else f"{name}{pick(after, i, 1)}", "/", 0)
+    for i in range(240):
+        name = "".join(pick(SYLLABLES, i + i // 8 + 17 * k, 5 + 2 * k) for k in range(2 + i % 2))
+        page = pick((f"/{pick(LANGUAGES, i)}/{i * 37 % 9973}", f"/{i * 53 % 9973}.html", f"/{pick(NEUTRAL_WORDS, i)}/", "/", ""), i // 3, 1)
+        add(name, page, 0)
+    return rows
 
 
 def host_of(url: Column) -> Column:
@@ -85,7 +126,7 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label") -> tuple[
     # One partition: sums in one order, so the weights are the same in every run.
     vectors = rows.select("label", array_to_vector(frequency).alias("features")).coalesce(1)
     # Standardizing would blow up buckets seen once.
-    model = LogisticRegression(maxIter=60, regParam=2e-4, standardization=False).fit(vectors)
+    model = LogisticRegression(maxIter=ITERATIONS, regParam=REGULARIZATION, standardization=False).fit(vectors)
     return [float(w) for w in model.coefficients.toArray()], float(model.intercept)
 
 
@@ -105,7 +146,7 @@ def judge_urls(
     ``rules`` is a short list of (verdict, host, path): a rule fits its host and all subdomains if the
     path starts with the rule's; the longest fitting rule decides (the first listed of equal length),
     else the model: block from ``threshold`` on. Null urls and urls without ``://`` have empty host and
-    path, which the model judges like any other. All rows stay, repeated ones too. Columns of ``df``
+    path; there is nothing to judge, so they are allowed, with a score of 0. All rows stay, repeated ones too. Columns of ``df``
     that have the name of a result column give way to it; others pass through. An empty table gives an
     empty table.
     """
@@ -122,7 +163,9 @@ def judge_urls(
     for what, at, start in sorted(reversed(list(rules)), key=lambda r: len(r[1]) + len(r[2])):
         fits = ((F.col("host") == at) | F.endswith("host", F.lit("." + at))) & F.startswith("path", F.lit(start))
         rule, verdict = F.when(fits, at + start).otherwise(rule), F.when(fits, what).otherwise(verdict)
-    scored = found.withColumn("block_score", score(F.col("host"), F.col("path"), weights, intercept))
+    nothing = (F.col("host") == "") & (F.col("path") == "")
+    judged = score(F.col("host"), F.col("path"), weights, intercept)
+    scored = found.withColumn("block_score", F.when(nothing, F.lit(0.0)).otherwise(judged))
     names = [c for c in df.columns if c.lower() not in results]
     return scored.select(
         *map(named, names), "host", "path", rule.alias("rule"), verdict.alias("verdict"), "block_score"
