@@ -172,10 +172,8 @@ def changed_by_cast(text: Column, type_name: str) -> Column:
 
 
 def spark_type(type_name: str) -> str:
-    """The Spark type a warehouse type name maps to; a text's length stays declared."""
+    """The Spark type a warehouse type name maps to."""
     kind = type_name.upper().partition("(")[0]
-    if kind == "VARCHAR" and "(" in type_name:
-        return type_name.lower()
     if kind == "NUMBER":
         digits, scale = number_size(type_name)
         return f"decimal({digits},{scale})" if scale else "bigint" if digits <= 18 else "decimal(38,0)"
@@ -185,6 +183,11 @@ def spark_type(type_name: str) -> str:
     }[kind]
 
 
+def declared_type(type_name: str) -> str:
+    """The type a table's column is declared with: as :func:`spark_type`, but a text keeps its length."""
+    return type_name.lower() if type_name.upper().startswith("VARCHAR(") else spark_type(type_name)
+
+
 def double_text(value: Column) -> Column:
     """The text of a double without an exponent between 1e-4 and 1e16, as in ``12345678.9``.
 

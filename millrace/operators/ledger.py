@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import spark_type
+from millrace.functions.casts import declared_type
 from millrace.operators.verify import digest_sum
 
 TAG = "_load_id"
@@ -31,7 +31,7 @@ def create_ledger(spark: SparkSession, ledger: str) -> None:
 
 def create_tagged_target(spark: SparkSession, table: str, fields: Sequence) -> None:
     """An empty table for the columns of ``fields``, partitioned by load."""
-    columns = ", ".join(f"`{f.name}` {spark_type(f.type)}" for f in fields)
+    columns = ", ".join(f"`{f.name}` {declared_type(f.type)}" for f in fields)
     spark.sql(f"CREATE TABLE {table} ({columns}, {TAG} STRING) USING parquet PARTITIONED BY ({TAG})")
 
 

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import cast_to, spark_type
+from millrace.functions.casts import cast_to, declared_type
 from millrace.operators import ledger as ledgers
 from millrace.operators.tables import append
 from millrace.sources.csv import RECORD
@@ -257,7 +257,7 @@ def load_report(
 
 def create_target(spark: SparkSession, table: str, fields: Sequence[Field]) -> None:
     """An empty table with the columns that a load of ``fields`` fills."""
-    columns = ", ".join(f"`{f.name}` {spark_type(f.type)}" for f in fields)
+    columns = ", ".join(f"`{f.name}` {declared_type(f.type)}" for f in fields)
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.functions.casts import spark_type, stringify
+from millrace.functions.casts import declared_type, stringify
 from millrace.functions.names import NamePolicy, clean_columns
 from millrace.operators.infer import apply_types, column_statistics, infer_by_data, mapping_of
 
@@ -61,7 +61,7 @@ def recreate(
             spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     if types:
-        columns = ", ".join(f"`{c}` {spark_type(types[c])}" for c in df.columns)
+        columns = ", ".join(f"`{c}` {declared_type(types[c])}" for c in df.columns)
         spark.sql(f"CREATE TABLE {fresh} ({columns}) USING parquet")
         df.write.insertInto(fresh)
     else:
