@@ -17,6 +17,7 @@ from millrace.functions.text import null_if
 from millrace.operators.clean import clean_table, usable_key
 from millrace.sources.csv import HEADERS, READER_DEFAULTS, CsvFormat, file_headers, read_by_headers
 from millrace.spec import TableSpec
+from millrace.streaming.key_index import KeyIndex, key_hashes
 from millrace.workspace import scratch_tables
 
 
@@ -131,42 +132,38 @@ def load_new_files(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-KEY_HASHES = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
-
-
 def clean_new_files(
-    stream: DataFrame, spec: TableSpec, target: str, checkpoint: str, reading: ByHeader | None = None
+    stream: DataFrame, spec: TableSpec, target: str, checkpoint: str, reading: ByHeader | None = None,
+    index: KeyIndex | None = None,
 ) -> None:
     """Clean each micro-batch and append the rows whose key ``target`` does not hold yet.
 
     ``stream`` brings rows, or with ``reading`` files, which are read by their headers.
 
     A batch is written to a folder of its own, named by stream (its checkpoint) and batch: a repeated
-    run of a batch replaces that folder and nothing else, and several streams may fill one target. Every
-    batch is checked against all earlier ones by 128-bit key hashes, which lie beside the target in
-    ``{target}_keys``, so the rows themselves are never read again.
+    run of a batch replaces that folder and nothing else, and several streams may fill one target, also at
+    the same time. Every batch is checked against all earlier ones by the 128-bit key hashes of ``index``, which
+    lies beside the target in ``{target}_index``: neither rows nor, but for a few files, hashes are read again.
     """
     spark = stream.sparkSession
     load = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-    hashes = f"{target}_keys"
-    spark.createDataFrame([], KEY_HASHES).write.mode("ignore").parquet(f"{hashes}/load=none/batch_id=-1")
-    placed = T.StructType([*KEY_HASHES, T.StructField("load", T.StringType()), T.StructField("batch_id", T.LongType())])
+    index = index or KeyIndex(f"{target}_index")
+    index.create(spark, earlier=f"{target}_keys")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         batch = reading.read(batch, batch_id) if reading else batch
         rows = clean_table(batch, spec)
         key = [spec.renames.get(c, c) for c in usable_key(batch, spec.key_columns)]
-        own = f"load={load}/batch_id={batch_id}"
-        if key:
-            known = batch.sparkSession.read.schema(placed).parquet(hashes)
-            earlier = known.filter(~((F.col("load") == load) & (F.col("batch_id") == batch_id))).select("h1", "h2")
-            cells = [F.col(f"`{c}`").cast("string") for c in key]
-            hashed = rows.withColumns({"h1": F.xxhash64(*cells), "h2": F.xxhash64(F.lit(1), *cells)})
-            with scratch_tables(batch.sparkSession) as keep:
-                fresh = keep(hashed.join(earlier, ["h1", "h2"], "left_anti"))
-                fresh.select(*[F.col(f"`{c}`") for c in rows.columns]).write.mode("overwrite").parquet(f"{target}/{own}")
-                fresh.select("h1", "h2").write.mode("overwrite").parquet(f"{hashes}/{own}")
-        else:
-            rows.write.mode("overwrite").parquet(f"{target}/{own}")
+        own = f"{target}/load={load}/batch_id={batch_id}"
+        if not key:
+            rows.write.mode("overwrite").parquet(own)
+            return
+        with scratch_tables(spark) as keep:
+            hashed = keep(rows.withColumns(key_hashes(key)))
+            with index.owned(spark, load):
+                fresh = index.unseen(hashed, load, batch_id)
+                fresh.select(*[F.col(f"`{c}`") for c in rows.columns]).write.mode("overwrite").parquet(own)
+                index.add(fresh.select("h1", "h2"), load, batch_id)
 
     run_batches(stream, write_batch, checkpoint)

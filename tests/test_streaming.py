@@ -1,5 +1,6 @@
 """Streams: new files once, cleaned batches without repeats, restarts."""
 
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ from millrace.spec import TableSpec
 from millrace.streaming.incremental import (
     ByHeader, clean_new_files, csv_stream, file_stream, load_new_files, load_new_files_by_header,
 )
+from millrace.streaming.key_index import IndexOwned, KeyIndex, key_hashes
 
 SPEC = TableSpec("t", primary_key="k", order_by=("seq",))
 
@@ -135,3 +137,85 @@ def test_clean_batches_by_header(spark, folder):
         drop(folder, name, text)
         clean_new_files(file_stream(spark, f"{folder}/inbox"), SPEC, f"{folder}/target", f"{folder}/progress", reading)
     assert target_rows(spark, folder) == [("1", "a"), ("6", "c")]
+
+
+def hashed(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "k string").withColumns(key_hashes(["k"]))
+
+
+def unseen(index, spark, values, load="x", batch_id=99):
+    return sorted(r.k for r in index.unseen(hashed(spark, values), load, batch_id).collect())
+
+
+def test_files_read_do_not_grow_with_batches(spark, folder):
+    index = KeyIndex(f"{folder}/index", buckets=4, fan=3)
+    index.create(spark)
+    assert unseen(index, spark, ["a", "b"]) == ["a", "b"]
+    for batch in range(14):
+        index.add(hashed(spark, [f"{batch}-{i}" for i in range(50)]), "load", batch)
+        # New keys lead to no file, known ones to those that hold them.
+        fresh = hashed(spark, [f"new {batch}-{i}" for i in range(20)])
+        assert index.places(fresh) == [] and index.held(fresh, "x", 0) is None
+        assert len(index.held(hashed(spark, ["0-1", f"{batch}-7"]), "x", 0).inputFiles()) <= 2
+    # Three levels of fewer than three runs, and the newest batch.
+    assert len(index.runs(spark)) <= 7
+    assert unseen(index, spark, [f"{b}-{i}" for b in range(14) for i in (0, 49)] + ["c"]) == ["c"]
+    # A batch that runs again does not meet its own keys, however often it has.
+    assert unseen(index, spark, ["13-1", "12-1"], "load", 13) == ["13-1"]
+    index.add(hashed(spark, ["13-1"]), "load", 13)
+    assert unseen(index, spark, ["13-1", "13-2"]) == ["13-2"]
+
+
+def test_filters_pass_few_other_keys(spark, folder):
+    index = KeyIndex(f"{folder}/index", buckets=2)
+    index.create(spark)
+    numbers = spark.range(20_000).selectExpr("cast(id as string) k").withColumns(key_hashes(["k"]))
+    index.add(numbers, "load", 0)
+    assert spark.read.parquet(f"{folder}/index/filters").agg({"parts": "max"}).first()[0] == 8
+    filters, others = KeyIndex(f"{folder}/index", buckets=2), []
+    for i in range(40):
+        others += filters.places(hashed(spark, [f"other {i}"]))
+    assert len(others) <= 2
+    assert index.unseen(numbers, "x", 0).count() == 0
+
+
+def test_hashes_of_the_earlier_layout_are_taken_over(spark, folder):
+    hashed(spark, ["a"]).select("h1", "h2").write.parquet(f"{folder}/target_keys/load=none/batch_id=0")
+    land(folder, "a.csv", [(1, "a"), (2, "b")])
+    clean(spark, folder)
+    assert target_rows(spark, folder) == [("2", "b")]
+
+
+def test_streams_side_by_side_add_a_key_once(spark, folder):
+    inboxes = []
+    for s in range(2):
+        box = Path(folder) / f"in{s}"
+        box.mkdir()
+        for f in range(4):
+            (box / f"{f}.csv").write_text("seq,k\n" + "".join(f"{s}{f}{i},{f * 5 + i}\n" for i in range(10)))
+        inboxes.append(str(box))
+
+    def run(s):
+        stream = csv_stream(spark, inboxes[s], ["seq", "k"], files_per_batch=1)
+        index = KeyIndex(f"{folder}/target_index", buckets=2, fan=3)
+        clean_new_files(stream, SPEC, f"{folder}/target", f"{folder}/progress{s}", index=index)
+
+    KeyIndex(f"{folder}/target_index").create(spark)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(run, range(2)))
+    assert sorted(int(k) for _, k in target_rows(spark, folder)) == list(range(25))
+    assert KeyIndex(f"{folder}/target_index").owner(spark) is None
+
+
+def test_a_lost_stream_keeps_the_index(spark, folder):
+    index = KeyIndex(f"{folder}/index", wait_seconds=0.5)
+    index.create(spark)
+    with pytest.raises(ZeroDivisionError):
+        with index.owned(spark, "one"):
+            raise ZeroDivisionError
+    with pytest.raises(IndexOwned, match="'one' holds"):
+        index.claim(spark, "two")
+    with index.owned(spark, "one"):
+        assert index.owner(spark) == "one"
+    with index.owned(spark, "two"):
+        assert index.owner(spark) == "two"
