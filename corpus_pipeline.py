@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm import bpe, decontaminate, jaccard_join, line_dedup, quality_mil
 from millrace.llm.common import words_of
 from millrace.llm.queries import fold, table, vocabulary
-from millrace.workspace import cut_lineage
+from millrace.workspace import temporary_copies
 
 ORACLE_SQL = None
 
@@ -63,8 +63,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table of documents."""
+    """All stages over the whole table of documents. What a stage writes on its way goes when its rows are written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+        with temporary_copies(spark) as keep:
+            docs = keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,10 +13,13 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+# The copies that the innermost block of ``temporary_copies`` has to delete, if there is one.
+_copies: ContextVar[list[str] | None] = ContextVar("copies", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -40,13 +43,48 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so later stages start from files."""
+    """Write ``df`` to the shared folder and read it back, so later stages start from files.
+
+    The copy stays, as lazy results read it, unless the call stands in a block of :func:`temporary_copies`.
+    """
+    return _copied(df, label, _copies.get())
+
+
+def _copied(df: DataFrame, label: str, held: list[str] | None) -> DataFrame:
+    """A copy of ``df``, noted in ``held`` where there is such a list."""
     spark = df.sparkSession
     path = fresh_folder(spark, label)
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system holds it; false where it was not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+@contextmanager
+def temporary_copies(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes at its end all copies that :func:`cut_lineage` made within the block.
+
+    Gives a function that writes a result, which outlives the block, and reads it back; what else still reads
+    a copy later fails. Blocks may be nested: each deletes its own copies, also when it fails, and results belong
+    to the block around it. Other threads' copies are not touched.
+    """
+    held: list[str] = []
+    around = _copies.get()
+    token = _copies.set(held)
+    try:
+        yield lambda df, label: _copied(df, label, around)
+    finally:
+        _copies.reset(token)
+        for path in held:
+            delete_folder(spark, path)
+
+
 def fresh_database(spark: SparkSession, label: str = "wh") -> str:
     """A new catalog database whose tables live below the shared root."""
     name = f"{label}_{uuid.uuid4().hex[:12]}"
