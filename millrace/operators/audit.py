@@ -16,6 +16,12 @@ RESULT_SCHEMA = (
 )
 
 
+def brief_error(problem: Exception) -> str:
+    """The class of an exception and the first line of what it says, which names Spark's error condition."""
+    lines = str(problem).splitlines()
+    return f"{type(problem).__name__}: {lines[0]}" if lines else type(problem).__name__
+
+
 def audit_rows(spark: SparkSession, stage: str, results: Iterable[dict], level: str = "INFO") -> DataFrame:
     """Results of one stage as audit rows, their details as JSON."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -114,37 +115,37 @@ def rejects(checked: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def file_report(checked: DataFrame, file_column: str) -> DataFrame:
-    """Rows parsed and rejected, values in error and the first error of each file.
+    """Rows parsed and rejected, values in error and the first error of each file, from one pass.
 
-    All rows are only counted, which hashing does within the map tasks; the first errors, which
-    need sorting, come from the bad rows alone.
+    Rows are first counted by file and first error, which hashing does within the map tasks; all good rows of
+    a file are one group there. Only these groups are put in order for the smallest error.
     """
-    wrong = F.size("_errors")
     file = F.col(file_column).alias("file_name")
-    counts = checked.groupBy(file).agg(
-        F.count(F.lit(1)).alias("rows_parsed"),
-        F.count_if(wrong > 0).alias("rows_rejected"),
-        F.sum(wrong).alias("error_count"),
+    groups = checked.groupBy(file, F.get("_errors", F.lit(0)).alias("_error")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.size("_errors")).alias("_wrong")
+    )
+    nothing = F.lit(0).cast("bigint")
+    counts = groups.groupBy("file_name").agg(
+        F.sum("_rows").alias("rows_parsed"),
+        F.sum(F.when(F.col("_error").isNotNull(), F.col("_rows")).otherwise(nothing)).alias("rows_rejected"),
+        F.sum("_wrong").alias("error_count"),
+        F.min("_error").alias("e"),
     )
-    first = checked.filter(wrong > 0).groupBy(file).agg(F.min(F.get("_errors", F.lit(0))).alias("e"))
     message = F.concat_ws(" ", "e.column_name", F.concat(F.lit("'"), "e.value", F.lit("'")), "e.reason")
-    return counts.join(first.select("file_name", message.alias("first_error")), "file_name", "left")
+    first = F.when(F.col("e").isNotNull(), message).alias("first_error")
+    return counts.select("file_name", "rows_parsed", "rows_rejected", "error_count", first)
 
 
-def rows_of_clean_files(checked: DataFrame, file_column: str) -> DataFrame:
-    """The rows of files without any bad row.
+def rows_of_clean_files(checked: DataFrame, file_column: str, report: DataFrame) -> DataFrame:
+    """The rows of files without any bad row, as ``report`` (see :func:`file_report`) has them.
 
     The list of bad files is broadcast only while it is short; beyond that the adaptive join
-    splits the rows of a large file.
+    splits the rows of a large file. Rows without a file are one file.
     """
-    bad = (
-        checked.filter(F.size("_errors") > 0)
-        .select(F.col(file_column).alias("_file"))
-        .distinct()
-    )
+    bad = report.filter("rows_rejected > 0").select(F.col("file_name").alias("_file"))
     small = bad.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
     kept = checked.join(
-        F.broadcast(bad) if small else bad, F.col(file_column) == F.col("_file"), "left_anti"
+        F.broadcast(bad) if small else bad, F.col(file_column).eqNullSafe(F.col("_file")), "left_anti"
     )
     return kept.drop("_errors")
 
@@ -174,9 +175,9 @@ def bulk_load(
 
     ``continue`` loads the good rows, ``abort`` raises before writing when any row is bad,
     ``skip_file`` leaves out files with a bad row, ``validate`` writes nothing. Every row that is loaded
-    is written once, straight from the source; the report is a second pass over the source that only
-    counts. It is appended to ``history_table`` where one is named, also for an aborted load. ``files``
-    (path, size, modified) brings in files without rows, and what a file looked like.
+    is written once, straight from the source; the report is one more pass over the source that only
+    counts, which ``abort`` and ``skip_file`` make first. It is appended
+    to ``history_table`` where one is named, also for an aborted load. ``files`` (path, size, modified) brings in files without rows, and what a file looked like.
 
     With a ``ledger`` the load counts once: rows and history lines carry the load's name and count from its
     commit on, and what an earlier failed run of this ``loader`` has left is removed first. The table must
@@ -187,47 +188,49 @@ def bulk_load(
     kept = list(dict.fromkeys([file_column, *keep]))
     checked = check_rows(raw, fields, kept)
     names = [F.col(f"`{f.name}`") for f in fields]
-    aborted = None
-    if on_error == "abort":
-        bad = file_report(checked, file_column).filter("rows_rejected > 0").agg(
-            F.sum("rows_rejected").alias("rows"), F.min("first_error").alias("error")
-        ).first()
-        aborted = LoadAborted(f"{bad.rows} bad rows, first: {bad.error}") if bad.rows else None
-    spark, load_id = raw.sparkSession, None
-    if ledger:
-        ledgers.roll_back(spark, table, ledger, loader)
-        load_id = ledgers.load_name(spark, ledger, table, loader, files)
-        ledgers.note(spark, ledger, load_id, table, loader, ledgers.INTENT)
-
-    def write(rows: DataFrame) -> None:
-        rows = rows.select(*names)
+    report, spark = file_report(checked, file_column), raw.sparkSession
+    with scratch_tables(spark) if on_error in ("abort", "skip_file") else nullcontext() as keep_until_done:
+        # These modes look at all files before they write, and need not look again.
+        seen = keep_until_done(report) if keep_until_done else report
+        aborted, load_id = None, None
+        if on_error == "abort":
+            bad = seen.filter("rows_rejected > 0").agg(
+                F.sum("rows_rejected").alias("rows"), F.min("first_error").alias("error")
+            ).first()
+            aborted = LoadAborted(f"{bad.rows} bad rows, first: {bad.error}") if bad.rows else None
+        if ledger:
+            ledgers.roll_back(spark, table, ledger, loader)
+            load_id = ledgers.load_name(spark, ledger, table, loader, files)
+            ledgers.note(spark, ledger, load_id, table, loader, ledgers.INTENT)
+
+        def write(rows: DataFrame) -> None:
+            rows = rows.select(*names)
+            if load_id:
+                ledgers.write_tagged(rows, table, load_id)
+            else:
+                append(rows, table)
+
+        if on_error == "continue" or on_error == "abort" and not aborted:
+            write(good_rows(checked))
+        elif on_error == "skip_file":
+            write(rows_of_clean_files(checked, file_column, seen))
+        told = table, on_error, on_error == "validate" or aborted is not None, loaded_at, files
+        history = load_report(seen, *told)
+        if history_table:
+            noted = history.withColumn(ledgers.TAG, F.lit(load_id)) if load_id else history
+            noted.write.mode("append").saveAsTable(history_table)
         if load_id:
-            ledgers.write_tagged(rows, table, load_id)
-        else:
-            append(rows, table)
-
-    if on_error == "continue" or on_error == "abort" and not aborted:
-        write(good_rows(checked))
-    elif on_error == "skip_file":
-        write(rows_of_clean_files(checked, file_column))
-    nothing = on_error == "validate" or aborted is not None
-    history = load_report(checked, table, file_column, on_error, nothing, loaded_at, files)
-    if history_table:
-        noted = history.withColumn(ledgers.TAG, F.lit(load_id)) if load_id else history
-        noted.write.mode("append").saveAsTable(history_table)
-    if load_id:
-        ledgers.note(spark, ledger, load_id, table, loader, ledgers.COMMIT)
+            ledgers.note(spark, ledger, load_id, table, loader, ledgers.COMMIT)
     if aborted:
         raise aborted
-    return LoadResult(rejects(checked, kept), history)
+    return LoadResult(rejects(checked, kept), load_report(report, *told))
 
 
 def load_report(
-    checked: DataFrame, table: str, file_column: str, on_error: str, nothing: bool,
-    loaded_at: datetime | None, files: DataFrame | None,
+    report: DataFrame, table: str, on_error: str, nothing: bool, loaded_at: datetime | None, files: DataFrame | None
 ) -> DataFrame:
-    """What the load history says of every file; ``nothing`` says that no row was written."""
-    report = file_report(checked, file_column).withColumn("file_name", F.col("file_name").cast("string"))
+    """What the load history says of every file of ``report``; ``nothing`` says that no row was written."""
+    report = report.withColumn("file_name", F.col("file_name").cast("string"))
     if files is not None:
         facts = files.select(F.col("path").alias("file_name"), "size", "modified")
         report = facts.join(report, "file_name", "left").fillna(0, ["rows_parsed", "rows_rejected", "error_count"])

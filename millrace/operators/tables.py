@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.casts import declared_type, stringify
 from millrace.functions.names import NamePolicy, clean_columns
+from millrace.operators.audit import brief_error
 from millrace.operators.infer import apply_types, column_statistics, infer_by_data, mapping_of
 
 
@@ -95,7 +96,7 @@ def truncate_report(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
             error = None if after == 0 else f"table still has {after} rows after truncation"
             results.append((table, before, after, "failed" if error else "success", error))
         except Exception as problem:  # one broken table must not stop the others
-            results.append((table, None, None, "failed", str(problem).splitlines()[0]))
+            results.append((table, None, None, "failed", brief_error(problem)))
     return spark.createDataFrame(
         results,
         "table_name string, rows_before bigint, rows_after bigint, status string, error string",

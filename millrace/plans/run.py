@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from millrace.functions.names import clean_name, unique_names
 from millrace.operators import infer, tables
-from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows
+from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows, brief_error
 from millrace.operators.clean import clean_table
 from millrace.sources.csv import MULTI_LINE, READER_DEFAULTS, CsvFormat, read_csv, spread
 from millrace.sources.files import list_files, resolve_files
@@ -38,25 +39,38 @@ def target_of(spark: SparkSession, spec: TableSpec, database: str) -> str:
 
 def load_table(
     spark: SparkSession, spec: TableSpec, path: str, database: str, fmt: CsvFormat | None = None,
-    mapping_table: str | None = None, exact: bool = False,
+    mapping_table: str | None = None, exact: bool = False, stages: list[tuple[str, dict]] | None = None,
 ) -> dict:
     """Clean one landed table, find its types, replace the warehouse table, and report.
 
     The cleaned rows are written once; statistics, casts and the row count read that copy, which goes
     at the end. ``bad_cells`` and ``changed_cells`` count what the casts lost or altered; either makes
     the outcome a warning; ``exact`` chooses types that alter no number. The types go to ``mapping_table`` where one is named.
+    What each stage that was reached has done is appended to ``stages``.
     """
+    def note(stage: str, rows: int, problem: str | None = None, **details) -> None:
+        if stages is not None:
+            status = "warning" if problem else "success"
+            stages.append((stage, {
+                "table_name": spec.name, "source": spec.source, "status": status, "error": problem, "rows_loaded": rows,
+                "total_columns": len(columns), **details,
+            }))
+
     fmt = fmt or (MULTI_LINE if spec.multi_line else READER_DEFAULTS)
     raw = read_csv(spark, path, fmt)
     raw = spread(raw) if fmt.multi_line else raw
+    source = Observation()
+    raw = raw.observe(source, F.count(F.lit(1)).alias("rows"))
     with scratch_tables(spark) as keep:
         # Positions stand in for the columns' names, which a catalog table may not be able to hold.
         cleaned = clean_table(raw, spec)
         columns = cleaned.columns
         staged = keep(cleaned.toDF(*[f"_{i}" for i in range(len(columns))])).toDF(*columns)
+        note("clean", staged.count(), rows_read=source.get["rows"])
         inferred = infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name), widest=True, exact=exact)
         found = infer.mapping_of(inferred)
         names = dict(zip(found, unique_names([clean_name(c) for c in found]), strict=True))
+        note("infer", staged.count(), types=found)
         typed = keep(infer.apply_types(staged, found, names))
         cells = typed.agg(
             F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"),
@@ -71,6 +85,8 @@ def load_table(
     expected = spec.expected_rows
     complete = outcome["verification_passed"] and expected in (None, outcome["actual_rows"])
     problems = [f"{n} cells {what}" for n, what in ((cells.bad, "lost"), (cells.changed, "changed")) if n]
+    wanted = cells.rows if expected is None else expected
+    note("verify", outcome["actual_rows"], None if complete else f"{outcome['actual_rows']} rows, not {wanted}", rows_expected=wanted)
     return {
         "status": "success" if complete and not problems else "warning",
         "error": "; ".join(problems) or None,
@@ -92,29 +108,37 @@ def run_tables(
     """Load every table of ``specs`` from ``inbox``; one result row each.
 
     Tables run side by side on one session, and a failure stays with its table. The results are
-    appended to ``audit_table``, the types found to ``mapping_table``, where these are named. With ``exact`` no
-    number loses a digit or a leading zero to its type.
+    appended to ``audit_table``, the types found to ``mapping_table``, where these are named. The audit has a row a
+    table for the load and for each stage around it (clean, infer, verify) that was reached; the stage that failed
+    says so. With ``exact`` no number loses a digit or a leading zero to its type.
     """
     requests = spark.createDataFrame([(s.source,) for s in specs], "request string")
     found = {
         r.request: r.file for r in resolve_files(requests, inbox_entries(spark, inbox)).collect()
     }
 
-    def one(spec: TableSpec) -> tuple:
-        file = found[spec.source]
+    def one(spec: TableSpec) -> tuple[tuple, list[tuple[str, dict]]]:
+        file, stages = found[spec.source], []
         if file is None:
             report = {"status": "failed", "error": f"no file for {spec.source}", "rows_loaded": 0, "total_columns": 0}
         else:
             try:
-                report = load_table(spark, spec, f"{inbox}/{file}", database, mapping_table=mapping_table, exact=exact)
+                report = load_table(spark, spec, f"{inbox}/{file}", database, mapping_table=mapping_table, exact=exact, stages=stages)
             except Exception as problem:  # the other tables go on
-                message = str(problem).splitlines()[0]
-                report = {"status": "failed", "error": message, "rows_loaded": 0, "total_columns": 0}
-        return spec.name, spec.source, report["status"], report["error"], report["rows_loaded"], report["total_columns"]
+                report = {"status": "failed", "error": brief_error(problem), "rows_loaded": 0, "total_columns": 0}
+                reached = [stage for stage, _ in stages]
+                failed = next((stage for stage in ("clean", "infer") if stage not in reached), None)
+                if failed:  # else it was the load, which has a row anyhow
+                    stages.append((failed, {"table_name": spec.name, "source": spec.source, **report}))
+        row = spec.name, spec.source, report["status"], report["error"], report["rows_loaded"], report["total_columns"]
+        return row, stages
 
     with ThreadPoolExecutor(workers) as pool:
-        results = list(pool.map(one, specs))
-    outcome = spark.createDataFrame(results, RESULT_SCHEMA)
+        done = list(pool.map(one, specs))
+    outcome = spark.createDataFrame([row for row, _ in done], RESULT_SCHEMA)
     if audit_table:
-        append_audit(audit_rows(spark, "load", [r.asDict() for r in outcome.collect()]), audit_table)
+        noted = [entry for _, stages in done for entry in stages]
+        noted += [("load", r.asDict()) for r in outcome.collect()]
+        rows = [audit_rows(spark, s, [d for stage, d in noted if stage == s]) for s in ("clean", "infer", "load", "verify")]
+        append_audit(reduce(DataFrame.unionByName, rows), audit_table)
     return outcome

@@ -79,21 +79,18 @@ def csv_format(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
 SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus,
-    o_totalprice::VARCHAR AS o_totalprice, o_orderpriority
+    o_totalprice::VARCHAR AS o_totalprice, o_orderdate::VARCHAR AS o_orderdate, o_orderpriority
 FROM orders
 """)
 def csv_gzip(spark: SparkSession, folder: str) -> DataFrame:
     """Compressed files, spread over the cluster after reading as they cannot be split."""
-    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    path = landed(
-        spark, folder, "orders-gzip",
-        lambda p: write_csv(table(spark, folder, "orders").select(*names), p, compression="gzip"),
-    )
-    return spread(read_csv(spark, path, BULK_LOAD, names=names, glob="*.csv.gz"))
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    path = landed(spark, folder, "orders-gzip", lambda p: write_csv(orders, p, compression="gzip"))
+    return spread(read_csv(spark, path, BULK_LOAD, names=orders.columns, glob="*.csv.gz"))
 
 
 @query("""
-SELECT o_orderkey, o_custkey, o_totalprice,
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::VARCHAR AS o_orderdate,
     CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """)
@@ -101,7 +98,7 @@ def json_array_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Arrays of objects, null fields left out, one row per object."""
     def write(path: str) -> None:
         record = F.struct(
-            "o_orderkey", "o_custkey", "o_totalprice",
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("string").alias("o_orderdate"),
             F.expr("CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE o_orderpriority END").alias("o_orderpriority"),
         )
         # Order keys are unique, so an array holds at most a hundred records.
@@ -112,7 +109,8 @@ def json_array_scan(spark: SparkSession, folder: str) -> DataFrame:
 
     return nested.read_json_array(
         spark, landed(spark, folder, "orders-json", write),
-        "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderpriority string",
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate string,"
+        " o_orderpriority string",
     )
 
 
@@ -438,15 +436,12 @@ def date_window(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").filter(nested.rolling_window("o_orderdate", "1998-12-31"))
 
 
-@query("SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents")
+@query("SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars FROM documents")
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts with quotes and line breaks, written as CSV and read back."""
-    names = ["doc_id", "text", "lang", "source"]
-    path = landed(
-        spark, folder, "documents-csv",
-        lambda p: write_csv(table(spark, folder, "documents").select(*names), p),
-    )
-    return read_csv(spark, path, MULTI_LINE, names=names)
+    documents = table(spark, folder, "documents")
+    path = landed(spark, folder, "documents-csv", lambda p: write_csv(documents, p))
+    return read_csv(spark, path, MULTI_LINE, names=documents.columns)
 
 
 @query("""

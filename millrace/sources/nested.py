@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.operators.audit import brief_error
 from millrace.operators.top import first_rows
 
 BOARD_PAGE = (
@@ -161,5 +162,5 @@ def extract_tables(
                 rows = first_rows(rows, order, cap, narrow=True) if order else rows.limit(cap)
             tables[name] = rows
         except Exception as problem:  # one unreadable table must not stop the others
-            problems[name] = str(problem).splitlines()[0]
+            problems[name] = brief_error(problem)
     return Extract(tables, problems)

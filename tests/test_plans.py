@@ -1,5 +1,7 @@
 """Plans and folders: what reaches the scan, what is broadcast, where files go."""
 
+import json
+
 import pytest
 
 import check
@@ -80,12 +82,49 @@ def test_a_broken_table_does_not_stop_the_run(spark, folder):
     Path(folder, "good.csv").write_text("id,name\n1, a \n1,b\n,c\n")
     Path(folder, "bad.csv").write_text("")
     database = workspace.fresh_database(spark, "test")
-    specs = [TableSpec("good", "GOOD", "id", order_by=("name",)), TableSpec("bad", "bad"), TableSpec("none", "none")]
+    specs = [TableSpec("good", "GOOD", "id", order_by=("name",)), TableSpec("bad", "bad"), TableSpec("none", "none"), TableSpec("loose", "GOOD", "id")]
     found = {r.table_name: (r.status, r.rows_loaded) for r in run_tables(spark, specs, folder, database, audit_table=f"{database}.audit").collect()}
     assert found["good"] == ("success", 1) and found["bad"][0] == "failed" and found["none"][0] == "failed"
     assert [tuple(r) for r in spark.table(f"{database}.good").collect()] == [(1, "a")]
-    summary = audit_summary(results_of(spark.table(f"{database}.audit"))).first()
-    assert (summary.total_tables, summary.successful, summary.failed, summary.total_rows_loaded) == (3, 1, 2, 1)
+    noted = spark.table(f"{database}.audit")
+    summary = {r.stage: r for r in audit_summary(results_of(noted), "stage").collect()}
+    load = summary["load"]
+    assert (load.total_tables, load.successful, load.failed, load.total_rows_loaded) == (4, 1, 3, 1)
+    assert {s: (r.successful, r.failed) for s, r in summary.items()} == {
+        "clean": (1, 1), "infer": (1, 0), "load": (1, 3), "verify": (1, 0),
+    }
+    details = {(r.stage, json.loads(r.data)["table_name"]): json.loads(r.data) for r in noted.collect()}
+    assert details["clean", "good"]["rows_read"] == 3 and details["clean", "good"]["rows_loaded"] == 1
+    assert set(details["infer", "good"]["types"]) == {"id", "name"} and details["verify", "good"]["rows_expected"] == 1
+    assert details["clean", "loose"]["error"] == details["load", "loose"]["error"] == "ValueError: keeping the first row of a key needs an order"
+
+
+def test_a_wrong_number_of_rows_is_in_the_audit(spark, folder):
+    from pathlib import Path
+
+    Path(folder, "t.csv").write_text("id,name\n1,a\n2,b\n")
+    database = workspace.fresh_database(spark, "test")
+    spec = TableSpec("t", "t", "id", order_by=("name",), expected_rows=3)
+    assert run_tables(spark, [spec], folder, database, audit_table=f"{database}.audit").first().status == "warning"
+    verified = results_of(spark.table(f"{database}.audit")).filter("stage = 'verify'").first()
+    assert (verified.status, verified.error, verified.rows_loaded) == ("warning", "2 rows, not 3", 2)
+
+
+def test_temporary_copies(spark):
+    with pytest.raises(ZeroDivisionError):
+        with workspace.temporary_copies(spark):
+            failed = workspace.cut_lineage(spark.range(3))
+            raise ZeroDivisionError
+    with workspace.temporary_copies(spark) as keep_outer:
+        with workspace.temporary_copies(spark) as keep:
+            inner = workspace.cut_lineage(spark.range(3))
+            result = keep(inner.selectExpr("id + 1 AS id"), "result")
+        assert result.count() == 3
+        last = keep_outer(result, "last")
+    assert sorted(r.id for r in last.collect()) == [1, 2, 3]
+    for df in (failed, inner, result):
+        with pytest.raises(Exception, match="(?i)not exist|not found|FileNotFound"):
+            df.collect()
 
 
 @pytest.mark.parametrize("name", ["file_provenance", "run_with_warnings"])
