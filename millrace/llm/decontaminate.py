@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import broadcast_if_small, lower_ascii, named, require, words_of
+from millrace.llm.common import broadcast_if_small, free_name, lower_ascii, named, require, words_of
 from millrace.workspace import cut_lineage
 
 SHINGLE = 5
@@ -82,19 +82,19 @@ def contaminations(
     require(items, item_id, item_text)
     each = cut_lineage(item_table(items, item_id, item_text, size), "items")
     sketch = cut_lineage(sketches(each, threshold), "sketches")
-    texts = documents.where(named(doc_id).isNotNull())
+    texts = documents.select(named(doc_id).alias("_id"), named(doc_text).alias("_text")).where("_id IS NOT NULL")
     found = (
-        shingled(texts, doc_id, doc_text, size)
+        shingled(texts, "_id", "_text", size)
         .join(broadcast_if_small(sketch, BROADCAST_ROWS), "shingle")
         .groupBy("_key", "item", "needed").agg(F.count_distinct("shingle").alias("hits"))
     )
     candidates = cut_lineage(found.where("hits >= needed").select("_key", "item"), "candidates")
     suspects = candidates.select("_key").distinct()
     again = (
-        texts.join(broadcast_if_small(suspects, BROADCAST_ROWS), named(doc_id) == F.col("_key"), "left_semi")
+        texts.join(broadcast_if_small(suspects, BROADCAST_ROWS), F.col("_id") == F.col("_key"), "left_semi")
     )
     shared = (
-        shingled(again, doc_id, doc_text, size)
+        shingled(again, "_id", "_text", size)
         .join(broadcast_if_small(each, BROADCAST_ROWS), "shingle")
         .join(broadcast_if_small(candidates, BROADCAST_ROWS), ["_key", "item"], "left_semi")
         .groupBy("_key", "item", "item_shingles").agg(F.count_distinct("shingle").alias("shared"))
@@ -108,8 +108,9 @@ def contaminations(
 
 def decontaminate(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
     """The documents that hold no item, with all their columns; rows with a null id stay."""
-    held = contaminations(documents, items, doc_id=doc_id, **options).select(F.col(doc_id).alias("_held"))
+    name = free_name(documents, "_held")
+    held = contaminations(documents, items, doc_id=doc_id, **options).select(named(doc_id).alias(name))
     flagged = cut_lineage(held.distinct(), "contaminated")
     return documents.join(
-        broadcast_if_small(flagged, BROADCAST_ROWS), named(doc_id) == F.col("_held"), "left_anti"
+        broadcast_if_small(flagged, BROADCAST_ROWS), named(doc_id) == F.col(name), "left_anti"
     )

@@ -420,16 +420,17 @@ def drop_similar(documents: DataFrame, doc_id: str = "doc_id", **options) -> Dat
     Rows without an id stay: their copies cannot be told apart by name.
     """
     found = similar_documents(documents, doc_id=doc_id, **options)
+    # Names that no column of ``documents`` has, in any case.
+    smallest, repeated, held = (free_name(documents, n) for n in ("_first", "_again", "held"))
     first = cut_lineage(
-        found.where(F.col(doc_id) == F.col("class_id")).select(F.col(doc_id).alias("_first")).distinct(), "first"
+        found.where(named(doc_id) == F.col("class_id")).select(named(doc_id).alias(smallest)).distinct(), "first"
     )
     # Rows of one id are rare; only they are put in order, so the other texts are not shuffled.
-    again = found.groupBy(F.col(doc_id).alias("_again")).count().where("count > 1 AND _again IS NOT NULL")
-    again = broadcast_if_small(cut_lineage(again.select("_again"), "repeated"), BROADCAST_ROWS)
-    kept = documents.join(broadcast_if_small(first, BROADCAST_ROWS), named(doc_id) == F.col("_first"), "left_semi")
-    single = kept.join(again, named(doc_id) == F.col("_again"), "left_anti")
-    held = free_name(documents, "held")
+    again = found.groupBy(named(doc_id).alias(repeated)).count().where((F.col("count") > 1) & F.col(repeated).isNotNull())
+    again = broadcast_if_small(cut_lineage(again.select(repeated), "repeated"), BROADCAST_ROWS)
+    kept = documents.join(broadcast_if_small(first, BROADCAST_ROWS), named(doc_id) == F.col(smallest), "left_semi")
+    single = kept.join(again, named(doc_id) == F.col(repeated), "left_anti")
     one = Window.partitionBy(named(doc_id)).orderBy(*[F.xxhash64(named(c)) for c in documents.columns])
-    several = kept.join(again, named(doc_id) == F.col("_again"), "left_semi").withColumn(held, F.row_number().over(one))
+    several = kept.join(again, named(doc_id) == F.col(repeated), "left_semi").withColumn(held, F.row_number().over(one))
     nameless = documents.where(named(doc_id).isNull())
     return single.unionByName(several.where(named(held) == 1).drop(held)).unionByName(nameless)

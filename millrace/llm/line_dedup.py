@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import broadcast_if_small, named, require
+from millrace.llm.common import broadcast_if_small, free_name, named, require
 from millrace.workspace import cut_lineage
 
 MIN_SITES = 10
@@ -118,18 +118,20 @@ def remove_boilerplate(
     others = hits.join(broadcast_if_small(first, BROADCAST_ROWS), ["_h1", "_h2"]).where(
         ~((F.col("_pos") == F.col("_f1")) & (F.col("_d1") == F.col("_f2")) & (F.col("_d2") == F.col("_f3")))
     )
-    positions = others.groupBy("_d1", "_d2").agg(F.collect_set("_pos").alias("_lost"))
+    # Names that no column of ``documents`` has, in any case.
+    d1, d2, lost, pieces = (free_name(documents, n) for n in ("_d1", "_d2", "_lost", "_lines"))
+    positions = others.groupBy(F.col("_d1").alias(d1), F.col("_d2").alias(d2)).agg(F.collect_set("_pos").alias(lost))
     kept = [c for c in documents.columns if c.lower() != removed.lower()]
-    keys = [h.alias(n) for h, n in zip(hashes(named(doc_id), named(text)), ("_d1", "_d2"))]
-    joined = documents.select(*map(named, kept), *keys).join(positions, ["_d1", "_d2"], "left")
+    keys = [h.alias(n) for h, n in zip(hashes(named(doc_id), named(text)), (d1, d2))]
+    joined = documents.select(*map(named, kept), *keys).join(positions, [d1, d2], "left")
     rest = F.array_join(
         F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(F.col("_lines")) - 1), F.col("_lost")),
-            lambda i: F.get("_lines", i),
+            F.array_except(F.sequence(F.lit(0), F.size(F.col(pieces)) - 1), F.col(lost)),
+            lambda i: F.get(pieces, i),
         ), "\n",
     )
-    split = joined.withColumn("_lines", F.when(F.col("_lost").isNotNull(), F.split(named(text), "\n")))
+    split = joined.withColumn(pieces, F.when(F.col(lost).isNotNull(), F.split(named(text), "\n")))
     return split.select(
-        *[F.when(F.col("_lost").isNull(), named(c)).otherwise(rest).alias(c) if c == text else named(c) for c in kept],
-        F.coalesce(F.size("_lost"), F.lit(0)).cast("long").alias(removed),
+        *[F.when(F.col(lost).isNull(), named(c)).otherwise(rest).alias(c) if c == text else named(c) for c in kept],
+        F.coalesce(F.size(lost), F.lit(0)).cast("long").alias(removed),
     )

@@ -22,6 +22,7 @@ from millrace.workspace import cut_lineage
 
 PASSAGE = 100  # words
 SAMPLE = 6000  # labelled documents to learn from, at most
+BAG_PASSAGES = 64  # passages of one of them to learn from, at most
 BUCKETS = 128
 PRIOR = 60
 SHARES = 12
@@ -154,12 +155,22 @@ class Model:
         return self.forward(x, counts)["score"].astype(np.float64)
 
 
+def spaced(passages: np.ndarray, limit: int = BAG_PASSAGES) -> np.ndarray:
+    """At most ``limit`` of a document's passages, in even steps from the first to the last."""
+    if len(passages) <= limit:
+        return passages
+    return passages[np.arange(limit) * (len(passages) - 1) // (limit - 1)]
+
+
 def train(
     documents: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id",
     text: str = "text", sample: int = SAMPLE,
 ) -> Model:
     """A model from at most ``sample`` labelled documents, those with the smallest hash of their id.
 
+    Of a longer document it learns from ``BAG_PASSAGES`` passages in even steps, so what comes to the driver
+    is bounded (some 215 MB at the default sample); scores are made from all passages.
+
     Rows with a null id or label are not learned from; null texts are empty. A document that is labelled
     twice counts with its smaller label. Without labels of both kinds the model scores by their prior.
     """
@@ -185,7 +196,7 @@ def train(
         for batch in batches:
             x, counts = encode(batch.column(2).to_pylist())
             ends = np.cumsum(counts)
-            bags = [x[e - c : e].tobytes() for e, c in zip(ends, counts)]
+            bags = [spaced(x[e - c : e]).tobytes() for e, c in zip(ends, counts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
 
     encoded = joined.select("_id", "_label", "_text").mapInArrow(features, "id long, label int, bag binary")

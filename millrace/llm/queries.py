@@ -104,16 +104,17 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
-@query(r"""
+# Lines that stand on as many sites as they need, first occurrences aside; lines of one or two words have needs of their own.
+LINE_SQL = r"""
 WITH given AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
 ), lines AS (
   SELECT d.doc_id, d.source, u.pos, trim(g.parts[u.pos], e'\t\n\x0b\x0c\r ') AS line
   FROM given g JOIN documents d USING (doc_id), unnest(range(1, len(g.parts) + 1)) AS u(pos)
 ), counted AS (
-  SELECT * FROM lines WHERE len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) >= 3
+  SELECT *, len(regexp_split_to_array(line, '[\x20\x09-\x0D]+')) AS words FROM lines WHERE line <> ''
 ), boilerplate AS (
-  SELECT line FROM counted GROUP BY line HAVING count(DISTINCT source) >= 10
+  SELECT line FROM counted GROUP BY line HAVING count(DISTINCT source) >= {needed}
 ), lost AS (
   SELECT doc_id, pos FROM (
     SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth
@@ -124,7 +125,10 @@ SELECT l.doc_id, count(o.pos) AS n_removed,
   sha256(coalesce(string_agg(g.parts[l.pos], chr(10) ORDER BY l.pos) FILTER (o.pos IS NULL), '')) AS text_sha256
 FROM lines l JOIN given g USING (doc_id) LEFT JOIN lost o ON o.doc_id = l.doc_id AND o.pos = l.pos
 GROUP BY l.doc_id
-""")
+"""
+
+
+@query(LINE_SQL.replace("{needed}", "10 AND any_value(words) >= 3"))
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that stand on ten or more sites, first occurrences aside."""
     documents = table(spark, folder, "documents").select("doc_id", "source", "text")
@@ -133,6 +137,18 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(LINE_SQL.replace(
+    "{needed}",
+    "CASE WHEN any_value(words) < 3 THEN 20 ELSE greatest(3, least(10, 10 - floor((any_value(words) - 10) * 7 / 40))) END",
+))
+def op2_line_dedup_by_length(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a number of sites that falls with a line's length, as the pipeline has it."""
+    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return line_dedup.remove_boilerplate(documents, by_length=True).select(
+        "doc_id", "n_removed", sha256(F.coalesce("text", F.lit(""))).alias("text_sha256")
+    )
+
+
 @query(r"""
 WITH words AS (
   SELECT 'd' AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents

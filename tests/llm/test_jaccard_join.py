@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import jaccard_join
-from millrace.llm.graph import components
+from millrace.llm.graph import components, with_least
+from millrace.workspace import cut_lineage
 from tests.llm.helpers import documents, prose, shingles
 
 
@@ -112,5 +113,15 @@ def test_components(spark):
     edges += [(300 + draw.randrange(50), 300 + draw.randrange(50)) for _ in range(30)] + [(500, 500 + k) for k in range(1, 40)]
     draw.shuffle(edges)
     real = [(a, b) for a, b in edges if a is not None and a != b]
-    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == roots({n for e in real for n in e}, real)
+    given = spark.createDataFrame(edges, "a long, b long")
+    want = roots({n for e in real for n in e}, real)
+    for hub in (100_000, 10, 1):  # no hubs, some, hubs only
+        assert {r["node"]: r["component"] for r in components(given, hub=hub).collect()} == want
+
+
+def test_rows_of_a_hub_do_not_meet_in_one_task(spark):
+    star = spark.range(1, 40_000).selectExpr("0L AS u", "id AS v").unionByName(spark.range(40_001, 40_100).selectExpr("id AS u", "id + 500 AS v"))
+    star = cut_lineage(star.repartition(8))
+    least = cut_lineage(star.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("m")))
+    sizes = with_least(star, least, 1000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 40_098 and max(r["count"] for r in sizes) < 15_000

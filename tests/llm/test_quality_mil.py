@@ -39,6 +39,14 @@ def test_attention_is_a_share_of_each_bag():
     assert np.add.reduceat(share, starts) == pytest.approx(np.ones(3), abs=1e-5)
 
 
+def test_few_passages_of_a_long_text_are_learned_from():
+    long = np.arange(1000, dtype=np.float32)[:, None]
+    kept = quality_mil.spaced(long)[:, 0]
+    assert len(kept) == quality_mil.BAG_PASSAGES and kept[0] == 0 and kept[-1] == 999
+    assert set(np.diff(kept).astype(int)) <= {15, 16}
+    assert len(quality_mil.spaced(long[:64])) == 64 and (quality_mil.spaced(long[:65], 65) == long[:65]).all()
+
+
 def test_odd_rows_and_labels(spark):
     rows = documents(spark, [(i, t) for i, t in enumerate(ODD_TEXTS)] + [(0, "twice"), (None, "no id")])
     given = rows.withColumn("quality_score", F.lit("x")).withColumn("_label", F.lit(0))
