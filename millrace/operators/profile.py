@@ -63,8 +63,8 @@ def dtype_summary(df: DataFrame, table: str) -> DataFrame:
 def sample_values(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> DataFrame:
     """The first ``rows`` non-null values of each column in the given order.
 
-    One scan: rows unfold into cells, and the filter on the row number is pushed below the shuffle,
-    so a task hands on ``rows`` cells of each column.
+    One scan: rows unfold into cells, and the filter on the bare row number is pushed below the shuffle (one
+    on an expression of it would not be), so a task hands on ``rows`` cells of each column.
     """
     cells = df.select(
         *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)],
@@ -72,9 +72,9 @@ def sample_values(df: DataFrame, order_by: Sequence[str], rows: int = 3) -> Data
     ).filter(F.col("value").isNotNull())
     order = [f"_o{i}" for i in range(len(order_by))]
     first = Window.partitionBy("ordinal").orderBy(*order, "value")
-    top = cells.withColumn("position", F.row_number().over(first) - 1).filter(F.col("position") < rows)
+    top = cells.withColumn("_number", F.row_number().over(first)).filter(F.col("_number") <= rows)
     name = F.get(F.array(*[F.lit(c) for c in df.columns]), F.col("ordinal"))
-    return top.select(name.alias("column_name"), "position", "value")
+    return top.select(name.alias("column_name"), (F.col("_number") - 1).alias("position"), "value")
 
 
 def head_and_tail(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:

@@ -155,3 +155,12 @@ def test_boards_whose_names_differ_by_case(spark):
     names = [c.lower() for c in merged.columns]
     assert names[:3] == ["k", "status_sales", "status_delivery"] and names[-1] == "origin" and len(set(names)) == 6
     assert sorted(tuple(r) for r in merged.collect()) == [(1, "a", "x", "b", 5, "both"), (2, None, None, "c", 6, "right")]
+
+
+def test_samples_are_cut_before_the_shuffle(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id % 7 AS STRING) AS v")
+    found = profile.sample_values(df, ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan  # a task hands on three cells of each column, not all
+    rows = {(r.column_name, r.position, r.value) for r in found.collect()}
+    assert rows == {(c, i, str(i)) for c in ("id", "v") for i in range(3)}
