@@ -22,7 +22,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm.common import free_name, named, require
+from millrace.llm.common import free_name, named, require, slices
 
 # The pre-tokenizer's pattern of byte-level vocabularies; a fixed value. L, N and S stand for
 # letters, numbers and white space.
@@ -31,7 +31,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[L]+| ?[N]+| ?[^SLN]+|[S]+(?![^S])|[S]+"
 # later characters are cut by the tokenizers library, whose tables are the yardstick.
 SAME_CLASSES = 0x558
 CACHED_WORDS = 150_000
-ROWS = 128  # texts whose Python objects are held at a time
+ROWS, BYTES = 128, 1_000_000  # texts whose Python objects are held at a time, and their bytes
 LONGEST_CACHED = 64
 
 
@@ -191,9 +191,9 @@ def encode_column(shared: SharedVocabulary, text: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            yield in_parts(
-                batch, lambda texts: pa.array([None if t is None else codec.encode(t) for t in texts], pa.list_(pa.int32()))
-            )
+            for at, n in slices(batch, ROWS, BYTES):
+                texts = batch.slice(at, n).to_pylist()
+                yield pa.array([None if t is None else codec.encode(t) for t in texts], pa.list_(pa.int32()))
 
     return F.arrow_udf(_typed(run), "array<int>")(text)
 
@@ -204,9 +204,9 @@ def decode_column(shared: SharedVocabulary, ids: Column) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            yield in_parts(
-                batch, lambda rows: pa.array([None if i is None else codec.decode(i) for i in rows], pa.string())
-            )
+            for at in range(0, len(batch), ROWS):
+                rows = batch.slice(at, ROWS).to_pylist()
+                yield pa.array([None if i is None else codec.decode(i) for i in rows], pa.string())
 
     return F.arrow_udf(_typed(run), "string")(ids)
 
@@ -218,11 +218,6 @@ def both(codec: Codec, texts: list[str]) -> pa.Array:
     )
 
 
-def in_parts(batch: pa.Array, run) -> pa.Array:
-    """One array from a function of some rows at a time, so that few Python objects are alive at once."""
-    return pa.concat_arrays([run(batch.slice(at, ROWS).to_pylist()) for at in range(0, max(len(batch), 1), ROWS)])
-
-
 def _typed(run):
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return run
@@ -252,11 +247,12 @@ def encode_and_decode(
 
 
 def _encode_decode(shared: SharedVocabulary, text: Column) -> Column:
-    """Both directions in one pass over the Arrow batches."""
+    """Both directions in one pass over the Arrow batches. Results are handed on by the part, not by the batch."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = codec_of(shared)
         for batch in batches:
-            yield in_parts(batch, lambda texts: both(codec, texts))
+            for at, n in slices(batch, ROWS, BYTES):
+                yield both(codec, batch.slice(at, n).to_pylist())
 
     return F.arrow_udf(_typed(run), "struct<ids:array<int>,text:string>")(text)

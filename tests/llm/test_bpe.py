@@ -1,11 +1,13 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from millrace.llm import bpe, queries
+from millrace.llm.common import slices
 from tests.conftest import SMALL
 from tests.llm.helpers import ODD_TEXTS, documents
 
@@ -71,3 +73,12 @@ def test_query_against_the_library(spark, library):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_batches_are_taken_in_slices_of_bounded_bytes():
+    texts = pa.array([None, "", "a" * 10, "b" * 50, "c" * 10, "d" * 10, None, *"efghijkl"])
+    found = list(slices(texts, rows=4, size=25))
+    assert [at for at, _ in found] == [sum(n for _, n in found[:k]) for k in range(len(found))]
+    assert sum(n for _, n in found) == len(texts)
+    assert all(n <= 4 and (n == 1 or sum(len(t or "") for t in texts.slice(at, n).to_pylist()) <= 25) for at, n in found)
+    assert list(slices(pa.array([], pa.string()), 4, 25)) == []
