@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import broadcast_if_small, named, require
+from millrace.llm.common import broadcast_if_small, named, require, slices
 from millrace.workspace import cut_lineage
 
 PASSAGE = 100  # words
@@ -29,6 +29,8 @@ SHARES = 12
 WIDTH = BUCKETS + SHARES
 HIDDEN, GATE = 32, 16
 EPOCHS, BAGS, RATE, DECAY = 30, 64, 3e-3, 1e-4
+ROWS, BYTES = 256, 1_000_000  # texts encoded at a time, and their bytes
+WINDOW = 500_000  # bytes whose trigrams are counted at a time
 
 _KINDS = np.zeros(256, np.uint8)
 for _kind, _bytes in enumerate(
@@ -44,36 +46,46 @@ def passages_of(text: str, passage: int = PASSAGE) -> list[list[bytes]]:
 
 def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(features of all passages, number of passages of each text); an empty text is one empty passage."""
-    bags = [passages_of(t) for t in texts]
-    counts = np.array([len(b) for b in bags])
-    passages = [p for b in bags for p in b]
-    out = np.zeros((len(passages), WIDTH), np.float32)
-    at = 0
-    while at < len(passages):  # some MB of text at a time
-        upto, size = at, 0
-        while upto < len(passages) and size < 4_000_000:
-            size += sum(map(len, passages[upto])) + len(passages[upto])
-            upto += 1
-        out[at:upto] = _features(passages[at:upto])
-        at = upto
-    return out, counts
+    parts, counts, waiting, size = [], [], [], 0
+    for text in texts:  # the words of some ``WINDOW`` bytes, or of one text, are held at a time
+        bag = passages_of(text)
+        counts.append(len(bag))
+        for passage in bag:
+            waiting.append(passage)
+            size += sum(map(len, passage)) + len(passage) + 1
+            if size >= WINDOW:
+                parts.append(_features(waiting))
+                waiting, size = [], 0
+    if waiting:
+        parts.append(_features(waiting))
+    return np.concatenate(parts) if parts else np.zeros((0, WIDTH), np.float32), np.array(counts, np.int64)
+
+
+def _trigrams(chars: np.ndarray, owner: np.ndarray, passages: int) -> np.ndarray:
+    """How often each bucket of trigrams occurs in each passage, counted window by window."""
+    table = np.zeros(passages * BUCKETS, np.int64)
+    for at in range(0, len(chars) - 2, WINDOW):
+        wide, own = chars[at : at + WINDOW + 2].astype(np.uint32), owner[at : at + WINDOW + 2]
+        trigram = wide[:-2] * np.uint32(0x9E3779B1) + wide[1:-1] * np.uint32(0x85EBCA6B) + wide[2:] * np.uint32(0xC2B2AE35)
+        bucket = ((trigram ^ (trigram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(25)
+        inside = own[:-2] == own[2:]
+        table += np.bincount(own[:-2][inside] * BUCKETS + bucket[inside], minlength=len(table))
+    return table.reshape(-1, BUCKETS)
 
 
 def _features(passages: list[list[bytes]]) -> np.ndarray:
     joined = [b" ".join(p) + b" " for p in passages]
     sizes = np.array([len(j) for j in joined])
-    owner = np.repeat(np.arange(len(joined)), sizes)
+    owner = np.repeat(np.arange(len(joined), dtype=np.int32), sizes)
     chars = np.frombuffer(b"".join(joined), np.uint8)
     out = np.zeros((len(passages), WIDTH), np.float32)
-    wide = chars.astype(np.uint32)
-    trigram = wide[:-2] * np.uint32(0x9E3779B1) + wide[1:-1] * np.uint32(0x85EBCA6B) + wide[2:] * np.uint32(0xC2B2AE35)
-    bucket = ((trigram ^ (trigram >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(25)
-    inside = owner[:-2] == owner[2:]
-    cell = owner[:-2][inside] * BUCKETS + bucket[inside]
-    table = np.bincount(cell, minlength=len(passages) * BUCKETS).reshape(-1, BUCKETS)
+    table = _trigrams(chars, owner, len(passages))
     # A short passage's frequencies are noise: they count as if PRIOR more bytes without trigrams stood there.
     out[:, :BUCKETS] = np.sqrt(table / (sizes + PRIOR)[:, None]) * 4
-    kinds = np.bincount(owner * 9 + _KINDS[chars], minlength=len(passages) * 9).reshape(-1, 9)
+    kinds = np.zeros(len(passages) * 9, np.int64)
+    for at in range(0, len(chars), WINDOW):
+        kinds += np.bincount(owner[at : at + WINDOW] * 9 + _KINDS[chars[at : at + WINDOW]], minlength=len(kinds))
+    kinds = kinds.reshape(-1, 9)
     out[:, BUCKETS : BUCKETS + 9] = np.sqrt(kinds / np.maximum(sizes, 1)[:, None])
     words = np.array([len(p) for p in passages])
     distinct = np.array([len(set(p)) for p in passages])
@@ -193,11 +205,12 @@ def train(
     joined = texts.join(broadcast_if_small(chosen, max(sample, 1)), F.col("_doc") == F.col("_id"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, counts = encode(batch.column(2).to_pylist())
+        for batch, (at, n) in ((b, run) for b in batches for run in slices(b.column(2), ROWS, BYTES)):
+            part = batch.slice(at, n)
+            x, counts = encode(part.column(2).to_pylist())
             ends = np.cumsum(counts)
             bags = [spaced(x[e - c : e]).tobytes() for e, c in zip(ends, counts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
 
     encoded = joined.select("_id", "_label", "_text").mapInArrow(features, "id long, label int, bag binary")
     rows = sorted(encoded.dropDuplicates(["id"]).collect(), key=lambda r: r["id"])  # at most ``sample`` rows
@@ -222,10 +235,8 @@ def score_column(model: Model, text: Column) -> Column:
         own = Model()
         own.weights, own.mean, own.scale = state
         for batch in batches:
-            parts = [
-                own.score([t or "" for t in batch.slice(a, 256).to_pylist()]) for a in range(0, max(len(batch), 1), 256)
-            ]
-            yield pa.array(np.concatenate(parts), pa.float64())
+            for at, n in slices(batch, ROWS, BYTES):
+                yield pa.array(own.score([t or "" for t in batch.slice(at, n).to_pylist()]), pa.float64())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "double")(text)

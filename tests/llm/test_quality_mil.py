@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -67,3 +69,14 @@ def test_held_out_accuracy(spark):
     assert len(rows) == 1000
     held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
     assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) > 0.95
+
+
+def test_encoding_takes_memory_by_the_window():
+    texts = ["some words " * 200_000] * 3 + ["w" * 4_000_000]
+    tracemalloc.start()
+    x, counts = quality_mil.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [4000] * 3 + [1]
+    assert np.array_equal(x, np.concatenate([quality_mil.encode([t])[0] for t in texts]))
+    assert peak < 100e6
