@@ -242,34 +242,46 @@ def saved_mapping(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_FILE_KEYS = 500_000  # orders whose rows may be in one file
+
+
 @query("""
 SELECT o_orderstatus AS part, count(*) AS lines, count(*) AS last_row, 1::BIGINT AS keys, true AS size_known,
     true AS dated, true AS scanned FROM orders GROUP BY ALL
 """)
 def file_provenance(spark: SparkSession, folder: str) -> DataFrame:
     """Of every file: lines, the last row's number, size, time of change, scan time, and a content key that
-    a copy of the file shares and the same lines in another order do not."""
+    a copy of the file shares and the same lines in another order do not. Summed up by part, whose rows lie in
+    files of at most ``_FILE_KEYS`` keys, so that the task that puts a file in order holds no more."""
     def write(path: str) -> None:
-        rows = table(spark, folder, "orders").select(F.concat_ws(",", "o_orderkey", "o_totalprice").alias("line"), "o_orderstatus", "o_orderkey")
-        copies = rows.withColumnRenamed("o_orderstatus", "part").withColumn("copy", F.explode(F.array(*map(F.lit, "abc"))))
+        rows = table(spark, folder, "orders").select(
+            F.concat_ws(",", "o_orderkey", "o_totalprice").alias("line"), F.col("o_orderstatus").alias("part"),
+            F.floor(F.col("o_orderkey") / _FILE_KEYS).alias("chunk"), "o_orderkey",
+        )
+        copies = rows.withColumn("copy", F.explode(F.array(*map(F.lit, "abc"))))
         # Each file is written by one task, different files by different ones; the last copy is in reverse order.
         place = F.when(F.col("copy") == "c", -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
-        spread_out = copies.repartition("copy", "part").sortWithinPartitions("copy", "part", place)
-        spread_out.select("line", "copy", "part").write.mode("append").partitionBy("copy", "part").text(path)
+        file = ("copy", "part", "chunk")
+        spread_out = copies.repartition(*file).sortWithinPartitions(*file, place)
+        spread_out.select("line", *file).write.mode("append").partitionBy(*file).text(path)
 
     path = landed(spark, folder, "provenance", write)
-    place = [files.partition_value(F.col("file_path"), k).alias(k) for k in ("copy", "part")]
+    file = ["copy", "part", "chunk"]
+    place = [files.partition_value(F.col("file_path"), k).alias(k) for k in file]
     keys = files.content_keys(spark, path, "*.txt").select(*place, "file_size", "file_modified", "lines", "content_key")
     numbered = files.with_row_numbers(spark.read.text(path).select("value", *files.provenance()))
     last = numbered.groupBy("file_path").agg(F.max("file_row_number").alias("last_row"), F.max("scan_started").alias("scanned"))
-    rows = keys.join(last.select(*place, "last_row", "scanned"), ["copy", "part"])
-    by_part = rows.groupBy("part")
-    ordered = by_part.agg(
+    rows = keys.join(last.select(*place, "last_row", "scanned"), file)
+    by_file = rows.groupBy("part", "chunk").agg(
         F.max("lines").alias("lines"), F.max("last_row").alias("last_row"),
         F.count_distinct(F.when(F.col("copy") != "c", F.col("content_key"))).alias("keys"),
         F.bool_and(F.col("file_size") > 0).alias("size_known"), F.bool_and(F.col("file_modified").isNotNull()).alias("dated"),
         F.bool_and(F.col("scanned").isNotNull()).alias("scanned"),
     )
+    ordered = by_file.groupBy("part").agg(
+        F.sum("lines").alias("lines"), F.sum("last_row").alias("last_row"), F.max("keys").alias("keys"),
+        *[F.bool_and(c).alias(c) for c in ("size_known", "dated", "scanned")],
+    )
     return ordered
 
 

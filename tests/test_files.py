@@ -67,3 +67,17 @@ def test_content_keys(spark, folder):
     keys = {r.file_path[-5]: (r.lines, r.content_key) for r in files.content_keys(spark, folder).collect()}
     assert keys["a"] == keys["d"] and keys["a"][0] == 2
     assert len({keys[k] for k in "abc"}) == 3  # the order of lines counts
+
+
+def test_provenance_in_files_of_bounded_keys(spark, monkeypatch):
+    from millrace.plans import edges, landing
+    from tests.conftest import SMALL
+
+    monkeypatch.setattr(edges, "_FILE_KEYS", 400)  # 1,500 orders: four files of each part and copy
+    monkeypatch.setattr(landing, "_landed", {})
+    found = {r.part: tuple(r)[1:] for r in edges.file_provenance(spark, SMALL).collect()}
+    counts = {r.o_orderstatus: r["count"] for r in spark.read.parquet(f"{SMALL}/orders.parquet").groupBy("o_orderstatus").count().collect()}
+    assert found == {part: (n, n, 1, True, True, True) for part, n in counts.items()}
+    landed = spark.read.text(next(iter(landing._landed.values())))
+    chunks = {(r.copy, r.part, r.chunk) for r in landed.select("copy", "part", "chunk").distinct().collect()}
+    assert len(chunks) == len(landed.inputFiles()) == 3 * 3 * 4
