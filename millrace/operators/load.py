@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.functions.casts import cast_to, declared_type
 from millrace.operators import ledger as ledgers
 from millrace.operators.tables import append
+from millrace.session import compiled
 from millrace.sources.csv import RECORD
 from millrace.sources.files import ANY_CSV, list_files, matches
 from millrace.workspace import scratch_tables
@@ -189,7 +190,8 @@ def bulk_load(
     checked = check_rows(raw, fields, kept)
     names = [F.col(f"`{f.name}`") for f in fields]
     report, spark = file_report(checked, file_column), raw.sparkSession
-    with scratch_tables(spark) if on_error in ("abort", "skip_file") else nullcontext() as keep_until_done:
+    looks_first = on_error in ("abort", "skip_file")
+    with compiled(spark), scratch_tables(spark) if looks_first else nullcontext() as keep_until_done:
         # These modes look at all files before they write, and need not look again.
         seen = keep_until_done(report) if keep_until_done else report
         aborted, load_id = None, None

@@ -12,6 +12,7 @@ from millrace.operators import ledger as ledgers, load, profile as inspect, tabl
 from millrace.plans.landing import landed
 from millrace.plans.registry import query, table
 from millrace.plans.run import run_tables
+from millrace.session import compiled
 from millrace.sources.csv import BULK_LOAD, RECORD, read_csv_checked, write_csv
 from millrace.sources.files import partition_value
 from millrace.spec import TableSpec
@@ -62,6 +63,12 @@ def load_malformed(spark: SparkSession, folder: str) -> DataFrame:
     """Files with broken quotes under the four error modes: what is loaded, and what each reject is."""
     database = fresh_database(spark, "malformed")
     raw = read_csv_checked(spark, broken_files(spark, folder), _NAMES, BULK_LOAD)
+    wrong = load.rejects(load.check_rows(raw, _FIELDS, ["file_path"]), ["file_path"])
+    with compiled(spark):
+        faults = wrong.agg(
+            F.count_if(F.col("reason") == load.MALFORMED).alias("malformed"),
+            F.count_if(F.col("reason") != load.MALFORMED).alias("bad_values"),
+        ).first()
     reports = []
     for mode in ("continue", "abort", "skip_file", "validate"):
         name, aborted = f"{database}.{mode}", False
@@ -70,13 +77,8 @@ def load_malformed(spark: SparkSession, folder: str) -> DataFrame:
             load.bulk_load(raw, _FIELDS, name, "file_path", mode)
         except load.LoadAborted:
             aborted = True
-        wrong = load.rejects(load.check_rows(raw, _FIELDS, ["file_path"]), ["file_path"])
-        reports.append(wrong.agg(
-            F.lit(mode).alias("mode"), F.lit(spark.table(name).count()).cast("bigint").alias("loaded"),
-            F.count_if(F.col("reason") == load.MALFORMED).alias("malformed"),
-            F.count_if(F.col("reason") != load.MALFORMED).alias("bad_values"), F.lit(aborted).alias("aborted"),
-        ))
-    return reduce(DataFrame.unionByName, reports)
+        reports.append((mode, spark.table(name).count(), faults.malformed, faults.bad_values, aborted))
+    return spark.createDataFrame(reports, "mode string, loaded bigint, malformed bigint, bad_values bigint, aborted boolean")
 
 
 @query(f"""

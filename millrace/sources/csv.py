@@ -208,9 +208,12 @@ def read_csv_checked(
     cells = ", ".join(f"`{n}` string" for n in names)
     options = {k: v for k, v in fmt.reader_options().items() if k not in ("header", "multiLine", "encoding")}
     parsed = F.from_csv(F.when(good, F.col("value")), cells, options)
+    # Cells are unfolded, not picked from the parsed line, else a filter on them would parse the line once for each mention.
+    places = [f"_{i}" for i in range(len(names))]
     return numbered.select(
-        "file_path", F.col("file_row_number").alias(LINE), F.when(~good, F.col("value")).alias(RECORD), parsed.alias("_cells")
-    ).select("file_path", LINE, RECORD, *[null_if(F.col("_cells").getField(n), fmt.null_tokens).alias(n) for n in names])
+        "file_path", F.col("file_row_number").alias(LINE), F.when(~good, F.col("value")).alias(RECORD),
+        F.inline(F.array(parsed)).alias(*places),
+    ).select("file_path", LINE, RECORD, *[null_if(F.col(p), fmt.null_tokens).alias(n) for p, n in zip(places, names, strict=True)])
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
