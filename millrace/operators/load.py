@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.functions.casts import cast_to, declared_type
 from millrace.operators import ledger as ledgers
 from millrace.operators.tables import append
-from millrace.session import compiled
+from millrace.session import compiled, few_listings
 from millrace.sources.csv import RECORD
 from millrace.sources.files import ANY_CSV, list_files, matches
 from millrace.workspace import scratch_tables
@@ -301,7 +301,7 @@ def load_new_files(
     listing = list_files(spark, folder, "*").filter(matches(F.col("path"), pattern))
     history = ledgers.committed(spark, table, ledger, history_table) if ledger else spark.table(history_table)
     wanted = listing if force else new_files(listing, history, table)
-    with scratch_tables(spark) as keep:
+    with few_listings(spark), scratch_tables(spark) as keep:  # readers list their paths as tasks too
         files = keep(wanted.select("path", "size", "modified"))
         total = files.count()
         batches = max(-(-total // batch), 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.operators.verify import digest_sum
+from millrace.session import few_listings
 from millrace.workspace import cut_lineage
 
 # Patterns a load selects files with.
@@ -18,12 +19,13 @@ BROADCAST_SPLITS = 200_000
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv*") -> DataFrame:
     """(path, name, size, modified) of the files below ``folder``; no file content is read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-    )
+    with few_listings(spark):
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true")
+            .load(folder)
+        )
     return files.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),

@@ -6,10 +6,12 @@ from threading import Barrier
 import pytest
 
 from millrace.operators import load
-from millrace.session import compiled, settings
+from millrace.session import compiled, few_listings, settings
 from millrace.sources.csv import read_csv_checked
+from millrace.sources.files import list_files
 
 METHOD = "spark.sql.codegen.hugeMethodLimit"
+LISTINGS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def test_settings_come_back(spark):
@@ -42,6 +44,24 @@ def test_settings_hold_until_the_last_thread_is_done(spark):
     assert spark.conf.get(METHOD) == before
 
 
+def test_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"n={i}").mkdir()
+        (tmp_path / f"n={i}" / "a.csv").write_text("x\n1\n")
+    before = spark.conf.get(LISTINGS)
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    assert list_files(spark, str(tmp_path)).count() == 200
+    context.setLocalProperty("spark.jobGroup.id", None)
+    told = context.statusTracker()
+    stages = [s for j in told.getJobIdsForGroup("listing") for s in told.getJobInfo(j).stageIds]
+    tasks = [told.getStageInfo(s).numTasks for s in stages if told.getStageInfo(s)]
+    assert max(tasks) <= max(4 * context.defaultParallelism, 32)
+    assert spark.conf.get(LISTINGS) == before
+    with few_listings(spark):
+        assert int(spark.conf.get(LISTINGS)) < 200
+
+
 def test_a_load_parses_each_line_once(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k,v\n1,2\n2,"x\n3,n/a\n4\n')
     fields = [load.Field("k", "NUMBER(9)"), load.Field("v", "FLOAT")]
