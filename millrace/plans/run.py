@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -13,6 +14,7 @@ from millrace.operators import infer, tables
 from millrace.operators.audit import RESULT_SCHEMA, append_audit, audit_rows, brief_error
 from millrace.operators.clean import clean_table
 from millrace.sources.csv import MULTI_LINE, READER_DEFAULTS, CsvFormat, read_csv, spread
+from millrace.session import compiled
 from millrace.sources.files import list_files, resolve_files
 from millrace.spec import TableName, TableSpec
 from millrace.workspace import scratch_tables
@@ -21,9 +23,10 @@ from millrace.workspace import scratch_tables
 def inbox_entries(spark: SparkSession, inbox: str) -> DataFrame:
     """(name, ordinal) of what lies directly in ``inbox``: files, or folders of part files.
 
-    Listings are in order of names.
+    Listings are in order of names, and may write the scheme of ``inbox`` in another way (``file:/`` for ``file:///``).
     """
-    below = F.substring_index("path", f"{inbox}/", -1)
+    place = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/+", "", inbox).strip("/")
+    below = F.substring_index("path", f"/{place}/", -1)
     names = list_files(spark, inbox).select(F.split(below, "/")[0].alias("name")).distinct()
     return names.withColumn("ordinal", F.col("name"))
 
@@ -43,8 +46,7 @@ def load_table(
 ) -> dict:
     """Clean one landed table, find its types, replace the warehouse table, and report.
 
-    The cleaned rows are written once; statistics, casts and the row count read that copy, which goes
-    at the end. ``bad_cells`` and ``changed_cells`` count what the casts lost or altered; either makes
+    The cleaned rows are written once; statistics and the typed rows read that copy, which goes at the end. ``bad_cells`` and ``changed_cells`` count what the casts lost or altered; either makes
     the outcome a warning; ``exact`` chooses types that alter no number. The types go to ``mapping_table`` where one is named.
     What each stage that was reached has done is appended to ``stages``.
     """
@@ -66,26 +68,28 @@ def load_table(
         cleaned = clean_table(raw, spec)
         columns = cleaned.columns
         staged = keep(cleaned.toDF(*[f"_{i}" for i in range(len(columns))])).toDF(*columns)
-        note("clean", staged.count(), rows_read=source.get["rows"])
+        rows = staged.count()
+        note("clean", rows, rows_read=source.get["rows"])
         inferred = infer.infer_by_name_and_data(infer.column_statistics(staged, spec.name), widest=True, exact=exact)
         found = infer.mapping_of(inferred)
         names = dict(zip(found, unique_names([clean_name(c) for c in found]), strict=True))
-        note("infer", staged.count(), types=found)
-        typed = keep(infer.apply_types(staged, found, names))
-        cells = typed.agg(
-            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"),
-            F.coalesce(F.sum("_changed_cells"), F.lit(0)).alias("changed"),
-        ).first()
+        note("infer", rows, types=found)
+        # The cells are counted as the rows go to the new table.
+        told = Observation()
+        typed = infer.apply_types(staged, found, names).observe(
+            told, F.coalesce(F.sum("_bad_cells"), F.lit(0)).alias("bad"), F.coalesce(F.sum("_changed_cells"), F.lit(0)).alias("changed"),
+        )
         outcome = tables.recreate(
-            typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), cells.rows,
+            typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), rows,
             types={names[c]: kind for c, kind in found.items()},
         )
+        bad, changed = told.get["bad"], told.get["changed"]
         if mapping_table:
             infer.save_mapping(inferred, names, spec.name, mapping_table)
     expected = spec.expected_rows
     complete = outcome["verification_passed"] and expected in (None, outcome["actual_rows"])
-    problems = [f"{n} cells {what}" for n, what in ((cells.bad, "lost"), (cells.changed, "changed")) if n]
-    wanted = cells.rows if expected is None else expected
+    problems = [f"{n} cells {what}" for n, what in ((bad, "lost"), (changed, "changed")) if n]
+    wanted = rows if expected is None else expected
     note("verify", outcome["actual_rows"], None if complete else f"{outcome['actual_rows']} rows, not {wanted}", rows_expected=wanted)
     return {
         "status": "success" if complete and not problems else "warning",
@@ -133,7 +137,7 @@ def run_tables(
         row = spec.name, spec.source, report["status"], report["error"], report["rows_loaded"], report["total_columns"]
         return row, stages
 
-    with ThreadPoolExecutor(workers) as pool:
+    with compiled(spark), ThreadPoolExecutor(workers) as pool:
         done = list(pool.map(one, specs))
     outcome = spark.createDataFrame([row for row, _ in done], RESULT_SCHEMA)
     if audit_table:
