@@ -105,7 +105,9 @@ def cast_to(text: Column, type_name: str) -> Column:
             return try_number(text, digits, scale)
         if digits > 18:
             return try_number(text, digits).cast("decimal(38,0)")
-        return try_number(text, digits).cast("bigint")
+        # Most whole numbers are digits alone, which need no decimal.
+        plain = text.rlike(f"^[0-9]{{1,{digits}}}$")
+        return F.when(plain, text.try_cast("bigint")).otherwise(try_number(text, digits).cast("bigint"))
     casts = {
         "FLOAT": try_double,
         "DATE": try_date,
@@ -146,7 +148,8 @@ def changed_by_double(number: Column) -> Column:
     broken = number.try_cast("decimal(38,18)") != value.try_cast("decimal(38,18)")
     differs = F.coalesce(F.when(scale == "", whole).otherwise(broken), F.lit(True))
     infinite = F.abs(value) == float("inf")
-    return number.rlike(LEADING_ZERO) | infinite | ((F.length(digits) > 15) & differs)
+    # A text of up to 15 characters has no more digits; most are that short.
+    return number.rlike(LEADING_ZERO) | infinite | F.when(F.length(number) > 15, (F.length(digits) > 15) & differs).otherwise(F.lit(False))
 
 
 def changed_by_cast(text: Column, type_name: str) -> Column:
@@ -162,7 +165,8 @@ def changed_by_cast(text: Column, type_name: str) -> Column:
         if scale:
             longer = F.coalesce(fraction_digits(text) > scale, text.try_cast("double") != value.cast("double"))
             return value.isNotNull() & (text.rlike(LEADING_ZERO) | longer)
-        exact = try_number(text, 38, 10) != value.cast("decimal(38,10)")
+        # Digits alone have no fraction to lose.
+        exact = F.when(~is_integer(text), try_number(text, 38, 10) != value.cast("decimal(38,10)"))
         return value.isNotNull() & (text.rlike(LEADING_ZERO) | F.coalesce(exact, F.lit(False)))
     if kind == "FLOAT":
         return value.isNotNull() & changed_by_double(text)
