@@ -90,3 +90,11 @@ def test_pipeline_uses_the_falling_threshold(spark):
     rows = [(i, f"own text {i}\n{prose(1, 60)}", f"s{i}") for i in range(3)]
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, documents(spark, rows), "").collect()}
     assert [len(left[i].split("\n")) for i in range(3)] == [2, 1, 1]
+
+
+def test_texts_are_not_split_again_for_the_result(spark):
+    lines = [f"one two three number {i}" for i in range(3)]
+    df = documents(spark, [(i, "\n".join(lines), f"site {i}") for i in range(12)])
+    result = line_dedup.remove_boilerplate(df)
+    assert "posexplode" not in result._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.n_removed for r in result.orderBy("doc_id").collect()] == [0] + [3] * 11
