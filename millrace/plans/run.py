@@ -83,7 +83,9 @@ def load_table(
             typed.drop("_bad_cells", "_changed_cells"), target_of(spark, spec, database), rows,
             types={names[c]: kind for c, kind in found.items()},
         )
-        bad, changed = told.get["bad"], told.get["changed"]
+        # An empty plan may be cut short, and then tells nothing.
+        cells = told.get if rows else {"bad": 0, "changed": 0}
+        bad, changed = cells["bad"], cells["changed"]
         if mapping_table:
             infer.save_mapping(inferred, names, spec.name, mapping_table)
     expected = spec.expected_rows
